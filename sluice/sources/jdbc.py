@@ -360,12 +360,14 @@ def histogram_boundaries(
     lo, hi = int(b.lower), int(b.upper)
     width = max(1, math.ceil((hi - lo + 1) / buckets))
     c = cfg.quote(column)
-    bucket = f"FLOOR(({c} - {lo}) / {width})"
+    b_, n_ = cfg.quote("b"), cfg.quote("n")
+    # The bucket is computed in a derived table and grouped by its alias:
+    # some databases (Derby) reject GROUP BY on a function expression.
     rows = read_subquery(
         spark,
         cfg,
-        f"SELECT {bucket} AS {cfg.quote('b')}, COUNT(*) AS {cfg.quote('n')} FROM {table} "
-        f"WHERE {c} IS NOT NULL GROUP BY {bucket}",
+        f"SELECT {b_}, COUNT(*) AS {n_} FROM (SELECT FLOOR(({c} - {lo}) / {width}) AS {b_} "
+        f"FROM {table} WHERE {c} IS NOT NULL) {cfg.quote('k')} GROUP BY {b_}",
         "bh",
     ).collect()  # <= buckets rows
     counts = sorted((int(r["b"]), int(r["n"])) for r in rows)
