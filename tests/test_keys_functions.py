@@ -1,0 +1,61 @@
+"""Key assignment and column functions."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from sluice.functions import first_present, jdbc_database, jdbc_host, redact_json_map, redact_map, round2
+from sluice.operators.keys import assign_keys, next_key
+from tests.conftest import SF_SMALL
+
+
+def test_assign_keys_equals_row_number(spark):
+    c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    got = assign_keys(c, ["c_name", "c_custkey"], key_name="id", num_partitions=5)
+    ref = c.withColumn("id", F.row_number().over(Window.orderBy("c_name", "c_custkey")))
+    assert got.exceptAll(ref.select(got.columns)).isEmpty()
+    assert got.count() == c.count()
+
+
+def test_assign_keys_start_offset(spark):
+    df = spark.range(100).select((F.col("id") * 7 % 100).alias("v"))
+    got = sorted((r.v, r.id) for r in assign_keys(df, ["v"], start=1001, num_partitions=4).collect())
+    assert got == [(v, 1001 + v) for v in range(100)]
+    assert next_key(spark.range(0).withColumnRenamed("id", "k"), "k") == 1
+    assert next_key(spark.range(5).withColumnRenamed("id", "k"), "k") == 5
+
+
+def test_url_parts(spark):
+    rows = [
+        ("jdbc:mysql://db.example.com:3306/testdb?useSSL=true",),
+        ("jdbc:mysql://db.example.com/testdb",),
+        ("https://m.site.example.net/en/25#top",),
+        ("http://a.example.com",),
+        ("no-scheme-here",),
+        ("https://a.example.com/en/853/",),
+    ]
+    df = spark.createDataFrame(rows, "url STRING")
+    out = [(r.h, r.d) for r in df.select(jdbc_host("url").alias("h"), jdbc_database("url").alias("d")).collect()]
+    assert out == [
+        ("db.example.com", "testdb"),
+        ("db.example.com", "testdb"),
+        ("m.site.example.net", "25#top"),
+        ("a.example.com", None),
+        (None, None),
+        ("a.example.com", None),
+    ]
+
+
+def test_redaction_and_first_present(spark):
+    df = spark.createDataFrame(
+        [({"user": "u", "Password": "p", "PWD": "q", "host": "h"},)], "m MAP<STRING,STRING>"
+    )
+    r = df.select(redact_map("m").alias("r"), first_present("m", "dbname", "user", "host").alias("f")).first()
+    assert r.r == {"user": "u", "Password": "******", "PWD": "******", "host": "h"}
+    assert r.f == "u"
+    js = spark.createDataFrame([('{"pwd": "x", "k": 1}',)], "s STRING")
+    assert js.select(redact_json_map("s").alias("o")).first().o == '{"pwd":"******","k":"1"}'
+
+
+def test_round2(spark):
+    df = spark.createDataFrame([(89800.0,), (66500.5,), (1.0 / 3,)], "x DOUBLE")
+    assert [r.s for r in df.select(round2("x").alias("s")).collect()] == ["89800.00", "66500.50", "0.33"]
