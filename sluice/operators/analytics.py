@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_bounded, shuffled
+
 
 def exact_mean(value: str, scale: int | None = 2) -> Column:
     """Mean whose result does not depend on summation order.
@@ -79,19 +81,23 @@ def project_participation(
     department_name: str,
     assignment_project: str,
     assignment_member: str,
+    department_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Projects joined to their department and their assignments, with the
     number of distinct members per (project name, budget, department name),
     ordered by budget descending.
 
-    Join order: projects with departments first (the smaller pair; AQE turns
-    it into a broadcast join when the measured department side is small),
-    then with the assignments. The frames keep their own column names under
-    table aliases, so when the project key is also a grouping column (a name
-    that is the key) the aggregate reuses the join's hash partitioning on it
-    instead of shuffling again.
+    Join order: projects with departments first -- the department side is
+    broadcast only when a bounded count proves it small -- then with the
+    assignments, which grow with the data and are always joined by shuffle
+    on the project key. The frames keep their own column names under table
+    aliases, so when the project key is also a grouping column (a name that
+    is the key) both phases of the distinct aggregate reuse the join's hash
+    partitioning: the assignments are shuffled exactly once.
     """
-    p, d, a = projects.alias("p"), departments.alias("d"), assignments.alias("ep")
+    p = projects.alias("p")
+    d = broadcast_if_bounded(departments, department_broadcast_rows).alias("d")
+    a = shuffled(assignments).alias("ep")
     joined = p.join(d, F.col(f"p.{project_department}") == F.col(f"d.{department_id}")).join(
         a, F.col(f"p.{project_id}") == F.col(f"ep.{assignment_project}")
     )
