@@ -94,16 +94,16 @@ def reconcile(
     ``missing_left`` / ``missing_right`` when one side has no row, or
     ``duplicate`` when the key is not unique on a side.
 
-    Each side is first collapsed to one row per key (count, min, max of every
-    field) -- a map-side combined aggregate -- so the full outer join never
-    pairs up duplicate rows, however hot a key is.
+    Each side is first collapsed to one row per key (row count and one value
+    per field) -- a map-side combined aggregate -- so the full outer join
+    never pairs up duplicate rows, however hot a key is. With one row the
+    value is that row's; with more the status is ``duplicate`` anyway.
     """
 
     def collapse(df: DataFrame, key: str, side: str, idx: int) -> DataFrame:
         aggs = [F.count(F.lit(1)).alias(f"{side}_n")]
         for name, lcol, rcol in fields:
-            col = lcol if idx == 0 else rcol
-            aggs += [F.min(col).alias(f"{side}_min_{name}"), F.max(col).alias(f"{side}_max_{name}")]
+            aggs.append(F.min(lcol if idx == 0 else rcol).alias(f"{side}_min_{name}"))
         return df.groupBy(F.col(key).alias(f"{side}_key")).agg(*aggs)
 
     lft = collapse(left, left_key, "l", 0)

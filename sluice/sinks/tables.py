@@ -38,6 +38,7 @@ class TableSpec:
     provider: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
     source: str | None = None  # source table name when it differs from ``name``
+    defaults: dict[str, str] = field(default_factory=dict)  # column -> SQL default expression
 
     def __post_init__(self) -> None:
         names = [c for c, _ in self.columns]
@@ -46,21 +47,34 @@ class TableSpec:
         missing = [p for p in self.partition_by if p not in names]
         if missing:
             raise ValueError(f"{self.name}: partition columns not in spec: {missing}")
+        unknown = [c for c in self.defaults if c not in names]
+        if unknown:
+            raise ValueError(f"{self.name}: defaults for unknown columns {unknown}")
 
     @property
     def column_names(self) -> list[str]:
         return [c for c, _ in self.columns]
 
     def ddl(self) -> str:
-        return ", ".join(f"`{c}` {t}" for c, t in self.columns)
+        return ", ".join(
+            f"`{c}` {t}" + (f" DEFAULT {self.defaults[c]}" if c in self.defaults else "")
+            for c, t in self.columns
+        )
 
     def conform(self, df: DataFrame) -> DataFrame:
-        """Select the spec's columns from ``df`` by name, cast to the spec types."""
+        """Select the spec's columns from ``df`` by name, cast to the spec types;
+        a column the source lacks takes its DEFAULT expression (evaluated once
+        per query, like an insert-time default), else it is an error."""
         have = {c.lower() for c in df.columns}
-        missing = [c for c in self.column_names if c.lower() not in have]
+        missing = [c for c in self.column_names if c.lower() not in have and c not in self.defaults]
         if missing:
             raise ValueError(f"{self.name}: source lacks columns {missing}")
-        return df.select([F.col(f"`{c}`").cast(t).alias(c) for c, t in self.columns])
+        return df.select(
+            [
+                (F.col(f"`{c}`") if c.lower() in have else F.expr(self.defaults[c])).cast(t).alias(c)
+                for c, t in self.columns
+            ]
+        )
 
 
 def spec_from_frame(
@@ -186,7 +200,8 @@ def create_table(
 
 def insert_by_name(spark: SparkSession, table: str, df: DataFrame, *, overwrite: bool = False) -> None:
     """``INSERT INTO t BY NAME``: columns matched by name, so partition
-    columns moved to the end of a Parquet table cannot shift values."""
+    columns moved to the end of a Parquet table cannot shift values; columns
+    left out take their DEFAULT (NULL when none is declared)."""
     target_cols = spark.table(quote_name(table)).columns
     extra = [c for c in df.columns if c not in target_cols]
     if extra:
@@ -220,7 +235,9 @@ def load_tables(
         src = spec.source or spec.name
         qualified = f"{source_namespace}.{src}" if source_namespace else src  # None: session views
         source_df = spark.table(quote_name(qualified))
-        target = TableSpec(spec.name + suffix, spec.columns, spec.partition_by, spec.provider, spec.options)
+        target = TableSpec(
+            spec.name + suffix, spec.columns, spec.partition_by, spec.provider, spec.options, None, spec.defaults
+        )
         results.append(
             create_or_replace(spark, target, source_df, namespace=target_namespace, base=base, **kw)
         )
