@@ -27,7 +27,7 @@ from sluice.operators.keys import assign_keys
 from sluice.session import shared_path
 from sluice.sinks import jdbc as JW
 from sluice.sinks import tables as TB
-from sluice.sinks.parquet import export_parquet
+from sluice.sinks.parquet import export_parquet, extract_to_parquet
 from sluice.sources import jdbc as JR
 from sluice.streaming.incremental import bookmark_files, load_increment, read_loaded
 
@@ -191,6 +191,14 @@ def export_parquet_q(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(res.path)
 
 
+def jdbc_extract_parquet(spark: SparkSession, d: str) -> DataFrame:
+    cfg = _derby(spark, d, "orders")
+    res = extract_to_parquet(
+        spark, cfg, "ORDERS", shared_path(spark, "extract", "orders"), partition_column="o_orderkey", num_partitions=8
+    )
+    return spark.read.parquet(res.path)
+
+
 def _load(spark: SparkSession, d: str, name: str, parts: tuple[str, ...]) -> tuple[TB.TableSpec, str]:
     ns = _ns(spark)
     src = table(spark, d, name)
@@ -355,6 +363,7 @@ QUERIES: dict[str, QueryFn] = {
     "jdbc_truncate": jdbc_truncate,
     "source_inventory": source_inventory,
     "export_parquet": export_parquet_q,
+    "jdbc_extract_parquet": jdbc_extract_parquet,
     "table_load_partitioned": table_load_partitioned,
     "table_load_two_keys": table_load_two_keys,
     "table_load_plain": table_load_plain,
@@ -425,6 +434,7 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'APP', 'ORDERS', (SELECT COUNT(*) FROM orders)
         UNION ALL SELECT 'APP', 'SUPPLIER', (SELECT COUNT(*) FROM supplier)""",
     "export_parquet": "SELECT * FROM lineitem",
+    "jdbc_extract_parquet": "SELECT * FROM orders",
     "table_load_partitioned": "SELECT * FROM customer",
     "table_load_two_keys": "SELECT * FROM orders",
     "table_load_plain": "SELECT * FROM part",

@@ -19,6 +19,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even when that costs one extra shuffle
+    # above the join (the plans here let aggregates reuse the join's
+    # partitioning, which otherwise blocks the split).
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Broadcast decisions from measured shuffle sizes (AQE), not estimates.
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -143,18 +143,27 @@ def create_or_replace(
     table = f"{namespace}.{spec.name}"
     create_namespace(spark, namespace)
     data = spec.conform(source)
-    if reject_empty_partition_values and spec.partition_by:
-        # Hive-style paths turn '' into NULL; refuse instead of changing data.
+    # One pass over the source answers both pre-write questions: how many
+    # rows it has, and whether a string partition column holds '' (Hive-style
+    # paths would turn it into NULL; refuse instead of changing data).
+    blank_cols = [
+        p for p in spec.partition_by if reject_empty_partition_values and dict(spec.columns)[p].lower() == "string"
+    ]
+    checks = [F.count(F.lit(1)).alias("n")] if verify else []
+    if blank_cols:
         blank = F.lit(False)
-        for p in spec.partition_by:
-            if dict(spec.columns)[p].lower() == "string":
-                blank = blank | (F.col(f"`{p}`") == "")
-        if not data.filter(blank).isEmpty():
+        for p in blank_cols:
+            blank = blank | (F.col(f"`{p}`") == "")
+        checks.append(F.count(F.when(blank, 1)).alias("blank"))
+    expected = None
+    if checks:
+        stats = data.agg(*checks).first()
+        if blank_cols and stats["blank"]:
             raise ValueError(f"{table}: empty-string partition value; map it to NULL explicitly")
+        expected = stats["n"] if verify else None
     base = (base or _default_base(spark)).rstrip("/")
     stamp = f"v{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
     location = f"{base}/{namespace}/{spec.name}/{stamp}"
-    expected = data.count() if verify else None
     writer = _clustered(data, spec, files_per_value).write.mode("errorifexists").format(spec.provider)
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)

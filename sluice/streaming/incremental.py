@@ -82,13 +82,21 @@ def load_increment(
     source: str,
     table: str,
     batch_column: str = "_batch",
+    high_mark: Any = None,
 ) -> IncrementResult:
-    """Append the rows of ``source_df`` with ``column`` above the stored mark."""
+    """Append the rows of ``source_df`` with ``column`` above the stored mark.
+
+    ``high_mark`` -- the upper mark, when the caller already has it from the
+    source (e.g. ``sources.jdbc.bounds``, a pushed MAX); otherwise it is
+    computed from the pending rows before they are read for the write.
+    """
     spark = source_df.sparkSession
     dtype = source_df.schema[column].dataType
     low = _typed(read_mark(spark, state_path, source, table), dtype)
     pending = source_df if low is None else source_df.filter(F.col(column) > F.lit(low))
-    high = pending.agg(F.max(column).alias("m")).first()["m"]  # upper mark first
+    high = high_mark if high_mark is not None else pending.agg(F.max(column).alias("m")).first()["m"]
+    if high is not None and low is not None and high <= low:
+        high = None
     if high is None:
         return IncrementResult(low, low, 0)
     batch = pending.filter(F.col(column) <= F.lit(high))

@@ -38,3 +38,17 @@ def test_file_bookmark(spark, tmp_path):
     assert bookmark_files(spark, landing, o.schema, target, ckpt) == 0
     out = spark.read.parquet(target)
     assert out.count() == 1500 and out.exceptAll(o).isEmpty()
+
+
+def test_high_water_mark_from_source_bounds(spark, tmp_path, derby):
+    from sluice.sinks import jdbc as JW
+    from sluice.sources import jdbc as JR
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    JW.write_jdbc(o, derby, "ORDERS", mode="overwrite")
+    src = JR.read_partitioned(spark, derby, "ORDERS", "o_orderkey", 4)
+    hi = JR.bounds(spark, derby, "ORDERS", "o_orderkey").upper  # pushed MAX
+    target, state = str(tmp_path / "t"), str(tmp_path / "s")
+    r = load_increment(src, target, "o_orderkey", state, source="derby", table="ORDERS", high_mark=hi)
+    assert (r.high_mark, r.rows) == (1499, 1500)
+    assert load_increment(src, target, "o_orderkey", state, source="derby", table="ORDERS", high_mark=hi).rows == 0

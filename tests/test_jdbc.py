@@ -242,3 +242,17 @@ def test_config_redacts_password():
     assert cfg.quote("id") == "`id`"
     with pytest.raises(ValueError):
         JdbcConfig("mysql://h/db")
+
+
+def test_extract_to_parquet_reads_source_once(spark, derby, tmp_path):
+    from sluice.sinks.parquet import extract_to_parquet
+
+    orders = _orders(spark)
+    JW.write_jdbc(orders, derby, "ORDERS", mode="overwrite")
+    res = extract_to_parquet(spark, derby, "ORDERS", str(tmp_path / "o"), partition_column="o_orderkey", num_partitions=4)
+    assert res.rows_expected == res.rows_written == 1500
+    back = spark.read.parquet(res.path)
+    assert len(back.inputFiles()) == 4
+    _same(back, orders)
+    res2 = extract_to_parquet(spark, derby, "ORDERS", str(tmp_path / "o2"))
+    assert res2.rows_written == 1500
