@@ -145,3 +145,52 @@ def preview(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFram
     if not order_by:
         raise ValueError("a preview needs an order to be repeatable")
     return df.orderBy(*order_by).limit(n)
+
+
+def department_stats_sql(spark, employees_view: str) -> DataFrame:
+    """The grouped statistics as SQL text over a session view (the form the
+    queries are written in by hand); Catalyst produces the same plan as
+    ``group_count_avg``."""
+    return spark.sql(
+        f"""
+        SELECT e.department, COUNT(*) AS employee_count,
+               CAST(SUM(CAST(e.salary AS DECIMAL(18,2))) AS DOUBLE) / COUNT(e.salary) AS avg_salary
+        FROM `{employees_view}` e
+        GROUP BY e.department
+        ORDER BY employee_count DESC, e.department
+        """
+    )
+
+
+def project_participation_sql(
+    spark,
+    projects_view: str,
+    departments_view: str,
+    assignments_view: str,
+    *,
+    department_broadcast_rows: int = BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """The project participation query as SQL text over session views with the
+    HR column names (projects: id, name, budget, department_id; departments:
+    id, name; assignments: project_id, employee_id). Join hints carry the same
+    strategy as ``project_participation``: departments broadcast only when a
+    bounded count proves them small, assignments always sort-merged."""
+    from sluice.operators.joins import has_at_most
+
+    hints = ["MERGE(ep)"]
+    if has_at_most(spark.table(f"`{departments_view}`"), department_broadcast_rows):
+        hints.append("BROADCAST(d)")
+    return spark.sql(
+        f"""
+        SELECT /*+ {', '.join(hints)} */
+            p.name AS project_name,
+            p.budget AS project_budget,
+            d.name AS department_name,
+            COUNT(DISTINCT ep.employee_id) AS employee_count
+        FROM `{projects_view}` p
+        JOIN `{departments_view}` d ON p.department_id = d.id
+        JOIN `{assignments_view}` ep ON p.id = ep.project_id
+        GROUP BY p.name, p.budget, d.name
+        ORDER BY project_budget DESC, project_name, department_name
+        """
+    )

@@ -76,6 +76,33 @@ def join3_count_distinct(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _view(df: DataFrame, name: str) -> str:
+    view = _uniq(name)
+    df.createOrReplaceTempView(view)
+    return view
+
+
+def join3_count_distinct_sql(spark: SparkSession, d: str) -> DataFrame:
+    projects = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("name"),
+        F.col("o_totalprice").alias("budget"), F.col("o_custkey").alias("department_id"),
+    )
+    departments = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    assignments = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("project_id"), F.col("l_suppkey").alias("employee_id")
+    )
+    return A.project_participation_sql(
+        spark, _view(projects, "projects"), _view(departments, "departments"), _view(assignments, "employee_projects")
+    )
+
+
+def group_count_avg_sql(spark: SparkSession, d: str) -> DataFrame:
+    employees = table(spark, d, "customer").select(
+        F.col("c_mktsegment").alias("department"), F.col("c_acctbal").alias("salary")
+    )
+    return A.department_stats_sql(spark, _view(employees, "employees"))
+
+
 def group_count_avg(spark: SparkSession, d: str) -> DataFrame:
     employees = table(spark, d, "customer").select(
         F.col("c_mktsegment").alias("department"), F.col("c_acctbal").alias("salary")
@@ -346,7 +373,9 @@ def redact(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {
     "join3_count_distinct": join3_count_distinct,
+    "join3_count_distinct_sql": join3_count_distinct_sql,
     "group_count_avg": group_count_avg,
+    "group_count_avg_sql": group_count_avg_sql,
     "group_mean_min_max": group_mean_min_max,
     "row_count": row_count,
     "filter_not_in_limit": filter_not_in_limit,
@@ -394,18 +423,24 @@ def _not_null_sql() -> str:
 
 _URL_REST = "split_part(substr(url, instr(url, '//') + 2), '//', 1)"
 
-ORACLE_SQL: dict[str, str] = {
-    "join3_count_distinct": """
+_JOIN3_SQL = """
         SELECT o.o_orderkey AS project_name, o.o_totalprice AS project_budget,
                c.c_name AS department_name, COUNT(DISTINCT l.l_suppkey) AS employee_count
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
                       JOIN lineitem l ON o.o_orderkey = l.l_orderkey
         GROUP BY o.o_orderkey, o.o_totalprice, c.c_name
-        ORDER BY project_budget DESC, project_name, department_name""",
-    "group_count_avg": """
+        ORDER BY project_budget DESC, project_name, department_name"""
+
+_GROUP_SQL = """
         SELECT c_mktsegment AS department, COUNT(*) AS employee_count,
                CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(c_acctbal) AS avg_salary
-        FROM customer GROUP BY c_mktsegment ORDER BY employee_count DESC, department""",
+        FROM customer GROUP BY c_mktsegment ORDER BY employee_count DESC, department"""
+
+ORACLE_SQL: dict[str, str] = {
+    "join3_count_distinct": _JOIN3_SQL,
+    "join3_count_distinct_sql": _JOIN3_SQL,
+    "group_count_avg": _GROUP_SQL,
+    "group_count_avg_sql": _GROUP_SQL,
     "group_mean_min_max": """
         SELECT c_mktsegment AS department,
                CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(c_acctbal) AS mean_value,

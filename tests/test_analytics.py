@@ -79,3 +79,15 @@ def test_preview_requires_order(spark):
     with pytest.raises(ValueError):
         A.preview(df, 3, [])
     assert [r.id for r in A.preview(df, 3, ["id"]).collect()] == [0, 1, 2]
+
+
+def test_sql_variants_on_seed_views(spark, hr):
+    for name, df in hr.items():
+        df.createOrReplaceTempView(f"{name}_view")
+    stats = A.department_stats_sql(spark, "employees_view").collect()
+    assert [(r.department, r.employee_count, r.avg_salary) for r in stats][0] == ("Engineering", 5, 89800.0)
+    part = A.project_participation_sql(spark, "projects_view", "departments_view", "employee_projects_view").collect()
+    assert [(r.project_name, r.employee_count) for r in part] == [
+        ("Cloud Migration", 4), ("Mobile App Development", 3), ("Financial System Upgrade", 3),
+        ("Sales Analytics Platform", 2), ("Website Redesign", 3), ("Employee Portal", 2),
+    ]
