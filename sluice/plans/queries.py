@@ -140,6 +140,32 @@ def partition_bounds(spark: SparkSession, d: str) -> DataFrame:
     return JR.bounds_frame(spark, cfg, "ORDERS", "o_orderkey")
 
 
+def _catalog(spark: SparkSession, cfg: JdbcConfig) -> str:
+    return JR.register_catalog(spark, f"src_{uuid.uuid4().hex[:8]}", cfg)
+
+
+def partition_bounds_catalog(spark: SparkSession, d: str) -> DataFrame:
+    cat = _catalog(spark, _derby(spark, d, "orders"))
+    return JR.catalog_bounds(spark, f"{cat}.APP.ORDERS", "o_orderkey")
+
+
+def catalog_top_orders(spark: SparkSession, d: str) -> DataFrame:
+    cat = _catalog(spark, _derby(spark, d, "orders"))
+    orders = spark.table(f"{cat}.APP.ORDERS")
+    return A.filter_not_in_top(
+        orders,
+        equals={"o_orderstatus": "F"},
+        not_in={"o_orderpriority": ["5-LOW"]},
+        order_by=[F.col("o_totalprice").desc(), F.col("o_orderkey")],
+        limit=10,
+    )
+
+
+def source_inventory_catalog(spark: SparkSession, d: str) -> DataFrame:
+    cat = _catalog(spark, _derby(spark, d, "customer", "orders", "supplier"))
+    return JR.catalog_inventory(spark, cat, "APP")
+
+
 def jdbc_read_table(spark: SparkSession, d: str) -> DataFrame:
     cfg = _derby(spark, d, "orders")
     return JR.read_table(spark, cfg, "ORDERS")
@@ -381,6 +407,9 @@ QUERIES: dict[str, QueryFn] = {
     "filter_not_in_limit": filter_not_in_limit,
     "preview_rows": preview_rows,
     "partition_bounds": partition_bounds,
+    "partition_bounds_catalog": partition_bounds_catalog,
+    "catalog_top_orders": catalog_top_orders,
+    "source_inventory_catalog": source_inventory_catalog,
     "jdbc_read_table": jdbc_read_table,
     "jdbc_read_partitioned": jdbc_read_partitioned,
     "jdbc_read_predicates": jdbc_read_predicates,
@@ -453,6 +482,14 @@ ORACLE_SQL: dict[str, str] = {
         ORDER BY c_acctbal DESC, c_custkey LIMIT 10""",
     "preview_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
     "partition_bounds": "SELECT MIN(o_orderkey) AS min_val, MAX(o_orderkey) AS max_val FROM orders",
+    "partition_bounds_catalog": "SELECT MIN(o_orderkey) AS min_val, MAX(o_orderkey) AS max_val FROM orders",
+    "catalog_top_orders": """
+        SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority NOT IN ('5-LOW')
+        ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
+    "source_inventory_catalog": """
+        SELECT 'APP' AS namespace, 'CUSTOMER' AS table_name, (SELECT COUNT(*) FROM customer) AS row_count
+        UNION ALL SELECT 'APP', 'ORDERS', (SELECT COUNT(*) FROM orders)
+        UNION ALL SELECT 'APP', 'SUPPLIER', (SELECT COUNT(*) FROM supplier)""",
     "jdbc_read_table": "SELECT * FROM orders",
     "jdbc_read_partitioned": "SELECT * FROM orders",
     "jdbc_read_predicates": "SELECT * FROM orders",

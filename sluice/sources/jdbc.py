@@ -463,3 +463,65 @@ def source_inventory(
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# Dialects whose Spark JDBC dialect renders no row-limit clause: a pushed
+# LIMIT / TOP-N would be dropped by Spark *and* not applied by the database,
+# returning too many rows (seen on Derby), so limit pushdown is turned off.
+_NO_LIMIT_PUSHDOWN = ("derby",)
+
+
+def register_catalog(
+    spark: SparkSession,
+    name: str,
+    cfg: JdbcConfig,
+    *,
+    push_down_aggregate: bool = True,
+    fetchsize: int | None = 10_000,
+) -> str:
+    """Register the source as a V2 JDBC catalog ``name``.
+
+    Tables are then plain DataFrames (``spark.table(f"{name}.ns.t")``) whose
+    filters, column pruning, aggregates (MIN / MAX / COUNT / SUM / GROUP BY)
+    and -- where the dialect supports it -- LIMIT / TOP-N are pushed into the
+    database by Catalyst, and ``SHOW TABLES IN name.ns`` lists the source.
+    """
+    prefix = f"spark.sql.catalog.{name}"
+    spark.conf.set(prefix, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+    for key, value in cfg.spark_options().items():
+        spark.conf.set(f"{prefix}.{key}", value)
+    spark.conf.set(f"{prefix}.pushDownAggregate", str(push_down_aggregate).lower())
+    limit_ok = cfg.flavor not in _NO_LIMIT_PUSHDOWN
+    spark.conf.set(f"{prefix}.pushDownLimit", str(limit_ok).lower())
+    spark.conf.set(f"{prefix}.pushDownOffset", str(limit_ok).lower())
+    spark.conf.set(f"{prefix}.preferTimestampNTZ", "true")
+    if fetchsize:
+        spark.conf.set(f"{prefix}.fetchsize", str(fetchsize))
+    return name
+
+
+def catalog_bounds(spark: SparkSession, catalog_table: str, column: str) -> DataFrame:
+    """MIN / MAX of a key through a V2 JDBC catalog: a DataFrame aggregate
+    that Catalyst pushes into the database (``PushedAggregates``)."""
+    return spark.table(catalog_table).agg(F.min(column).alias("min_val"), F.max(column).alias("max_val"))
+
+
+def catalog_inventory(spark: SparkSession, catalog: str, namespace: str, *, max_tables: int = 1000) -> DataFrame:
+    """(namespace, table_name, row_count) through a V2 JDBC catalog: the list
+    from ``SHOW TABLES``, each count a pushed ``COUNT(*)``."""
+    tables = spark.sql(f"SHOW TABLES IN {catalog}.{namespace}")
+    n = tables.count()
+    if n > max_tables:
+        raise ValueError(f"{n} tables > max_tables={max_tables}; narrow the namespace")
+    parts = [
+        spark.table(f"{catalog}.{namespace}.{r['tableName']}")
+        .agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
+        .select(F.lit(r["namespace"]).alias("namespace"), F.lit(r["tableName"]).alias("table_name"), "row_count")
+        for r in tables.orderBy("tableName").collect()
+    ]
+    if not parts:
+        return spark.createDataFrame([], "namespace STRING, table_name STRING, row_count BIGINT")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

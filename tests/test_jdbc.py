@@ -256,3 +256,27 @@ def test_extract_to_parquet_reads_source_once(spark, derby, tmp_path):
     _same(back, orders)
     res2 = extract_to_parquet(spark, derby, "ORDERS", str(tmp_path / "o2"))
     assert res2.rows_written == 1500
+
+
+def test_v2_catalog_pushes_aggregates_and_filters(spark, derby):
+    from sluice.plans.inspect import plan_text
+
+    JW.write_jdbc(_orders(spark), derby, "ORDERS", mode="overwrite")
+    cat = JR.register_catalog(spark, "dby_t1", derby)
+    b = JR.catalog_bounds(spark, f"{cat}.APP.ORDERS", "o_orderkey")
+    assert "PushedAggregates: [MIN(o_orderkey), MAX(o_orderkey)]" in plan_text(b)
+    assert tuple(b.first()) == (0, 1499)
+    inv = {(r.table_name, r.row_count) for r in JR.catalog_inventory(spark, cat, "APP").collect()}
+    assert inv == {("ORDERS", 1500)}
+
+
+def test_v2_catalog_limit_is_exact_on_derby(spark, derby):
+    # Spark's Derby dialect renders no LIMIT clause; with limit pushdown on, a
+    # pushed TOP-N came back with every matching row. Registration turns it off.
+    JW.write_jdbc(_orders(spark), derby, "ORDERS", mode="overwrite")
+    cat = JR.register_catalog(spark, "dby_t2", derby)
+    top = spark.table(f"{cat}.APP.ORDERS").filter(F.col("o_orderstatus") == "F").orderBy("o_orderkey").limit(3)
+    rows = top.collect()
+    assert len(rows) == 3
+    expected = _orders(spark).filter("o_orderstatus = 'F'").orderBy("o_orderkey").limit(3).collect()
+    assert [r.o_orderkey for r in rows] == [r.o_orderkey for r in expected]
