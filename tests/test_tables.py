@@ -104,27 +104,44 @@ def test_tpcds_specs_shape():
     assert len(spec("web_sales").columns) == 34
 
 
-def test_load_tables_from_spec_list(spark, tmp_path):
-    # generated rows per spec, including NULL in string partition columns
-    specs = [spec("household_demographics"), spec("income_band")]
+def _generated_rows(sp, n=6):
+    """A few rows per spec; string partition columns get a NULL in row 0."""
+    import datetime as dt
+
+    rows = []
+    for i in range(n):
+        row = []
+        for name, typ in sp.columns:
+            if typ == "string":
+                row.append(None if (name in sp.partition_by and i == 0) else f"{name}_{i % 3}")
+            elif typ == "date":
+                row.append(dt.date(2020, 1, 1) + dt.timedelta(days=i % 2))
+            elif typ in ("double", "float"):
+                row.append(i * 1.25)
+            else:
+                row.append(i % 4)
+        rows.append(tuple(row))
+    return rows
+
+
+def test_load_tables_all_tpcds_specs(spark, tmp_path):
     spark.sql("CREATE NAMESPACE IF NOT EXISTS src_ns")
-    for sp in specs:
-        rows = []
-        for i in range(6):
-            row = []
-            for name, typ in sp.columns:
-                if typ == "string":
-                    row.append(None if (name in sp.partition_by and i == 0) else f"{name}_{i % 3}")
-                else:
-                    row.append(i)
-            rows.append(tuple(row))
-        df = spark.createDataFrame(rows, sp.ddl().replace("`", ""))
+    for sp in TPCDS_SPECS:
+        df = spark.createDataFrame(_generated_rows(sp), sp.ddl().replace("`", ""))
         df.write.mode("overwrite").saveAsTable(f"src_ns.{sp.name}")
-    results = TB.load_tables(spark, specs, source_namespace="src_ns", target_namespace="tgt_ns", suffix="_tbl", base=str(tmp_path))
-    assert [r.rows for r in results] == [6, 6]
-    for sp in specs:
+    results = TB.load_tables(
+        spark, TPCDS_SPECS, source_namespace="src_ns", target_namespace="tgt_ns", suffix="_tbl", base=str(tmp_path)
+    )
+    assert [r.rows for r in results] == [6] * 11
+    for sp in TPCDS_SPECS:
         target = TB.TableSpec(sp.name + "_tbl", sp.columns, sp.partition_by)
         _same(TB.read_table(spark, target, "tgt_ns"), spark.table(f"src_ns.{sp.name}"))
+    # a partition value that is an empty string is refused, the table is kept
+    sp = spec("household_demographics")
+    bad = spark.createDataFrame([(1, 1, "", 1, 1)], sp.ddl().replace("`", ""))
+    with pytest.raises(ValueError, match="empty-string"):
+        TB.create_or_replace(spark, TB.TableSpec(sp.name + "_tbl", sp.columns, sp.partition_by), bad, namespace="tgt_ns", base=str(tmp_path))
+    assert spark.table("tgt_ns.household_demographics_tbl").count() == 6
 
 
 def test_column_pruning_reaches_scan(spark, tmp_path):
