@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.sources.catalog import quote_name
@@ -107,20 +107,20 @@ def _default_base(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
-def _clustered(df: DataFrame, spec: TableSpec, files_per_value: int) -> DataFrame:
+def _clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Cluster rows by partition value before a partitioned write.
 
     Without this each task opens a file per partition value it holds
-    (tasks x values files). Hashing on the partition columns alone would
-    send a hot value (say a third of all rows) to one task; a content-hash
-    salt spreads each value over ``files_per_value`` tasks. The salt is a
-    pure function of the row, so a retried task writes the same rows.
+    (tasks x values files). Plain hashing on the partition columns would
+    send a hot value (say a third of all rows) to one task. ``REBALANCE``
+    hashes on the partition columns and lets AQE split any partition larger
+    than ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (and merge small
+    ones), so a hot value is written by as many tasks as its size needs.
+    Splits are ranges of map outputs, so a retried task writes the same rows.
     """
     if not spec.partition_by:
         return df
-    data_cols = [c for c in spec.column_names if c not in spec.partition_by] or spec.column_names
-    salt: Column = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in data_cols]), F.lit(files_per_value))
-    return df.repartition(*[F.col(f"`{p}`") for p in spec.partition_by], salt)
+    return df.hint("rebalance", *spec.partition_by)
 
 
 def create_namespace(spark: SparkSession, namespace: str) -> None:
@@ -134,7 +134,6 @@ def create_or_replace(
     *,
     namespace: str = "default",
     base: str | None = None,
-    files_per_value: int = 4,
     max_records_per_file: int | None = None,
     reject_empty_partition_values: bool = True,
     verify: bool = True,
@@ -164,7 +163,7 @@ def create_or_replace(
     base = (base or _default_base(spark)).rstrip("/")
     stamp = f"v{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
     location = f"{base}/{namespace}/{spec.name}/{stamp}"
-    writer = _clustered(data, spec, files_per_value).write.mode("errorifexists").format(spec.provider)
+    writer = _clustered(data, spec).write.mode("errorifexists").format(spec.provider)
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     if max_records_per_file:

@@ -66,3 +66,18 @@ def test_checks_hot_key_whole(spark):
     assert hot == li.filter("l_orderkey = 7").count()
     orphans = Q.check_foreign_key(li, spark.read.parquet(f"{SF_SMALL}/orders.parquet"), ["l_orderkey"], ["o_orderkey"])
     assert orphans.count() == 0
+
+
+def test_hot_partition_value_written_by_several_tasks(spark, skew_conf, tmp_path):
+    from sluice.sinks import tables as TB
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    hot = o.withColumn("o_orderpriority", F.lit("1-URGENT")).withColumn("o_orderkey", F.col("o_orderkey") + 10_000)
+    df = o.unionByName(hot)  # one partition value now holds ~60% of the rows
+    s = TB.spec_from_frame("hot_prio", df, ["o_orderpriority"])
+    res = TB.create_or_replace(spark, s, df, namespace="skew_ns", base=str(tmp_path))
+    assert res.rows == df.count()
+    files = spark.read.parquet(res.location).filter("o_orderpriority = '1-URGENT'").inputFiles()
+    assert len(files) > 1  # split by size, not one task per value
+    back = TB.read_table(spark, s, "skew_ns")
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()

@@ -168,3 +168,12 @@ def test_column_default_current_timestamp(spark, tmp_path):
     s2 = TB.TableSpec(s.name + "_v", s.columns, defaults=s.defaults)
     TB.create_or_replace(spark, s2, spark.createDataFrame([(3, "c")], "id INT, name STRING"), namespace="t_ns", base=str(tmp_path))
     assert TB.read_table(spark, s2, "t_ns").first().created_at is not None
+
+
+def test_partitioned_write_is_rebalanced(spark, tmp_path):
+    from sluice.plans.inspect import plan_text
+
+    c = _customer(spark)
+    s = TB.spec_from_frame("cust_rb", c, ["c_mktsegment"])
+    text = plan_text(TB._clustered(s.conform(c), s))
+    assert "REBALANCE_PARTITIONS_BY_COL" in text
