@@ -366,7 +366,7 @@ def histogram_boundaries(
     rows = read_subquery(
         spark,
         cfg,
-        f"SELECT {b_}, COUNT(*) AS {n_} FROM (SELECT FLOOR(({c} - {lo}) / {width}) AS {b_} "
+        f"SELECT {b_}, COUNT(*) AS {n_} FROM (SELECT FLOOR(({c} - ({lo})) / {width}) AS {b_} "
         f"FROM {table} WHERE {c} IS NOT NULL) {cfg.quote('k')} GROUP BY {b_}",
         "bh",
     ).collect()  # <= buckets rows

@@ -280,3 +280,12 @@ def test_v2_catalog_limit_is_exact_on_derby(spark, derby):
     assert len(rows) == 3
     expected = _orders(spark).filter("o_orderstatus = 'F'").orderBy("o_orderkey").limit(3).collect()
     assert [r.o_orderkey for r in rows] == [r.o_orderkey for r in expected]
+
+
+def test_balanced_read_negative_keys(spark, derby):
+    df = spark.range(-500, 500).select(F.col("id").cast("int").alias("k"))
+    JW.write_jdbc(df, derby, "NEG", mode="overwrite")
+    back = JR.read_balanced(spark, derby, "NEG", "k", 4)
+    _same(back, df)
+    sizes = [r["count"] for r in back.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 300
