@@ -3,11 +3,14 @@
 Spark's static broadcast choice rests on a size *estimate* (compressed file
 bytes x projection), which can be far below the in-memory size and changes
 with the scale factor -- the same plan broadcasts a fact table at 1 GB and
-sort-merges it at 100 TB. Here a side is broadcast only after a bounded
-count proves it holds at most ``max_rows`` rows (``limit(max_rows + 1)``
-stops the scan early on a large side); otherwise the join is pinned to
-sort-merge, which spills instead of failing and keeps the key partitioning
-for the operators above it.
+sort-merges it at 100 TB. Here a side is broadcast only after an exact,
+distributed count proves it holds at most ``max_rows`` rows (partial counts
+per task, one row per partition to the driver; a column-free scan on
+Parquet). ``limit(n + 1).count()`` is *not* used: Spark plans it as a
+local limit per task followed by a shuffle of up to n rows per task into a
+single partition. Otherwise the join is pinned to sort-merge, which spills
+instead of failing and keeps the key partitioning for the operators above
+it.
 """
 
 from __future__ import annotations
@@ -21,13 +24,12 @@ BROADCAST_MAX_ROWS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (reads at most
-    ``max_rows + 1`` rows to find out)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has no more than ``max_rows`` rows (exact count)."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven <= ``max_rows``, else a
+    """``broadcast(df)`` when its counted rows are <= ``max_rows``, else a
     sort-merge hint so an estimate cannot broadcast it."""
     if has_at_most(df, max_rows):
         return df.hint("broadcast")
