@@ -226,8 +226,16 @@ def read_partitioned(
         log.warning("%s.%s: %d of %d keys are NULL; they all land in partition 0", table, column, b.nulls, b.rows)
     span = _span(b)
     n = min(num_partitions, span) if span else num_partitions
-    if n <= 1:
+    if n <= 1 or b.lower == b.upper:
         return read_table(spark, cfg, table, fetchsize=fetchsize, retries=retries)
+    if isinstance(b.lower, dt.datetime):
+        # Spark strides only TIMESTAMP (local-time) keys; reads here keep
+        # timestamp_ntz, so equal-width strides become range predicates.
+        step = (b.upper - b.lower) / n
+        cuts = sorted({b.lower + step * i for i in range(1, n)})
+        return read_by_predicates(
+            spark, cfg, table, range_predicates(cfg, column, cuts), fetchsize=fetchsize, retries=retries
+        )
     upper = b.upper
     if span is not None and not isinstance(upper, dt.date):
         upper = int(upper) + 1  # strides over [lower, upper + 1) cover every value evenly
@@ -270,13 +278,15 @@ def read_by_predicates(
     )
 
 
-def _literal(value: Any) -> str:
+def _literal(value: Any, flavor: str = "") -> str:
+    """A SQL literal; Derby spells typed literals as functions."""
     if isinstance(value, str):
         return "'" + value.replace("'", "''") + "'"
     if isinstance(value, dt.datetime):
-        return f"TIMESTAMP('{value.isoformat(sep=' ')}')"
+        text = value.isoformat(sep=" ")
+        return f"TIMESTAMP('{text}')" if flavor == "derby" else f"TIMESTAMP '{text}'"
     if isinstance(value, dt.date):
-        return f"DATE('{value.isoformat()}')"
+        return f"DATE('{value.isoformat()}')" if flavor == "derby" else f"DATE '{value.isoformat()}'"
     return str(value)
 
 
@@ -289,9 +299,10 @@ def range_predicates(cfg: JdbcConfig, column: str, boundaries: Sequence[Any]) ->
         raise ValueError("boundaries must be distinct, non-null and ascending")
     if not bs:
         return [f"{c} IS NOT NULL", f"{c} IS NULL"]
-    out = [f"{c} < {_literal(bs[0])}"]
-    out += [f"{c} >= {_literal(a)} AND {c} < {_literal(b)}" for a, b in zip(bs, bs[1:])]
-    out.append(f"{c} >= {_literal(bs[-1])}")
+    lit = lambda v: _literal(v, cfg.flavor)
+    out = [f"{c} < {lit(bs[0])}"]
+    out += [f"{c} >= {lit(a)} AND {c} < {lit(b)}" for a, b in zip(bs, bs[1:])]
+    out.append(f"{c} >= {lit(bs[-1])}")
     out.append(f"{c} IS NULL")
     return out
 

@@ -289,3 +289,12 @@ def test_balanced_read_negative_keys(spark, derby):
     _same(back, df)
     sizes = [r["count"] for r in back.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) <= 300
+
+
+def test_timestamp_key_partitioned_read(spark, derby):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    JW.write_jdbc(ev, derby, "EVENTS", mode="overwrite")
+    back = JR.read_partitioned(spark, derby, "EVENTS", "ts", 6)
+    assert back.rdd.getNumPartitions() == 7  # six equal-width ranges + the IS NULL arm
+    assert back.schema["ts"].dataType.simpleString() == "timestamp_ntz"
+    _same(back, ev)
