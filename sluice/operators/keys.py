@@ -14,7 +14,11 @@ into one task. Instead:
 4. key = start + offset[partition] + (id - first id of the partition).
 
 The result equals ``ROW_NUMBER() OVER (ORDER BY order_cols) + start - 1``
-when the order is total.
+when the order is total. A row id is appended as the last sort key: tied rows
+(even a value or an exact duplicate row holding a third of the table) are
+spread over several ranges instead of one task, and ties -- which have no
+defined order anyway -- get consistent keys because the numbered frame is
+checkpointed once.
 """
 
 from __future__ import annotations
@@ -38,7 +42,12 @@ def assign_keys(
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    keys = [*order_by, "_tie"]
+    ordered = (
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
+    )
     tagged = ordered.withColumn("_part", F.spark_partition_id()).withColumn(
         "_mono", F.monotonically_increasing_id()
     )

@@ -81,3 +81,16 @@ def test_hot_partition_value_written_by_several_tasks(spark, skew_conf, tmp_path
     assert len(files) > 1  # split by size, not one task per value
     back = TB.read_table(spark, s, "skew_ns")
     assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
+def test_assign_keys_spreads_a_hot_tied_value(spark):
+    from sluice.operators.keys import assign_keys
+
+    c = spark.read.parquet(f"{SF_SMALL}/customer.parquet").select("c_custkey", "c_mktsegment")
+    hot = c.withColumn("c_mktsegment", F.lit("AAA"))  # ties on the whole order key
+    df = c.unionByName(hot).unionByName(hot)
+    keyed = assign_keys(df, ["c_mktsegment"], num_partitions=6)
+    ids = sorted(r.id for r in keyed.collect())
+    assert ids == list(range(1, df.count() + 1))  # dense, unique
+    first_aaa = keyed.filter("c_mktsegment = 'AAA'").agg(F.min("id"), F.max("id")).first()
+    assert (first_aaa[0], first_aaa[1]) == (1, 2 * c.count())  # the tied block comes first, whole
