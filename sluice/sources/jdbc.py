@@ -290,6 +290,24 @@ def _literal(value: Any, flavor: str = "") -> str:
     return str(value)
 
 
+def equal_depth_cuts(histogram: Sequence[tuple[Any, int]], num_ranges: int) -> list[Any]:
+    """Cut points over an ascending (value, row count) histogram so that at
+    most ``num_ranges`` contiguous ranges each hold about total / num_ranges
+    rows. A value heavier than that keeps a range of its own; no range holds
+    more than total / num_ranges plus the heaviest single value."""
+    k = max(1, min(num_ranges, len(histogram)))
+    target = sum(n for _, n in histogram) / k
+    if target <= 0:
+        return []
+    cuts: list[Any] = []
+    acc = 0
+    for value, n in histogram:
+        if len(cuts) < k - 1 and acc >= target * (len(cuts) + 1):
+            cuts.append(value)
+        acc += n
+    return cuts
+
+
 def range_predicates(cfg: JdbcConfig, column: str, boundaries: Sequence[Any]) -> list[str]:
     """Disjoint, covering clauses for ascending ``boundaries`` b1 < b2 < ...:
     ``c < b1``, ``b1 <= c < b2``, ..., ``c >= bk``, and ``c IS NULL``."""
@@ -341,16 +359,7 @@ def balanced_predicates(
         "hist",
     ).collect()  # bounded by max_values, checked above
     pairs = sorted((r["v"], int(r["n"])) for r in hist)
-    total = sum(n for _, n in pairs)
-    k = max(1, min(num_partitions, len(pairs)))
-    target = total / k if k else 0
-    boundaries: list[Any] = []
-    acc = 0
-    for value, n in pairs:
-        if acc >= target * (len(boundaries) + 1) and len(boundaries) < k - 1:
-            boundaries.append(value)
-        acc += n
-    return range_predicates(cfg, column, boundaries)
+    return range_predicates(cfg, column, equal_depth_cuts(pairs, num_partitions))
 
 
 def histogram_boundaries(
@@ -381,18 +390,8 @@ def histogram_boundaries(
         f"FROM {table} WHERE {c} IS NOT NULL) {cfg.quote('k')} GROUP BY {b_}",
         "bh",
     ).collect()  # <= buckets rows
-    counts = sorted((int(r["b"]), int(r["n"])) for r in rows)
-    total = sum(n for _, n in counts)
-    k = max(1, num_partitions)
-    out: list[int] = []
-    acc = 0
-    for bi, n in counts:
-        if out and len(out) >= k - 1:
-            break
-        if acc >= total / k * (len(out) + 1):
-            out.append(lo + bi * width)
-        acc += n
-    return sorted(set(out))
+    counts = sorted((lo + int(r["b"]) * width, int(r["n"])) for r in rows)
+    return equal_depth_cuts(counts, num_partitions)
 
 
 def read_balanced(
