@@ -293,16 +293,19 @@ def _literal(value: Any, flavor: str = "") -> str:
 def equal_depth_cuts(histogram: Sequence[tuple[Any, int]], num_ranges: int) -> list[Any]:
     """Cut points over an ascending (value, row count) histogram so that at
     most ``num_ranges`` contiguous ranges each hold about total / num_ranges
-    rows. A value heavier than that keeps a range of its own; no range holds
-    more than total / num_ranges plus the heaviest single value."""
+    rows; no range holds more than total / num_ranges plus the heaviest
+    single value (a hot value can only share its range with lighter ones
+    before it, and the range closes right after it)."""
     k = max(1, min(num_ranges, len(histogram)))
     target = sum(n for _, n in histogram) / k
     if target <= 0:
         return []
     cuts: list[Any] = []
-    acc = 0
+    acc = 0  # rows before ``value``
     for value, n in histogram:
-        if len(cuts) < k - 1 and acc >= target * (len(cuts) + 1):
+        # Range j closes at the first value boundary past j * target, so
+        # every range stays within target + (its last value's count).
+        if len(cuts) < k - 1 and acc > 0 and acc >= target * (len(cuts) + 1):
             cuts.append(value)
         acc += n
     return cuts

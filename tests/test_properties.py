@@ -25,7 +25,7 @@ def test_range_predicates_are_disjoint_and_covering(cuts, values):
     assert counts == [1] * len(values)
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=300, deadline=None)
 @given(
     counts=st.lists(st.integers(0, 500), min_size=1, max_size=40),
     k=st.integers(1, 12),
@@ -49,4 +49,4 @@ def test_equal_depth_cuts_edges():
 
     assert equal_depth_cuts([(0, 0), (1, 0)], 2) == []
     assert equal_depth_cuts([], 4) == []
-    assert equal_depth_cuts([("a", 1), ("b", 100), ("c", 1), ("d", 1)], 3) == ["b", "c"]
+    assert equal_depth_cuts([("a", 1), ("b", 100), ("c", 1), ("d", 1)], 3) == ["c", "d"]  # hot b closes its range
