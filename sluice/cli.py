@@ -79,7 +79,7 @@ def cmd_extract(args: argparse.Namespace) -> int:
     res = extract_to_parquet(
         spark, _config(args), args.table, args.output,
         partition_column=args.partition_column, num_partitions=args.num_partitions,
-        compression=args.compression, max_records_per_file=args.max_records_per_file,
+        rows_per_partition=args.rows_per_partition, compression=args.compression, max_records_per_file=args.max_records_per_file,
     )
     print(json.dumps({"path": res.path, "rows_expected": res.rows_expected, "rows_written": res.rows_written}))
     return 0
@@ -152,7 +152,8 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--table", required=True)
     p.add_argument("--output", required=True)
     p.add_argument("--partition-column")
-    p.add_argument("--num-partitions", type=int, default=10)
+    p.add_argument("--num-partitions", type=int, default=10, help="upper limit of parallel connections")
+    p.add_argument("--rows-per-partition", type=int, help="size the read by the source's COUNT(*)")
     p.add_argument("--compression", default="snappy")
     p.add_argument("--max-records-per-file", type=int)
     p.set_defaults(func=cmd_extract)

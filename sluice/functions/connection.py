@@ -68,5 +68,9 @@ def first_present(m: str | Column, *keys: str) -> Column:
 
 
 def round2(x: str | Column) -> Column:
-    """Two-decimal rendering of a number, as a string ("{:.2f}")."""
+    """Two-decimal rendering of a number, as a string ("{:.2f}").
+
+    Java formatting rounds half up on the shortest decimal form (1.005 ->
+    "1.01"); Python rounds the binary value (1.005 -> "1.00"). They agree
+    whenever the value has at most two decimals, as money columns do."""
     return F.format_string("%.2f", _col(x))

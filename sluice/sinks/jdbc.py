@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from sluice.config import JdbcConfig
 from sluice.sources.jdbc import read_subquery, read_table
 
-SAVE_MODES = ("append", "overwrite", "ignore", "errorifexists")
+SAVE_MODES = ("append", "overwrite", "ignore", "errorifexists", "error", "default")
 
 
 def column_types(

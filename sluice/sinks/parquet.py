@@ -61,6 +61,7 @@ def extract_to_parquet(
     *,
     partition_column: str | None = None,
     num_partitions: int = 10,
+    rows_per_partition: int | None = None,
     compression: str = "snappy",
     max_records_per_file: int | None = None,
 ) -> ExportResult:
@@ -77,7 +78,9 @@ def extract_to_parquet(
 
     if partition_column:
         b = JR.with_retry(lambda: JR.bounds(spark, cfg, table, partition_column))
-        df = JR.read_partitioned(spark, cfg, table, partition_column, num_partitions, key_bounds=b)
+        df = JR.read_partitioned(
+            spark, cfg, table, partition_column, num_partitions, key_bounds=b, rows_per_partition=rows_per_partition
+        )
         expected = b.rows
     else:
         df = JR.read_table(spark, cfg, table)

@@ -206,6 +206,7 @@ def read_partitioned(
     num_partitions: int = 10,
     *,
     key_bounds: KeyBounds | None = None,
+    rows_per_partition: int | None = None,
     fetchsize: int | None = 10_000,
     retries: int = 3,
 ) -> DataFrame:
@@ -216,12 +217,20 @@ def read_partitioned(
     in the first partition). The partition count is capped by the number of key
     values so no stride is empty by construction; an empty source reads in one
     partition.
+
+    With ``rows_per_partition`` the count follows the source size instead:
+    ``ceil(COUNT(*) / rows_per_partition)`` partitions (from the same pushed
+    bounds query), at most ``num_partitions`` -- the number of connections the
+    database may serve at once -- so each read task stays a bounded size as
+    the table grows.
     """
     if num_partitions < 1:
         raise ValueError("num_partitions must be >= 1")
     b = key_bounds or with_retry(lambda: bounds(spark, cfg, table, column), attempts=retries)
     if b.empty:
         return read_table(spark, cfg, table, fetchsize=fetchsize, retries=retries)
+    if rows_per_partition:
+        num_partitions = max(1, min(num_partitions, math.ceil(b.rows / rows_per_partition)))
     if b.nulls and b.rows and b.nulls * num_partitions > b.rows:
         log.warning("%s.%s: %d of %d keys are NULL; they all land in partition 0", table, column, b.nulls, b.rows)
     span = _span(b)

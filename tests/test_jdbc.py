@@ -298,3 +298,12 @@ def test_timestamp_key_partitioned_read(spark, derby):
     assert back.rdd.getNumPartitions() == 7  # six equal-width ranges + the IS NULL arm
     assert back.schema["ts"].dataType.simpleString() == "timestamp_ntz"
     _same(back, ev)
+
+
+def test_partitions_sized_by_row_count(spark, derby):
+    JW.write_jdbc(_orders(spark), derby, "ORDERS", mode="overwrite")
+    df = JR.read_partitioned(spark, derby, "ORDERS", "o_orderkey", 64, rows_per_partition=400)
+    assert df.rdd.getNumPartitions() == 4  # ceil(1500 / 400)
+    capped = JR.read_partitioned(spark, derby, "ORDERS", "o_orderkey", 3, rows_per_partition=100)
+    assert capped.rdd.getNumPartitions() == 3  # never more connections than allowed
+    assert df.count() == capped.count() == 1500
