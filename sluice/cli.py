@@ -79,7 +79,8 @@ def cmd_extract(args: argparse.Namespace) -> int:
     res = extract_to_parquet(
         spark, _config(args), args.table, args.output,
         partition_column=args.partition_column, num_partitions=args.num_partitions,
-        rows_per_partition=args.rows_per_partition, compression=args.compression, max_records_per_file=args.max_records_per_file,
+        rows_per_partition=args.rows_per_partition, compression=args.compression,
+        max_records_per_file=args.max_records_per_file,
     )
     print(json.dumps({"path": res.path, "rows_expected": res.rows_expected, "rows_written": res.rows_written}))
     return 0
@@ -112,7 +113,9 @@ def hr_report(spark, cfg: JdbcConfig, *, write_back: str | None = None, tables:
     names = {"employees": "employees", "departments": "departments", "projects": "projects",
              "employee_projects": "employee_projects", **(tables or {})}
     employees = JR.read_table(spark, cfg, names["employees"])
-    stats = A.group_count_avg(employees, "department", "salary")
+    # One row per department, used three times (write, check, show): cache it
+    # rather than reading the source again; a lost block is recomputed.
+    stats = A.group_count_avg(employees, "department", "salary").cache()
     participation = A.project_participation(
         JR.read_table(spark, cfg, names["projects"]),
         JR.read_table(spark, cfg, names["departments"]),
