@@ -5,9 +5,9 @@ Two mechanisms:
 * ``load_increment`` -- a high-water mark on a monotonic column (JDBC or any
   DataFrame source). The upper mark is fixed *first*, the range
   ``(last, upper]`` is read (the filter reaches the source), written as its own
-  batch partition with dynamic partition overwrite -- so re-running a batch
-  replaces it instead of duplicating it -- and only then is the new mark
-  appended to the state table, one row per (source, table) run.
+  batch partition (named by the low mark) with dynamic partition overwrite --
+  so re-running a batch replaces it instead of duplicating it -- and only then
+  is the new mark appended to the state table, one row per (source, table) run.
 * ``bookmark_files`` -- Structured Streaming's file source with an
   ``availableNow`` trigger: the checkpoint records which files were
   processed, the file sink commits exactly once. Each run picks up only new
@@ -100,7 +100,10 @@ def load_increment(
     if high is None:
         return IncrementResult(low, low, 0)
     batch = pending.filter(F.col(column) <= F.lit(high))
-    batch_id = f"{low}..{high}"
+    # The batch is named by its *low* mark only: a run that wrote data but
+    # died before recording the new mark is redone from the same low mark
+    # and overwrites this same partition, even if the source grew meanwhile.
+    batch_id = "initial" if low is None else f"after_{low}"
     (
         batch.withColumn(batch_column, F.lit(batch_id))
         .write.mode("overwrite")
@@ -109,7 +112,8 @@ def load_increment(
         .parquet(target_path)
     )
     rows = spark.read.parquet(target_path).filter(F.col(batch_column) == batch_id).count()
-    state_row = (source, table, column, None if low is None else str(low), str(high), rows, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+    loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    state_row = (source, table, column, None if low is None else str(low), str(high), rows, loaded_at)
     spark.createDataFrame([state_row], STATE_SCHEMA).write.mode("append").parquet(state_path)
     return IncrementResult(low, high, rows)
 

@@ -52,3 +52,18 @@ def test_high_water_mark_from_source_bounds(spark, tmp_path, derby):
     r = load_increment(src, target, "o_orderkey", state, source="derby", table="ORDERS", high_mark=hi)
     assert (r.high_mark, r.rows) == (1499, 1500)
     assert load_increment(src, target, "o_orderkey", state, source="derby", table="ORDERS", high_mark=hi).rows == 0
+
+
+def test_rerun_after_lost_mark_does_not_duplicate(spark, tmp_path):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    target, state = str(tmp_path / "t"), str(tmp_path / "s")
+    load_increment(o.filter("o_orderkey < 500"), target, "o_orderkey", state, source="s", table="o")
+    # run 2 writes its batch, then "dies" before recording the mark:
+    lost_state = str(tmp_path / "lost")
+    spark.read.parquet(state).write.parquet(lost_state)
+    load_increment(o.filter("o_orderkey < 1000"), target, "o_orderkey", state, source="s", table="o")
+    # the rerun starts from the old mark (state copy without run 2) on a grown source
+    r = load_increment(o, target, "o_orderkey", lost_state, source="s", table="o")
+    assert (r.low_mark, r.high_mark) == (499, 1499)
+    loaded = read_loaded(spark, target)
+    assert loaded.count() == 1500 and loaded.exceptAll(o).isEmpty()
