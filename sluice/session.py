@@ -7,7 +7,6 @@ set -- local runs and tests -- do we make one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -91,13 +90,3 @@ def shared_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make sure ``DataFrame.checkpoint()`` has a reliable target."""
     return shared_root(spark)
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    p = path[len("file:") :] if path.startswith("file:") else path
-    os.makedirs(p, exist_ok=True)
-    return p

@@ -91,3 +91,9 @@ def test_sql_variants_on_seed_views(spark, hr):
         ("Cloud Migration", 4), ("Mobile App Development", 3), ("Financial System Upgrade", 3),
         ("Sales Analytics Platform", 2), ("Website Redesign", 3), ("Employee Portal", 2),
     ]
+
+
+def test_min_max_and_row_count(spark):
+    df = spark.range(5, 42)
+    assert tuple(A.min_max(df, "id").first()) == (5, 41)
+    assert A.row_count(df).first().row_count == 37
