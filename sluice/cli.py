@@ -97,7 +97,7 @@ def cmd_load_tables(args: argparse.Namespace) -> int:
         raise SystemExit(f"unknown tables: {sorted(wanted - {s.name for s in specs})}")
     results = load_tables(
         spark, specs, source_namespace=args.source_namespace, target_namespace=args.target_namespace,
-        suffix=args.suffix, base=args.base,
+        suffix=args.suffix, base=args.base, parallelism=args.parallel,
     )
     for r in results:
         print(json.dumps({"table": r.table, "rows": r.rows, "location": r.location}))
@@ -167,6 +167,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--suffix", default="")
     p.add_argument("--tables", help="comma-separated subset of the spec list")
     p.add_argument("--base", help="root folder for table versions (default: warehouse dir)")
+    p.add_argument("--parallel", type=int, default=1, help="tables loaded as concurrent jobs")
     p.set_defaults(func=cmd_load_tables)
 
     p = sub.add_parser("hr-report")

@@ -303,7 +303,7 @@ def load_tables_multi(spark: SparkSession, d: str) -> DataFrame:
         specs.append(TB.TableSpec(base_spec.name, base_spec.columns, base_spec.partition_by, source=view))
     results = TB.load_tables(
         spark, specs, source_namespace=None, target_namespace=ns_src,
-        base=shared_path(spark, "tables", unique=False),
+        base=shared_path(spark, "tables", unique=False), parallelism=4,
     )
     out = None
     for n, r in zip(names, results):

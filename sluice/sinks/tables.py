@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor, wait
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -231,25 +232,36 @@ def load_tables(
     target_namespace: str,
     suffix: str = "",
     base: str | None = None,
+    parallelism: int = 1,
     **kw,
 ) -> list[LoadResult]:
     """Replace every spec'd table from the same-named source table.
 
-    Each table is published on its own, so a failure leaves earlier tables
-    at their new version and later ones at their old version -- never empty.
+    Each table is published on its own, so a failure leaves the other tables
+    at their new or their old version -- never empty. With ``parallelism`` > 1
+    up to that many tables load as concurrent Spark jobs (small dimension
+    tables then run beside a large fact table instead of after it); results
+    come back in spec order and the first failure is raised after the others
+    finish.
     """
-    results = []
-    for spec in specs:
+    specs = list(specs)
+    create_namespace(spark, target_namespace)
+
+    def one(spec: TableSpec) -> LoadResult:
         src = spec.source or spec.name
         qualified = f"{source_namespace}.{src}" if source_namespace else src  # None: session views
         source_df = spark.table(quote_name(qualified))
         target = TableSpec(
             spec.name + suffix, spec.columns, spec.partition_by, spec.provider, spec.options, None, spec.defaults
         )
-        results.append(
-            create_or_replace(spark, target, source_df, namespace=target_namespace, base=base, **kw)
-        )
-    return results
+        return create_or_replace(spark, target, source_df, namespace=target_namespace, base=base, **kw)
+
+    if parallelism <= 1:
+        return [one(spec) for spec in specs]
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        futures = [pool.submit(one, spec) for spec in specs]
+        wait(futures)
+    return [f.result() for f in futures]
 
 
 def table_from_rows(

@@ -130,8 +130,10 @@ def test_load_tables_all_tpcds_specs(spark, tmp_path):
         df = spark.createDataFrame(_generated_rows(sp), sp.ddl().replace("`", ""))
         df.write.mode("overwrite").saveAsTable(f"src_ns.{sp.name}")
     results = TB.load_tables(
-        spark, TPCDS_SPECS, source_namespace="src_ns", target_namespace="tgt_ns", suffix="_tbl", base=str(tmp_path)
+        spark, TPCDS_SPECS, source_namespace="src_ns", target_namespace="tgt_ns", suffix="_tbl",
+        base=str(tmp_path), parallelism=4,
     )
+    assert [r.table for r in results] == [f"tgt_ns.{sp.name}_tbl" for sp in TPCDS_SPECS]
     assert [r.rows for r in results] == [6] * 11
     for sp in TPCDS_SPECS:
         target = TB.TableSpec(sp.name + "_tbl", sp.columns, sp.partition_by)
