@@ -85,3 +85,18 @@ def test_checks_match_brute_force(spark):
         else:
             expected[(k, "match" if lv[k] == rv[k] else "mismatch")] += 1
     assert rec == expected
+
+
+def test_assign_keys_matches_python_sort(spark):
+    from sluice.operators.keys import assign_keys
+
+    rnd = random.Random(5)
+    rows = [(rnd.choice([None, *range(30)]), rnd.choice(["x", "y", None]), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "a INT, b STRING, id0 INT")
+    got = assign_keys(df, ["a", "b", "id0"], key_name="id", start=10, num_partitions=7).collect()
+
+    def sort_key(r):  # Spark ascending: NULLs first
+        return tuple((v is not None, v) for v in r)
+
+    expected = {row[2]: i + 10 for i, row in enumerate(sorted(rows, key=sort_key))}
+    assert {r.id0: r.id for r in got} == expected
