@@ -1,5 +1,6 @@
 """Jobs survive a failed task: the retried task rewrites the same rows and the
-outputs hold every row exactly once (subprocess with task retries enabled)."""
+outputs hold every row exactly once (subprocess with task retries enabled).
+A JDBC partition write is one transaction, rolled back when its task fails."""
 
 import json
 import subprocess
@@ -41,6 +42,11 @@ SCRIPT = textwrap.dedent(
     load_increment(src, OUT + "/inc", "id", OUT + "/state", source="s", table="t")
     inc = read_loaded(spark, OUT + "/inc")
     out["increment"] = [inc.count(), inc.select("id").distinct().count()]
+    from sluice.config import derby_memory
+    from sluice.sinks import jdbc as JW
+    cfg = derby_memory("failtest")
+    JW.write_jdbc(src, cfg, "T", mode="append")  # the failed attempt's transaction rolls back
+    out["jdbc"] = [JW.row_count(spark, cfg, "T")]
     print("RESULT " + json.dumps(out))
     """
 )
@@ -53,4 +59,6 @@ def test_outputs_whole_after_task_retry(tmp_path):
     lines = [ln for ln in proc.stdout.splitlines() if ln.startswith("RESULT ")]
     assert lines, proc.stderr[-3000:]
     out = json.loads(lines[-1][len("RESULT "):])
-    assert out == {"export": [20000, 20000], "table": [20000, 20000], "increment": [20000, 20000]}
+    assert out == {
+        "export": [20000, 20000], "table": [20000, 20000], "increment": [20000, 20000], "jdbc": [20000],
+    }
