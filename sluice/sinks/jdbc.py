@@ -89,7 +89,13 @@ def write_jdbc(
     opts = cfg.spark_options()
     opts["dbtable"] = table
     opts["batchsize"] = str(batchsize)
-    opts["createTableColumnTypes"] = create_column_types or column_types(df.schema)
+    try:
+        opts["createTableColumnTypes"] = create_column_types or column_types(df.schema)
+    except TypeError:
+        # A type without a portable mapping (arrays, maps...): leave creation
+        # to Spark's dialect, which knows what the target supports, and is
+        # not consulted at all when the table already exists.
+        pass
     if mode == "overwrite":
         opts["truncate"] = "false" if truncate is False else "true"
     if num_partitions:

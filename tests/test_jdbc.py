@@ -307,3 +307,10 @@ def test_partitions_sized_by_row_count(spark, derby):
     capped = JR.read_partitioned(spark, derby, "ORDERS", "o_orderkey", 3, rows_per_partition=100)
     assert capped.rdd.getNumPartitions() == 3  # never more connections than allowed
     assert df.count() == capped.count() == 1500
+
+
+def test_write_without_portable_type_defers_to_dialect(spark, derby):
+    df = spark.createDataFrame([(1, [1.0, 2.0])], "id INT, v ARRAY<FLOAT>")
+    with pytest.raises(Exception) as err:  # Derby has no array type: Spark's own error, not ours
+        JW.write_jdbc(df, derby, "ARR", mode="overwrite")
+    assert "no JDBC column type" not in str(err.value)
