@@ -189,3 +189,13 @@ def test_string_partition_values_keep_their_text(spark, tmp_path):
     TB.create_or_replace(spark, s, df, namespace="t_ns", base=str(tmp_path))
     got = sorted((r.id, r.code) for r in TB.read_table(spark, s, "t_ns").collect())
     assert got == [(1, "001"), (2, "010"), (3, "abc")]
+
+
+def test_insert_overwrite_by_name(spark, tmp_path):
+    c = _customer(spark)
+    s = TB.spec_from_frame("cust_ow", c, ["c_mktsegment"])
+    TB.create_table(spark, s, "t_ns")
+    TB.insert_by_name(spark, "t_ns.cust_ow", c)
+    sub = c.filter("c_acctbal >= 0")
+    TB.insert_by_name(spark, "t_ns.cust_ow", sub.select(list(reversed(c.columns))), overwrite=True)
+    _same(TB.read_table(spark, s, "t_ns"), sub)
