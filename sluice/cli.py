@@ -75,9 +75,18 @@ def cmd_connection_test(args: argparse.Namespace) -> int:
 def cmd_extract(args: argparse.Namespace) -> int:
     from sluice.sinks.parquet import extract_to_parquet
 
+    from sluice.sources.jdbc import connection_check
+
     spark = _session()
+    cfg = _config(args)
+    if args.preflight:
+        try:
+            connection_check(spark, cfg).collect()
+        except Exception as error:  # noqa: BLE001 - the gate reports and stops
+            print(f"preflight failed, nothing read: {error}", file=sys.stderr)
+            return 1
     res = extract_to_parquet(
-        spark, _config(args), args.table, args.output,
+        spark, cfg, args.table, args.output,
         partition_column=args.partition_column, num_partitions=args.num_partitions,
         rows_per_partition=args.rows_per_partition, compression=args.compression,
         max_records_per_file=args.max_records_per_file,
@@ -159,6 +168,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--rows-per-partition", type=int, help="size the read by the source's COUNT(*)")
     p.add_argument("--compression", default="snappy")
     p.add_argument("--max-records-per-file", type=int)
+    p.add_argument("--preflight", action="store_true", help="run the connection test first; stop if it fails")
     p.set_defaults(func=cmd_extract)
 
     p = sub.add_parser("load-tables")

@@ -65,3 +65,12 @@ def test_load_tables_command(spark, tmp_path, capsys):
                      "--suffix", "_tbl", "--tables", "income_band", "--base", str(tmp_path)]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rows"] == 2
     assert spark.table("lake.income_band_tbl").count() == 2
+
+
+def test_extract_preflight_gate(spark, tmp_path):
+    out = str(tmp_path / "never")
+    assert cli.main(["extract", "--url", "jdbc:derby:memory:no_such_db_x", "--table", "T",
+                     "--output", out, "--preflight"]) == 1
+    import os
+
+    assert not os.path.exists(out)
