@@ -26,19 +26,22 @@ from sluice.config import JdbcConfig
 log = logging.getLogger(__name__)
 R = TypeVar("R")
 
-# Markers of connection-level failures worth retrying (SQLSTATE class 08 and
-# the usual driver messages). Anything else -- bad SQL, bad arguments, type
-# errors -- fails at once.
+# Markers of connection failures worth retrying: transient / recoverable
+# connection exceptions, refused or reset sockets, timeouts, and the SQLSTATEs
+# for "unable to connect" / "link failure". Anything else -- a missing
+# database, bad credentials, bad SQL, bad arguments -- fails at once.
 TRANSIENT_MARKERS = (
     "SQLTransientConnectionException",
-    "SQLNonTransientConnectionException",
+    "SQLRecoverableException",
+    "CommunicationsException",
     "Communications link failure",
     "Connection refused",
     "connect timed out",
     "Connection reset",
     "SocketTimeoutException",
-    "SQLState: 08",
-    "SQLSTATE=08",
+    "SQLState: 08001",
+    "SQLState: 08S01",
+    "SQLState: 08006",
 )
 
 

@@ -314,3 +314,16 @@ def test_write_without_portable_type_defers_to_dialect(spark, derby):
     with pytest.raises(Exception) as err:  # Derby has no array type: Spark's own error, not ours
         JW.write_jdbc(df, derby, "ARR", mode="overwrite")
     assert "no JDBC column type" not in str(err.value)
+
+
+def test_missing_database_fails_without_retry(spark):
+    import time
+
+    from sluice.config import JdbcConfig
+
+    cfg = JdbcConfig("jdbc:derby:memory:surely_missing_db", driver="org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    t0 = time.time()
+    with pytest.raises(Exception) as err:
+        JR.read_table(spark, cfg, "T")
+    assert not JR.is_transient(err.value)
+    assert time.time() - t0 < 8  # no 10 s retry pause
