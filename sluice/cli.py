@@ -2,7 +2,8 @@
 
   connection-test  SELECT 1 through the source, then list its tables
   extract          JDBC table -> Parquet, parallel by a measured key range,
-                   verified against the source's COUNT(*)
+                   verified against the source's COUNT(*); ``--preflight``
+                   runs the connection test first and stops if it fails
   load-tables      replace spec'd tables (TPC-DS set) from a source namespace
   hr-report        read the HR tables over JDBC, compute department statistics
                    and project participation, optionally write the statistics
