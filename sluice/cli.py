@@ -125,7 +125,7 @@ def hr_report(spark, cfg: JdbcConfig, *, write_back: str | None = None, tables:
     employees = JR.read_table(spark, cfg, names["employees"])
     # One row per department, used three times (write, check, show): cache it
     # rather than reading the source again; a lost block is recomputed.
-    stats = A.group_count_avg(employees, "department", "salary").cache()
+    stats = A.group_count_avg(employees, "department", "salary", scale=2).cache()
     participation = A.project_participation(
         JR.read_table(spark, cfg, names["projects"]),
         JR.read_table(spark, cfg, names["departments"]),

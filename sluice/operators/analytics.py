@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from sluice.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_bounded, shuffled
 
 
-def exact_mean(value: str, scale: int | None = 2) -> Column:
+def exact_mean(value: str, scale: int | None = None) -> Column:
     """Mean whose result does not depend on summation order.
 
     With ``scale`` the values are summed as DECIMAL(18, scale) -- exact for
-    money columns stored as doubles with at most ``scale`` decimals -- and
-    divided once at the end. ``scale=None`` is Spark's ``avg``.
+    money columns (decimals, or doubles with at most ``scale`` decimals) --
+    and divided once at the end. ``scale=None`` (the default) is Spark's
+    ``avg``: other doubles must not be rounded to a fixed scale.
     """
     if scale is None:
         return F.avg(value)
@@ -35,7 +36,7 @@ def group_count_avg(
     *,
     count_name: str = "employee_count",
     avg_name: str = "avg_salary",
-    scale: int | None = 2,
+    scale: int | None = None,
 ) -> DataFrame:
     """``SELECT key, COUNT(*), AVG(value) ... GROUP BY key ORDER BY count DESC``.
 
@@ -54,7 +55,7 @@ def group_mean_min_max(
     value: str,
     *,
     key_name: str | None = None,
-    scale: int | None = 2,
+    scale: int | None = None,
 ) -> DataFrame:
     """Per-group mean / min / max, computed by Spark (not on collected rows)."""
     return (

@@ -107,11 +107,13 @@ def group_count_avg(spark: SparkSession, d: str) -> DataFrame:
     employees = table(spark, d, "customer").select(
         F.col("c_mktsegment").alias("department"), F.col("c_acctbal").alias("salary")
     )
-    return A.group_count_avg(employees, "department", "salary")
+    return A.group_count_avg(employees, "department", "salary", scale=2)  # money: exact mean
 
 
 def group_mean_min_max(spark: SparkSession, d: str) -> DataFrame:
-    return A.group_mean_min_max(table(spark, d, "customer"), "c_mktsegment", "c_acctbal", key_name="department")
+    return A.group_mean_min_max(
+        table(spark, d, "customer"), "c_mktsegment", "c_acctbal", key_name="department", scale=2
+    )
 
 
 def row_count(spark: SparkSession, d: str) -> DataFrame:

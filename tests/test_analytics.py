@@ -8,7 +8,7 @@ from sluice.operators import analytics as A
 
 
 def test_group_count_avg_seed(hr):
-    out = A.group_count_avg(hr["employees"], "department", "salary").collect()
+    out = A.group_count_avg(hr["employees"], "department", "salary", scale=2).collect()
     got = [(r.department, r.employee_count, r.avg_salary) for r in out]
     # ordered by count desc, then department (ties 3/3 and 2/2 resolved by name)
     assert got == [
@@ -21,7 +21,7 @@ def test_group_count_avg_seed(hr):
 
 
 def test_group_mean_min_max_seed(hr):
-    out = {r.department: r for r in A.group_mean_min_max(hr["employees"], "department", "salary").collect()}
+    out = {r.department: r for r in A.group_mean_min_max(hr["employees"], "department", "salary", scale=2).collect()}
     assert out["Engineering"].min_value == Decimal("85000.00")
     assert out["Engineering"].max_value == Decimal("95000.00")
     assert out["Sales"].mean_value == 107500.0
@@ -97,3 +97,9 @@ def test_min_max_and_row_count(spark):
     df = spark.range(5, 42)
     assert tuple(A.min_max(df, "id").first()) == (5, 41)
     assert A.row_count(df).first().row_count == 37
+
+
+def test_default_mean_does_not_round(spark):
+    df = spark.createDataFrame([("a", 0.125), ("a", 0.0)], "k STRING, v DOUBLE")
+    assert A.group_count_avg(df, "k", "v").first().avg_salary == 0.0625
+    assert A.group_count_avg(df, "k", "v", scale=2).first().avg_salary == 0.065  # 0.13 / 2: money rounding
