@@ -39,20 +39,35 @@ def export_parquet(
     No shuffle is added: one file per input partition (and per partition
     value), capped by ``max_records_per_file``.
     """
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode must be 'overwrite' or 'append'")
+    spark = df.sparkSession
     writer = df.write.mode(mode).option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if verify and expected_rows is None and mode == "overwrite":
+    if verify and expected_rows is None:
         expected_rows = df.count()
+    before = _existing_rows(spark, path) if mode == "append" else 0
     writer.parquet(path)
-    written = df.sparkSession.read.parquet(path).count()
-    if verify and expected_rows is not None and mode == "overwrite" and written != expected_rows:
+    written = spark.read.parquet(path).count() - before  # rows this write added
+    if verify and written != expected_rows:
         raise IncompleteWrite(f"{path}: wrote {written} rows, source had {expected_rows}")
     return ExportResult(path, expected_rows, written)
 
 
+def _existing_rows(spark, path: str) -> int:
+    """Rows already under ``path`` (0 when nothing is there yet). Appends to
+    the same path are assumed not to run concurrently."""
+    try:
+        return spark.read.parquet(path).count()
+    except Exception as error:  # noqa: BLE001 - only "nothing there" is expected
+        if "PATH_NOT_FOUND" in str(error) or "does not exist" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+            return 0
+        raise
+
+
 def extract_to_parquet(
     spark,
     cfg,

@@ -89,3 +89,13 @@ def test_q9_export_counts_output(spark, tmp_path):
     assert res.rows_written == res.rows_expected == li.count()
     with pytest.raises(IncompleteWrite):
         export_parquet(li, str(tmp_path / "li2"), expected_rows=1)
+
+
+def test_export_append_counts_only_its_rows(spark, tmp_path):
+    from sluice.sinks.parquet import export_parquet
+
+    n = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    path = str(tmp_path / "n")
+    assert export_parquet(n, path, mode="append").rows_written == 25
+    assert export_parquet(n, path, mode="append").rows_written == 25
+    assert spark.read.parquet(path).count() == 50
