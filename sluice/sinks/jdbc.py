@@ -21,7 +21,7 @@ SAVE_MODES = ("append", "overwrite", "ignore", "errorifexists", "error", "defaul
 def column_types(
     schema: T.StructType,
     *,
-    string_length: int = 255,
+    string_length: int | None = 255,
     overrides: Mapping[str, str] | None = None,
 ) -> str:
     """Target column types for ``createTableColumnTypes`` derived from a schema.
@@ -29,6 +29,8 @@ def column_types(
     Strings become VARCHAR(n) rather than the dialect's CLOB / LONGTEXT, so
     the table can be indexed and compared on; decimals keep precision and
     scale. A type without a mapping is an error, not a silent VARCHAR.
+    ``string_length=None`` leaves string columns out of the list, so long
+    texts get the dialect's large-text type (Spark accepts a partial list).
     """
     overrides = dict(overrides or {})
     parts = []
@@ -38,6 +40,8 @@ def column_types(
             continue
         t = f.dataType
         if isinstance(t, T.StringType):
+            if string_length is None:
+                continue
             sql = f"VARCHAR({string_length})"
         elif isinstance(t, T.IntegerType):
             sql = "INT"

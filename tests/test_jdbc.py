@@ -327,3 +327,13 @@ def test_missing_database_fails_without_retry(spark):
         JR.read_table(spark, cfg, "T")
     assert not JR.is_transient(err.value)
     assert time.time() - t0 < 8  # no 10 s retry pause
+
+
+def test_long_texts_use_dialect_text_type(spark, derby):
+    from sluice.sinks.jdbc import column_types
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    assert column_types(docs.schema, string_length=None) == "doc_id BIGINT"
+    JW.write_jdbc(docs, derby, "DOCS", mode="overwrite", create_column_types=column_types(docs.schema, string_length=None))
+    back = JR.read_table(spark, derby, "DOCS")
+    _same(back, docs)  # whole texts, none cut to 255 characters
