@@ -170,7 +170,9 @@ def create_or_replace(
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     writer.save(location)
-    written = spark.read.format(spec.provider).load(location).count()
+    # Read back with the spec's schema: no inference from paths ('001' stays
+    # a string) and an empty version (no data files) counts as 0 rows.
+    written = spark.read.format(spec.provider).schema(_schema(spec)).load(location).count()
     if verify and written != expected:
         raise RuntimeError(f"{table}: wrote {written} rows, source had {expected}; table left unchanged")
     previous = table_location(spark, table)
@@ -264,6 +266,23 @@ def load_tables(
     return [f.result() for f in futures]
 
 
+def truncate(
+    spark: SparkSession, spec: TableSpec, *, namespace: str = "default", base: str | None = None
+) -> LoadResult:
+    """Empty a table, keeping its definition: a replace with an empty version.
+
+    Spark refuses ``TRUNCATE TABLE`` on external tables, and the tables here
+    are external (versioned locations); an empty version is published like
+    any other, so the previous rows stay available for rollback.
+    """
+    empty = spark.createDataFrame([], _schema(spec))
+    return create_or_replace(spark, spec, empty, namespace=namespace, base=base)
+
+
+def _schema(spec: TableSpec) -> str:
+    return ", ".join(f"`{c}` {t}" for c, t in spec.columns)
+
+
 def table_from_rows(
     spark: SparkSession, spec: TableSpec, df: DataFrame, *, namespace: str = "default", base: str | None = None
 ) -> LoadResult:

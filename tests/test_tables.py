@@ -199,3 +199,13 @@ def test_insert_overwrite_by_name(spark, tmp_path):
     sub = c.filter("c_acctbal >= 0")
     TB.insert_by_name(spark, "t_ns.cust_ow", sub.select(list(reversed(c.columns))), overwrite=True)
     _same(TB.read_table(spark, s, "t_ns"), sub)
+
+
+def test_truncate_catalog_table(spark, tmp_path):
+    c = _customer(spark)
+    s = TB.spec_from_frame("cust_trunc", c, ["c_mktsegment"])
+    first = TB.create_or_replace(spark, s, c, namespace="t_ns", base=str(tmp_path))
+    res = TB.truncate(spark, s, namespace="t_ns", base=str(tmp_path))
+    back = TB.read_table(spark, s, "t_ns")
+    assert res.rows == 0 and back.count() == 0 and back.columns == c.columns
+    assert res.previous_location.endswith(first.location.split("/")[-1])
