@@ -19,6 +19,11 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_every_query_has_an_oracle():
+    # every registered operator is SQL-expressible, so each carries the full check
+    assert set(E.queries()) == set(E.oracle_sql())
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
