@@ -29,9 +29,20 @@ def check_not_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     return counts.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, null_count)")
 
 
-def check_unique(df: DataFrame, keys: Sequence[str], count_name: str = "n_rows") -> DataFrame:
+def check_unique(
+    df: DataFrame, keys: Sequence[str], count_name: str = "n_rows", *, nulls_distinct: bool = True
+) -> DataFrame:
     """Key values that occur more than once, with their multiplicity.
-    (NULL keys count as a value, as GROUP BY does.)"""
+
+    As a SQL UNIQUE constraint does, rows with a NULL in any key column are
+    not compared (``nulls_distinct``); NULL primary keys are the NOT NULL
+    check's business. ``nulls_distinct=False`` groups NULLs like values.
+    """
+    if nulls_distinct:
+        present = F.lit(True)
+        for k in keys:
+            present = present & F.col(k).isNotNull()
+        df = df.filter(present)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1)
 
 

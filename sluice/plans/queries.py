@@ -527,6 +527,7 @@ ORACLE_SQL: dict[str, str] = {
     "check_not_null": _not_null_sql(),
     "check_unique": """
         SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem
+        WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
         GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
     "check_foreign_key": """
         SELECT d.doc_id, COUNT(*) AS n_rows FROM documents d

@@ -66,3 +66,11 @@ def test_completeness_and_emptiness(spark):
     df = spark.range(7)
     assert Q.compare_counts(7, df) == (True, 7)
     assert Q.is_empty(df.filter(F.col("id") < 0))
+
+
+def test_unique_null_semantics(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), (1, 1), (1, 1)], "a INT, b INT")
+    assert {tuple(r) for r in Q.check_unique(df, ["a", "b"]).collect()} == {(1, 1, 2)}
+    assert {tuple(r) for r in Q.check_unique(df, ["a", "b"], nulls_distinct=False).collect()} == {
+        (1, 1, 2), (None, 1, 2)
+    }
