@@ -214,8 +214,8 @@ def jdbc_read_subquery(spark: SparkSession, d: str) -> DataFrame:
 def jdbc_append(spark: SparkSession, d: str) -> DataFrame:
     cfg = derby_memory(f"sluice_{uuid.uuid4().hex[:12]}")
     customer = table(spark, d, "customer")
-    JW.write_jdbc(customer, cfg, "CUSTOMER", mode="append")
-    JW.write_jdbc(customer, cfg, "CUSTOMER", mode="append", batchsize=500)
+    first = JW.append_counted(customer, cfg, "CUSTOMER")
+    JW.append_counted(customer, cfg, "CUSTOMER", expected_rows=first, batchsize=500)
     return JR.read_table(spark, cfg, "CUSTOMER")
 
 

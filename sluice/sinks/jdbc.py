@@ -159,6 +159,24 @@ def truncate_all(spark: SparkSession, cfg: JdbcConfig, tables_child_first: Seque
     return done
 
 
+def append_counted(
+    df: DataFrame, cfg: JdbcConfig, table: str, *, expected_rows: int | None = None, **kw
+) -> int:
+    """Append ``df`` and return the rows it added (pushed ``COUNT(*)`` before
+    and after; a missing table counts as 0). With ``expected_rows`` a
+    difference is an error. Assumes no concurrent writer on ``table``."""
+    spark = df.sparkSession
+    try:
+        before = row_count(spark, cfg, table)
+    except Exception:  # noqa: BLE001 - a table that does not exist yet
+        before = 0
+    write_jdbc(df, cfg, table, mode="append", **kw)
+    added = row_count(spark, cfg, table) - before
+    if expected_rows is not None and added != expected_rows:
+        raise RuntimeError(f"{table}: {added} rows added, {expected_rows} expected")
+    return added
+
+
 def stage_and_publish(
     df: DataFrame,
     cfg: JdbcConfig,

@@ -337,3 +337,11 @@ def test_long_texts_use_dialect_text_type(spark, derby):
     JW.write_jdbc(docs, derby, "DOCS", mode="overwrite", create_column_types=column_types(docs.schema, string_length=None))
     back = JR.read_table(spark, derby, "DOCS")
     _same(back, docs)  # whole texts, none cut to 255 characters
+
+
+def test_append_counted_reports_rows(spark, derby):
+    nation = spark.read.parquet(f"{SF_SMALL}/nation.parquet")
+    assert JW.append_counted(nation, derby, "N", expected_rows=25) == 25
+    assert JW.append_counted(nation.limit(7), derby, "N", batchsize=3) == 7
+    with pytest.raises(RuntimeError):
+        JW.append_counted(nation, derby, "N", expected_rows=1)
