@@ -79,6 +79,7 @@ def extract_to_parquet(
     rows_per_partition: int | None = None,
     compression: str = "snappy",
     max_records_per_file: int | None = None,
+    partition_by: Sequence[str] = (),
 ) -> ExportResult:
     """JDBC table -> Parquet, read in parallel, verified against the source.
 
@@ -103,5 +104,6 @@ def extract_to_parquet(
             JR.read_subquery(spark, cfg, f"SELECT COUNT(*) AS {cfg.quote('n')} FROM {table}", "c").first()["n"]
         )
     return export_parquet(
-        df, path, compression=compression, max_records_per_file=max_records_per_file, expected_rows=expected
+        df, path, compression=compression, max_records_per_file=max_records_per_file,
+        expected_rows=expected, partition_by=partition_by,
     )

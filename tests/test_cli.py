@@ -74,3 +74,16 @@ def test_extract_preflight_gate(spark, tmp_path):
     import os
 
     assert not os.path.exists(out)
+
+
+def test_extract_partitioned_output(spark, derby, tmp_path, capsys):
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    JW.write_jdbc(orders, derby, "ORDERS", mode="overwrite")
+    out_dir = tmp_path / "by_status"
+    assert cli.main(["extract", *_args(derby), "--table", "ORDERS", "--output", str(out_dir),
+                     "--partition-column", "o_orderkey", "--num-partitions", "3",
+                     "--partition-by", "o_orderstatus"]) == 0
+    assert sorted(p.name for p in out_dir.iterdir() if p.is_dir()) == [
+        "o_orderstatus=F", "o_orderstatus=O", "o_orderstatus=P"]
+    back = spark.read.parquet(str(out_dir)).select(orders.columns)
+    assert back.exceptAll(orders).isEmpty() and orders.exceptAll(back).isEmpty()
