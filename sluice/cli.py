@@ -152,16 +152,18 @@ def cmd_hr_report(args: argparse.Namespace) -> int:
 
 
 def build_parser() -> argparse.ArgumentParser:
-    parser = argparse.ArgumentParser(prog="sluice")
+    parser = argparse.ArgumentParser(
+        prog="sluice", description="Spark jobs: JDBC extract, table loads, analytics write-back."
+    )
     sub = parser.add_subparsers(dest="command", required=True)
 
-    p = sub.add_parser("connection-test")
+    p = sub.add_parser("connection-test", help="SELECT 1 through the source, then list its tables")
     _jdbc_args(p)
     p.add_argument("--namespace")
     p.add_argument("--max-tables", type=int, default=50)
     p.set_defaults(func=cmd_connection_test)
 
-    p = sub.add_parser("extract")
+    p = sub.add_parser("extract", help="JDBC table -> Parquet, parallel, checked against COUNT(*)")
     _jdbc_args(p)
     p.add_argument("--table", required=True)
     p.add_argument("--output", required=True)
@@ -174,7 +176,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--preflight", action="store_true", help="run the connection test first; stop if it fails")
     p.set_defaults(func=cmd_extract)
 
-    p = sub.add_parser("load-tables")
+    p = sub.add_parser("load-tables", help="replace the spec'd tables from a source namespace")
     p.add_argument("--source-namespace", required=True)
     p.add_argument("--target-namespace", required=True)
     p.add_argument("--suffix", default="")
@@ -183,7 +185,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--parallel", type=int, default=1, help="tables loaded as concurrent jobs")
     p.set_defaults(func=cmd_load_tables)
 
-    p = sub.add_parser("hr-report")
+    p = sub.add_parser("hr-report", help="department statistics and project participation over JDBC")
     _jdbc_args(p)
     p.add_argument("--write-back", help="table to receive the department statistics")
     p.set_defaults(func=cmd_hr_report)
