@@ -98,12 +98,15 @@ def cmd_extract(args: argparse.Namespace) -> int:
 
 
 def cmd_load_tables(args: argparse.Namespace) -> int:
-    from sluice.plans.specs import TPCDS_SPECS
+    from pathlib import Path
+
+    from sluice.plans.specs import TPCDS_SPECS, specs_from_json
     from sluice.sinks.tables import load_tables
 
     spark = _session()
+    catalog = specs_from_json(Path(args.spec_file).read_text()) if args.spec_file else list(TPCDS_SPECS)
     wanted = set(args.tables.split(",")) if args.tables else None
-    specs = [s for s in TPCDS_SPECS if wanted is None or s.name in wanted]
+    specs = [s for s in catalog if wanted is None or s.name in wanted]
     if wanted and len(specs) != len(wanted):
         raise SystemExit(f"unknown tables: {sorted(wanted - {s.name for s in specs})}")
     results = load_tables(
@@ -180,6 +183,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--source-namespace", required=True)
     p.add_argument("--target-namespace", required=True)
     p.add_argument("--suffix", default="")
+    p.add_argument("--spec-file", help="JSON list of table specs (default: the TPC-DS set)")
     p.add_argument("--tables", help="comma-separated subset of the spec list")
     p.add_argument("--base", help="root folder for table versions (default: warehouse dir)")
     p.add_argument("--parallel", type=int, default=1, help="tables loaded as concurrent jobs")

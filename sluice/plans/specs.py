@@ -124,6 +124,29 @@ STUDENT_ROWS = [
 ]
 
 
+def specs_from_json(text: str) -> list[TableSpec]:
+    """Specs from JSON: ``[{"name": ..., "columns": "a int, b string",
+    "partition_by": ["b"], "provider": "parquet", "options": {...},
+    "source": ..., "defaults": {...}}, ...]`` (only name and columns are
+    required)."""
+    import json
+
+    out = []
+    for item in json.loads(text):
+        out.append(
+            TableSpec(
+                item["name"],
+                _cols(item["columns"]),
+                tuple(item.get("partition_by", ())),
+                item.get("provider", "parquet"),
+                dict(item.get("options", {})),
+                item.get("source"),
+                dict(item.get("defaults", {})),
+            )
+        )
+    return out
+
+
 def spec(name: str) -> TableSpec:
     for s in TPCDS_SPECS:
         if s.name == name:
