@@ -14,10 +14,22 @@ from sluice.sinks.tables import TableSpec
 
 
 def _cols(ddl: str) -> tuple[tuple[str, str], ...]:
+    """``"a int, b decimal(15,2), c map<string,int>"`` -> ((name, type), ...);
+    commas inside parentheses or angle brackets belong to the type."""
+    parts, depth, cur = [], 0, ""
+    for ch in ddl:
+        depth += ch in "(<"
+        depth -= ch in ")>"
+        if ch == "," and depth == 0:
+            parts.append(cur)
+            cur = ""
+        else:
+            cur += ch
+    parts.append(cur)
     out = []
-    for part in ddl.split(","):
-        name, typ = part.split()
-        out.append((name, typ))
+    for part in parts:
+        name, typ = part.strip().split(None, 1)
+        out.append((name, typ.replace(" ", "")))
     return tuple(out)
 
 

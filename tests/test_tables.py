@@ -209,3 +209,12 @@ def test_truncate_catalog_table(spark, tmp_path):
     back = TB.read_table(spark, s, "t_ns")
     assert res.rows == 0 and back.count() == 0 and back.columns == c.columns
     assert res.previous_location.endswith(first.location.split("/")[-1])
+
+
+def test_spec_column_parser_keeps_parameterised_types():
+    from sluice.plans.specs import _cols, specs_from_json
+
+    assert _cols("id int, budget decimal(15,2), tags map<string, int>, name string") == (
+        ("id", "int"), ("budget", "decimal(15,2)"), ("tags", "map<string,int>"), ("name", "string"))
+    (sp,) = specs_from_json('[{"name": "p", "columns": "id int, budget decimal(15,2)"}]')
+    assert sp.columns == (("id", "int"), ("budget", "decimal(15,2)")) and sp.partition_by == ()
