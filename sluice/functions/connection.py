@@ -1,8 +1,10 @@
 """Connection-record functions over columns: URL parts, secret redaction,
 first present key, two-decimal rendering.
 
-They are compositions of built-in expressions, so they stay inside
-whole-stage codegen and run wherever the column lives.
+They are compositions of built-in expressions: JVM-side, no Python per
+row. The URL functions compile into whole-stage codegen; the map redaction
+uses a higher-order function (``transform_values``), which Spark evaluates
+outside codegen but still in the JVM.
 """
 
 from __future__ import annotations
@@ -22,13 +24,16 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _after_slashes(u: Column) -> Column:
+    """The text between the first ``//`` and the next one (or the end)."""
+    return F.substring_index(F.substring(u, F.instr(u, "//") + 2, F.length(u).cast("int")), "//", 1)
+
+
 def jdbc_host(url: str | Column) -> Column:
     """Host of a JDBC / HTTP URL: after ``//``, up to the first ``:`` if the
     rest has one, else up to the first ``/``. NULL when there is no ``//``."""
     u = _col(url)
-    rest = F.substring_index(
-        F.substring(u, F.instr(u, "//") + 2, F.length(u).cast("int")), "//", 1
-    )
+    rest = _after_slashes(u)
     host = F.when(
         F.instr(rest, ":") > 0, F.substring_index(rest, ":", 1)
     ).otherwise(F.substring_index(rest, "/", 1))
@@ -39,9 +44,7 @@ def jdbc_database(url: str | Column) -> Column:
     """Database of a JDBC URL: the last ``/`` segment, before any ``?``.
     NULL when there is no path after the host or the segment is empty."""
     u = _col(url)
-    rest = F.substring_index(
-        F.substring(u, F.instr(u, "//") + 2, F.length(u).cast("int")), "//", 1
-    )
+    rest = _after_slashes(u)
     db = F.substring_index(F.substring_index(u, "/", -1), "?", 1)
     return F.when((F.instr(u, "//") > 0) & (F.instr(rest, "/") > 0), F.nullif(db, F.lit("")))
 
