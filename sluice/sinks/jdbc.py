@@ -36,7 +36,7 @@ def column_types(
     parts = []
     for f in schema.fields:
         if f.name in overrides:
-            parts.append(f"{f.name} {overrides[f.name]}")
+            parts.append(f"{_bq(f.name)} {overrides[f.name]}")
             continue
         t = f.dataType
         if isinstance(t, T.StringType):
@@ -63,10 +63,15 @@ def column_types(
             sql = "BOOLEAN"
         else:
             raise TypeError(f"no JDBC column type for {f.name}: {t.simpleString()}")
-        parts.append(f"{f.name} {sql}")
+        parts.append(f"{_bq(f.name)} {sql}")
     return ", ".join(parts)
 
 
+def _bq(name: str) -> str:
+    """Back-quote a column name for Spark's parser (reserved words, spaces)."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def write_jdbc(
     df: DataFrame,
     cfg: JdbcConfig,

@@ -178,7 +178,7 @@ def test_column_types_mapping():
         T.StructField("e", T.TimestampType()), T.StructField("f", T.LongType()),
     ])
     assert JW.column_types(schema, string_length=50) == (
-        "a INT, b VARCHAR(50), c DECIMAL(15,2), d DATE, e TIMESTAMP, f BIGINT"
+        "`a` INT, `b` VARCHAR(50), `c` DECIMAL(15,2), `d` DATE, `e` TIMESTAMP, `f` BIGINT"
     )
     with pytest.raises(TypeError):
         JW.column_types(T.StructType([T.StructField("x", T.ArrayType(T.IntegerType()))]))
@@ -333,7 +333,7 @@ def test_long_texts_use_dialect_text_type(spark, derby):
     from sluice.sinks.jdbc import column_types
 
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    assert column_types(docs.schema, string_length=None) == "doc_id BIGINT"
+    assert column_types(docs.schema, string_length=None) == "`doc_id` BIGINT"
     JW.write_jdbc(docs, derby, "DOCS", mode="overwrite", create_column_types=column_types(docs.schema, string_length=None))
     back = JR.read_table(spark, derby, "DOCS")
     _same(back, docs)  # whole texts, none cut to 255 characters
@@ -345,3 +345,9 @@ def test_append_counted_reports_rows(spark, derby):
     assert JW.append_counted(nation.limit(7), derby, "N", batchsize=3) == 7
     with pytest.raises(RuntimeError):
         JW.append_counted(nation, derby, "N", expected_rows=1)
+
+
+def test_reserved_word_column_names(spark, derby):
+    df = spark.createDataFrame([(1, "x")], "`order` INT, `select` STRING")
+    JW.write_jdbc(df, derby, "RW", mode="overwrite")
+    assert [tuple(r) for r in JR.read_table(spark, derby, "RW").collect()] == [(1, "x")]
