@@ -351,3 +351,14 @@ def test_reserved_word_column_names(spark, derby):
     df = spark.createDataFrame([(1, "x")], "`order` INT, `select` STRING")
     JW.write_jdbc(df, derby, "RW", mode="overwrite")
     assert [tuple(r) for r in JR.read_table(spark, derby, "RW").collect()] == [(1, "x")]
+
+
+def test_inventory_refuses_unbounded_table_lists(spark, derby):
+    for t in ("A1", "A2", "A3"):
+        JW.create_if_not_exists(spark, derby, t, "id INT")
+    with pytest.raises(ValueError, match="max_tables"):
+        JR.source_inventory(spark, derby, "APP", max_tables=2)
+    cat = JR.register_catalog(spark, "dby_inv", derby)
+    with pytest.raises(ValueError, match="max_tables"):
+        JR.catalog_inventory(spark, cat, "APP", max_tables=2)
+    assert JR.source_inventory(spark, derby, "APP", max_tables=3).count() == 3
