@@ -8,6 +8,8 @@
   hr-report        read the HR tables over JDBC, compute department statistics
                    and project participation, optionally write the statistics
                    back (truncating overwrite) and check the count
+  check            NOT NULL / unique / foreign-key checks on a catalog table;
+                   exit code 1 when any check finds violations
 
 Secrets never go on the command line: ``--password-env NAME`` names an
 environment variable that holds the password.
@@ -154,6 +156,39 @@ def cmd_hr_report(args: argparse.Namespace) -> int:
     return 0
 
 
+def cmd_check(args: argparse.Namespace) -> int:
+    from pyspark.sql import functions as F
+
+    from sluice.operators import quality as Q
+    from sluice.sources.catalog import read_catalog_table
+
+    spark = _session()
+    df = read_catalog_table(spark, args.table)
+    report: dict[str, object] = {"table": args.table}
+    failed = False
+    if args.not_null is not None:
+        cols = [c for c in args.not_null.split(",") if c] or None
+        nulls = {r.column_name: r.null_count for r in Q.check_not_null(df, cols).collect()}  # one row per column
+        report["null_counts"] = {k: v for k, v in nulls.items() if v}
+        failed |= bool(report["null_counts"])
+    if args.unique:
+        dup = Q.check_unique(df, args.unique.split(","))
+        n = dup.agg(F.count(F.lit(1)).alias("keys"), F.sum("n_rows").alias("rows")).first()
+        report["duplicate_keys"] = {"keys": n["keys"], "rows": n["rows"] or 0}
+        failed |= bool(n["keys"])
+    for fk in args.foreign_key:
+        child_cols, _, target = fk.partition("=")
+        parent_table, _, parent_cols = target.rpartition(".")
+        orphans = Q.check_foreign_key(
+            df, read_catalog_table(spark, parent_table), child_cols.split(","), parent_cols.split(",")
+        )
+        n = orphans.agg(F.count(F.lit(1)).alias("keys"), F.sum("n_rows").alias("rows")).first()
+        report.setdefault("orphans", {})[fk] = {"keys": n["keys"], "rows": n["rows"] or 0}
+        failed |= bool(n["keys"])
+    print(json.dumps(report))
+    return 1 if failed else 0
+
+
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(
         prog="sluice", description="Spark jobs: JDBC extract, table loads, analytics write-back."
@@ -193,6 +228,16 @@ def build_parser() -> argparse.ArgumentParser:
     _jdbc_args(p)
     p.add_argument("--write-back", help="table to receive the department statistics")
     p.set_defaults(func=cmd_hr_report)
+
+    p = sub.add_parser("check", help="NOT NULL / unique / foreign-key checks on a catalog table")
+    p.add_argument("--table", required=True, help="ns.table")
+    p.add_argument("--not-null", nargs="?", const="", help="columns (comma-separated; empty = all)")
+    p.add_argument("--unique", help="key columns, comma-separated")
+    p.add_argument(
+        "--foreign-key", action="append", default=[], metavar="COLS=NS.PARENT.COLS",
+        help="e.g. l_orderkey=sales.orders.o_orderkey (repeatable)",
+    )
+    p.set_defaults(func=cmd_check)
     return parser
 
 

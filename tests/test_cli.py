@@ -103,3 +103,17 @@ def test_load_tables_from_spec_file(spark, tmp_path, capsys):
     assert cli.main(["load-tables", "--source-namespace", "spec_src", "--target-namespace", "spec_tgt",
                      "--spec-file", str(spec_file), "--base", str(tmp_path / "t"), "--parallel", "2"]) == 0
     assert spark.table("spec_tgt.customer").count() == 150
+
+
+def test_check_command(spark, capsys):
+    spark.sql("CREATE NAMESPACE IF NOT EXISTS chk")
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").write.mode("overwrite").saveAsTable("chk.lineitem")
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").write.mode("overwrite").saveAsTable("chk.orders")
+    code = cli.main(["check", "--table", "chk.lineitem", "--not-null",
+                     "--foreign-key", "l_orderkey=chk.orders.o_orderkey"])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 0 and report["null_counts"] == {}
+    assert report["orphans"]["l_orderkey=chk.orders.o_orderkey"] == {"keys": 0, "rows": 0}
+    code = cli.main(["check", "--table", "chk.lineitem", "--unique", "l_orderkey,l_linenumber"])
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert code == 1 and report["duplicate_keys"]["keys"] > 0
