@@ -12,7 +12,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_bounded, shuffled
+from sluice.operators.joins import (
+    BROADCAST_MAX_ROWS,
+    broadcast_if_bounded,
+    hot_keys,
+    salt_replicate,
+    salt_spread,
+    shuffled,
+)
 
 
 def exact_mean(value: str, scale: int | None = None) -> Column:
@@ -83,6 +90,8 @@ def project_participation(
     assignment_project: str,
     assignment_member: str,
     department_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    hot_key_share: float | None = None,
+    hot_key_splits: int = 32,
 ) -> DataFrame:
     """Projects joined to their department and their assignments, with the
     number of distinct members per (project name, budget, department name),
@@ -95,13 +104,29 @@ def project_participation(
     aliases, so when the project key is also a grouping column (a name that
     is the key) both phases of the distinct aggregate reuse the join's hash
     partitioning: the assignments are shuffled exactly once.
+
+    Hot projects: with AQE's ``forceOptimizeSkewedJoin`` (``session``
+    defaults) a skewed join partition is split at run time. Where the session
+    cannot be relied on, ``hot_key_share`` salts instead: project keys holding
+    at least that share of the assignments (estimated from a sample) spread
+    their assignments over ``hot_key_splits`` salts by a hash of the member,
+    and only those projects' rows are repeated per salt on the other side.
+    Each (project, member) pair still meets each matching project row once,
+    so the counts are unchanged; the aggregate then needs its own exchange.
     """
     p = projects.alias("p")
     d = broadcast_if_bounded(departments, department_broadcast_rows).alias("d")
     a = shuffled(assignments).alias("ep")
-    joined = p.join(d, F.col(f"p.{project_department}") == F.col(f"d.{department_id}")).join(
-        a, F.col(f"p.{project_id}") == F.col(f"ep.{assignment_project}")
-    )
+    head = p.join(d, F.col(f"p.{project_department}") == F.col(f"d.{department_id}"))
+    on = F.col(f"p.{project_id}") == F.col(f"ep.{assignment_project}")
+    hot = hot_keys(assignments, assignment_project, min_share=hot_key_share) if hot_key_share else []
+    if hot:
+        head = head.withColumn("_hs", salt_replicate(F.col(f"p.{project_id}"), hot, hot_key_splits))
+        a = a.withColumn(
+            "_as", salt_spread(F.col(assignment_project), hot, F.col(assignment_member), hot_key_splits)
+        )
+        on = on & (F.col("_hs") == F.col("_as"))
+    joined = head.join(a, on)
     return (
         joined.groupBy(
             F.col(f"p.{project_name}").alias("project_name"),

@@ -15,7 +15,11 @@ it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from typing import Any
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 # Largest side broadcast without further thought: at ~100 bytes per row of a
 # narrow key/value projection this stays well below the executor memory a
@@ -40,3 +44,46 @@ def shuffled(df: DataFrame) -> DataFrame:
     """Mark a side that grows with the data (a fact table): always joined by
     shuffle + sort-merge, never broadcast."""
     return df.hint("merge")
+
+
+def hot_keys(
+    df: DataFrame,
+    key: str,
+    *,
+    min_share: float = 0.01,
+    sample_fraction: float = 0.01,
+    seed: int = 17,
+) -> list[Any]:
+    """Values of ``key`` that hold at least ``min_share`` of the rows,
+    estimated from a ``sample_fraction`` sample (one scan of the key column;
+    the total comes from a column-free count). At most about ``1 / min_share``
+    values can qualify; the result is capped at twice that, heaviest first,
+    so the list brought to the driver is bounded by construction."""
+    if not 0 < min_share <= 1:
+        raise ValueError("min_share must be in (0, 1]")
+    threshold = max(1.0, min_share * df.count() * sample_fraction)
+    counts = (
+        df.select(key)
+        .sample(fraction=sample_fraction, seed=seed)
+        .filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .count()
+        .filter(F.col("count") >= threshold)
+    )
+    top = counts.orderBy(F.col("count").desc()).limit(int(2 / min_share))  # top-k, not a global sort
+    return [r[key] for r in top.collect()]
+
+
+def salt_spread(key: Column, hot: Sequence[Any], spread: Column, splits: int) -> Column:
+    """Salt for the large side: rows of a hot key get ``hash(spread) % splits``,
+    all other rows 0. The salt is a pure function of the row."""
+    return F.when(key.isin(list(hot)), F.pmod(F.xxhash64(spread), F.lit(splits))).otherwise(F.lit(0))
+
+
+def salt_replicate(key: Column, hot: Sequence[Any], splits: int) -> Column:
+    """Salt for the other side: rows of a hot key are repeated once per salt
+    value (``explode``), all other rows keep salt 0. Only hot-key rows grow,
+    by ``splits`` each."""
+    return F.explode(
+        F.when(key.isin(list(hot)), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
+    )

@@ -94,3 +94,19 @@ def test_assign_keys_spreads_a_hot_tied_value(spark):
     assert ids == list(range(1, df.count() + 1))  # dense, unique
     first_aaa = keyed.filter("c_mktsegment = 'AAA'").agg(F.min("id"), F.max("id")).first()
     assert (first_aaa[0], first_aaa[1]) == (1, 2 * c.count())  # the tied block comes first, whole
+
+
+def test_join3_salted_hot_keys_exact_without_session_settings(spark):
+    from sluice.operators.joins import hot_keys
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    li = _skewed_lineitem(spark)
+    assert hot_keys(li, "l_orderkey", min_share=0.05, sample_fraction=0.5) == [7]
+    kw = dict(project_id="o_orderkey", project_name="o_orderkey", project_budget="o_totalprice",
+              project_department="o_custkey", department_id="c_custkey", department_name="c_name",
+              assignment_project="l_orderkey", assignment_member="l_suppkey")
+    plain = project_participation(o, c, li, **kw)
+    salted = project_participation(o, c, li, hot_key_share=0.05, hot_key_splits=8, **kw)
+    assert sorted(tuple(r) for r in salted.collect()) == sorted(tuple(r) for r in plain.collect())
+    assert "xxhash64" in plan_text(salted)
