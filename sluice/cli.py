@@ -94,6 +94,7 @@ def cmd_extract(args: argparse.Namespace) -> int:
         rows_per_partition=args.rows_per_partition, compression=args.compression,
         max_records_per_file=args.max_records_per_file,
         partition_by=[c for c in (args.partition_by or "").split(",") if c],
+        rebalance=args.rebalance,
     )
     print(json.dumps({"path": res.path, "rows_expected": res.rows_expected, "rows_written": res.rows_written}))
     return 0
@@ -211,6 +212,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--compression", default="snappy")
     p.add_argument("--max-records-per-file", type=int)
     p.add_argument("--partition-by", help="comma-separated output partition columns")
+    p.add_argument("--rebalance", action="store_true", help="cluster rows by the partition columns first")
     p.add_argument("--preflight", action="store_true", help="run the connection test first; stop if it fails")
     p.set_defaults(func=cmd_extract)
 

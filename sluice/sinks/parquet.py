@@ -29,6 +29,7 @@ def export_parquet(
     max_records_per_file: int | None = None,
     expected_rows: int | None = None,
     verify: bool = True,
+    rebalance: bool = False,
 ) -> ExportResult:
     """Write ``df`` once, then count the *output* and compare with the source.
 
@@ -36,12 +37,17 @@ def export_parquet(
     extra work is ``expected_rows`` (pass it when the caller already knows
     it, e.g. from a pushed ``COUNT(*)``), else one column-free count of the
     source. The output count is answered from Parquet footers.
-    No shuffle is added: one file per input partition (and per partition
-    value), capped by ``max_records_per_file``.
+    No shuffle is added by default: one file per input partition (and per
+    partition value), capped by ``max_records_per_file``. With
+    ``partition_by`` and many values, ``rebalance`` clusters rows by the
+    partition columns first (``REBALANCE``: one shuffle, AQE sizes the
+    writers and splits a hot value) so files per value stay few.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
     spark = df.sparkSession
+    if rebalance and partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("compression", compression)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
@@ -80,6 +86,7 @@ def extract_to_parquet(
     compression: str = "snappy",
     max_records_per_file: int | None = None,
     partition_by: Sequence[str] = (),
+    rebalance: bool = False,
 ) -> ExportResult:
     """JDBC table -> Parquet, read in parallel, verified against the source.
 
@@ -105,5 +112,5 @@ def extract_to_parquet(
         )
     return export_parquet(
         df, path, compression=compression, max_records_per_file=max_records_per_file,
-        expected_rows=expected, partition_by=partition_by,
+        expected_rows=expected, partition_by=partition_by, rebalance=rebalance,
     )

@@ -99,3 +99,15 @@ def test_export_append_counts_only_its_rows(spark, tmp_path):
     assert export_parquet(n, path, mode="append").rows_written == 25
     assert export_parquet(n, path, mode="append").rows_written == 25
     assert spark.read.parquet(path).count() == 50
+
+
+def test_export_rebalanced_by_partition_value(spark, tmp_path):
+    from sluice.sinks.parquet import export_parquet
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").repartition(6)  # every task holds every value
+    plain = export_parquet(o, str(tmp_path / "plain"), partition_by=["o_orderpriority"])
+    packed = export_parquet(o, str(tmp_path / "packed"), partition_by=["o_orderpriority"], rebalance=True)
+    n_plain = len(spark.read.parquet(plain.path).inputFiles())
+    n_packed = len(spark.read.parquet(packed.path).inputFiles())
+    assert packed.rows_written == plain.rows_written == 1500
+    assert n_packed < n_plain  # 6 tasks x 5 values before, about one file per value after
