@@ -29,13 +29,15 @@ from sluice.sinks import jdbc as JW
 from sluice.sinks import tables as TB
 from sluice.sinks.parquet import export_parquet, extract_to_parquet
 from sluice.sources import jdbc as JR
+from sluice.sources.catalog import read_parquet_table
 from sluice.streaming.incremental import bookmark_files, load_increment, read_loaded
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's tables (``<sf_dir>/<name>.parquet``)."""
+    return read_parquet_table(spark, sf_dir, name)
 
 
 def _derby(spark: SparkSession, sf_dir: str, *names: str) -> JdbcConfig:
