@@ -236,7 +236,8 @@ def jdbc_truncate(spark: SparkSession, d: str) -> DataFrame:
 
 def source_inventory(spark: SparkSession, d: str) -> DataFrame:
     cfg = _derby(spark, d, "customer", "orders", "supplier")
-    return JR.source_inventory(spark, cfg, "APP")
+    keys = {"customer": "c_custkey", "orders": "o_orderkey", "supplier": "s_suppkey"}
+    return JR.source_inventory(spark, cfg, "APP", key_columns=keys)
 
 
 # ------------------------------------------------------------ files, tables
@@ -509,9 +510,13 @@ ORACLE_SQL: dict[str, str] = {
     "jdbc_overwrite_truncate": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
     "jdbc_truncate": "SELECT * FROM customer WHERE false",
     "source_inventory": """
-        SELECT 'APP' AS namespace, 'CUSTOMER' AS table_name, (SELECT COUNT(*) FROM customer) AS row_count
-        UNION ALL SELECT 'APP', 'ORDERS', (SELECT COUNT(*) FROM orders)
-        UNION ALL SELECT 'APP', 'SUPPLIER', (SELECT COUNT(*) FROM supplier)""",
+        SELECT 'APP' AS namespace, 'CUSTOMER' AS table_name, COUNT(*) AS row_count,
+               CAST(MIN(c_custkey) AS VARCHAR) AS min_key, CAST(MAX(c_custkey) AS VARCHAR) AS max_key
+        FROM customer
+        UNION ALL SELECT 'APP', 'ORDERS', COUNT(*), CAST(MIN(o_orderkey) AS VARCHAR),
+               CAST(MAX(o_orderkey) AS VARCHAR) FROM orders
+        UNION ALL SELECT 'APP', 'SUPPLIER', COUNT(*), CAST(MIN(s_suppkey) AS VARCHAR),
+               CAST(MAX(s_suppkey) AS VARCHAR) FROM supplier""",
     "export_parquet": "SELECT * FROM lineitem",
     "jdbc_extract_parquet": "SELECT * FROM orders",
     "table_load_partitioned": "SELECT * FROM customer",

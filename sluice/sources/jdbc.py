@@ -455,35 +455,46 @@ def source_inventory(
     cfg: JdbcConfig,
     namespace: str | None = None,
     *,
+    key_columns: dict[str, str] | None = None,
     max_tables: int = 1000,
 ) -> DataFrame:
-    """(namespace, table_name, row_count) with exact counts computed by the
-    source, one pushed ``COUNT(*)`` per table. The table list is bounded and
-    checked before it is brought to the driver."""
+    """(namespace, table_name, row_count[, min_key, max_key]) computed by the
+    source: one pushed ``COUNT(*)`` -- with ``MIN`` / ``MAX`` of the key when
+    ``key_columns`` names one for the table -- per table. Key bounds come
+    back as text so tables with different key types share one frame. The
+    table list is bounded and checked before it is brought to the driver."""
     tables = list_tables(spark, cfg, namespace)
     n = tables.count()
     if n > max_tables:
         raise ValueError(f"{n} tables > max_tables={max_tables}; narrow the namespace")
-    schema = T.StructType(
-        [
-            T.StructField("namespace", T.StringType()),
-            T.StructField("table_name", T.StringType()),
-            T.StructField("row_count", T.LongType()),
-        ]
-    )
+    keys = {k.upper(): v for k, v in (key_columns or {}).items()}
+    fields = [
+        T.StructField("namespace", T.StringType()),
+        T.StructField("table_name", T.StringType()),
+        T.StructField("row_count", T.LongType()),
+    ]
+    if key_columns is not None:
+        fields += [T.StructField("min_key", T.StringType()), T.StructField("max_key", T.StringType())]
     parts = []
     for row in tables.orderBy("namespace", "table_name").collect():
         qualified = f"{cfg.quote(row['namespace'])}.{cfg.quote(row['table_name'])}"
-        counted = read_subquery(
-            spark, cfg, f"SELECT COUNT(*) AS {cfg.quote('row_count')} FROM {qualified}", "cnt"
-        ).select(
+        key = keys.get(row["table_name"].upper())
+        select = f"COUNT(*) AS {cfg.quote('row_count')}"
+        if key:
+            k = cfg.quote(key)
+            select += f", MIN({k}) AS {cfg.quote('min_key')}, MAX({k}) AS {cfg.quote('max_key')}"
+        counted = read_subquery(spark, cfg, f"SELECT {select} FROM {qualified}", "cnt")
+        cols = [
             F.lit(row["namespace"]).alias("namespace"),
             F.lit(row["table_name"]).alias("table_name"),
             F.col("row_count").cast("bigint").alias("row_count"),
-        )
-        parts.append(counted)
+        ]
+        if key_columns is not None:
+            for c in ("min_key", "max_key"):
+                cols.append((F.col(c) if key else F.lit(None)).cast("string").alias(c))
+        parts.append(counted.select(*cols))
     if not parts:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType(fields))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

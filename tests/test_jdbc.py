@@ -362,3 +362,11 @@ def test_inventory_refuses_unbounded_table_lists(spark, derby):
     with pytest.raises(ValueError, match="max_tables"):
         JR.catalog_inventory(spark, cat, "APP", max_tables=2)
     assert JR.source_inventory(spark, derby, "APP", max_tables=3).count() == 3
+
+
+def test_inventory_key_bounds(spark, derby):
+    JW.write_jdbc(_orders(spark), derby, "ORDERS", mode="overwrite")
+    JW.write_jdbc(spark.read.parquet(f"{SF_SMALL}/region.parquet"), derby, "REGION", mode="overwrite")
+    rows = {r.table_name: r for r in JR.source_inventory(spark, derby, "APP", key_columns={"orders": "o_orderkey"}).collect()}
+    assert (rows["ORDERS"].row_count, rows["ORDERS"].min_key, rows["ORDERS"].max_key) == (1500, "0", "1499")
+    assert (rows["REGION"].row_count, rows["REGION"].min_key) == (5, None)
