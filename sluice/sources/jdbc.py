@@ -542,21 +542,43 @@ def catalog_bounds(spark: SparkSession, catalog_table: str, column: str) -> Data
     return spark.table(catalog_table).agg(F.min(column).alias("min_val"), F.max(column).alias("max_val"))
 
 
-def catalog_inventory(spark: SparkSession, catalog: str, namespace: str, *, max_tables: int = 1000) -> DataFrame:
-    """(namespace, table_name, row_count) through a V2 JDBC catalog: the list
-    from ``SHOW TABLES``, each count a pushed ``COUNT(*)``."""
+def catalog_inventory(
+    spark: SparkSession,
+    catalog: str,
+    namespace: str,
+    *,
+    key_columns: dict[str, str] | None = None,
+    max_tables: int = 1000,
+) -> DataFrame:
+    """(namespace, table_name, row_count[, min_key, max_key]) through a V2
+    JDBC catalog: the list from ``SHOW TABLES``, each count (and key MIN /
+    MAX) a DataFrame aggregate that Catalyst pushes into the database."""
     tables = spark.sql(f"SHOW TABLES IN {catalog}.{namespace}")
     n = tables.count()
     if n > max_tables:
         raise ValueError(f"{n} tables > max_tables={max_tables}; narrow the namespace")
-    parts = [
-        spark.table(f"{catalog}.{namespace}.{r['tableName']}")
-        .agg(F.count(F.lit(1)).cast("bigint").alias("row_count"))
-        .select(F.lit(r["namespace"]).alias("namespace"), F.lit(r["tableName"]).alias("table_name"), "row_count")
-        for r in tables.orderBy("tableName").collect()
-    ]
+    keys = {k.upper(): v for k, v in (key_columns or {}).items()}
+    schema = "namespace STRING, table_name STRING, row_count BIGINT"
+    if key_columns is not None:
+        schema += ", min_key STRING, max_key STRING"
+    parts = []
+    for r in tables.orderBy("tableName").collect():
+        key = keys.get(r["tableName"].upper())
+        aggs = [F.count(F.lit(1)).cast("bigint").alias("row_count")]
+        if key_columns is not None:
+            aggs += [
+                (F.min(key) if key else F.lit(None)).cast("string").alias("min_key"),
+                (F.max(key) if key else F.lit(None)).cast("string").alias("max_key"),
+            ]
+        counted = spark.table(f"{catalog}.{namespace}.{r['tableName']}").agg(*aggs)
+        parts.append(
+            counted.select(
+                F.lit(r["namespace"]).alias("namespace"), F.lit(r["tableName"]).alias("table_name"),
+                *[c for c in counted.columns],
+            )
+        )
     if not parts:
-        return spark.createDataFrame([], "namespace STRING, table_name STRING, row_count BIGINT")
+        return spark.createDataFrame([], schema)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

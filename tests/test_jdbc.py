@@ -370,3 +370,13 @@ def test_inventory_key_bounds(spark, derby):
     rows = {r.table_name: r for r in JR.source_inventory(spark, derby, "APP", key_columns={"orders": "o_orderkey"}).collect()}
     assert (rows["ORDERS"].row_count, rows["ORDERS"].min_key, rows["ORDERS"].max_key) == (1500, "0", "1499")
     assert (rows["REGION"].row_count, rows["REGION"].min_key) == (5, None)
+
+
+def test_catalog_inventory_key_bounds_pushed(spark, derby):
+    from sluice.plans.inspect import plan_text
+
+    JW.write_jdbc(_orders(spark), derby, "ORDERS", mode="overwrite")
+    cat = JR.register_catalog(spark, "dby_kb", derby)
+    inv = JR.catalog_inventory(spark, cat, "APP", key_columns={"orders": "o_orderkey"})
+    assert [(r.table_name, r.row_count, r.min_key, r.max_key) for r in inv.collect()] == [("ORDERS", 1500, "0", "1499")]
+    assert "PushedAggregates: [COUNT(*), MIN(o_orderkey), MAX(o_orderkey)]" in plan_text(inv)
