@@ -51,7 +51,7 @@ def _derby(spark: SparkSession, sf_dir: str, *names: str) -> JdbcConfig:
 
 def _ns(spark: SparkSession) -> str:
     ns = "sluice_q"
-    TB.create_namespace(spark, ns)
+    TB.create_namespace(spark, ns, shared_path(spark, "namespaces", ns, unique=False))
     return ns
 
 

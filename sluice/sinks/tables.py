@@ -124,8 +124,12 @@ def _clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.hint("rebalance", *spec.partition_by)
 
 
-def create_namespace(spark: SparkSession, namespace: str) -> None:
-    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quote_name(namespace)}")
+def create_namespace(spark: SparkSession, namespace: str, location: str | None = None) -> None:
+    """``CREATE NAMESPACE IF NOT EXISTS``; ``location`` keeps its folder out of
+    the default warehouse dir (which is relative to the working directory
+    when unset)."""
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {quote_name(namespace)}{where}")
 
 
 def create_or_replace(
