@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from sluice.llm import neardup
+from sluice.llm import bpe, decontam, licenses, neardup, sql
 from sluice.sources.catalog import read_parquet_table
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies: under $SLUICE_TOKENIZERS if set,
+    else where the installed ``public_tokenizers`` package keeps it."""
+    if root := os.environ.get("SLUICE_TOKENIZERS"):
+        return os.path.join(root, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_parquet_table(spark, d, name)
 
@@ -18,8 +29,30 @@ def op4_minhash_neardup(spark: SparkSession, d: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, d, "documents"), shingle=3, percent=85)
 
 
+def op8_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    """License phrases and template matches of every document."""
+    return licenses.scan_licenses(_table(spark, d, "documents"), keep=["doc_id"])
+
+
+def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
+    """Every document encoded and decoded with a public byte-level BPE vocabulary."""
+    return bpe.encode_decode(_table(spark, d, "documents"), bpe.load(tokenizer_path("word_bpe_49k.json")), keep=["doc_id"])
+
+
+def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    """Benchmark passages in every document: 13-word windows, exact containment."""
+    return decontam.decontaminate(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
+
+
 QUERIES = {
     "op4_minhash_neardup": op4_minhash_neardup,
+    "op8_license_scan": op8_license_scan,
+    "op9_bpe": op9_bpe,
+    "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_minhash_neardup": sql.NEAR_DUPLICATES,
+    "op8_license_scan": sql.license_scan(),
+    "op10_decontamination": sql.DECONTAMINATION,
+}
