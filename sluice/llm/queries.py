@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import bpe, decontam, licenses, neardup, sql
+from sluice.llm import bpe, decontam, langid, licenses, neardup, sql, toxicity
+from sluice.llm.batches import held_out
 from sluice.sources.catalog import read_parquet_table
 
 
@@ -24,6 +26,27 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_parquet_table(spark, d, name)
 
 
+def _folded(df: DataFrame) -> DataFrame:
+    """``df`` with held_out: crc32 of doc_id as text, modulo 5, is 0. A null id
+    teaches nothing."""
+    return df.withColumn("held_out", F.coalesce(held_out("doc_id"), F.lit(True)))
+
+
+def op1_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of the learning fold."""
+    docs = _table(spark, d, "documents")
+    labels = _folded(_table(spark, d, "labels")).where("not held_out")
+    model = toxicity.fit(docs, labels)
+    return toxicity.score(_folded(docs.select("doc_id", "text")), model, keep=["doc_id", "held_out"])
+
+
+def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
+    """Language of every document, learned from the learning fold."""
+    docs = _folded(_table(spark, d, "documents").select("doc_id", "text", "lang"))
+    model = langid.train(docs.where("not held_out"))
+    return langid.identify(docs, model, keep=["doc_id", "held_out"])
+
+
 def op4_minhash_neardup(spark: SparkSession, d: str) -> DataFrame:
     """Near-duplicate components on 3-word shingles, Jaccard similarity of 85 % or more."""
     return neardup.near_duplicates(_table(spark, d, "documents"), shingle=3, percent=85)
@@ -45,7 +68,9 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op4_minhash_neardup": op4_minhash_neardup,
+    "op6_language_id": op6_language_id,
     "op8_license_scan": op8_license_scan,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,

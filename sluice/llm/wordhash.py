@@ -8,6 +8,8 @@ word. All hashes depend on fixed seeds alone, never on the process.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -62,7 +64,8 @@ class Words:
     """The words of a list of texts (bytes; None counts as empty).
 
     ``start``/``end``: byte range of each word in ``buf``; ``first``: index of
-    each text's first word (one more entry than texts); ``hash``: per word.
+    each text's first word and ``bounds``: its first byte (one more entry than
+    texts each); ``hash``: per word.
     """
 
     def __init__(self, texts: list, separators: bytes):
@@ -79,10 +82,11 @@ class Words:
         lengths = np.fromiter((len(t) + 1 if t else 1 for t in texts), np.int64, len(texts))
         bounds = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(lengths, out=bounds[1:])
+        self.bounds = bounds
         self.first = np.searchsorted(self.start, bounds)
-        self.hash = self._hash()
 
-    def _hash(self) -> np.ndarray:
+    @functools.cached_property
+    def hash(self) -> np.ndarray:
         # Block by block, so the tables stay small however long a text is.
         out = np.empty(len(self.start), np.uint64)
         block = self.start // _HASH_BLOCK
