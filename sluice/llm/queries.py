@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, decontam, langid, licenses, neardup, sql, toxicity
+from sluice.llm import ann, bpe, chat, decontam, html, langid, licenses, neardup, sql, tokencount, toxicity
 from sluice.llm.batches import held_out
 from sluice.sources.catalog import read_parquet_table
 
@@ -40,6 +40,12 @@ def op1_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score(_folded(docs.select("doc_id", "text")), model, keep=["doc_id", "held_out"])
 
 
+def op5_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Pieces of every document under a unigram model over a public vocabulary."""
+    pieces = tokencount.load_pieces(tokenizer_path("piece_bpe_32k.model"))
+    return tokencount.count_tokens(_table(spark, d, "documents"), pieces, keep=["doc_id"])
+
+
 def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
     """Language of every document, learned from the learning fold."""
     docs = _folded(_table(spark, d, "documents").select("doc_id", "text", "lang"))
@@ -47,11 +53,27 @@ def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(docs, model, keep=["doc_id", "held_out"])
 
 
+def op2_ann(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    vectors = _table(spark, d, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op3_html_extraction(spark: SparkSession, d: str) -> DataFrame:
+    """Main text of every page."""
+    return html.extract(_table(spark, d, "pages"), keep=["page_id", "url"])
+
+
 def op4_minhash_neardup(spark: SparkSession, d: str) -> DataFrame:
     """Near-duplicate components on 3-word shingles, Jaccard similarity of 85 % or more."""
     return neardup.near_duplicates(_table(spark, d, "documents"), shingle=3, percent=85)
 
 
+def op7_chat_perspectives(spark: SparkSession, d: str) -> DataFrame:
+    """Every conversation rendered from each speaker's side, with masks."""
+    return chat.perspectives(_table(spark, d, "conversations"))
+
+
 def op8_license_scan(spark: SparkSession, d: str) -> DataFrame:
     """License phrases and template matches of every document."""
     return licenses.scan_licenses(_table(spark, d, "documents"), keep=["doc_id"])
@@ -69,8 +91,12 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_ann": op2_ann,
+    "op3_html_extraction": op3_html_extraction,
     "op4_minhash_neardup": op4_minhash_neardup,
+    "op5_token_counts": op5_token_counts,
     "op6_language_id": op6_language_id,
+    "op7_chat_perspectives": op7_chat_perspectives,
     "op8_license_scan": op8_license_scan,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
@@ -78,6 +104,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_minhash_neardup": sql.NEAR_DUPLICATES,
+    "op7_chat_perspectives": sql.CHAT_PERSPECTIVES,
     "op8_license_scan": sql.license_scan(),
     "op10_decontamination": sql.DECONTAMINATION,
 }

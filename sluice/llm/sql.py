@@ -61,6 +61,28 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN matched USING (doc_id)
 """
 
 
+CHAT_PERSPECTIVES = """
+WITH m AS (
+  SELECT DISTINCT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations
+), sides AS (SELECT DISTINCT conv_id, speaker AS perspective FROM m WHERE speaker <> 'system'
+), rendered AS (
+  SELECT m.conv_id, perspective, turn, speaker, text,
+    '<|im_start|>' || CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant'
+      ELSE 'user name=' || speaker END || chr(10) AS heading
+  FROM m JOIN sides ON m.conv_id IS NOT DISTINCT FROM sides.conv_id
+), whole AS (SELECT *, heading || text || '<|im_end|>' || chr(10) AS rendered FROM rendered
+), placed AS (
+  SELECT *, row_number() OVER w - 1 AS position,
+    CAST(coalesce(sum(length(rendered)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_char
+  FROM whole WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text)
+)
+SELECT conv_id, perspective, position, turn, speaker, rendered, start_char, speaker = perspective AS train,
+  CASE WHEN speaker = perspective THEN start_char + length(heading) END AS mask_start,
+  CASE WHEN speaker = perspective THEN start_char + length(heading) + length(text) + 10 END AS mask_end
+FROM placed
+"""
+
+
 def license_scan() -> str:
     """Phrases by word position; templates as the regular expressions they equal."""
     phrases = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in licenses.PHRASES.items())
