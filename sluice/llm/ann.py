@@ -12,9 +12,13 @@ the partial distance, scaled up, with the distance of the k-th candidate so
 far and abandons those significantly farther. Survivors are scored exactly, in
 double precision, on the original vectors.
 
-Lists and the queries that probe them are cut into tiles of bounded size, so a
-list that holds a third of all rows, or that all queries probe, is spread over
-many tasks.
+The number of lists a query scans is calibrated on the sample, so that about
+``COVERAGE`` of its rows' nearest neighbours there lie in the lists scanned.
+
+Lists are packed into tiles of bounded size and a list that holds more is dealt
+over several; a query goes once to every tile that holds lists it scans. Very
+many queries of one tile are cut into parts too. So a list that holds a third of
+all rows, or that all queries scan, is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -35,11 +39,11 @@ from sluice.session import shared_path
 SAMPLE = 16_384
 #: Columns of a block, candidates and queries of a tile.
 BLOCK_COLUMNS = 16
-TILE_ROWS, TILE_QUERIES = 8_192, 512
+TILE_ROWS, TILE_QUERIES = 4_096, 8_192
 #: Significance of the test: partial distances may exceed their share by EPSILON / sqrt(columns).
 EPSILON = 2.1
-#: Share of the lists that a query scans, and the least number.
-PROBE_SHARE, MIN_PROBES = 0.25, 8
+#: Share of nearest neighbours that the scanned lists should hold, and the sample queries that measure it.
+COVERAGE, CALIBRATION = 0.97, 256
 _ITERATIONS = 12
 
 
@@ -49,6 +53,7 @@ class Index:
     rotation: np.ndarray
     largest: float
     dim: int
+    probes: int
 
 
 def _usable(vector: str = "v") -> str:
@@ -66,7 +71,7 @@ def _augment(x: np.ndarray, largest: float) -> np.ndarray:
     return np.c_[x, np.sqrt(rest)]
 
 
-def fit(vectors: DataFrame) -> Index | None:
+def fit(vectors: DataFrame, k: int) -> Index | None:
     """Centroids from the SAMPLE first of ``vectors`` (id, v) by hash of id;
     the norm bound and the number of lists from all of them."""
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
@@ -86,7 +91,25 @@ def fit(vectors: DataFrame) -> Index | None:
         total = np.zeros_like(centroids)
         np.add.at(total, near, x)
         centroids = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], centroids)
-    return Index(centroids, rotation, float(largest), int(dim))
+    asked = np.c_[sample[:CALIBRATION], np.zeros(min(len(sample), CALIBRATION))] @ rotation
+    probes = _calibrate(sample, _nearest(x, centroids, 1)[:, 0], _nearest(asked, centroids, lists), k)
+    return Index(centroids, rotation, float(largest), int(dim), probes)
+
+
+def _calibrate(sample: np.ndarray, own: np.ndarray, order: np.ndarray, k: int) -> int:
+    """Fewest lists that hold COVERAGE of the sample queries' nearest neighbours.
+    Neighbours in a sample are farther than in the whole table, so this errs on
+    the side of more lists."""
+    ranks = []
+    for q, lists in enumerate(order):
+        score = sample @ sample[q]
+        score[q] = -np.inf
+        near = np.argsort(-score, kind="stable")[: min(k, len(sample) - 1)]
+        place = np.empty(len(lists), np.int64)
+        place[lists] = np.arange(len(lists))
+        ranks.append(place[own[near]])
+    found = np.sort(np.concatenate(ranks))
+    return int(found[math.ceil(COVERAGE * len(found)) - 1]) + 1 if len(found) else 1
 
 
 def _nearest(x: np.ndarray, centroids: np.ndarray, k: int) -> np.ndarray:
@@ -99,74 +122,101 @@ def _nearest(x: np.ndarray, centroids: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros((0, k), np.int64)
 
 
-def _assign(shared, probes: int, query: bool):
-    """Rows (list, id, blocks, v): a vector in its list, a query in each list it probes."""
+def _list_of(shared):
+    """Rows (list, id, rotated, v) of vectors."""
 
     def run(batches):
         index = shared.value
         for batch in batches:
-            ids, vectors = batch.column(0), batch.column(1)
-            if not len(ids):
-                continue
-            x = np.asarray(vectors.flatten(), np.float64).reshape(len(ids), index.dim)
-            full = np.c_[x, np.zeros(len(x))] if query else _augment(x, index.largest)
-            rotated = full @ index.rotation
-            near = _nearest(rotated, index.centroids, probes)
-            blocks = rotated.astype(np.float32)
-            packed = pa.array([r.tobytes() for r in blocks], pa.binary())
-            original = pa.array([r.tobytes() for r in x], pa.binary())
-            for k in range(near.shape[1]):
-                yield pa.RecordBatch.from_arrays([pa.array(near[:, k]), ids, packed, original], ["list", "id", "blocks", "v"])
+            ids, x = batch.column(0), _matrix(batch.column(1), index.dim)
+            rotated = _augment(x, index.largest) @ index.rotation
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_nearest(rotated, index.centroids, 1)[:, 0]), ids, _packed(rotated.astype(np.float32)), _packed(x)],
+                ["list", "id", "rotated", "v"],
+            )
 
     return run
 
 
-def scan(query: np.ndarray, blocks: list[np.ndarray], k: int) -> np.ndarray:
-    """Rows of a list that may be among the k nearest of ``query``: partial
-    distances column block by block, with a test after each."""
-    n, dim = len(blocks[0]), sum(b.shape[1] for b in blocks)
-    rows = np.arange(n)
-    if n <= k:
+def _tiles_of(shared, first: np.ndarray, parts: np.ndarray):
+    """Rows (tile, lists, id, rotated, v) of queries: once for every tile that
+    holds lists the query scans, with these lists, nearest first."""
+
+    def run(batches):
+        index = shared.value
+        for batch in batches:
+            ids, x = batch.column(0), _matrix(batch.column(1), index.dim)
+            rotated = np.c_[x, np.zeros(len(x))] @ index.rotation
+            near = _nearest(rotated, index.centroids, index.probes)
+            row, tile, lists = [], [], []
+            for i, scanned in enumerate(near):
+                held: dict[int, list[int]] = {}
+                for x_list in scanned.tolist():
+                    for t in range(first[x_list], first[x_list] + parts[x_list]):
+                        held.setdefault(t, []).append(x_list)
+                row += [i] * len(held)
+                tile += held.keys()
+                lists += held.values()
+            take = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(tile, pa.int64()), pa.array(lists, pa.list_(pa.int32())), ids.take(take),
+                    _packed(rotated.astype(np.float32)).take(take), _packed(x).take(take),
+                ],
+                ["tile", "lists", "id", "rotated", "v"],
+            )
+
+    return run
+
+
+def _matrix(vectors: pa.Array, dim: int) -> np.ndarray:
+    return np.asarray(vectors.flatten(), np.float64).reshape(-1, dim)
+
+
+def _packed(rows: np.ndarray) -> pa.Array:
+    return pa.array([r.tobytes() for r in rows], pa.binary())
+
+
+def scan(query: np.ndarray, x: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
+    """Those of ``rows`` of ``x`` that may be among the k nearest of ``query``:
+    partial distances column block by block, with a test after each."""
+    if len(rows) <= k:
         return rows
-    partial = np.zeros(n, np.float32)
+    dim = x.shape[1]
+    partial = np.zeros(len(rows), np.float32)
     bound = np.inf
-    seen = 0
-    for b in blocks:
-        width = b.shape[1]
-        part = b[rows] if len(rows) < n else b
-        diff = part - query[seen : seen + width]
+    for lo in range(0, dim, BLOCK_COLUMNS):
+        hi = min(lo + BLOCK_COLUMNS, dim)
+        diff = x[rows, lo:hi] - query[lo:hi]
         partial = partial + np.einsum("ij,ij->i", diff, diff)
-        if seen == 0:
-            # Full distances of the rows that look nearest so far bound the k-th.
-            first = np.argpartition(partial, k - 1)[:k]
-            total = sum(((c[first] - query[o : o + c.shape[1]]) ** 2).sum(axis=1) for o, c in _offsets(blocks))
-            bound = float(total.max())
-        seen += width
-        limit = bound * (1 + EPSILON / math.sqrt(seen)) ** 2 if seen < dim else bound * (1 + 1e-4) + 1e-6
-        keep = partial * (dim / seen) <= limit
+        # Full distances of the k that look nearest so far bound the k-th nearest.
+        first = np.argpartition(partial, k - 1)[:k]
+        bound = min(bound, float(((x[rows[first]] - query) ** 2).sum(axis=1).max()))
+        limit = bound * (1 + EPSILON / math.sqrt(hi)) ** 2 if hi < dim else bound * (1 + 1e-4) + 1e-6
+        keep = partial * (dim / hi) <= limit
         rows, partial = rows[keep], partial[keep]
+        if len(rows) <= k:
+            break
     return rows
 
 
-def _offsets(blocks):
-    at = 0
-    for b in blocks:
-        yield at, b
-        at += b.shape[1]
-
-
 def _search_tile(k: int):
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(queries) and len(rows):
-            rows = rows.sort_values("id", kind="stable")
-            ids = rows["id"].to_numpy()
-            x = np.frombuffer(b"".join(rows["blocks"]), np.float32).reshape(len(rows), -1)
+            rows = rows.sort_values(["list", "id"], kind="stable")
+            ids, lists = rows["id"].to_numpy(), rows["list"].to_numpy()
+            x = np.frombuffer(b"".join(rows["rotated"]), np.float32).reshape(len(rows), -1)
             v = np.frombuffer(b"".join(rows["v"]), np.float64).reshape(len(rows), -1)
-            blocks = [np.ascontiguousarray(x[:, c : c + BLOCK_COLUMNS]) for c in range(0, x.shape[1], BLOCK_COLUMNS)]
-            for q, packed, original in zip(queries["id"], queries["blocks"], queries["v"]):
-                near = scan(np.frombuffer(packed, np.float32), blocks, k + int((ids == q).sum()))
-                near = near[ids[near] != q]
+            names, starts = np.unique(lists, return_index=True)
+            span = {n: np.arange(s, e) for n, s, e in zip(names.tolist(), starts, [*starts[1:], len(lists)])}
+            for q, held, rotated, original in zip(queries["id"], queries["lists"], queries["rotated"], queries["v"]):
+                scanned = [span[n] for n in held.tolist() if n in span]
+                if not scanned:
+                    continue
+                scanned = np.concatenate(scanned)
+                scanned = scanned[ids[scanned] != q]
+                near = scan(np.frombuffer(rotated, np.float32), x, scanned, k)
                 score = (v[near] * np.frombuffer(original, np.float64)).sum(axis=1)
                 best = np.lexsort((ids[near], -score))[:k]
                 found.append(pd.DataFrame({"query_id": q, "vec_id": ids[near[best]], "score": score[best]}))
@@ -175,6 +225,24 @@ def _search_tile(k: int):
     return run
 
 
+def _pack(sizes: dict[int, int], lists: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first tile, number of tiles) of every list: small lists share a tile of
+    about TILE_ROWS rows, larger ones get as many tiles as they need."""
+    first, parts = np.zeros(lists, np.int64), np.zeros(lists, np.int64)
+    tile, room = -1, 0
+    for x in range(lists):
+        n = sizes.get(x, 0)
+        if n > TILE_ROWS:
+            first[x], parts[x] = tile + 1, -(-n // TILE_ROWS)
+            tile, room = tile + int(parts[x]), 0
+        elif n:
+            if n > room:
+                tile, room = tile + 1, TILE_ROWS
+            first[x], parts[x] = tile, 1
+            room -= n
+    return first, parts
+
+
 def nearest(
     vectors: DataFrame,
     queries: DataFrame,
@@ -200,44 +268,30 @@ def nearest(
         )
 
     rows, asked = clean(vectors), clean(queries)
-    index = fit(rows)
+    index = fit(rows, k)
     if index is None:
         return empty
     shared = spark.sparkContext.broadcast(index)
     lists = len(index.centroids)
-    probes = min(lists, max(MIN_PROBES, math.ceil(PROBE_SHARE * lists)))
-    schema = "list long, id long, blocks binary, v binary"
     same = F.size("v") == index.dim
-    root = shared_path(spark, "ann", uuid.uuid4().hex[:12])
-
-    def save(df, name):
-        df.write.parquet(f"{root}/{name}")
-        return spark.read.schema(schema).parquet(f"{root}/{name}")
-
-    listed = save(rows.where(same).mapInArrow(_assign(shared, 1, False), schema), "index")
-    probing = save(asked.where(same).mapInArrow(_assign(shared, probes, True), schema), "probes")
-
-    # Tiles of a list: row parts x query parts, by the sizes of both (one row per list).
-    def parts(df, size):
-        return {r["list"]: -(-r["n"] // size) for r in df.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-    row_parts, query_parts = parts(listed, TILE_ROWS), parts(probing, TILE_QUERIES)
-    tiles = spark.createDataFrame(
-        [(int(x), int(r), int(query_parts.get(x, 0))) for x, r in row_parts.items()], "list long, rows int, queries int"
-    )
-    tiles = F.broadcast(tiles)  # one row per list
-
-    def tiled(df, own, other):
-        part = F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own)
-        spread = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other)
-        return df.join(tiles, "list").where(f"{other} > 0").select("list", "id", "blocks", "v", part, other).select(
-            "list", "id", "blocks", "v", own, spread
-        )
-
-    keys = ["list", "rows", "queries"]
+    path = shared_path(spark, "ann", uuid.uuid4().hex[:12])
+    columns = "id long, rotated binary, v binary"
+    rows.where(same).mapInArrow(_list_of(shared), f"list long, {columns}").write.parquet(path)
+    listed = spark.read.schema(f"list long, {columns}").parquet(path)
+    # One number per list, and there are at most SAMPLE / 16 lists.
+    sizes = {r["list"]: r["n"] for r in listed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+    first, parts = _pack(sizes, lists)
+    tiles = spark.createDataFrame([(x, int(first[x]), int(parts[x])) for x in sizes], "list long, first long, parts long")
+    dealt = F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))
+    listed = listed.join(F.broadcast(tiles), "list").select(dealt.alias("tile"), "list", "id", "rotated", "v")
+
+    asked = asked.where(same)
+    parts_of_queries = max(1, -(-asked.count() // TILE_QUERIES))
+    asked = asked.mapInArrow(_tiles_of(shared, first, parts), f"tile long, lists array<int>, {columns}")
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts_of_queries)))
+    listed = listed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts_of_queries - 1).cast("long"))))
     found = (
-        tiled(probing, "queries", "rows").groupBy(*keys)
-        .cogroup(tiled(listed, "rows", "queries").groupBy(*keys))
+        asked.groupBy("tile", "part").cogroup(listed.groupBy("tile", "part"))
         .applyInPandas(_search_tile(k), "query_id long, vec_id long, score double")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
