@@ -1,0 +1,100 @@
+"""Recall against brute force, exact scores and ties, and edge cases."""
+
+import numpy as np
+import pytest
+
+from sluice.llm import ann
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def brute(rows, queries, k):
+    ok = [(i, np.array(v, np.float32).astype(float)) for i, v, *_ in rows if usable(v)]
+    ids = np.array([i for i, _ in ok])
+    x = np.array([v for _, v in ok])
+    out = {}
+    for q, v, *_ in queries:
+        if usable(v):
+            s = (x * np.array(v, np.float32).astype(float)).sum(axis=1)
+            at = np.lexsort((ids, -s))
+            out[q] = [(int(ids[i]), float(s[i])) for i in at if ids[i] != q][:k]
+    return out
+
+
+def usable(v):
+    return v is not None and len(v) > 0 and all(c is not None and np.isfinite(c) for c in v) and any(v)
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(out[r["query_id"]])
+    return out
+
+
+def test_recall_and_exact_scores(spark):
+    rng = np.random.default_rng(2)
+    centers = rng.normal(size=(12, 24))
+    x = (centers[rng.integers(0, 12, 3000)] + 0.6 * rng.normal(size=(3000, 24))) * rng.uniform(0.5, 2, (3000, 1))
+    rows = [(i, [float(c) for c in v], 0) for i, v in enumerate(x)]
+    queries = rows[::20]
+    got = found(ann.nearest(frame(spark, rows), frame(spark, queries), k=10))
+    want = brute(rows, queries, 10)
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+    x32 = x.astype(np.float32).astype(float)
+    for q, near in got.items():
+        assert q not in {i for i, _ in near} and len(near) == 10
+        assert near == sorted(near, key=lambda p: (-p[1], p[0]))
+        for i, s in near:
+            assert s == pytest.approx(float(x32[q] @ x32[i]), abs=1e-12)
+
+
+@pytest.mark.parametrize("tile_rows,tile_queries", [(16, 4), (4096, 8192)])
+def test_ties_and_a_vector_held_by_a_third(spark, monkeypatch, tile_rows, tile_queries):
+    monkeypatch.setattr(ann, "TILE_ROWS", tile_rows)
+    monkeypatch.setattr(ann, "TILE_QUERIES", tile_queries)
+    rng = np.random.default_rng(3)
+    hot = [0.5] * 8
+    rows = [(i, hot if i % 3 == 0 else [float(c) for c in rng.normal(size=8) * 0.3], 0) for i in range(300)]
+    queries = [r for r in rows if r[0] % 30 == 0]
+    got = found(ann.nearest(frame(spark, rows), frame(spark, queries), k=5))
+    want = brute(rows, queries, 5)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_unusable_vectors_and_few_candidates(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0], 0), (2, None, 0), (3, [0.0, 0.0], 0), (4, [nan, 1.0], 0), (5, [inf, 1.0], 0), (6, [None, 1.0], 0),
+        (7, [0.0, 2.0], 0), (8, [], 0), (9, [1.0, 1.0], None), (9, [1.0, 1.0], 1), (None, [1.0, 1.0], 1),
+    ]
+    got = found(ann.nearest(frame(spark, rows), frame(spark, rows), k=20))
+    assert set(got) == {1, 7, 9}
+    assert [i for i, _ in got[1]] == [9, 9, 7] and [i for i, _ in got[7]] == [9, 9, 1]
+
+
+def test_empty_and_single(spark):
+    none = frame(spark, [])
+    one = frame(spark, [(1, [1.0, 2.0], 0)])
+    assert ann.nearest(none, none).collect() == []
+    assert ann.nearest(one, one).collect() == []
+    assert ann.nearest(one, none).collect() == []
+
+
+def test_scan_keeps_the_nearest():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(2000, 65)).astype(np.float32)
+    kept = lost = total = 0
+    for _ in range(40):
+        q = (x[rng.integers(2000)] + 0.3 * rng.normal(size=65)).astype(np.float32)
+        near = np.argsort(((x - q) ** 2).sum(axis=1))[:10]
+        rows = ann.scan(q, x, np.arange(2000), 10)
+        lost += len(set(near.tolist()) - set(rows.tolist()))
+        kept += len(rows)
+        total += 10
+    assert lost <= 0.02 * total
+    assert kept < 0.3 * 40 * 2000  # most are abandoned

@@ -1,0 +1,79 @@
+"""Perspective rotation against a plain rendering of each dialogue."""
+
+import random
+
+import pytest
+
+from sluice.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def brute(rows):
+    """{(conv, side): (whole text, [mask spans])}"""
+    seen = {(c, t, r or "unknown", x or "") for c, t, r, x in rows}
+    out = {}
+    for conv in {c for c, *_ in seen}:
+        turns = sorted((m for m in seen if m[0] == conv), key=lambda m: (m[1] is not None, m[1] or 0, m[2], m[3]))
+        for side in {m[2] for m in turns} - {"system"}:
+            text, masks = "", []
+            for _, _, speaker, words in turns:
+                who = "system" if speaker == "system" else "assistant" if speaker == side else f"user name={speaker}"
+                text += f"<|im_start|>{who}\n"
+                if speaker == side:
+                    masks.append((len(text), len(text) + len(words) + len("<|im_end|>")))
+                text += f"{words}<|im_end|>\n"
+            out[conv, side] = (text, masks)
+    return out
+
+
+def check(spark, rows):
+    got = {}
+    df = spark.createDataFrame(rows, SCHEMA)
+    for r in chat.perspectives(df).orderBy("position").collect():
+        text, masks = got.setdefault((r["conv_id"], r["perspective"]), ["", []])
+        assert r["start_char"] == len(text)
+        if r["train"]:
+            masks.append((r["mask_start"], r["mask_end"]))
+        else:
+            assert r["mask_start"] is None and r["mask_end"] is None
+        got[r["conv_id"], r["perspective"]][0] = text + r["rendered"]
+    assert {k: tuple(v) for k, v in got.items()} == brute(rows)
+
+
+@pytest.mark.parametrize("block", [2, 512])
+def test_matches_plain_rendering(spark, monkeypatch, block):
+    monkeypatch.setattr(chat, "BLOCK_TURNS", block)
+    rng = random.Random(block)
+    rows = [
+        (c, t, rng.choice(["user", "assistant", "system", "ann", "bob"]), "wörd " * rng.randrange(4) + str(rng.random()))
+        for c in range(30) for t in range(rng.randrange(1, 12))
+    ]
+    check(spark, rows)
+
+
+def test_edge_cases(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_TURNS", 3)
+    rows = [
+        (1, 0, None, "a"), (1, 1, "", None), (1, 1, "user", ""), (1, None, "user", "early"), (1, -5, "user", "before"),
+        (2, 0, "system", "alone"), (None, 0, "user", "no id"), (None, 1, "bob", "neither"), (3, 0, "user", "same"), (3, 0, "user", "same"),
+        (3, 0, "user", "tie"), (4, 0, "user", "long " * 50_000), (4, 1, "assistant", "ok"),
+    ]
+    check(spark, rows)
+
+
+def test_empty_table_clashing_names_and_no_python(spark, capsys):
+    assert chat.perspectives(spark.createDataFrame([], SCHEMA)).collect() == []
+    df = spark.range(1, 2).selectExpr(
+        "id as conv_id", "0L as turn", "'user' as role", "'x' as text", "'m' as block", "'m' as train", "'m' as rendered"
+    )
+    out = chat.perspectives(df)
+    assert out.collect()[0]["rendered"] == "<|im_start|>assistant\nx<|im_end|>\n"
+    out.explain("formatted")
+    plan = capsys.readouterr().out
+    assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_large_dialogue_is_spread_over_blocks(spark):
+    rows = [(1, t, "user" if t % 2 else "ann", f"t{t}") for t in range(3000)]
+    check(spark, rows)

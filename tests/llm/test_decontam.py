@@ -1,0 +1,92 @@
+"""Decontamination against a direct search of every window in every text."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from sluice.llm import decontam
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return WORD.findall(lowered)
+
+
+def brute(docs, items):
+    windows = {}
+    for item, text in items:
+        w = words(text)
+        if item is None or not w:
+            continue
+        n = min(13, len(w))
+        for i in range(len(w) - n + 1):
+            windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+    sizes = {len(w) for w in windows}
+    out = []
+    for doc, text in docs:
+        w = words(text)
+        hit, found = set(), set()
+        for n in sizes:
+            for i in range(len(w) - n + 1):
+                if names := windows.get(tuple(w[i : i + n])):
+                    hit.update(range(i, i + n))
+                    found |= names
+        digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((doc, len(w), len(hit), len(found), digest, bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+def check(spark, docs, doc_rows, items):
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.decontaminate(docs(doc_rows), bench)
+    rows = [(r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in got.collect()]
+    assert sorted(rows, key=repr) == brute(doc_rows, items)
+
+
+def make(seed=1):
+    rng = random.Random(seed)
+    vocabulary = ["the", "of", "and"] * 20 + [f"v{i}" for i in range(60)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=rng.choice([1, 2, 3, 9, 13, 14, 30])))) for i in range(40)]
+    docs = []
+    for i in range(120):
+        parts = [" ".join(rng.choices(vocabulary, k=rng.randrange(60)))]
+        for _ in range(rng.randrange(3)):
+            w = rng.choice(items)[1].split()
+            a = rng.randrange(len(w))
+            parts += [", ".join(w[a:]).upper(), " ".join(rng.choices(vocabulary, k=rng.randrange(200)))]
+        docs.append((i, " ".join(parts)))
+    return docs, items
+
+
+def test_matches_brute_force(spark, docs):
+    check(spark, docs, *make())
+
+
+@pytest.mark.parametrize("size", [7, 40])
+def test_blocks_of_windows_change_nothing(spark, docs, monkeypatch, size):
+    monkeypatch.setattr(decontam, "BLOCK_WINDOWS", size)
+    check(spark, docs, *make(size))
+
+
+def test_edge_cases(spark, docs):
+    items = [(1, None), (2, ""), (3, "... !!"), (None, "alpha beta gamma"), (4, "naïve café"), (4, "delta"), (5, "delta"), (6, "a a a a")]
+    rows = [
+        (1, None), (2, ""), (3, "-- --"), (4, "Naïve, CAFÉ"), (5, "delta " * 3), (5, "delta " * 3), (None, "delta x"),
+        (7, "a " * 50_000), (8, "alpha beta gamma"),
+    ]
+    check(spark, docs, rows, items)
+
+
+def test_empty_tables_and_clashing_names(spark, docs):
+    bench = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert decontam.decontaminate(docs([]), bench).collect() == []
+    row = decontam.decontaminate(docs([(1, "alpha beta")]), none).collect()[0]
+    assert (row["n_hit"], row["n_items"], row["contaminated"]) == (0, 0, False)
+    df = docs([(1, "alpha beta")], extra=["n_hit", "item_id"])
+    got = decontam.decontaminate(df, bench, keep=["doc_id", "n_hit", "item_id"]).collect()[0]
+    assert (got["n_hit"], got["item_id"], got["contaminated"]) == (2, "mine", True)

@@ -1,0 +1,65 @@
+"""Phrases by position, template automata against equal regular expressions."""
+
+import random
+import re
+
+import pytest
+
+from sluice.llm import licenses
+
+
+def normal(text):
+    return " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.lower())) if text else ""
+
+
+def test_regions():
+    a = licenses.compile_template("[hello] grant of {1-2} use [as is [or not]] ends")
+    assert a.anchor == b"grant of"
+
+    def accepts(text, start=0):
+        return a.accepts(text.encode().split(), start)
+
+    assert accepts("grant of free use ends") and accepts("grant of very free use as is ends")
+    assert accepts("grant of x use as is or not ends now")
+    assert not accepts("grant of use ends") and not accepts("grant of a b c use ends")
+    assert not accepts("grant of x use as ends") and not accepts("grant of x use")
+
+
+@pytest.mark.parametrize("bad", ["[a", "a ]", "[a]", "{1-2}", "a B"])
+def test_unreadable_templates(bad):
+    with pytest.raises(ValueError):
+        licenses.compile_template(bad)
+
+
+def test_automata_equal_regular_expressions():
+    rng = random.Random(2)
+    templates = {"x": "a [b [c]] d", "y": "a {0-2} b", "z": "b c [d] {1-3} a", **licenses.TEMPLATES}
+    scanner = licenses.Scanner({}, templates)
+    notices = [re.sub(r"\{[^}]*\}", "some body", re.sub(r"[\[\],]", "", t)) for t in licenses.TEMPLATES.values()]
+    for i in range(400):
+        words = rng.choices("abcd", k=rng.randrange(12)) + (rng.choice(notices).split() if i % 2 else [])
+        if rng.random() < 0.3 and words:
+            words.pop(rng.randrange(len(words)))
+        text = " ".join(words)
+        want = {label for label, t in templates.items() if re.search(licenses.template_regex(t), normal(text))}
+        got = scanner.scan(text.encode())[5]
+        assert set(filter(None, got.split(","))) == want, text
+
+
+def test_phrases_and_edges(spark, docs):
+    long = "word " * 40_000 + "MIT License"
+    rows = [
+        (1, None), (2, ""), (3, "Licensed under the Apache License, Version 2.0."), (4, "CC BY cc-by, CC_BY"),
+        (5, "mit licenses; admit license"), (6, long), (6, long), (7, "GNU General  Public\nLicense"), (None, "cc by"),
+    ]
+    got = licenses.scan_licenses(docs(rows, extra=["labels", "row"]), keep=["doc_id", "labels", "row"]).collect()
+    by = {r["doc_id"]: r for r in got}
+    assert len(got) == len(rows) and by[1]["row"] == "mine"
+    for i in (1, 2):
+        assert (by[i]["n_words"], by[i]["n_base"], by[i]["first_word"], by[i]["labels"], by[i]["score"]) == (0, 0, None, "", 0.0)
+    assert (by[3]["first_word"], by[3]["base_labels"], by[3]["labels"]) == (3, "apache", "apache,apache-2.0")
+    assert (by[4]["n_base"], by[4]["first_word"], by[4]["last_word"], by[4]["score"]) == (3, 0, 4, 0.5)
+    assert by[5]["n_base"] == 0
+    assert (by[6]["first_word"], by[6]["n_words"]) == (40_000, 40_002)
+    assert by[7]["base_labels"] == "gpl"
+    assert licenses.scan_licenses(docs([])).collect() == []
