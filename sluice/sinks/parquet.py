@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 class IncompleteWrite(RuntimeError):
@@ -15,7 +17,7 @@ class IncompleteWrite(RuntimeError):
 @dataclass(frozen=True)
 class ExportResult:
     path: str
-    rows_expected: int | None
+    rows_expected: int
     rows_written: int
 
 
@@ -31,12 +33,17 @@ def export_parquet(
     verify: bool = True,
     rebalance: bool = False,
 ) -> ExportResult:
-    """Write ``df`` once, then count the *output* and compare with the source.
+    """Write ``df`` in one pass and compare the *output* with the source.
+
+    The source's rows are counted by the write itself (an ``Observation``), so
+    it is scanned once; the output count is answered from Parquet footers. A
+    caller who knows the count (a pushed ``COUNT(*)``) passes ``expected_rows``.
+
+    An overwrite goes to a fresh folder beside ``path``, is checked there, and
+    only then takes its place, so a failed or incomplete run leaves the old
+    files, and ``df`` may read ``path`` itself. No partition of the old output
+    survives, whatever ``partitionOverwriteMode`` the session has.
 
-    The source is not scanned three times (preview, count, write); the only
-    extra work is ``expected_rows`` (pass it when the caller already knows
-    it, e.g. from a pushed ``COUNT(*)``), else one column-free count of the
-    source. The output count is answered from Parquet footers.
     No shuffle is added by default: one file per input partition (and per
     partition value), capped by ``max_records_per_file``. With
     ``partition_by`` and many values, ``rebalance`` clusters rows by the
@@ -48,19 +55,63 @@ def export_parquet(
     spark = df.sparkSession
     if rebalance and partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode).option("compression", compression)
+    seen = Observation()
+    target = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}" if mode == "overwrite" else path
+    writer = (
+        df.observe(seen, F.count(F.lit(1)).alias("n"))
+        .write.mode("append" if mode == "append" else "errorifexists")
+        .option("compression", compression)
+        .option("partitionOverwriteMode", "static")
+    )
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if verify and expected_rows is None:
-        expected_rows = df.count()
     before = _existing_rows(spark, path) if mode == "append" else 0
-    writer.parquet(path)
-    written = spark.read.parquet(path).count() - before  # rows this write added
-    if verify and written != expected_rows:
-        raise IncompleteWrite(f"{path}: wrote {written} rows, source had {expected_rows}")
-    return ExportResult(path, expected_rows, written)
+    try:
+        writer.parquet(target)
+        # Rows this write added; an output without data files (an empty partitioned frame) has none.
+        written = _existing_rows(spark, target) - before
+        source_rows = seen.get["n"]
+        expected = source_rows if expected_rows is None else expected_rows
+        if verify and not written == expected == source_rows:
+            raise IncompleteWrite(f"{path}: wrote {written} rows, source had {expected}, {source_rows} were read")
+    except Exception:
+        if mode == "overwrite":
+            _delete(spark, target)
+        raise
+    if mode == "overwrite":
+        _publish(spark, target, path)
+    return ExportResult(path, expected, written)
+
+
+def _fs(spark, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _delete(spark, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _publish(spark, checked: str, path: str) -> None:
+    """Put a checked folder in the place of ``path``: the old one is moved
+    aside, and deleted only once the new one is there."""
+    fs, new = _fs(spark, checked)
+    _, place = _fs(spark, path)
+    _, aside = _fs(spark, f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(place)
+    if had and not fs.rename(place, aside):
+        raise OSError(f"cannot move {path} aside; the new output is in {checked}")
+    if not fs.rename(new, place):
+        if had:
+            fs.rename(aside, place)
+        raise OSError(f"cannot move {checked} to {path}")
+    if had:
+        fs.delete(aside, True)
+    spark.catalog.refreshByPath(path)
 
 
 def _existing_rows(spark, path: str) -> int:

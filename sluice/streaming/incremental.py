@@ -3,11 +3,14 @@
 Two mechanisms:
 
 * ``load_increment`` -- a high-water mark on a monotonic column (JDBC or any
-  DataFrame source). The upper mark is fixed *first*, the range
-  ``(last, upper]`` is read (the filter reaches the source), written as its own
-  batch partition (named by the low mark) with dynamic partition overwrite --
-  so re-running a batch replaces it instead of duplicating it -- and only then
-  is the new mark appended to the state table, one row per (source, table) run.
+  DataFrame source). The upper mark is fixed *first*; rows from the last mark
+  on are read (the filter reaches the source) and written as partitions named
+  by the last mark alone, with dynamic partition overwrite, so re-running a
+  batch replaces it instead of duplicating it. Rows that hold the highest mark
+  have a partition of their own, which the next run reads again and replaces:
+  a row that arrives late with exactly the stored mark isn't lost. So do rows
+  without a mark. Only then is the new mark appended to the state table, one
+  row per (source, table) run.
 * ``bookmark_files`` -- Structured Streaming's file source with an
   ``availableNow`` trigger: the checkpoint records which files were
   processed, the file sink commits exactly once. Each run picks up only new
@@ -17,6 +20,7 @@ Two mechanisms:
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 from dataclasses import dataclass
 from typing import Any
 
@@ -44,20 +48,25 @@ class IncrementResult:
     rows: int
 
 
-def read_mark(spark: SparkSession, state_path: str, source: str, table: str) -> str | None:
-    """Last committed high mark for (source, table), or None on a first run."""
+def _last_run(spark: SparkSession, state_path: str, source: str, table: str):
+    """(low mark, high mark) of the last committed run, or None."""
     try:
         state = spark.read.schema(STATE_SCHEMA).parquet(state_path)
-        row = (
+        return (
             state.filter((F.col("source") == source) & (F.col("table_name") == table))
             .orderBy(F.col("loaded_at").desc())
-            .select("high_mark")
+            .select("low_mark", "high_mark")
             .first()
         )
     except Exception as error:  # noqa: BLE001 - only "no state yet" is expected
         if "PATH_NOT_FOUND" in str(error) or "does not exist" in str(error):
             return None
         raise
+
+
+def read_mark(spark: SparkSession, state_path: str, source: str, table: str) -> str | None:
+    """Last committed high mark for (source, table), or None on a first run."""
+    row = _last_run(spark, state_path, source, table)
     return None if row is None else row["high_mark"]
 
 
@@ -70,6 +79,10 @@ def _typed(mark: str | None, dtype: T.DataType) -> Any:
         return dt.datetime.fromisoformat(mark)
     if isinstance(dtype, T.DateType):
         return dt.date.fromisoformat(mark)
+    if isinstance(dtype, T.DecimalType):
+        return decimal.Decimal(mark)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return float(mark)
     return mark
 
 
@@ -84,40 +97,60 @@ def load_increment(
     batch_column: str = "_batch",
     high_mark: Any = None,
 ) -> IncrementResult:
-    """Append the rows of ``source_df`` with ``column`` above the stored mark.
+    """Bring ``target_path`` up to ``source_df``: rows with ``column`` above the
+    stored mark, rows that share it, and rows without a mark.
 
     ``high_mark`` -- the upper mark, when the caller already has it from the
     source (e.g. ``sources.jdbc.bounds``, a pushed MAX); otherwise it is
-    computed from the pending rows before they are read for the write.
+    computed from the pending rows before they are read for the write. The
+    result counts the rows the target has gained.
     """
     spark = source_df.sparkSession
     dtype = source_df.schema[column].dataType
-    low = _typed(read_mark(spark, state_path, source, table), dtype)
-    pending = source_df if low is None else source_df.filter(F.col(column) > F.lit(low))
-    high = high_mark if high_mark is not None else pending.agg(F.max(column).alias("m")).first()["m"]
-    if high is not None and low is not None and high <= low:
-        high = None
-    if high is None:
-        return IncrementResult(low, low, 0)
-    batch = pending.filter(F.col(column) <= F.lit(high))
-    # The batch is named by its *low* mark only: a run that wrote data but
-    # died before recording the new mark is redone from the same low mark
-    # and overwrites this same partition, even if the source grew meanwhile.
-    batch_id = "initial" if low is None else f"after_{low}"
+    last = _last_run(spark, state_path, source, table)
+    low = None if last is None else _typed(last["high_mark"], dtype)
+    mark = F.col(f"`{column}`")
+    pending = source_df if low is None else source_df.filter((mark >= F.lit(low)) | mark.isNull())
+    high = high_mark if high_mark is not None else pending.agg(F.max(mark).alias("m")).first()["m"]
+    if high is None or (low is not None and high < low):
+        high = low
+    batch = pending if high is None else pending.filter((mark <= F.lit(high)) | mark.isNull())
+    # Partitions are named by *low* marks only: a run that wrote data but died
+    # before recording the new mark is redone from the same low mark and
+    # overwrites the same partitions, even if the source grew meanwhile.
+    name = F.when(mark.isNull(), F.lit("no_mark"))
+    if low is not None:
+        tied = "first" if last["low_mark"] is None else f"from_{last['low_mark']}"
+        name = name.when(mark == F.lit(low), F.lit(f"top_{tied}"))
+    run = "first" if low is None else f"from_{low}"
+    if high is not None and high != low:
+        name = name.when(mark == F.lit(high), F.lit(f"top_{run}"))
+    before = _rows_under(spark, target_path)
     (
-        batch.withColumn(batch_column, F.lit(batch_id))
+        batch.withColumn(batch_column, name.otherwise(F.lit(f"below_{run}")))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(batch_column)
         .parquet(target_path)
     )
-    rows = spark.read.parquet(target_path).filter(F.col(batch_column) == batch_id).count()
-    loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    state_row = (source, table, column, None if low is None else str(low), str(high), rows, loaded_at)
-    spark.createDataFrame([state_row], STATE_SCHEMA).write.mode("append").parquet(state_path)
+    rows = _rows_under(spark, target_path) - before
+    if high != low:
+        loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        state_row = (source, table, column, None if low is None else str(low), str(high), rows, loaded_at)
+        spark.createDataFrame([state_row], STATE_SCHEMA).write.mode("append").parquet(state_path)
     return IncrementResult(low, high, rows)
 
 
+def _rows_under(spark: SparkSession, path: str) -> int:
+    """Rows of a Parquet folder by its footers; 0 where there is none yet."""
+    try:
+        return spark.read.parquet(path).count()
+    except Exception as error:  # noqa: BLE001 - only "nothing there" is expected
+        if any(x in str(error) for x in ("PATH_NOT_FOUND", "does not exist", "UNABLE_TO_INFER_SCHEMA")):
+            return 0
+        raise
+
+
 def read_loaded(spark: SparkSession, target_path: str, batch_column: str = "_batch") -> DataFrame:
     """Everything loaded so far, without the batch column."""
     return spark.read.parquet(target_path).drop(batch_column)
@@ -135,8 +168,10 @@ def bookmark_files(
 ) -> int:
     """Process the files in ``landing_path`` not seen by earlier runs, then stop.
 
-    Returns the number of input rows of this run (from the query progress).
+    Returns the rows this run added to the target, counted there before and
+    after (the progress reports a query keeps are a bounded window).
     """
+    before = _rows_under(spark, target_path)
     reader = spark.readStream.schema(schema).format(file_format)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -151,4 +186,4 @@ def bookmark_files(
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))
+    return _rows_under(spark, target_path) - before

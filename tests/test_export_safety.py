@@ -1,0 +1,53 @@
+"""Exports keep the old output until the new one is checked, under the package's own session settings."""
+
+import pytest
+
+from sluice.session import DEFAULT_CONF
+from sluice.sinks.parquet import IncompleteWrite, export_parquet
+
+
+@pytest.fixture(autouse=True)
+def own_settings(spark):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", DEFAULT_CONF["spark.sql.sources.partitionOverwriteMode"])
+    yield
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+
+
+def test_filtered_read_back_to_its_own_path(spark, tmp_path):
+    path = str(tmp_path / "t")
+    export_parquet(spark.range(10), path)
+    r = export_parquet(spark.read.parquet(path).where("id < 4"), path)
+    assert (r.rows_expected, r.rows_written) == (4, 4)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_vanished_partitions_go(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(10).selectExpr("id", "id % 2 as p")
+    export_parquet(df, path, partition_by=["p"])
+    assert export_parquet(df.where("p = 0"), path, partition_by=["p"]).rows_written == 5
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_failed_check_keeps_the_old_output(spark, tmp_path):
+    path = str(tmp_path / "t")
+    export_parquet(spark.range(10), path)
+    with pytest.raises(IncompleteWrite):
+        export_parquet(spark.range(3), path, expected_rows=4)
+    assert spark.read.parquet(path).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_failed_write_keeps_the_old_output(spark, tmp_path):
+    path = str(tmp_path / "t")
+    export_parquet(spark.range(10), path)
+    with pytest.raises(Exception, match="boom"):
+        export_parquet(spark.range(3).selectExpr("if(id > 1, raise_error('boom'), id) as id"), path)
+    assert spark.read.parquet(path).count() == 10
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_empty_frames(spark, tmp_path):
+    assert export_parquet(spark.range(0), str(tmp_path / "a")).rows_written == 0
+    assert export_parquet(spark.range(0).selectExpr("id", "id as p"), str(tmp_path / "b"), partition_by=["p"]).rows_written == 0

@@ -67,3 +67,37 @@ def test_rerun_after_lost_mark_does_not_duplicate(spark, tmp_path):
     assert (r.low_mark, r.high_mark) == (499, 1499)
     loaded = read_loaded(spark, target)
     assert loaded.count() == 1500 and loaded.exceptAll(o).isEmpty()
+
+
+def test_null_marks_and_late_ties_are_loaded(spark, tmp_path):
+    target, state = str(tmp_path / "t"), str(tmp_path / "s")
+
+    def run(rows):
+        return load_increment(spark.createDataFrame(rows, "m int, v string"), target, "m", state, source="s", table="t")
+
+    rows = [(1, "a"), (2, "b"), (None, "n")]
+    assert run(rows).rows == 3
+    rows.append((2, "late tie"))
+    assert run(rows).rows == 1
+    rows += [(None, "n2"), (3, "c")]
+    assert run(rows).rows == 2
+    assert run(rows).rows == 0
+    rows += [(3, "tie of the new top"), (5, "e"), (4, "d")]
+    assert run(rows).rows == 3
+    assert sorted(read_loaded(spark, target).collect(), key=str) == sorted(spark.createDataFrame(rows, "m int, v string").collect(), key=str)
+
+
+def test_only_null_marks(spark, tmp_path):
+    target, state = str(tmp_path / "t"), str(tmp_path / "s")
+    for rows, added in (([(None, "x")], 1), ([(None, "x"), (None, "y")], 1), ([(None, "x"), (None, "y"), (1, "z")], 1)):
+        r = load_increment(spark.createDataFrame(rows, "m int, v string"), target, "m", state, source="s", table="t")
+        assert r.rows == added
+    assert read_loaded(spark, target).count() == 3
+
+
+def test_bookmark_counts_more_batches_than_the_progress_window(spark, tmp_path):
+    landing, target, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
+    df = spark.range(130).repartition(130)
+    df.write.option("maxRecordsPerFile", 1).parquet(landing)
+    n = bookmark_files(spark, landing, df.schema, target, ckpt, max_files_per_trigger=1)
+    assert n == 130 == spark.read.parquet(target).count()
