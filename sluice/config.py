@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 # Option keys whose values never appear in logs or reprs.
@@ -58,10 +59,11 @@ class JdbcConfig:
 
 
 def redact_url(url: str) -> str:
-    """Hide ``password=`` / ``pwd=`` values inside a JDBC URL."""
-    import re
-
-    return re.sub(r"(?i)((?:password|pwd)=)[^;&]*", r"\1******", url)
+    """Hide the secrets of a JDBC URL: ``password=`` / ``pwd=`` values (in
+    quotes or braces they may hold separators) and ``user:password@``."""
+    secret = r"""(?i)((?:password|pwd)\s*=\s*)(\{[^}]*\}|"[^"]*"|'[^']*'|[^;&?#]*)"""
+    hidden = re.sub(secret, r"\1******", url)
+    return re.sub(r"(//[^/?#;:@]*):[^/?#]*@", r"\1:******@", hidden)
 
 
 def derby_memory(name: str) -> JdbcConfig:

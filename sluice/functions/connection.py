@@ -24,29 +24,22 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _after_slashes(u: Column) -> Column:
-    """The text between the first ``//`` and the next one (or the end)."""
-    return F.substring_index(F.substring(u, F.instr(u, "//") + 2, F.length(u).cast("int")), "//", 1)
+def _plain_url(url: str | Column) -> Column:
+    """The URL without its ``jdbc:`` prefix and ``;`` options, as ``parse_url`` reads it."""
+    return F.split_part(F.regexp_replace(_col(url), "^jdbc:", ""), F.lit(";"), F.lit(1))
 
 
 def jdbc_host(url: str | Column) -> Column:
-    """Host of a JDBC / HTTP URL: after ``//``, up to the first ``:`` if the
-    rest has one, else up to the first ``/``. NULL when there is no ``//``."""
-    u = _col(url)
-    rest = _after_slashes(u)
-    host = F.when(
-        F.instr(rest, ":") > 0, F.substring_index(rest, ":", 1)
-    ).otherwise(F.substring_index(rest, "/", 1))
-    return F.when(F.instr(u, "//") > 0, host)
+    """Host of a JDBC / HTTP URL by the URL grammar: user info, port, path and
+    query are no part of it. NULL without a host or for no URL at all."""
+    return F.try_parse_url(_plain_url(url), F.lit("HOST"))
 
 
 def jdbc_database(url: str | Column) -> Column:
-    """Database of a JDBC URL: the last ``/`` segment, before any ``?``.
-    NULL when there is no path after the host or the segment is empty."""
-    u = _col(url)
-    rest = _after_slashes(u)
-    db = F.substring_index(F.substring_index(u, "/", -1), "?", 1)
-    return F.when((F.instr(u, "//") > 0) & (F.instr(rest, "/") > 0), F.nullif(db, F.lit("")))
+    """Database of a JDBC URL: the last segment of its path, without query and
+    ``;`` options. NULL when there is none."""
+    path = F.try_parse_url(_plain_url(url), F.lit("PATH"))
+    return F.nullif(F.split_part(path, F.lit("/"), F.lit(-1)), F.lit(""))
 
 
 def redact_map(m: str | Column, keys: Sequence[str] = SECRET_KEYS) -> Column:

@@ -12,14 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import (
-    BROADCAST_MAX_ROWS,
-    broadcast_if_bounded,
-    hot_keys,
-    salt_replicate,
-    salt_spread,
-    shuffled,
-)
+from sluice.operators.joins import hot_keys, salt_replicate, salt_spread
 
 
 def exact_mean(value: str, scale: int | None = None) -> Column:
@@ -89,7 +82,6 @@ def project_participation(
     department_name: str,
     assignment_project: str,
     assignment_member: str,
-    department_broadcast_rows: int = BROADCAST_MAX_ROWS,
     hot_key_share: float | None = None,
     hot_key_splits: int = 32,
 ) -> DataFrame:
@@ -97,10 +89,9 @@ def project_participation(
     number of distinct members per (project name, budget, department name),
     ordered by budget descending.
 
-    Join order: projects with departments first -- the department side is
-    broadcast only when a bounded count proves it small -- then with the
-    assignments, which grow with the data and are always joined by shuffle
-    on the project key. The frames keep their own column names under table
+    Projects are joined with departments first, then with the assignments.
+    No join is hinted: AQE broadcasts a side whose measured size allows it and
+    shuffles otherwise. The frames keep their own column names under table
     aliases, so when the project key is also a grouping column (a name that
     is the key) both phases of the distinct aggregate reuse the join's hash
     partitioning: the assignments are shuffled exactly once.
@@ -115,8 +106,8 @@ def project_participation(
     so the counts are unchanged; the aggregate then needs its own exchange.
     """
     p = projects.alias("p")
-    d = broadcast_if_bounded(departments, department_broadcast_rows).alias("d")
-    a = shuffled(assignments).alias("ep")
+    d = departments.alias("d")
+    a = assignments.alias("ep")
     head = p.join(d, F.col(f"p.{project_department}") == F.col(f"d.{department_id}"))
     on = F.col(f"p.{project_id}") == F.col(f"ep.{assignment_project}")
     hot = hot_keys(assignments, assignment_project, min_share=hot_key_share) if hot_key_share else []
@@ -173,50 +164,47 @@ def preview(df: DataFrame, n: int, order_by: Sequence[str | Column]) -> DataFram
     return df.orderBy(*order_by).limit(n)
 
 
-def department_stats_sql(spark, employees_view: str) -> DataFrame:
-    """The grouped statistics as SQL text over a session view (the form the
-    queries are written in by hand); Catalyst produces the same plan as
-    ``group_count_avg``."""
+def grouped_stats_sql(spark, view: str, key: str, value: str) -> DataFrame:
+    """``group_count_avg`` written as SQL over a session view: row count and
+    plain average per key, most rows first. Same plan."""
     return spark.sql(
-        f"""
-        SELECT e.department, COUNT(*) AS employee_count,
-               CAST(SUM(CAST(e.salary AS DECIMAL(18,2))) AS DOUBLE) / COUNT(e.salary) AS avg_salary
-        FROM `{employees_view}` e
-        GROUP BY e.department
-        ORDER BY employee_count DESC, e.department
-        """
+        f"SELECT {quote(key)}, count(*) AS employee_count, avg({quote(value)}) AS avg_salary "
+        f"FROM {quote(view)} GROUP BY ALL ORDER BY 2 DESC, 1"
     )
 
 
-def project_participation_sql(
+def participation_sql(
     spark,
-    projects_view: str,
-    departments_view: str,
-    assignments_view: str,
+    views: Sequence[str],
     *,
-    department_broadcast_rows: int = BROADCAST_MAX_ROWS,
+    project: Sequence[str],
+    department: Sequence[str],
+    assignment: Sequence[str],
 ) -> DataFrame:
-    """The project participation query as SQL text over session views with the
-    HR column names (projects: id, name, budget, department_id; departments:
-    id, name; assignments: project_id, employee_id). Join hints carry the same
-    strategy as ``project_participation``: departments broadcast only when a
-    bounded count proves them small, assignments always sort-merged."""
-    from sluice.operators.joins import has_at_most
-
-    hints = ["MERGE(ep)"]
-    if has_at_most(spark.table(f"`{departments_view}`"), department_broadcast_rows):
-        hints.append("BROADCAST(d)")
+    """``project_participation`` written as SQL over three session views
+    (projects, departments, assignments). ``project``: its id, name, budget and
+    department columns; ``department``: id and name; ``assignment``: project
+    and member. The members of each project are made distinct before the join,
+    so a hot project brings one row per member to it."""
+    projects, departments, assignments = map(quote, views)
+    p_id, p_name, p_budget, p_department = map(quote, project)
+    d_id, d_name = map(quote, department)
+    a_project, a_member = map(quote, assignment)
     return spark.sql(
         f"""
-        SELECT /*+ {', '.join(hints)} */
-            p.name AS project_name,
-            p.budget AS project_budget,
-            d.name AS department_name,
-            COUNT(DISTINCT ep.employee_id) AS employee_count
-        FROM `{projects_view}` p
-        JOIN `{departments_view}` d ON p.department_id = d.id
-        JOIN `{assignments_view}` ep ON p.id = ep.project_id
-        GROUP BY p.name, p.budget, d.name
+        WITH members AS (SELECT DISTINCT {a_project} AS pid, {a_member} AS member FROM {assignments}),
+        named AS (
+          SELECT x.{p_id} AS pid, x.{p_name} AS project_name, x.{p_budget} AS project_budget, y.{d_name} AS department_name
+          FROM {projects} AS x INNER JOIN {departments} AS y ON y.{d_id} = x.{p_department}
+        )
+        SELECT project_name, project_budget, department_name, count(DISTINCT member) AS employee_count
+        FROM named INNER JOIN members USING (pid)
+        GROUP BY project_name, project_budget, department_name
         ORDER BY project_budget DESC, project_name, department_name
         """
     )
+
+
+def quote(name: str) -> str:
+    """One back-quoted identifier."""
+    return "`" + name.replace("`", "``") + "`"

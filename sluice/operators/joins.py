@@ -1,16 +1,7 @@
-"""Join strategy helpers: broadcast only what is proven small.
+"""Skew helpers for joins: finding hot keys and salting them.
 
-Spark's static broadcast choice rests on a size *estimate* (compressed file
-bytes x projection), which can be far below the in-memory size and changes
-with the scale factor -- the same plan broadcasts a fact table at 1 GB and
-sort-merges it at 100 TB. Here a side is broadcast only after an exact,
-distributed count proves it holds at most ``max_rows`` rows (partial counts
-per task, one row per partition to the driver; a column-free scan on
-Parquet). ``limit(n + 1).count()`` is *not* used: Spark plans it as a
-local limit per task followed by a shuffle of up to n rows per task into a
-single partition. Otherwise the join is pinned to sort-merge, which spills
-instead of failing and keeps the key partitioning for the operators above
-it.
+How a side is joined is left to Catalyst and AQE, which choose from measured
+shuffle sizes at run time; nothing here forces a broadcast or a sort-merge.
 """
 
 from __future__ import annotations
@@ -21,29 +12,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest side broadcast without further thought: at ~100 bytes per row of a
-# narrow key/value projection this stays well below the executor memory a
-# hash relation may take.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (exact count)."""
-    return df.count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its counted rows are <= ``max_rows``, else a
-    sort-merge hint so an estimate cannot broadcast it."""
-    if has_at_most(df, max_rows):
-        return df.hint("broadcast")
-    return df.hint("merge")
-
-
-def shuffled(df: DataFrame) -> DataFrame:
-    """Mark a side that grows with the data (a fact table): always joined by
-    shuffle + sort-merge, never broadcast."""
-    return df.hint("merge")
+# Sampled rows that decide whether a key is hot, at least (all rows of a smaller frame).
+MIN_SAMPLE = 20_000
 
 
 def hot_keys(
@@ -55,23 +25,18 @@ def hot_keys(
     seed: int = 17,
 ) -> list[Any]:
     """Values of ``key`` that hold at least ``min_share`` of the rows,
-    estimated from a ``sample_fraction`` sample (one scan of the key column;
-    the total comes from a column-free count). At most about ``1 / min_share``
-    values can qualify; the result is capped at twice that, heaviest first,
-    so the list brought to the driver is bounded by construction."""
+    estimated from a sample (one scan of the key column; the total comes from
+    a column-free count). Every value over the threshold is returned; with at
+    least MIN_SAMPLE rows sampled there are about ``1 / min_share`` at most,
+    since each holds that share of the sample."""
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be in (0, 1]")
-    threshold = max(1.0, min_share * df.count() * sample_fraction)
-    counts = (
-        df.select(key)
-        .sample(fraction=sample_fraction, seed=seed)
-        .filter(F.col(key).isNotNull())
-        .groupBy(key)
-        .count()
-        .filter(F.col("count") >= threshold)
-    )
-    top = counts.orderBy(F.col("count").desc()).limit(int(2 / min_share))  # top-k, not a global sort
-    return [r[key] for r in top.collect()]
+    total = df.count()
+    fraction = min(1.0, max(sample_fraction, MIN_SAMPLE / max(total, 1)))
+    keys = df.select(key) if fraction == 1.0 else df.select(key).sample(fraction=fraction, seed=seed)
+    counts = keys.filter(F.col(key).isNotNull()).groupBy(key).count()
+    threshold = max(2.0, min_share * total * fraction)
+    return [r[key] for r in counts.filter(F.col("count") >= threshold).orderBy(F.col("count").desc(), key).collect()]
 
 
 def salt_spread(key: Column, hot: Sequence[Any], spread: Column, splits: int) -> Column:

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_bounded
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -52,15 +51,14 @@ def check_foreign_key(
     child_keys: Sequence[str],
     parent_keys: Sequence[str] | None = None,
     count_name: str = "n_rows",
-    parent_broadcast_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Child key values with no parent row, and how many child rows carry them.
 
-    NULL child keys are not violations (SQL foreign-key semantics). The child
-    is reduced to distinct keys with counts *before* the anti join, so the
-    join shuffles one row per key, not one per child row; the aggregate's
-    output partitioning is reused by the join on the child side. The parent
-    keys are broadcast only when a bounded count proves them small.
+    NULL child keys are not violations (SQL foreign-key semantics). Orphans are
+    counted per key after the anti join. AQE chooses the join: with a small
+    parent it is a broadcast and only orphans are shuffled for the count; else
+    both sides are shuffled once on the key, a skewed child partition can be
+    split, and the count reuses that partitioning where none was.
     """
     parent_keys = list(parent_keys or child_keys)
     if len(parent_keys) != len(child_keys):
@@ -69,9 +67,7 @@ def check_foreign_key(
     for k in child_keys:
         not_null = not_null & F.col(k).isNotNull()
     keyed = child.filter(not_null).groupBy(*child_keys).agg(F.count(F.lit(1)).alias(count_name))
-    par = broadcast_if_bounded(
-        parent.select([F.col(p).alias(f"_p{i}") for i, p in enumerate(parent_keys)]), parent_broadcast_rows
-    )
+    par = parent.select([F.col(p).alias(f"_p{i}") for i, p in enumerate(parent_keys)])
     cond = None
     for i, k in enumerate(child_keys):
         term = keyed[k] == par[f"_p{i}"]

@@ -7,8 +7,8 @@ o_totalprice = budget, o_custkey = department), customer rows are departments
 (c_name) and employees (c_mktsegment = department, c_acctbal = salary),
 lineitem rows are assignments (l_orderkey = project, l_suppkey = employee).
 
-JDBC keys load the input into an embedded in-memory Derby database first
-(it lives inside the Spark JVM: no server, no port) and read it back.
+JDBC reads and writes need a database, which only one process here could see,
+so they are no queries; tests run them (``tests/test_jdbc_queries.py``).
 """
 
 from __future__ import annotations
@@ -19,16 +19,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.config import JdbcConfig, derby_memory
 from sluice.functions.connection import first_present, jdbc_database, jdbc_host, redact_map, round2
 from sluice.operators import analytics as A
 from sluice.operators import quality as Q
 from sluice.operators.keys import assign_keys
+from sluice.operators.ranges import key_ranges
 from sluice.session import shared_path
-from sluice.sinks import jdbc as JW
 from sluice.sinks import tables as TB
-from sluice.sinks.parquet import export_parquet, extract_to_parquet
-from sluice.sources import jdbc as JR
+from sluice.sinks.parquet import export_parquet
 from sluice.sources.catalog import read_parquet_table
 from sluice.streaming.incremental import bookmark_files, load_increment, read_loaded
 
@@ -40,15 +38,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet_table(spark, sf_dir, name)
 
 
-def _derby(spark: SparkSession, sf_dir: str, *names: str) -> JdbcConfig:
-    """A fresh in-memory Derby database holding the named driver tables
-    (table name upper-cased, column names kept as they are)."""
-    cfg = derby_memory(f"sluice_{uuid.uuid4().hex[:12]}")
-    for n in names:
-        JW.write_jdbc(table(spark, sf_dir, n), cfg, n.upper(), mode="overwrite")
-    return cfg
-
-
 def _ns(spark: SparkSession) -> str:
     ns = "sluice_q"
     TB.create_namespace(spark, ns, shared_path(spark, "namespaces", ns, unique=False))
@@ -75,6 +64,7 @@ def join3_count_distinct(spark: SparkSession, d: str) -> DataFrame:
         department_name="c_name",
         assignment_project="l_orderkey",
         assignment_member="l_suppkey",
+        hot_key_share=0.05,
     )
 
 
@@ -85,24 +75,22 @@ def _view(df: DataFrame, name: str) -> str:
 
 
 def join3_count_distinct_sql(spark: SparkSession, d: str) -> DataFrame:
-    projects = table(spark, d, "orders").select(
-        F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("name"),
-        F.col("o_totalprice").alias("budget"), F.col("o_custkey").alias("department_id"),
-    )
-    departments = table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
-    assignments = table(spark, d, "lineitem").select(
-        F.col("l_orderkey").alias("project_id"), F.col("l_suppkey").alias("employee_id")
-    )
-    return A.project_participation_sql(
-        spark, _view(projects, "projects"), _view(departments, "departments"), _view(assignments, "employee_projects")
+    views = [_view(table(spark, d, n), n) for n in ("orders", "customer", "lineitem")]
+    return A.participation_sql(
+        spark,
+        views,
+        project=("o_orderkey", "o_orderkey", "o_totalprice", "o_custkey"),
+        department=("c_custkey", "c_name"),
+        assignment=("l_orderkey", "l_suppkey"),
     )
 
 
 def group_count_avg_sql(spark: SparkSession, d: str) -> DataFrame:
-    employees = table(spark, d, "customer").select(
-        F.col("c_mktsegment").alias("department"), F.col("c_acctbal").alias("salary")
+    view = _view(table(spark, d, "customer"), "employees")
+    # The sum of doubles depends on the order of addition: compared to 6 places.
+    return A.grouped_stats_sql(spark, view, "c_mktsegment", "c_acctbal").select(
+        F.col("c_mktsegment").alias("department"), "employee_count", F.round("avg_salary", 6).alias("avg_salary")
     )
-    return A.department_stats_sql(spark, _view(employees, "employees"))
 
 
 def group_count_avg(spark: SparkSession, d: str) -> DataFrame:
@@ -136,108 +124,71 @@ def preview_rows(spark: SparkSession, d: str) -> DataFrame:
     return A.preview(table(spark, d, "orders"), 5, ["o_orderkey"])
 
 
-# --------------------------------------------------------------------- JDBC
-
-
-def partition_bounds(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "orders")
-    return JR.bounds_frame(spark, cfg, "ORDERS", "o_orderkey")
+# -------------------------------------------------------- read planning, tables
 
 
-def _catalog(spark: SparkSession, cfg: JdbcConfig) -> str:
-    return JR.register_catalog(spark, f"src_{uuid.uuid4().hex[:8]}", cfg)
+def key_bounds(spark: SparkSession, d: str) -> DataFrame:
+    return A.min_max(table(spark, d, "orders"), "o_orderkey")
 
 
-def partition_bounds_catalog(spark: SparkSession, d: str) -> DataFrame:
-    cat = _catalog(spark, _derby(spark, d, "orders"))
-    return JR.catalog_bounds(spark, f"{cat}.APP.ORDERS", "o_orderkey")
-
-
-def catalog_top_orders(spark: SparkSession, d: str) -> DataFrame:
-    cat = _catalog(spark, _derby(spark, d, "orders"))
-    orders = spark.table(f"{cat}.APP.ORDERS")
-    return A.filter_not_in_top(
-        orders,
-        equals={"o_orderstatus": "F"},
-        not_in={"o_orderpriority": ["5-LOW"]},
-        order_by=[F.col("o_totalprice").desc(), F.col("o_orderkey")],
-        limit=10,
+def key_range_plan(spark: SparkSession, d: str) -> DataFrame:
+    """How often the rows of orders fall into the ranges planned over a key
+    with NULLs and a hot value: each must fall into exactly one."""
+    keyed = table(spark, d, "orders").withColumn(
+        "k", F.expr("CASE WHEN o_custkey % 7 = 0 THEN NULL WHEN o_custkey % 3 = 0 THEN 3 ELSE o_custkey END")
+    )
+    ranges = key_ranges(keyed, "k", 8, spread="o_orderkey")
+    hits = sum((F.expr(f"coalesce({r}, false)").cast("int") for r in ranges[1:]), F.expr(f"coalesce({ranges[0]}, false)").cast("int"))
+    return (
+        keyed.select(hits.alias("n_ranges"), F.col("k").isNull().alias("no_key"))
+        .groupBy("n_ranges", "no_key").agg(F.count(F.lit(1)).alias("n_rows"))
     )
 
 
-def source_inventory_catalog(spark: SparkSession, d: str) -> DataFrame:
-    cat = _catalog(spark, _derby(spark, d, "customer", "orders", "supplier"))
-    return JR.catalog_inventory(spark, cat, "APP")
-
-
-def jdbc_read_table(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "orders")
-    return JR.read_table(spark, cfg, "ORDERS")
-
-
-def jdbc_read_partitioned(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "orders")
-    return JR.read_partitioned(spark, cfg, "ORDERS", "o_orderkey", 8)
-
-
-def jdbc_read_predicates(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "orders")
-    preds = JR.balanced_predicates(spark, cfg, "ORDERS", "o_orderpriority", 8)
-    return JR.read_by_predicates(spark, cfg, "ORDERS", preds)
-
-
-def jdbc_read_balanced(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "orders")
-    return JR.read_balanced(spark, cfg, "ORDERS", "o_custkey", 8)
-
-
-def jdbc_read_query(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "orders")
-    q = cfg.quote
-    sql = (
-        f"SELECT {q('o_orderkey')}, {q('o_custkey')}, {q('o_totalprice')} FROM ORDERS "
-        f"WHERE {q('o_orderstatus')} = 'F'"
+def derived_table(spark: SparkSession, d: str) -> DataFrame:
+    view = _view(table(spark, d, "orders"), "orders")
+    return spark.sql(
+        f"SELECT s.o_orderstatus, s.n_orders, s.max_totalprice FROM (SELECT o_orderstatus, count(*) AS n_orders, "
+        f"max(o_totalprice) AS max_totalprice FROM {view} GROUP BY o_orderstatus) s WHERE s.n_orders > 0"
     )
-    return JR.read_query(spark, cfg, sql)
 
 
-def jdbc_read_subquery(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "orders")
-    q = cfg.quote
-    sql = (
-        f"SELECT {q('o_orderstatus')}, COUNT(*) AS {q('n_orders')}, "
-        f"MAX({q('o_totalprice')}) AS {q('max_totalprice')} FROM ORDERS GROUP BY {q('o_orderstatus')}"
-    )
-    return JR.read_subquery(spark, cfg, sql, "by_status").withColumn(
-        "n_orders", F.col("n_orders").cast("bigint")
-    )
+def _created(spark: SparkSession, src: DataFrame, name: str, defaults: dict[str, str] | None = None, extra: tuple = ()) -> str:
+    base = TB.spec_from_frame(_uniq(name), src)
+    spec = TB.TableSpec(base.name, (*base.columns, *extra), defaults=defaults or {})
+    ns = _ns(spark)
+    TB.create_table(spark, spec, ns)
+    return TB.create_table(spark, spec, ns)  # it is there: a no-op
 
 
-def jdbc_append(spark: SparkSession, d: str) -> DataFrame:
-    cfg = derby_memory(f"sluice_{uuid.uuid4().hex[:12]}")
-    customer = table(spark, d, "customer")
-    first = JW.append_counted(customer, cfg, "CUSTOMER")
-    JW.append_counted(customer, cfg, "CUSTOMER", expected_rows=first, batchsize=500)
-    return JR.read_table(spark, cfg, "CUSTOMER")
+def create_if_not_exists(spark: SparkSession, d: str) -> DataFrame:
+    src = table(spark, d, "customer")
+    t = _created(spark, src, "customer")
+    TB.insert_by_name(spark, t, src.select(*reversed(src.columns)))
+    return spark.table(t)
 
 
-def jdbc_overwrite_truncate(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "customer")
-    subset = table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING")
-    JW.write_jdbc(subset, cfg, "CUSTOMER", mode="overwrite", truncate=True)
-    return JR.read_table(spark, cfg, "CUSTOMER")
+def append_twice(spark: SparkSession, d: str) -> DataFrame:
+    src = table(spark, d, "customer")
+    t = _created(spark, src, "customer")
+    for _ in range(2):
+        TB.insert_by_name(spark, t, src)
+    return spark.table(t)
 
 
-def jdbc_truncate(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "customer")
-    JW.truncate_table(spark, cfg, "CUSTOMER")
-    return JR.read_table(spark, cfg, "CUSTOMER")
+def default_column(spark: SparkSession, d: str) -> DataFrame:
+    src = table(spark, d, "orders")
+    t = _created(spark, src, "orders", {"created_at": "current_timestamp()"}, (("created_at", "timestamp"),))
+    TB.insert_by_name(spark, t, src)
+    return spark.table(t).withColumn("created_at", F.col("created_at").isNotNull()).withColumnRenamed("created_at", "has_created_at")
 
 
-def source_inventory(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "customer", "orders", "supplier")
-    keys = {"customer": "c_custkey", "orders": "o_orderkey", "supplier": "s_suppkey"}
-    return JR.source_inventory(spark, cfg, "APP", key_columns=keys)
+def truncate_count(spark: SparkSession, d: str) -> DataFrame:
+    spec, ns = _load(spark, d, "customer", ("c_mktsegment",))
+    before = A.row_count(TB.read_table(spark, spec, ns), "rows_before").checkpoint()  # the table is emptied below
+    TB.truncate(spark, spec, namespace=ns, base=shared_path(spark, "tables", unique=False))
+    after = TB.read_table(spark, spec, ns)
+    return before.crossJoin(A.row_count(after, "rows_after")).withColumn("is_empty", F.lit(Q.is_empty(after)))
 
 
 # ------------------------------------------------------------ files, tables
@@ -249,14 +200,6 @@ def export_parquet_q(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(res.path)
 
 
-def jdbc_extract_parquet(spark: SparkSession, d: str) -> DataFrame:
-    cfg = _derby(spark, d, "orders")
-    res = extract_to_parquet(
-        spark, cfg, "ORDERS", shared_path(spark, "extract", "orders"), partition_column="o_orderkey", num_partitions=8
-    )
-    return spark.read.parquet(res.path)
-
-
 def _load(spark: SparkSession, d: str, name: str, parts: tuple[str, ...]) -> tuple[TB.TableSpec, str]:
     ns = _ns(spark)
     src = table(spark, d, name)
@@ -414,22 +357,14 @@ QUERIES: dict[str, QueryFn] = {
     "row_count": row_count,
     "filter_not_in_limit": filter_not_in_limit,
     "preview_rows": preview_rows,
-    "partition_bounds": partition_bounds,
-    "partition_bounds_catalog": partition_bounds_catalog,
-    "catalog_top_orders": catalog_top_orders,
-    "source_inventory_catalog": source_inventory_catalog,
-    "jdbc_read_table": jdbc_read_table,
-    "jdbc_read_partitioned": jdbc_read_partitioned,
-    "jdbc_read_predicates": jdbc_read_predicates,
-    "jdbc_read_balanced": jdbc_read_balanced,
-    "jdbc_read_query": jdbc_read_query,
-    "jdbc_read_subquery": jdbc_read_subquery,
-    "jdbc_append": jdbc_append,
-    "jdbc_overwrite_truncate": jdbc_overwrite_truncate,
-    "jdbc_truncate": jdbc_truncate,
-    "source_inventory": source_inventory,
+    "key_bounds": key_bounds,
+    "key_range_plan": key_range_plan,
+    "derived_table": derived_table,
+    "create_if_not_exists": create_if_not_exists,
+    "append_twice": append_twice,
+    "default_column": default_column,
+    "truncate_count": truncate_count,
     "export_parquet": export_parquet_q,
-    "jdbc_extract_parquet": jdbc_extract_parquet,
     "table_load_partitioned": table_load_partitioned,
     "table_load_two_keys": table_load_two_keys,
     "table_load_plain": table_load_plain,
@@ -458,8 +393,6 @@ def _not_null_sql() -> str:
     )
 
 
-_URL_REST = "split_part(substr(url, instr(url, '//') + 2), '//', 1)"
-
 _JOIN3_SQL = """
         SELECT o.o_orderkey AS project_name, o.o_totalprice AS project_budget,
                c.c_name AS department_name, COUNT(DISTINCT l.l_suppkey) AS employee_count
@@ -477,7 +410,9 @@ ORACLE_SQL: dict[str, str] = {
     "join3_count_distinct": _JOIN3_SQL,
     "join3_count_distinct_sql": _JOIN3_SQL,
     "group_count_avg": _GROUP_SQL,
-    "group_count_avg_sql": _GROUP_SQL,
+    "group_count_avg_sql": """
+        SELECT c_mktsegment AS department, COUNT(*) AS employee_count, round(AVG(c_acctbal), 6) AS avg_salary
+        FROM customer GROUP BY c_mktsegment""",
     "group_mean_min_max": """
         SELECT c_mktsegment AS department,
                CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(c_acctbal) AS mean_value,
@@ -489,36 +424,16 @@ ORACLE_SQL: dict[str, str] = {
         WHERE c_mktsegment = 'BUILDING' AND c_nationkey NOT IN (0, 1, 2, 3, 4)
         ORDER BY c_acctbal DESC, c_custkey LIMIT 10""",
     "preview_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
-    "partition_bounds": "SELECT MIN(o_orderkey) AS min_val, MAX(o_orderkey) AS max_val FROM orders",
-    "partition_bounds_catalog": "SELECT MIN(o_orderkey) AS min_val, MAX(o_orderkey) AS max_val FROM orders",
-    "catalog_top_orders": """
-        SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority NOT IN ('5-LOW')
-        ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""",
-    "source_inventory_catalog": """
-        SELECT 'APP' AS namespace, 'CUSTOMER' AS table_name, (SELECT COUNT(*) FROM customer) AS row_count
-        UNION ALL SELECT 'APP', 'ORDERS', (SELECT COUNT(*) FROM orders)
-        UNION ALL SELECT 'APP', 'SUPPLIER', (SELECT COUNT(*) FROM supplier)""",
-    "jdbc_read_table": "SELECT * FROM orders",
-    "jdbc_read_partitioned": "SELECT * FROM orders",
-    "jdbc_read_predicates": "SELECT * FROM orders",
-    "jdbc_read_balanced": "SELECT * FROM orders",
-    "jdbc_read_query": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'",
-    "jdbc_read_subquery": """
-        SELECT o_orderstatus, COUNT(*) AS n_orders, MAX(o_totalprice) AS max_totalprice
-        FROM orders GROUP BY o_orderstatus""",
-    "jdbc_append": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
-    "jdbc_overwrite_truncate": "SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'",
-    "jdbc_truncate": "SELECT * FROM customer WHERE false",
-    "source_inventory": """
-        SELECT 'APP' AS namespace, 'CUSTOMER' AS table_name, COUNT(*) AS row_count,
-               CAST(MIN(c_custkey) AS VARCHAR) AS min_key, CAST(MAX(c_custkey) AS VARCHAR) AS max_key
-        FROM customer
-        UNION ALL SELECT 'APP', 'ORDERS', COUNT(*), CAST(MIN(o_orderkey) AS VARCHAR),
-               CAST(MAX(o_orderkey) AS VARCHAR) FROM orders
-        UNION ALL SELECT 'APP', 'SUPPLIER', COUNT(*), CAST(MIN(s_suppkey) AS VARCHAR),
-               CAST(MAX(s_suppkey) AS VARCHAR) FROM supplier""",
+    "key_bounds": "SELECT MIN(o_orderkey) AS min_val, MAX(o_orderkey) AS max_val FROM orders",
+    "key_range_plan": """
+        SELECT 1 AS n_ranges, o_custkey % 7 = 0 AS no_key, COUNT(*) AS n_rows FROM orders GROUP BY no_key""",
+    "derived_table": """
+        SELECT o_orderstatus, COUNT(*) AS n_orders, MAX(o_totalprice) AS max_totalprice FROM orders GROUP BY o_orderstatus""",
+    "create_if_not_exists": "SELECT * FROM customer",
+    "append_twice": "SELECT * FROM customer UNION ALL SELECT * FROM customer",
+    "default_column": "SELECT *, true AS has_created_at FROM orders",
+    "truncate_count": "SELECT COUNT(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after, true AS is_empty FROM customer",
     "export_parquet": "SELECT * FROM lineitem",
-    "jdbc_extract_parquet": "SELECT * FROM orders",
     "table_load_partitioned": "SELECT * FROM customer",
     "table_load_two_keys": "SELECT * FROM orders",
     "table_load_plain": "SELECT * FROM part",
@@ -563,13 +478,10 @@ ORACLE_SQL: dict[str, str] = {
                WHEN l.ab IS NOT DISTINCT FROM r.ab THEN 'match' ELSE 'mismatch' END AS acctbal_status
         FROM l FULL OUTER JOIN r ON l.k = r.k""",
     "assign_keys": "SELECT ROW_NUMBER() OVER (ORDER BY c_name, c_custkey) AS id, * FROM customer",
-    "url_host": f"""
+    "url_host": """
         SELECT page_id,
-          CASE WHEN instr(url, '//') > 0 THEN
-            CASE WHEN instr({_URL_REST}, ':') > 0 THEN split_part({_URL_REST}, ':', 1)
-                 ELSE split_part({_URL_REST}, '/', 1) END END AS host,
-          CASE WHEN instr(url, '//') > 0 AND instr({_URL_REST}, '/') > 0 THEN
-            NULLIF(split_part(list_extract(string_split(url, '/'), -1), '?', 1), '') END AS database
+          NULLIF(regexp_extract(url, '^(?:jdbc:)?[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:;]+)', 1), '') AS host,
+          NULLIF(regexp_extract(url, '^(?:jdbc:)?[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/(?:[^?#;]*/)?([^/?#;]*)', 1), '') AS database
         FROM pages""",
     "redact": """
         SELECT event_id,

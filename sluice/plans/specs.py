@@ -125,16 +125,6 @@ TPCDS_SPECS: tuple[TableSpec, ...] = tuple(
     TableSpec(name, _cols(ddl), parts, "parquet") for name, (ddl, parts) in _TPCDS.items()
 )
 
-# The five-row student table (partitioned by age).
-STUDENT_SPEC = TableSpec("stu", _cols("id int, name string, age int"), ("age",))
-STUDENT_ROWS = [
-    (1, "张三", 18),
-    (2, "李四", 19),
-    (3, "王五", 20),
-    (4, "赵六", 21),
-    (5, "钱七", 22),
-]
-
 
 def specs_from_json(text: str) -> list[TableSpec]:
     """Specs from JSON: ``[{"name": ..., "columns": "a int, b string",

@@ -7,13 +7,14 @@ it, then replaces the target in one overwrite.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluice.config import JdbcConfig
-from sluice.sources.jdbc import read_subquery, read_table
+from sluice.sources.jdbc import read_partitioned, read_subquery, read_table
 
 SAVE_MODES = ("append", "overwrite", "ignore", "errorifexists", "error", "default")
 
@@ -21,16 +22,16 @@ SAVE_MODES = ("append", "overwrite", "ignore", "errorifexists", "error", "defaul
 def column_types(
     schema: T.StructType,
     *,
-    string_length: int | None = 255,
+    string_length: int | None = None,
     overrides: Mapping[str, str] | None = None,
 ) -> str:
     """Target column types for ``createTableColumnTypes`` derived from a schema.
 
-    Strings become VARCHAR(n) rather than the dialect's CLOB / LONGTEXT, so
-    the table can be indexed and compared on; decimals keep precision and
-    scale. A type without a mapping is an error, not a silent VARCHAR.
-    ``string_length=None`` leaves string columns out of the list, so long
-    texts get the dialect's large-text type (Spark accepts a partial list).
+    String columns are left out of the list, so they get the dialect's text
+    type, which holds any length (Spark accepts a partial list); with
+    ``string_length`` they become VARCHAR(n), which can be indexed. Decimals
+    keep precision and scale. A type without a mapping is an error, not a
+    silent VARCHAR.
     """
     overrides = dict(overrides or {})
     parts = []
@@ -99,12 +100,14 @@ def write_jdbc(
     opts["dbtable"] = table
     opts["batchsize"] = str(batchsize)
     try:
-        opts["createTableColumnTypes"] = create_column_types or column_types(df.schema)
+        types = create_column_types or column_types(df.schema)
     except TypeError:
         # A type without a portable mapping (arrays, maps...): leave creation
         # to Spark's dialect, which knows what the target supports, and is
         # not consulted at all when the table already exists.
-        pass
+        types = ""
+    if types:
+        opts["createTableColumnTypes"] = types
     if mode == "overwrite":
         opts["truncate"] = "false" if truncate is False else "true"
     if num_partitions:
@@ -131,6 +134,26 @@ def row_count(spark: SparkSession, cfg: JdbcConfig, table: str) -> int:
     )
 
 
+def table_exists(spark: SparkSession, cfg: JdbcConfig, table: str) -> bool:
+    """Whether the source has ``table``. Only its own "no such table" counts as
+    no; a failed connection or a refused login stays an error."""
+    try:
+        read_subquery(spark, cfg, f"SELECT 1 AS {cfg.quote('x')} FROM {table} WHERE 1 = 0", "c").schema
+    except Exception as error:  # noqa: BLE001 - told apart by the SQL state below
+        if _NO_TABLE.search(str(error)):
+            return False
+        raise
+    return True
+
+
+# How databases report an unknown table (SQL states 42S02, 42P01,
+# 42X05, Oracle's ORA-00942, SQL Server's and SQLite's wording).
+_NO_TABLE = re.compile(
+    r"42S02|42P01|42X05|ORA-00942|doesn't exist|does not exist|no such table|Invalid object name|Table .* not found",
+    re.IGNORECASE,
+)
+
+
 def truncate_table(spark: SparkSession, cfg: JdbcConfig, table: str, *, verify: bool = True) -> bool:
     """Empty ``table``, keeping its definition.
 
@@ -171,10 +194,7 @@ def append_counted(
     and after; a missing table counts as 0). With ``expected_rows`` a
     difference is an error. Assumes no concurrent writer on ``table``."""
     spark = df.sparkSession
-    try:
-        before = row_count(spark, cfg, table)
-    except Exception:  # noqa: BLE001 - a table that does not exist yet
-        before = 0
+    before = row_count(spark, cfg, table) if table_exists(spark, cfg, table) else 0
     write_jdbc(df, cfg, table, mode="append", **kw)
     added = row_count(spark, cfg, table) - before
     if expected_rows is not None and added != expected_rows:
@@ -189,16 +209,23 @@ def stage_and_publish(
     staging_table: str,
     *,
     expected_rows: int | None = None,
+    partition_column: str | None = None,
+    read_partitions: int = 10,
     **kw,
 ) -> int:
     """Load ``staging_table``, verify its count, then overwrite ``table`` from
-    it with one truncating overwrite. Readers of ``table`` never see a
-    partial append."""
+    it with one truncating overwrite. A load that fails its check never touches
+    ``table``; the overwrite itself commits partition by partition, so readers
+    may see it under way. Publish inside the database (a rename) where they must
+    not. ``partition_column`` reads the staging table in parallel."""
     spark = df.sparkSession
     write_jdbc(df, cfg, staging_table, mode="overwrite", **kw)
     staged = row_count(spark, cfg, staging_table)
     if expected_rows is not None and staged != expected_rows:
         raise RuntimeError(f"staging {staging_table}: {staged} rows, expected {expected_rows}")
-    staged_df = read_table(spark, cfg, staging_table)
+    if partition_column:
+        staged_df = read_partitioned(spark, cfg, staging_table, partition_column, read_partitions)
+    else:
+        staged_df = read_table(spark, cfg, staging_table)
     write_jdbc(staged_df, cfg, table, mode="overwrite", **kw)
     return staged

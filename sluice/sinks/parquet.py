@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from sluice.sinks.counting import observed
+
 
 class IncompleteWrite(RuntimeError):
     """The written output does not hold the rows the source gave."""
@@ -72,7 +74,7 @@ def export_parquet(
         writer.parquet(target)
         # Rows this write added; an output without data files (an empty partitioned frame) has none.
         written = _existing_rows(spark, target) - before
-        source_rows = seen.get["n"]
+        source_rows = observed(seen, "n")["n"]
         expected = source_rows if expected_rows is None else expected_rows
         if verify and not written == expected == source_rows:
             raise IncompleteWrite(f"{path}: wrote {written} rows, source had {expected}, {source_rows} were read")

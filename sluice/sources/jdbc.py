@@ -353,19 +353,26 @@ def balanced_predicates(
 
     The source computes a value histogram (``GROUP BY column``); its size is
     checked by a pushed ``COUNT(DISTINCT)`` first, so at most ``max_values``
-    (value, count) pairs reach the driver. Values are cut into contiguous
-    ranges of roughly equal row counts; one very hot value keeps a partition
-    of its own. Range clauses (not IN lists) keep each predicate short.
+    (value, count) pairs reach the driver. With more values the source cuts
+    the rows itself (``NTILE``) and sends one boundary per partition. Values
+    are cut into contiguous ranges of roughly equal row counts; one very hot
+    value keeps a partition of its own. Range clauses (not IN lists) keep each
+    predicate short.
     """
     c = cfg.quote(column)
     n_values = read_subquery(
         spark, cfg, f"SELECT COUNT(DISTINCT {c}) AS {cfg.quote('n')} FROM {table}", "nd"
     ).first()["n"]
     if n_values > max_values:
-        raise ValueError(
-            f"{table}.{column} has {n_values} distinct values (> {max_values}); "
-            "pass explicit boundaries to range_predicates"
-        )
+        v, t = cfg.quote("v"), cfg.quote("t")
+        tiles = read_subquery(
+            spark,
+            cfg,
+            f"SELECT MIN({v}) AS {v} FROM (SELECT {c} AS {v}, NTILE({num_partitions}) OVER (ORDER BY {c}) AS {t} "
+            f"FROM {table} WHERE {c} IS NOT NULL) {cfg.quote('k')} GROUP BY {t}",
+            "tiles",
+        ).collect()  # one row per partition
+        return range_predicates(cfg, column, sorted({r["v"] for r in tiles})[1:])
     hist = read_subquery(
         spark,
         cfg,
@@ -456,16 +463,16 @@ def source_inventory(
     namespace: str | None = None,
     *,
     key_columns: dict[str, str] | None = None,
-    max_tables: int = 1000,
+    max_tables: int | None = None,
 ) -> DataFrame:
     """(namespace, table_name, row_count[, min_key, max_key]) computed by the
     source: one pushed ``COUNT(*)`` -- with ``MIN`` / ``MAX`` of the key when
     ``key_columns`` names one for the table -- per table. Key bounds come
-    back as text so tables with different key types share one frame. The
-    table list is bounded and checked before it is brought to the driver."""
+    back as text so tables with different key types share one frame. Only the
+    list of names comes to the driver; ``max_tables`` refuses a longer one."""
     tables = list_tables(spark, cfg, namespace)
     n = tables.count()
-    if n > max_tables:
+    if max_tables is not None and n > max_tables:
         raise ValueError(f"{n} tables > max_tables={max_tables}; narrow the namespace")
     keys = {k.upper(): v for k, v in (key_columns or {}).items()}
     fields = [
@@ -548,14 +555,14 @@ def catalog_inventory(
     namespace: str,
     *,
     key_columns: dict[str, str] | None = None,
-    max_tables: int = 1000,
+    max_tables: int | None = None,
 ) -> DataFrame:
     """(namespace, table_name, row_count[, min_key, max_key]) through a V2
     JDBC catalog: the list from ``SHOW TABLES``, each count (and key MIN /
     MAX) a DataFrame aggregate that Catalyst pushes into the database."""
     tables = spark.sql(f"SHOW TABLES IN {catalog}.{namespace}")
     n = tables.count()
-    if n > max_tables:
+    if max_tables is not None and n > max_tables:
         raise ValueError(f"{n} tables > max_tables={max_tables}; narrow the namespace")
     keys = {k.upper(): v for k, v in (key_columns or {}).items()}
     schema = "namespace STRING, table_name STRING, row_count BIGINT"

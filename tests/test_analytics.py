@@ -84,9 +84,13 @@ def test_preview_requires_order(spark):
 def test_sql_variants_on_seed_views(spark, hr):
     for name, df in hr.items():
         df.createOrReplaceTempView(f"{name}_view")
-    stats = A.department_stats_sql(spark, "employees_view").collect()
+    stats = A.grouped_stats_sql(spark, "employees_view", "department", "salary").collect()
     assert [(r.department, r.employee_count, r.avg_salary) for r in stats][0] == ("Engineering", 5, 89800.0)
-    part = A.project_participation_sql(spark, "projects_view", "departments_view", "employee_projects_view").collect()
+    part = A.participation_sql(
+        spark,
+        ("projects_view", "departments_view", "employee_projects_view"),
+        project=("id", "name", "budget", "department_id"), department=("id", "name"), assignment=("project_id", "employee_id"),
+    ).collect()
     assert [(r.project_name, r.employee_count) for r in part] == [
         ("Cloud Migration", 4), ("Mobile App Development", 3), ("Financial System Upgrade", 3),
         ("Sales Analytics Platform", 2), ("Website Redesign", 3), ("Employee Portal", 2),

@@ -8,33 +8,35 @@ from pyspark.sql import functions as F
 from sluice.functions import jdbc_database, jdbc_host, redact_map
 
 
-def _py_host(url):
-    if "//" not in url:
-        return None
-    rest = url.split("//")[1]
-    return rest.split(":")[0] if ":" in rest else rest.split("/")[0]
-
-
-def _py_database(url):
-    if "//" not in url or "/" not in url.split("//")[1]:
-        return None
-    db = url.split("/")[-1].split("?")[0]
-    return db or None
-
-
 def _urls(n, seed=7):
+    """(URL, host, database) built part by part from the URL grammar."""
     rnd = random.Random(seed)
-    parts = ["jdbc:mysql:", "http:", "https:", "jdbc:derby:", "", "//", "/", ":", "?", "a", "db", "3306",
-             "x.example.com", "user", "=", "&", "#", "//h", "p/q"]
-    return ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9))) for _ in range(n)]
+    out = []
+    for _ in range(n):
+        host = rnd.choice(["db.example.com", "h", "10.0.0.7", "a-b.example"])
+        path = "/".join(rnd.choice(["db", "en", "v1", "x:y", "a@b"]) for _ in range(rnd.randint(0, 3)))
+        tail = rnd.choice(["", "?", "?opt=a/b", "?u=x:y&z=//w", "#top", "?a=1#f/g"])
+        user = rnd.choice(["", "", "u@", "u:pw@"])
+        port = rnd.choice(["", ":3306"])
+        slash = "/" if path or rnd.random() < 0.5 else ""
+        end = "/" if path and rnd.random() < 0.2 else ""
+        scheme = rnd.choice(["jdbc:mysql", "jdbc:postgresql", "https", "http"])
+        database = None if end or not path else path.split("/")[-1]
+        out.append((f"{scheme}://{user}{host}{port}{slash}{path}{end}{tail}", host, database))
+    return out
 
 
 def test_url_functions_match_rules(spark):
-    urls = _urls(3000)
-    df = spark.createDataFrame([(u,) for u in urls], "url STRING")
-    got = df.select("url", jdbc_host("url").alias("h"), jdbc_database("url").alias("d")).collect()
+    urls = _urls(3000) + [
+        ("http://h.example/a:b", "h.example", "a:b"), ("https://h.example?x=1", "h.example", None),
+        ("jdbc:mysql://u:pw@h.example:3306/db", "h.example", "db"), ("jdbc:mysql://h.example/db?opt=a/b", "h.example", "db"),
+        ("jdbc:sqlserver://h.example:1433;databaseName=x", "h.example", None), ("no-scheme-here", None, "no-scheme-here"),
+        ("", None, None), (None, None, None),
+    ]
+    df = spark.createDataFrame(urls, "url STRING, host STRING, db STRING")
+    got = df.select("*", jdbc_host("url").alias("h"), jdbc_database("url").alias("d")).collect()
     for r in got:
-        assert (r.h, r.d) == (_py_host(r.url), _py_database(r.url)), r.url
+        assert (r.h, r.d) == (r.host, r.db), r.url
 
 
 def test_redaction_matches_rules(spark):

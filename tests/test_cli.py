@@ -117,3 +117,29 @@ def test_check_command(spark, capsys):
     code = cli.main(["check", "--table", "chk.lineitem", "--unique", "l_orderkey,l_linenumber"])
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert code == 1 and report["duplicate_keys"]["keys"] > 0
+
+
+def test_increment_command(spark, derby, tmp_path, capsys):
+    rows = spark.createDataFrame([(1, 1), (2, 2), (3, None)], "id INT, m INT")
+    JW.write_jdbc(rows, derby, "T_INC", mode="overwrite")
+    args = ["increment", *_args(derby), "--table", "T_INC", "--mark-column", "m", "--output", str(tmp_path / "t"),
+            "--state", str(tmp_path / "s"), "--partition-column", "id", "--num-partitions", "2"]
+
+    def run():
+        assert cli.main(args) == 0
+        return json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+
+    assert run()["rows"] == 3
+    JW.write_jdbc(spark.createDataFrame([(4, 2), (5, 7)], "id INT, m INT"), derby, "T_INC")
+    assert run() == {"low_mark": "2", "high_mark": "7", "rows": 2}
+    assert run()["rows"] == 0
+
+
+def test_hr_report_writes_whole_results(spark, derby, hr, tmp_path, capsys):
+    for name, df in hr.items():
+        JW.write_jdbc(df, derby, name.upper(), mode="overwrite")
+    assert cli.main(["hr-report", *_args(derby), "--output", str(tmp_path / "r")]) == 0
+    assert spark.read.parquet(str(tmp_path / "r" / "participation")).count() == 6
+    capsys.readouterr()
+    assert cli.main(["hr-report", *_args(derby)]) == 0
+    assert len(capsys.readouterr().out.strip().splitlines()) == 11

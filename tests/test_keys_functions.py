@@ -38,9 +38,9 @@ def test_url_parts(spark):
     assert out == [
         ("db.example.com", "testdb"),
         ("db.example.com", "testdb"),
-        ("m.site.example.net", "25#top"),
+        ("m.site.example.net", "25"),
         ("a.example.com", None),
-        (None, None),
+        (None, "no-scheme-here"),
         ("a.example.com", None),
     ]
 

@@ -47,7 +47,11 @@ def test_join3_hot_key_exact_and_split(spark, skew_conf):
         project_department="o_custkey", department_id="c_custkey", department_name="c_name",
         assignment_project="l_orderkey", assignment_member="l_suppkey",
     )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the sides are small here
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     got = sorted(tuple(r) for r in df.collect())
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     for name, d in (("o", o), ("c", c), ("li", li)):
         d.createOrReplaceTempView(f"skew_{name}")
     ref = spark.sql(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.plans.inspect import partition_filters, plan_text
-from sluice.plans.specs import STUDENT_ROWS, STUDENT_SPEC, TPCDS_SPECS, spec
+from sluice.plans.specs import TPCDS_SPECS, spec
 from sluice.sinks import tables as TB
 from sluice.sources.rows import from_rows
 from tests.conftest import SF_SMALL
@@ -87,12 +87,50 @@ def test_insert_by_name(spark, tmp_path):
         TB.insert_by_name(spark, "t_ns.cust_i", c.withColumn("extra", F.lit(1)))
 
 
-def test_student_table_from_rows(spark, tmp_path):
-    df = from_rows(spark, STUDENT_ROWS, "id INT, name STRING, age INT")
-    res = TB.table_from_rows(spark, STUDENT_SPEC, df, namespace="t_ns", base=str(tmp_path))
+def test_table_from_rows(spark, tmp_path):
+    rows = [(i, f"größe {i}", 30 + i % 2) for i in range(5)]
+    made = TB.TableSpec("made", (("id", "int"), ("label", "string"), ("grade", "int")), ("grade",))
+    res = TB.table_from_rows(spark, made, from_rows(spark, rows, "id INT, label STRING, grade INT"), namespace="t_ns", base=str(tmp_path))
     assert res.rows == 5
-    back = {tuple(r) for r in TB.read_table(spark, STUDENT_SPEC, "t_ns").collect()}
-    assert back == set(STUDENT_ROWS)
+    assert {tuple(r) for r in TB.read_table(spark, made, "t_ns").collect()} == set(rows)
+
+
+def test_failed_create_keeps_the_old_table(spark, tmp_path):
+    df = spark.range(6).selectExpr("id", "id % 2 as p")
+    s = TB.spec_from_frame("keep_p", df, ["p"])
+    TB.create_or_replace(spark, s, df, namespace="t_ns", base=str(tmp_path))
+    broken = TB.TableSpec("keep_p", (*s.columns, ("extra", "int")), ("p",), defaults={"extra": "no_such_function()"})
+    wide = df.withColumn("extra", F.lit(1))
+    with pytest.raises(Exception, match="no_such_function"):
+        TB.create_or_replace(spark, broken, wide, namespace="t_ns", base=str(tmp_path))
+    _same(TB.read_table(spark, s, "t_ns"), df)
+
+
+def test_unpartitioned_replace_moves_the_location(spark, tmp_path):
+    s = TB.spec_from_frame("moved", spark.range(3))
+    first = TB.create_or_replace(spark, s, spark.range(3), namespace="t_ns", base=str(tmp_path))
+    second = TB.create_or_replace(spark, s, spark.table("t_ns.moved").where("id > 0"), namespace="t_ns", base=str(tmp_path))
+    assert second.previous_location.endswith(first.location.split("/")[-1]) and second.rows == 2
+    assert sorted(r.id for r in spark.table("t_ns.moved").collect()) == [1, 2]
+
+
+def test_v2_replace_calls(spark, monkeypatch):
+    """The calls of the V2 branch; no such table format is installed here."""
+    from unittest.mock import MagicMock
+
+    monkeypatch.setattr(TB, "_clustered", lambda df, spec: df)
+    df, s = MagicMock(), TB.TableSpec("t", (("a", "int"), ("p", "string")), ("p",), "some_format", {"format-version": "2"})
+    TB.v2_replace(spark, "cat.ns.t", s, df)
+    df.writeTo.assert_called_once_with("`cat`.`ns`.`t`")
+    writer = df.writeTo.return_value.using.return_value
+    assert writer.partitionedBy.call_count == 1
+    writer = writer.partitionedBy.return_value
+    writer.tableProperty.assert_called_once_with("format-version", "2")
+    writer.tableProperty.return_value.createOrReplace.assert_called_once_with()
+    assert not TB.is_v2(spark, "t_ns")
+    spark.conf.set("spark.sql.catalog.lake", "some.Catalog")
+    assert TB.is_v2(spark, "lake.ns")
+    spark.conf.unset("spark.sql.catalog.lake")
 
 
 def test_tpcds_specs_shape():
