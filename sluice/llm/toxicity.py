@@ -37,6 +37,8 @@ MAX_CANDIDATES, MAX_FEATURES = 200_000, 2_000
 #: Least log-likelihood ratio statistic of a selected feature (chance level about 1e-6).
 MIN_G2 = 24.0
 GRAMS = (4, 5, 6)
+#: Bytes of text whose n-grams are all held at once while features are counted.
+TRAINING_SLICE = 1 << 18
 
 # Channel: symbols and the letters they resemble (fixed values).
 LOOKALIKES = {
@@ -340,11 +342,11 @@ def _key_counts(bits, keys):
 
         for batch in batches:
             column = batch.column(0)
-            for lo, hi in text_slices(column):
+            for lo, hi in text_slices(column, TRAINING_SLICE):
                 _, found = features.pairs(restorer.texts(column.slice(lo, hi - lo).cast(pa.binary()).to_pylist()))
                 parts.append(found.astype(np.uint64))
                 waiting += len(found)
-                settle() if waiting > 1 << 21 else None
+                settle() if waiting > 1 << 20 else None
         settle()
         yield pa.RecordBatch.from_arrays([pa.array(total[0].view(np.int64)), pa.array(total[1])], ["key", "n"])
 
