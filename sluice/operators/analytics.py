@@ -99,7 +99,7 @@ def project_participation(
     Hot projects: with AQE's ``forceOptimizeSkewedJoin`` (``session``
     defaults) a skewed join partition is split at run time. Where the session
     cannot be relied on, ``hot_key_share`` salts instead: project keys holding
-    at least that share of the assignments (estimated from a sample) spread
+    at least that share of the assignments (by a one-pass sketch) spread
     their assignments over ``hot_key_splits`` salts by a hash of the member,
     and only those projects' rows are repeated per salt on the other side.
     Each (project, member) pair still meets each matching project row once,

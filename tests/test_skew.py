@@ -106,7 +106,7 @@ def test_join3_salted_hot_keys_exact_without_session_settings(spark):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     c = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
     li = _skewed_lineitem(spark)
-    assert hot_keys(li, "l_orderkey", min_share=0.05, sample_fraction=0.5) == [7]
+    assert hot_keys(li, "l_orderkey", min_share=0.05) == [7]
     kw = dict(project_id="o_orderkey", project_name="o_orderkey", project_budget="o_totalprice",
               project_department="o_custkey", department_id="c_custkey", department_name="c_name",
               assignment_project="l_orderkey", assignment_member="l_suppkey")
