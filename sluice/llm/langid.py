@@ -121,21 +121,23 @@ def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> P
     counts = rows.mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = counts.persist()
     try:
-        levels = {}
+        levels, room = {}, 0
         for order in range(ORDER + 1):
             # gram = 4 bytes, oldest first: the last is the coded byte, those before it the context.
             tail = F.col("gram") if order == ORDER else F.pmod(F.col("gram"), F.lit(1 << (8 * (order + 1))))
             by = counts.select("lang", tail.alias("tail"), "n").groupBy("lang", "tail").agg(F.sum("n").alias("n"))
-            context = F.shiftright("tail", 8).alias("context")
             if order:
-                top = (
-                    by.groupBy(context).agg(F.sum("n").alias("visits"))
-                    .orderBy(F.desc("visits"), "context").limit(CONTEXTS[order])
-                )
-                by = by.withColumn("context", F.shiftright("tail", 8)).join(top, "context").select("lang", "tail", "n", "visits")
-            else:
-                by = by.withColumn("visits", F.lit(0).cast("long"))
+                by = by.withColumn("context", F.shiftright("tail", 8))
+                top = by.groupBy("context").agg(F.sum("n").alias("visits")).orderBy(F.desc("visits"), "context")
+                top = top.limit(min(CONTEXTS[order], room))  # what comes to the driver is bounded by the table
+                by = by.join(top, "context").select("lang", "tail", "n")
             levels[order] = by.toArrow()
+            if order == 0:
+                langs = len(set(levels[0].column("lang").to_pylist()))
+                coded = len(set(levels[0].column("tail").to_pylist())) + 1
+                room = TABLE_BYTES // (4 * coded * max(langs, 1))
+            room -= len(set((np.asarray(levels[order].column("tail")) >> 8).tolist()))
+            room = max(room, 0)
     finally:
         counts.unpersist()
     if levels[0].num_rows == 0:
@@ -157,19 +159,12 @@ def _build(levels: dict) -> Ppm:
     contexts = np.zeros(size**ORDER, np.int32)
     row_of: dict[int, dict[int, int]] = {}
     rows = 0
-    budget = TABLE_BYTES // (4 * coded * len(langs))
     for order in range(ORDER + 1):
         level = levels[order]
         tail = np.asarray(level.column("tail")).astype(np.int64)
         n = np.asarray(level.column("n")).astype(np.float64)
         lang = np.array([lang_no[x] for x in level.column("lang").to_pylist()], np.int64)
-        visits = np.asarray(level.column("visits")).astype(np.int64)
-        kept, first = np.unique(tail >> 8, return_index=True)
-        if order and rows + len(kept) > budget:  # the least visited fall back on shorter contexts
-            best = np.argsort(-visits[first], kind="stable")[: max(0, budget - rows)]
-            kept = np.sort(kept[best])
-            inside = np.isin(tail >> 8, kept)
-            tail, n, lang = tail[inside], n[inside], lang[inside]
+        kept = np.unique(tail >> 8)
         table = np.zeros((len(langs), len(kept), coded))
         np.add.at(table, (lang, np.searchsorted(kept, tail >> 8), symbol[tail & 0xFF]), n)
         if order == 0:
