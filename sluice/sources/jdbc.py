@@ -212,6 +212,7 @@ def read_partitioned(
     rows_per_partition: int | None = None,
     fetchsize: int | None = 10_000,
     retries: int = 3,
+    spread_column: str | None = None,
 ) -> DataFrame:
     """Parallel range read on an integer, date or timestamp key.
 
@@ -225,7 +226,11 @@ def read_partitioned(
     ``ceil(COUNT(*) / rows_per_partition)`` partitions (from the same pushed
     bounds query), at most ``num_partitions`` -- the number of connections the
     database may serve at once -- so each read task stays a bounded size as
-    the table grows.
+    the table grows. A source that needs more than that is logged.
+
+    NULL keys land in partition 0. Where they are more than a partition's share
+    and ``spread_column`` names another integer column, the read is balanced
+    instead (``read_balanced``), which cuts them by that column.
     """
     if num_partitions < 1:
         raise ValueError("num_partitions must be >= 1")
@@ -233,8 +238,16 @@ def read_partitioned(
     if b.empty:
         return read_table(spark, cfg, table, fetchsize=fetchsize, retries=retries)
     if rows_per_partition:
-        num_partitions = max(1, min(num_partitions, math.ceil(b.rows / rows_per_partition)))
+        wanted = math.ceil(b.rows / rows_per_partition)
+        if wanted > num_partitions:
+            log.warning(
+                "%s: %d rows in %d partitions, %d wanted; raise num_partitions if the source can serve more",
+                table, b.rows, num_partitions, wanted,
+            )
+        num_partitions = max(1, min(num_partitions, wanted))
     if b.nulls and b.rows and b.nulls * num_partitions > b.rows:
+        if spread_column and isinstance(b.lower, int):
+            return read_balanced(spark, cfg, table, column, num_partitions, spread_column=spread_column)
         log.warning("%s.%s: %d of %d keys are NULL; they all land in partition 0", table, column, b.nulls, b.rows)
     span = _span(b)
     n = min(num_partitions, span) if span else num_partitions
@@ -340,6 +353,38 @@ def range_predicates(cfg: JdbcConfig, column: str, boundaries: Sequence[Any]) ->
     return out
 
 
+def split_heavy(
+    spark: SparkSession,
+    cfg: JdbcConfig,
+    table: str,
+    predicates: Sequence[str],
+    spread_column: str,
+    rows_per_partition: int,
+) -> list[str]:
+    """The predicates, those that hold more than ``rows_per_partition`` rows
+    (a hot value, the rows without a key) cut into parts by an integer column,
+    hashed modulo a prime so that a step in it does no harm; a NULL there
+    belongs to part 0. One pushed
+    query counts all of them. Disjoint and covering predicates stay so."""
+    if rows_per_partition < 1:
+        raise ValueError("rows_per_partition must be positive")
+    sums = ", ".join(
+        f"SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS {cfg.quote(f'p{i}')}" for i, p in enumerate(predicates)
+    )
+    counts = read_subquery(spark, cfg, f"SELECT {sums} FROM {table}", "sizes").first()
+    s = cfg.quote(spread_column)
+    out = []
+    for i, p in enumerate(predicates):
+        n = math.ceil(int(counts[f"p{i}"] or 0) / rows_per_partition)
+        if n <= 1:
+            out.append(p)
+            continue
+        part = f"MOD(MOD(MOD(ABS({s}), 100003) * 7919, 100003), {n})"
+        out.append(f"({p}) AND ({part} = 0 OR {s} IS NULL)")
+        out += [f"({p}) AND {part} = {k}" for k in range(1, n)]
+    return out
+
+
 def balanced_predicates(
     spark: SparkSession,
     cfg: JdbcConfig,
@@ -424,11 +469,18 @@ def read_balanced(
     num_partitions: int = 10,
     *,
     buckets: int = 1024,
+    spread_column: str | None = None,
 ) -> DataFrame:
     """Range read whose partitions hold similar row counts even on a skewed
-    integer key (strides from a histogram instead of from MIN/MAX alone)."""
+    integer key (strides from a histogram instead of from MIN/MAX alone). With
+    a ``spread_column`` a hot value, a dense bucket and the rows without a key
+    are cut further, so no partition holds much more than its share."""
     cuts = histogram_boundaries(spark, cfg, table, column, num_partitions, buckets=buckets)
-    return read_by_predicates(spark, cfg, table, range_predicates(cfg, column, cuts))
+    predicates = range_predicates(cfg, column, cuts)
+    if spread_column:
+        rows = int(read_subquery(spark, cfg, f"SELECT COUNT(*) AS {cfg.quote('n')} FROM {table}", "c").first()["n"])
+        predicates = split_heavy(spark, cfg, table, predicates, spread_column, max(1, math.ceil(rows / num_partitions)))
+    return read_by_predicates(spark, cfg, table, predicates)
 
 
 # Metadata SQL per database family: (namespace, table) of base tables, system

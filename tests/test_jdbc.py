@@ -399,3 +399,22 @@ def test_catalog_inventory_key_bounds_pushed(spark, derby):
     inv = JR.catalog_inventory(spark, cat, "APP", key_columns={"orders": "o_orderkey"})
     assert [(r.table_name, r.row_count, r.min_key, r.max_key) for r in inv.collect()] == [("ORDERS", 1500, "0", "1499")]
     assert "PushedAggregates: [COUNT(*), MIN(o_orderkey), MAX(o_orderkey)]" in plan_text(inv)
+
+
+def test_hot_values_and_null_keys_are_spread(spark, derby):
+    df = spark.range(3000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 ELSE CAST(id AS INT) END AS k", "CAST(id AS INT) AS s",
+    ).withColumn("s", F.expr("CASE WHEN s % 10 = 0 THEN NULL ELSE s END"))
+    JW.write_jdbc(df, derby, "HOTK", mode="overwrite")
+    for read in (JR.read_balanced, JR.read_partitioned):
+        back = read(spark, derby, "HOTK", "k", 6, spread_column="s")
+        _same(back, df)
+        sizes = [r["n"] for r in back.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert max(sizes) <= 3000 / 6 * 1.5, sizes
+
+
+def test_more_rows_than_connections_is_logged(spark, derby, caplog):
+    JW.write_jdbc(spark.range(100).selectExpr("CAST(id AS INT) AS id"), derby, "MANY", mode="overwrite")
+    with caplog.at_level("WARNING"):
+        assert JR.read_partitioned(spark, derby, "MANY", "id", 2, rows_per_partition=10).count() == 100
+    assert "10 wanted" in caplog.text
