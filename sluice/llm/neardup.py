@@ -6,10 +6,13 @@
 2. Texts with equal shingle sets form a class by a digest of the set; only the
    class representative goes on.
 3. Representatives that share a band key are candidates. A bucket never emits
-   all its pairs: pivots, its smallest ids, are compared with its members, and
-   only with those of another component so far. Rounds with four times as many
-   pivots each follow until no bucket holds an uncompared pair of different
-   components, so no candidate link is lost and a group of near copies costs
+   all its pairs: first its smallest id, the pivot, is compared with the
+   others. Members of buckets that still hold several components meet again in
+   buckets by the rarest tokens of their sets, which any two sets that reach
+   the threshold share (prefix filter, with length and positional bounds).
+   There pivots are compared with members of other components, in rounds with
+   more pivots each, until no bucket holds an uncompared pair of different
+   components. So no candidate link is lost, and a group of near copies costs
    about one comparison per member.
 4. Candidates pass a signature check, then an exact count on the full sets.
 5. Components come from alternating large-star and small-star.
@@ -26,11 +29,11 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.batches import append_columns
+from sluice.llm.batches import append_columns, text_slices
 from sluice.llm.stars import Save, components
 from sluice.llm.wordhash import SPACES, Words, text_shingles
 from sluice.session import shared_path
@@ -39,8 +42,10 @@ MISS = 1e-6
 MAX_HASHES = 320
 #: Signature agreement may fall this many standard deviations below the threshold.
 SIGMAS = 5.0
-#: A round compares this many times more pivots of a bucket than the last.
-PIVOT_GROWTH = 4
+#: Pivots of a token bucket in its first round, and how many times more in each next one.
+FIRST_PIVOTS, PIVOT_GROWTH = 64, 64
+#: Bits of the slots in which token rarity is counted.
+SKETCH_BITS = 18
 
 
 def bands_for(percent: int) -> tuple[int, int]:
@@ -116,34 +121,102 @@ def signatures(df: DataFrame, id_col: str, text_col: str, shingle: int, percent:
     return append_columns(source, "text", fields, _signature_worker(shingle, percent), keep=["id"])
 
 
-def _next_pairs(buckets: DataFrame, labels: DataFrame | None, pivots: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs to compare, open buckets without this round's pivots).
-
-    ``buckets``: (key, id) not yet compared; ``labels``: (u, v) component of
-    each node that isn't the least of its own. A bucket whose members already
-    share a component is done.
-    """
+def _open(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Bucket rows with their component ``c``, of buckets that hold more than
+    one. ``labels``: (u, v) component of each node that isn't the least of its own."""
     rows = buckets.withColumn("c", F.col("id"))
     if labels is not None:
-        rows = buckets.join(labels.select(F.col("u").alias("id"), F.col("v").alias("label")), "id", "left").select(
-            "key", "id", F.coalesce("label", "id").alias("c")
-        )
+        rows = buckets.join(labels.select(F.col("u").alias("id"), F.col("v").alias("label")), "id", "left")
+        rows = rows.select(*buckets.columns, F.coalesce("label", "id").alias("c"))
     stats = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    rows = rows.join(stats, "key", "left_semi")
+    return rows.join(stats, "key", "left_semi")
+
+
+def _next_pairs(rows: DataFrame, pivots: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs to compare, the rows without this round's pivots).
+
+    ``rows``: (key, id, n, pos, c) of open buckets: the size of the id's set
+    and the position of the key among its ordered tokens. At most the tokens
+    from there on are common, which bounds the overlap.
+    """
     # The smallest ids of a bucket: groups are cut to `pivots` rows before the shuffle.
-    rank = F.row_number().over(_by_key())
-    pivot = rows.withColumn("rank", rank).where(F.col("rank") <= pivots).select("key", F.col("id").alias("a"), F.col("c").alias("ca"))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    pivot = rows.withColumn("rank", rank).where(F.col("rank") <= pivots)
+    pivot = pivot.select("key", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("n").alias("na"), F.col("pos").alias("ia"))
+    overlap = F.least(F.col("n") - F.col("pos"), F.col("na") - F.col("ia"))
     pairs = (
-        rows.join(pivot, "key").where("a < id and c <> ca").select("a", F.col("id").alias("b")).distinct()
+        rows.join(pivot, "key")
+        .where(F.expr("a < id and c <> ca") & ((100 + percent) * overlap >= percent * (F.col("n") + F.col("na"))))
+        .select("a", F.col("id").alias("b"))
+        .distinct()
     )
-    rest = rows.select("key", "id").join(pivot.select("key", F.col("a").alias("id")), ["key", "id"], "left_anti")
+    rest = rows.drop("c").join(pivot.select("key", F.col("a").alias("id")), ["key", "id"], "left_anti")
     return pairs, rest
 
 
-def _by_key():
-    from pyspark.sql import Window
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
-    return Window.partitionBy("key").orderBy("id")
+
+def _count_slots(shingle: int):
+    """Rows (slot, n): how many sets of a task hold a shingle of each slot."""
+
+    def run(batches):
+        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in batches:
+            for lo, hi in text_slices(batch.column(0)):
+                texts = batch.column(0).slice(lo, hi - lo).cast(pa.binary()).to_pylist()
+                for s in text_shingles(Words(texts, SPACES), shingle):
+                    total += np.bincount(_slots(s), minlength=len(total)) if len(s) > 4096 else 0
+                    if len(s) <= 4096:
+                        np.add.at(total, _slots(s), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["slot", "n"])
+
+    return run
+
+
+def _prefix_tokens(shingle: int, percent: int, sketch):
+    """Rows (key, id, n, pos): the necessary prefix of each set, its rarest
+    tokens. Any two sets that reach the threshold share one of them."""
+
+    def run(batches):
+        counts = sketch.value
+        for batch in batches:
+            for lo, hi in text_slices(batch.column(1)):
+                texts = batch.column(1).slice(lo, hi - lo).cast(pa.binary()).to_pylist()
+                keys, owner, size, pos = [], [], [], []
+                for i, s in enumerate(text_shingles(Words(texts, SPACES), shingle)):
+                    n = len(s)
+                    take = n - -(-percent * n // 100) + 1 if n else 0
+                    rarest = np.lexsort((s, counts[_slots(s)]))[:take]
+                    keys.append(s[rarest])
+                    owner += [i] * take
+                    size += [n] * take
+                    pos += range(take)
+                flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+                ids = batch.column(0).slice(lo, hi - lo).take(pa.array(owner, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(flat.view(np.int64)), ids, pa.array(size, pa.int64()), pa.array(pos, pa.int64())],
+                    ["key", "id", "n", "pos"],
+                )
+
+    return run
+
+
+def _prefix_buckets(texts: DataFrame, id_type: T.DataType, shingle: int, percent: int) -> DataFrame:
+    """Texts (id, text) by the rarest tokens of their sets. Rarity is counted
+    over these texts in a sketch of 2^SKETCH_BITS slots; tokens of one slot are
+    as rare as all of them together, which can only lengthen buckets."""
+    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    slots = texts.select("text").mapInArrow(_count_slots(shingle), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    found = slots.toArrow()
+    counts[np.asarray(found.column("slot"))] = np.asarray(found.column("n"))
+    sketch = texts.sparkSession.sparkContext.broadcast(counts)
+    schema = T.StructType(
+        [T.StructField("key", T.LongType()), T.StructField("id", id_type), T.StructField("n", T.LongType()), T.StructField("pos", T.LongType())]
+    )
+    return texts.select("id", "text").mapInArrow(_prefix_tokens(shingle, percent, sketch), schema)
 
 
 def _signature_check(percent: int):
@@ -221,10 +294,13 @@ def near_duplicates(
     classes = has_set.groupBy("set_key").agg(F.min("id").alias("rep"))
     reps = classes.select(F.col("rep").alias("id"))
 
-    banded = has_set.select("id", "bands").join(reps, "id", "left_semi").select("id", F.posexplode("bands").alias("band", "key"))
-    banded = banded.select("id", F.xxhash64("band", "key").alias("key"))
+    banded = has_set.select("id", "n_shingles", "bands").join(reps, "id", "left_semi")
+    banded = banded.select("id", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    banded = banded.select(
+        F.xxhash64("band", "key").alias("key"), "id", F.col("n_shingles").alias("n"), F.lit(0).cast("long").alias("pos")
+    )
     shared = banded.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("key")
-    buckets = save(banded.join(shared, "key", "left_semi").select("key", "id"), "buckets_0")
+    buckets = save(banded.join(shared, "key", "left_semi"), "buckets")
 
     labels = _link(df, id_col, text_col, sigs, buckets, shingle, percent, save)
 
@@ -245,38 +321,44 @@ def near_duplicates(
 
 def _link(df, id_col, text_col, sigs, buckets, shingle, percent, save: Save) -> DataFrame:
     """Star forest (u, v) of the verified links among the bucketed ids."""
-    involved = buckets.select("id").distinct()
-    texts = None
-    labels, pivots, step = None, 1, 0
+    none = buckets.select(F.col("id").alias("u"), F.col("id").alias("v")).where("false")
+    if buckets.isEmpty():
+        return none
+    whole = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    texts = save(whole.where("text is not null").join(buckets.select("id").distinct(), "id", "left_semi"), "texts")
     sig = sigs.where("sig is not null").select("id", "sig")
-    while not buckets.isEmpty():
-        step += 1
-        pairs, rest = _next_pairs(buckets, labels, pivots)
+
+    def verified(pairs: DataFrame, step: int) -> DataFrame:
         pairs = save(pairs, f"pairs_{step}")
-        if pairs.isEmpty():
-            break
         signed = (
             pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sa")), "a")
             .join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sb")), "b")
             .select("a", "b", "sa", "sb")
         )
         likely = save(signed.mapInArrow(_signature_check(percent), pairs.schema), f"likely_{step}")
-        if texts is None:
-            whole = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-            texts = save(whole.where("text is not null").join(involved, "id", "left_semi"), "texts")
         with_texts = (
             likely.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
             .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
             .select("a", "b", "ta", "tb")
         )
-        links = with_texts.mapInArrow(_exact_check(shingle, percent), pairs.schema).select(
+        return with_texts.mapInArrow(_exact_check(shingle, percent), pairs.schema).select(
             F.col("a").alias("u"), F.col("b").alias("v")
         )
-        if labels is not None:
-            links = links.unionByName(labels)
-        labels = components(links, save, f"stars_{step}")
-        buckets = save(rest, f"buckets_{step}")
+
+    # One pivot per band bucket settles most groups of copies ...
+    pairs, _ = _next_pairs(_open(buckets, None), 1, percent)
+    labels = components(verified(pairs, 0), save, "stars_0")
+    # ... the members of buckets still open meet again by their rarest tokens.
+    unsettled = save(_open(buckets, labels).select("id").distinct(), "unsettled")
+    if unsettled.isEmpty():
+        return labels
+    rest = _prefix_buckets(texts.join(unsettled, "id", "left_semi"), buckets.schema["id"].dataType, shingle, percent)
+    pivots, step = FIRST_PIVOTS, 0
+    while True:
+        step += 1
+        rows = save(_open(rest, labels), f"open_{step}")
+        if rows.isEmpty():
+            return labels
+        pairs, rest = _next_pairs(rows, pivots, percent)
+        labels = components(verified(pairs, step).unionByName(labels), save, f"stars_{step}")
         pivots *= PIVOT_GROWTH
-    if labels is None:
-        labels = buckets.select(F.col("id").alias("u"), F.col("id").alias("v")).where("false")
-    return labels

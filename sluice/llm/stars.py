@@ -28,9 +28,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def _digest(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    return tuple(row)
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether every node has one edge down at most, and none that leads on."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    degrees = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return degrees.where("down > 1 or (down = 1 and up = 1)").isEmpty()
 
 
 def components(edges: DataFrame, save: Save, name: str = "stars") -> DataFrame:
@@ -39,17 +43,13 @@ def components(edges: DataFrame, save: Save, name: str = "stars") -> DataFrame:
 
     A round is two joins on the node, so a node of very high degree is a skewed
     join key that adaptive execution splits; the least neighbour is found with
-    map-side aggregation. Rounds end when the edges no longer change.
+    map-side aggregation. Rounds end when the edges are stars.
     """
     current = save(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}_0"
     )
-    seen, step = _digest(current), 0
-    while seen[0]:
+    step = 0
+    while not _is_forest(current):
         step += 1
         current = save(_small_star(_large_star(current)), f"{name}_{step}")
-        now = _digest(current)
-        if now == seen:
-            break
-        seen = now
     return current
