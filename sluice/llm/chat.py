@@ -7,7 +7,8 @@ rendering, so no row and no task holds a dialogue. DataFrame functions only.
 
 Places come from two levels of running sums: within blocks of ``BLOCK_TURNS``
 turn numbers, and over the blocks of a dialogue. A dialogue with very many
-turns is thus spread over many groups.
+turns is thus spread over many groups, and the texts are shuffled once, by
+dialogue and block.
 """
 
 from __future__ import annotations
@@ -52,37 +53,45 @@ def perspectives(
     other speakers has no rows. Rows with a null conversation form one
     dialogue. Other columns play no part.
     """
+    conv, turn = F.col(f"`{conv_col}`"), F.col(f"`{turn_col}`").cast("long")
     m = messages.select(
-        F.col(f"`{conv_col}`").alias("conv"),
-        F.col(f"`{turn_col}`").cast("long").alias("turn"),
+        conv.alias("conv"),
+        # Keys without nulls, so that one shuffle serves every step below.
+        F.coalesce(conv.cast("string"), F.lit("")).alias("key"),
+        conv.isNull().alias("no_key"),
+        F.coalesce(F.floor(turn / BLOCK_TURNS), F.lit(-(2**62))).alias("block"),
+        turn.alias("turn"),
         F.coalesce(F.nullif(F.col(f"`{speaker_col}`").cast("string"), F.lit("")), F.lit(NAMELESS)).alias("speaker"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
-    ).distinct()
-    sides = m.where(F.col("speaker") != SYSTEM).select("conv", F.col("speaker").alias("perspective")).distinct()
-    rows = m.join(sides.withColumnRenamed("conv", "c"), F.col("conv").eqNullSafe(F.col("c"))).drop("c")
-    heading = _heading(F.col("speaker"), F.col("perspective"))
-    rows = rows.withColumn("heading", heading).withColumn(
-        "rendered", F.concat("heading", "text", F.lit(CLOSE + NEWLINE))
-    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(2**62))))
+    )
+    group = ["key", "no_key", "block"]
+    m = m.repartition(*[F.col(c) for c in group]).distinct()
 
-    blocks = rows.groupBy("conv", "perspective", "block").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("rendered")).alias("chars")
+    # Sizes of the blocks as each side sees them: a row per block and speaker.
+    sizes = m.groupBy(*group, "speaker").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+    sides = sizes.where(F.col("speaker") != SYSTEM).select("key", "no_key", F.col("speaker").alias("perspective")).distinct()
+    around = F.length(_heading(F.col("speaker"), F.col("perspective"))) + len(CLOSE + NEWLINE)
+    blocks = sizes.join(sides, ["key", "no_key"]).groupBy(*group, "perspective").agg(
+        F.sum("n").alias("n"), F.sum(F.col("chars") + F.col("n") * around).alias("chars")
     )
-    over_blocks = Window.partitionBy("conv", "perspective").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        F.col("conv").alias("c"), F.col("perspective").alias("p"), F.col("block").alias("b"),
-        F.coalesce(F.sum("n").over(over_blocks), F.lit(0)).alias("n_before"),
-        F.coalesce(F.sum("chars").over(over_blocks), F.lit(0)).alias("chars_before"),
+    before = Window.partitionBy("key", "no_key", "perspective").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.select(
+        *group,
+        F.struct(
+            "perspective",
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"),
+            F.coalesce(F.sum("chars").over(before), F.lit(0)).alias("chars_before"),
+        ).alias("side"),
+    ).groupBy(*group).agg(F.collect_list("side").alias("sides"))  # one entry per speaker
+
+    rows = m.join(starts, group).withColumn("side", F.explode("sides")).select(*m.columns, "side.*")
+    rows = rows.withColumn("heading", _heading(F.col("speaker"), F.col("perspective"))).withColumn(
+        "rendered", F.concat("heading", "text", F.lit(CLOSE + NEWLINE))
     )
-    in_block = Window.partitionBy("conv", "perspective", "block").orderBy(F.asc_nulls_first("turn"), "speaker", "text")
+    in_block = Window.partitionBy(*group, "perspective").orderBy(F.asc_nulls_first("turn"), "speaker", "text")
     earlier = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    placed = (
-        rows.withColumn("n_here", F.row_number().over(in_block) - 1)
-        .withColumn("chars_here", F.coalesce(F.sum(F.length("rendered")).over(earlier), F.lit(0)))
-        .join(
-            blocks,
-            F.col("conv").eqNullSafe(F.col("c")) & (F.col("perspective") == F.col("p")) & (F.col("block") == F.col("b")),
-        )
+    placed = rows.withColumn("n_here", F.row_number().over(in_block) - 1).withColumn(
+        "chars_here", F.coalesce(F.sum(F.length("rendered")).over(earlier), F.lit(0))
     )
     start = F.col("chars_before") + F.col("chars_here")
     train = F.col("speaker") == F.col("perspective")
