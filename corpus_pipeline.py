@@ -21,10 +21,10 @@ from sluice.sources.catalog import read_parquet_table
 
 def _kept(docs: DataFrame, judge: Callable[[DataFrame], DataFrame], condition: Column) -> DataFrame:
     """The rows of ``docs`` for which ``condition`` holds over the judge's
-    columns. Rows travel packed, so no column of theirs can clash."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"), F.col("doc_id"))
-    judged = judge(packed).where(condition)
-    return judged.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    columns. All columns but the text travel under other names, so none can clash."""
+    names = [c if c == "text" else f"column_{i}" for i, c in enumerate(docs.columns)]
+    judged = judge(docs.toDF(*names)).where(condition)
+    return judged.select(*names).toDF(*docs.columns)
 
 
 def _learning(df: DataFrame) -> DataFrame:
@@ -37,14 +37,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(_learning(docs.select("doc_id", "text", "lang")))
     if model is None:  # no text with a language: nothing to judge by
         return docs
-    return _kept(docs, lambda d: langid.identify(d, model, keep=["row"]), F.col("lang_pred") != langid.UNKNOWN)
+    return _kept(docs, lambda d: langid.identify(d, model), F.col("lang_pred") != langid.UNKNOWN)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under 0.5, by a model of these
     documents and the labels of the learning fold."""
     model = toxicity.fit(docs, _learning(read_parquet_table(spark, sf_dir, "labels")))
-    return _kept(docs, lambda d: toxicity.score(d, model, keep=["row"]), F.col("predicted") == 0)
+    return _kept(docs, lambda d: toxicity.score(d, model), F.col("predicted") == 0)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated by the benchmark."""
     benchmark = read_parquet_table(spark, sf_dir, "benchmark")
-    return _kept(docs, lambda d: decontam.decontaminate(d, benchmark, keep=["row"]), ~F.col("contaminated"))
+    return _kept(docs, lambda d: decontam.decontaminate(d, benchmark, keep=d.columns), ~F.col("contaminated"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,6 +19,10 @@ from pyspark.sql import types as T
 #: Bytes of text handled at once inside a task (a longer single text is one slice).
 SLICE_BYTES = 1 << 20
 
+#: Most bytes of an Arrow batch between the JVM and Python (Spark's own limit is four times that).
+BATCH_BYTES = 16 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: A worker: texts as UTF-8 bytes (None for null) -> one column per output field.
 Worker = Callable[[list], Sequence]
 
@@ -53,18 +57,19 @@ def append_columns(
     """
     out_names = {f.name for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c not in out_names]
-    # One struct column of kept values: the text may be among them, under any name.
-    packed = df.select(
-        F.col(_q(text_col)).cast("string").alias("text"),
-        F.struct(*[F.col(_q(c)).alias(c) for c in kept]).alias("row") if kept else F.lit(True).alias("row"),
-    )
+    # One struct column of kept values; a text among them isn't sent twice.
+    inside = kept.index(text_col) if text_col in kept and df.schema[text_col].dataType == T.StringType() else None
+    row = F.struct(*[F.col(_q(c)).alias(c) for c in kept]).alias("row") if kept else F.lit(True).alias("row")
+    packed = df.select(row) if inside is not None else df.select(row, F.col(_q(text_col)).cast("string").alias("text"))
+    _bound_batches(df)
     schema = T.StructType([packed.schema["row"], *fields])
     arrow_fields = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make_worker()
         for batch in batches:
-            text, row = batch.column(0), batch.column(1)
+            row = batch.column(0)
+            text = batch.column(1) if inside is None else row.field(inside)
             for lo, hi in text_slices(text):
                 part = text.slice(lo, hi - lo)
                 values = work(part.cast(pa.binary()).to_pylist())
@@ -75,6 +80,15 @@ def append_columns(
     return out.select(*[F.col("row").getField(c).alias(c) for c in kept], *[F.col(_q(n)) for n in arrow_fields])
 
 
+def _bound_batches(df: DataFrame) -> None:
+    """Keep the Arrow batches of the session within BATCH_BYTES: a task holds a
+    few of them in the JVM and in Python at once."""
+    conf = df.sparkSession.conf
+    now = (conf.get(_BATCH_CONF, None) or "").rstrip("bB")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def _q(name: str) -> str:
     """A column name as one quoted identifier (names may hold dots)."""
     return "`" + name.replace("`", "``") + "`"
