@@ -27,7 +27,7 @@ from sluice.llm.batches import append_columns
 NO_RANK = np.int32(2**31 - 1)
 
 #: Words a task remembers; the memory is emptied when full, which changes no result.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 
 # Pre-token patterns (fixed values of the tokenizer file): contractions, runs
 # of letters, single digits, runs of other non-space characters.
