@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -48,12 +49,12 @@ LOOKALIKES = {
 # Costs in bits of reading a character otherwise than as itself.
 COST = {"letter": 1.0, "nothing": 4.0, "repeat": 1.0, "gap": 0.5, "break": 2.0}
 GAPS = " ._-*~'\u200b\u00ad"
-#: Longer tokens are left as they are (identifiers, encoded data).
-MAX_TOKEN = 64
+#: Steps of the search after which the part shared by all paths is written out.
+TRACE_STEPS = 1024
 #: Single characters in a row that count as a word set apart.
 MIN_SPACED = 4
-#: Decoded spans a task remembers; emptied when full, which changes no result.
-REMEMBERED_SPANS = 200_000
+#: Decoded spans a task remembers and the most bytes of one; emptied when full, which changes no result.
+REMEMBERED_SPANS, REMEMBERED_BYTES = 200_000, 64
 
 _SYMBOLS = 28  # break, a-z, any other letter
 _CLASS = np.zeros(256, np.uint8)
@@ -113,10 +114,7 @@ def _symbol(c: str) -> int:
     return ord(c) - 96 if "a" <= c <= "z" else 27
 
 
-def lattice(span: str) -> list[list[tuple[str, float]]]:
-    """Readings (text, bits) of each character of a lower-case span: a letter,
-    nothing (""), or a word break (" ")."""
-    out = []
+def _readings(span: str):
     before = ""
     for c in span:
         if c.isalpha():
@@ -127,38 +125,81 @@ def lattice(span: str) -> list[list[tuple[str, float]]]:
             edges = [(x, COST["letter"]) for x in LOOKALIKES[c]]
             edges += [("", COST["nothing"]), (" ", COST["break"])]
         elif c in GAPS:
-            edges = [("", COST["gap"]), (" ", COST["break"])]
-            out.append(edges)
+            yield [("", COST["gap"]), (" ", COST["break"])]
             continue  # a gap doesn't end a run of one letter
         else:
             edges = [(" ", 0.0)]
         before = c
-        out.append(edges)
-    return out
+        yield edges
+
+
+def lattice(span: str) -> list[list[tuple[str, float]]]:
+    """Readings (text, bits) of each character of a lower-case span: a letter,
+    nothing (""), or a word break (" ")."""
+    return list(_readings(span))
 
 
 def restore(span: str, bits) -> str:
-    """Cheapest reading of a span: Viterbi over (last two symbols)."""
-    paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for edges in lattice(span):
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in paths.items():
+    """Cheapest reading of a span of any length: Viterbi over (last two symbols).
+
+    Each step keeps, per state, the place of its predecessor and what was read.
+    What all live paths share is written out and forgotten, which changes no
+    result: time is linear in the span, and memory is what the paths differ in.
+    Among equally cheap readings the one met first is taken.
+    """
+    costs: dict[tuple[int, int], float] = {(0, 0): 0.0}
+    steps: list[tuple[array, list[str]]] = []
+    done: list[str] = []
+    full = TRACE_STEPS
+    for edges in _readings(span):
+        after: dict[tuple[int, int], float] = {}
+        back: dict[tuple[int, int], tuple[int, str]] = {}
+        for place, ((a, b), cost) in enumerate(costs.items()):
             for reading, extra in edges:
+                total, now = cost + extra, reading
                 if reading == "":
-                    state, total, now = (a, b), cost + extra, text
+                    state = (a, b)
                 elif reading == " ":
                     if b == 0:
-                        state, total, now = (a, b), cost + extra, text
+                        state, now = (a, b), ""
                     else:
-                        state, total, now = (b, 0), cost + extra + bits[a][b][0], text + " "
+                        state, total = (b, 0), total + bits[a][b][0]
                 else:
                     s = _symbol(reading)
-                    state, total, now = (b, s), cost + extra + bits[a][b][s], text + reading
+                    state, total = (b, s), total + bits[a][b][s]
                 known = after.get(state)
-                if known is None or (total, now) < known:
-                    after[state] = (total, now)
-        paths = after
-    return min((cost + (bits[a][b][0] if b else 0.0), text) for (a, b), (cost, text) in paths.items())[1].strip()
+                if known is None or total < known:
+                    after[state], back[state] = total, (place, now)
+        costs = after
+        steps.append((array("H", [back[state][0] for state in after]), [back[state][1] for state in after]))
+        if len(steps) >= full:
+            done.append(_shared_prefix(steps))
+            full = 2 * len(steps) + TRACE_STEPS
+    ends = [cost + (bits[a][b][0] if b else 0.0) for (a, b), cost in costs.items()]
+    done.append(_read_back(steps, ends.index(min(ends))))
+    return "".join(done).strip()
+
+
+def _read_back(steps, place: int) -> str:
+    """What the path that ends at ``place`` of the last step read."""
+    out = []
+    for places, read in reversed(steps):
+        out.append(read[place])
+        place = places[place]
+    return "".join(reversed(out))
+
+
+def _shared_prefix(steps) -> str:
+    """Takes off ``steps`` those that all live paths share; what was read in them."""
+    live = set(range(len(steps[-1][0]))) if steps else set()
+    for at in range(len(steps) - 1, -1, -1):
+        if len(live) == 1:
+            place = live.pop()
+            text = _read_back(steps[: at + 1], place)
+            del steps[: at + 1]
+            return text
+        live = {steps[at][0][p] for p in live}
+    return ""
 
 
 _EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "@$|+(")
@@ -172,12 +213,13 @@ class Restorer:
     def _decode(self, span: bytes) -> bytes:
         known = self.memory.get(span)
         if known is None:
-            if len(self.memory) >= REMEMBERED_SPANS:
-                self.memory.clear()
             text = span.decode("utf-8", "replace").lower()
             core = text.strip(_EDGE)
             known = restore(core, self.bits).encode("utf-8") if any(c.isalpha() for c in core) else span
-            self.memory[span] = known
+            if len(span) <= REMEMBERED_BYTES:
+                if len(self.memory) >= REMEMBERED_SPANS:
+                    self.memory.clear()
+                self.memory[span] = known
         return known
 
     def texts(self, texts: list) -> list[bytes]:
@@ -218,7 +260,6 @@ class Restorer:
         tokens = np.unique(np.searchsorted(words.start, places, side="right") - 1)
         tokens = tokens[tokens >= 0]
         sizes = words.end - words.start
-        tokens = tokens[sizes[tokens] <= MAX_TOKEN]
         spans = []
         for s, e in zip(words.start[tokens].tolist(), words.end[tokens].tolist()):
             token = buf[s:e].tobytes()
@@ -233,7 +274,6 @@ class Restorer:
         rows = [
             (int(words.start[f]), int(words.end[f + n - 1]))
             for f, n in zip(first[count >= MIN_SPACED].tolist(), count[count >= MIN_SPACED].tolist())
-            if n <= MAX_TOKEN
         ]
         if rows:
             taken = [(s, e) for s, e in spans if not any(a <= s < b for a, b in rows)] if len(rows) < 64 else _outside(spans, rows)

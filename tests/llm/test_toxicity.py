@@ -79,6 +79,39 @@ def test_viterbi_is_the_cheapest_reading(model):
         assert least <= best + 1e-9, span
 
 
+def unsplit(span, bits):
+    """The search with whole paths in its states, kept to the end."""
+    paths = {(0, 0): (0.0, "")}
+    for edges in toxicity.lattice(span):
+        after = {}
+        for (a, b), (cost, text) in paths.items():
+            for reading, extra in edges:
+                if reading == "" or (reading == " " and b == 0):
+                    state, total, now = (a, b), cost + extra, text
+                else:
+                    s = 0 if reading == " " else toxicity._symbol(reading)
+                    state, total, now = (b, s), cost + extra + bits[a][b][s], text + reading
+                if state not in after or (total, now) < after[state]:
+                    after[state] = total, now
+        paths = after
+    return min((c + (bits[a][b][0] if b else 0.0), t) for (a, b), (c, t) in paths.items())[1].strip()
+
+
+def test_spans_of_any_length_are_decoded(spark, model):
+    rng = random.Random(3)
+    words = [rng.choice(["you", "are", "an", "idiot", "moron", "garden", "window"]) for _ in range(1100)]
+    spaced = " ".join("".join(words))[:10_000]
+    noisy = "".join(rng.choices("idot10!.-_ e", k=5_000))
+    r = toxicity.Restorer(model.bits)
+    for text in (spaced, noisy, "1" * 3_000, "o" * 3_000, "i.d-i_o.t+" * 500):
+        assert toxicity.restore(text, r.bits) == unsplit(text, r.bits)
+    assert r.texts([spaced.encode()])[0].decode() == unsplit(spaced, r.bits) != spaced
+    assert r.texts([b"id" + b"i" + b"o" * 90 + b"t"])[0] == b"idiot"
+    long = " ".join("garden window idiot garden window moron letter water friend".replace(" ", ""))
+    assert scores(spark, model, ["_".join("you are a stupid loser and an idiot and a moron now".replace(" ", "")) + "_" * 30]) == [1]
+    assert toxicity.restore(long, r.bits) == unsplit(long, r.bits)
+
+
 def test_scores(spark, model):
     assert scores(spark, model, CLEAN) == [0, 0]
     assert scores(spark, model, BAD) == [1, 1]
