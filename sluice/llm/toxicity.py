@@ -5,8 +5,9 @@ apart, letters repeated) is a character lattice: each source character may
 stand for itself, for a letter it resembles, for a word break, or for nothing.
 Viterbi decoding finds the cheapest path under the channel's costs and a
 character trigram model counted over the whole corpus. Words whose lattice has
-one path only (plain letters, no letter three times in a row) are their own
-decoding and skip the search.
+one path only (no letter twice in a row, no lookalike, no gap but at an end)
+are their own decoding and skip the search; so do those without any letter
+(numbers, punctuation).
 
 Scoring. Features are letter n-grams of 4 to 6 bytes (a leading space marks the
 start of a word) and whole words of the restored text. Those much more frequent
@@ -52,7 +53,7 @@ GAPS = " ._-*~'\u200b\u00ad"
 #: Steps of the search after which the part shared by all paths is written out.
 TRACE_STEPS = 1024
 #: Single characters in a row that count as a word set apart.
-MIN_SPACED = 4
+MIN_SPACED = 2
 #: Decoded spans a task remembers and the most bytes of one; emptied when full, which changes no result.
 REMEMBERED_SPANS, REMEMBERED_BYTES = 200_000, 64
 
@@ -64,9 +65,9 @@ _CLASS[128:] = 27
 _LETTER = (_CLASS > 0)
 _LEET = np.zeros(256, bool)
 _LEET[[ord(c) for c in LOOKALIKES if ord(c) < 128]] = True
-_INNER = _LEET.copy()
-_INNER[[ord(c) for c in GAPS if ord(c) < 128]] = True
-_INNER[0x20] = False
+_GAP = np.zeros(256, bool)
+_GAP[[ord(c) for c in GAPS if ord(c) < 128]] = True
+_GAP[0x20] = False
 
 # Lower case, and a space for every ASCII byte that is no letter.
 _TO_LETTERS = bytes((b + 32 if 65 <= b < 91 else b if 97 <= b < 123 or b >= 128 else 32) for b in range(256))
@@ -202,7 +203,10 @@ def _shared_prefix(steps) -> str:
     return ""
 
 
-_EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "@$|+(")
+#: ASCII that has one reading at an end of a word, a break or nothing.
+_EDGE = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in LOOKALIKES)
+#: A lower-case word without its _EDGE whose lattice has more than one path.
+_AMBIGUOUS = re.compile(rf"[{re.escape(''.join(LOOKALIKES) + GAPS)}]|([^\W\d_])\1")
 
 
 class Restorer:
@@ -215,7 +219,11 @@ class Restorer:
         if known is None:
             text = span.decode("utf-8", "replace").lower()
             core = text.strip(_EDGE)
-            known = restore(core, self.bits).encode("utf-8") if any(c.isalpha() for c in core) else span
+            known = span
+            if _AMBIGUOUS.search(core) and any(c.isalpha() for c in core):
+                known = restore(core, self.bits).encode("utf-8")
+                if known.split() == span.translate(_TO_LETTERS).split():
+                    known = span  # read as it is written
             if len(span) <= REMEMBERED_BYTES:
                 if len(self.memory) >= REMEMBERED_SPANS:
                     self.memory.clear()
@@ -246,25 +254,23 @@ class Restorer:
         return [o if o is not None else (t or b"") for o, t in zip(out, texts)]
 
     def _spans(self, words: Words) -> list[tuple[int, int]]:
-        """Byte ranges of tokens and of rows of single characters whose lattice
-        has more than one path."""
+        """Byte ranges of tokens and of rows of single characters that may have
+        a lattice of more than one path: all that do, and words with a character
+        outside ASCII."""
         buf = words.buf
         letter, leet = _LETTER[buf], _LEET[buf]
-        marked = np.zeros(len(buf), bool)
-        same = (buf[1:] == buf[:-1]) & letter[1:] & (buf[1:] < 128)
-        marked[2:] |= same[1:] & same[:-1]  # a letter three times in a row
-        marked[1:] |= leet[:-1] & letter[1:]
-        inner = np.flatnonzero(_INNER[buf])
-        marked[inner[inner > 0]] |= letter[inner[inner > 0] - 1]
+        marked = leet | (buf >= 128)
+        marked[1:] |= letter[1:] & ((buf[1:] | 0x20) == (buf[:-1] | 0x20)) & letter[:-1]  # a letter twice in a row
+        sizes = words.end - words.start
         places = np.flatnonzero(marked)
-        tokens = np.unique(np.searchsorted(words.start, places, side="right") - 1)
+        gaps = np.flatnonzero(_GAP[buf])
+        token = np.searchsorted(words.start, gaps, side="right") - 1
+        inside = (token >= 0) & (gaps > words.start[token]) & (gaps < words.end[token] - 1)
+        tokens = np.unique(np.r_[np.searchsorted(words.start, places, side="right") - 1, token[inside]])
         tokens = tokens[tokens >= 0]
-        sizes = words.end - words.start
-        spans = []
-        for s, e in zip(words.start[tokens].tolist(), words.end[tokens].tolist()):
-            token = buf[s:e].tobytes()
-            if _AMBIGUOUS.search(token):
-                spans.append((s, e))
+        has_letter = np.add.reduceat(letter, words.start, dtype=np.int64)[tokens] > 0
+        tokens = tokens[has_letter]
+        spans = list(zip(words.start[tokens].tolist(), words.end[tokens].tolist()))
         # Rows of single characters.
         alone = (sizes == _char_size(buf[words.start])) & (letter[words.start] | leet[words.start])
         text = np.searchsorted(words.first, np.arange(len(sizes)), side="right")
@@ -293,12 +299,6 @@ def _char_size(lead: np.ndarray) -> np.ndarray:
     return np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4)))
 
 
-# A token with several readings once its outer punctuation is off.
-_AMBIGUOUS = re.compile(
-    rb"([a-zA-Z])\1\1|[0-9@$|+(][a-zA-Z\x80-\xff]|[a-zA-Z\x80-\xff][0-9@$|+(!._*~'-]+[a-zA-Z\x80-\xff]|[a-z\x80-\xff][0-9@$]"
-)
-
-
 # ---------------------------------------------------------------- features
 
 

@@ -112,6 +112,34 @@ def test_spans_of_any_length_are_decoded(spark, model):
     assert toxicity.restore(long, r.bits) == unsplit(long, r.bits)
 
 
+def test_the_filter_admits_every_token_with_several_paths(model):
+    rng = random.Random(11)
+    r = toxicity.Restorer(model.bits)
+    r.bits = None  # the search itself must not run where there is one path
+    letters = "abiotOT10$@|+(!€£\u200b\u00ad._-*~',;)é“"
+    for _ in range(3000):
+        token = "".join(rng.choices(letters, k=rng.randrange(2, 7)))
+        core = token.lower().strip(toxicity._EDGE)
+        several = any(len(e) > 1 for e in toxicity.lattice(core)) and any(c.isalpha() for c in core)
+        data = f"x;; {token} y;;".encode()
+        admitted = (4, len(data) - 4) in r._spans(toxicity.Words([data], toxicity.SPACES))
+        assert admitted or not several, token
+        if not several:
+            assert r._decode(token.encode()) == token.encode()
+
+
+def test_every_declared_disguise_is_restored(model):
+    r = toxicity.Restorer(model.bits)
+    for disguised, word in [
+        ("stuupid", "stupid"), ("iddiot", "idiot"), ("id\u200biot", "idiot"), ("st\u00adupid", "stupid"), ("idio+", "idiot"),
+        ("!diot", "idiot"), ("los€r", "loser"), ("IDdiot", "idiot"),
+    ]:
+        assert r.texts([f"you {disguised} there".encode()])[0].decode() == f"you {word} there", disguised
+    for plain in ["a letter!", "the weather is fine. A garden"]:
+        assert r.texts([plain.encode()]) == [plain.encode()]
+    assert r.texts([b"the letter and the weather"]) == [b"the letter and the weather"]
+
+
 def test_scores(spark, model):
     assert scores(spark, model, CLEAN) == [0, 0]
     assert scores(spark, model, BAD) == [1, 1]
