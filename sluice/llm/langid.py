@@ -9,9 +9,12 @@ Statistics are frozen after training, so the code length of a text is a sum of
 table entries, and the least sum names the language.
 
 Training counts every training text in full; tasks count their own n-grams,
-Spark adds them up. The tree keeps its most visited contexts per order
-(``CONTEXTS``), all others fall back on their longest kept suffix; that and
-``TABLE_BYTES`` bound what is broadcast.
+Spark adds them up. Every context seen is kept. The most visited ones
+(``CONTEXTS``, within ``TABLE_BYTES``) are a dense table of contexts, bytes and
+languages; the others are sorted arrays of the bytes seen after them and of one
+escape cost per language and context, looked up by binary search. Which contexts
+are dense changes the speed and no code length. The driver and every task hold
+the whole model: 12 bytes for a distinct gram of a language outside the table.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,9 +33,9 @@ from pyspark.sql import types as T
 from sluice.llm.batches import append_columns, text_slices
 
 ORDER = 3
-#: Contexts kept per order, the most visited over all languages.
+#: Contexts of the dense table per order, the most visited over all languages.
 CONTEXTS = {0: 1, 1: 256, 2: 4096, 3: 16384}
-#: Most bytes of a model's code-length table; fewer contexts are kept beyond it.
+#: Most bytes of the dense table; the contexts beyond it are looked up.
 TABLE_BYTES = 96 << 20
 UNKNOWN = "und"
 _PAD = b"\x00" * ORDER
@@ -104,9 +108,14 @@ def _count_grams(batches):
 class Ppm:
     langs: list
     symbol: np.ndarray  # byte -> symbol
-    contexts: np.ndarray  # packed context symbols -> row of the longest kept suffix
+    contexts: np.ndarray  # packed context symbols -> row of the longest dense suffix
     bits: np.ndarray  # (row * symbols + symbol, lang) code lengths in bits
     symbols: int
+    orders: np.ndarray  # row -> order of its context
+    grams: np.ndarray  # sorted _key of each byte seen after a context that isn't dense ...
+    gram_bits: np.ndarray  # ... and its code length
+    escapes: np.ndarray  # sorted _key of each context that isn't dense ...
+    escape_bits: np.ndarray  # ... and what an escape from it costs
 
 
 def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> Ppm | None:
@@ -119,36 +128,83 @@ def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> P
         F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")
     ).where("text is not null and text <> '' and lang is not null and lang <> ''")
     counts = rows.mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counts = counts.persist()
-    try:
-        levels, room = {}, 0
-        for order in range(ORDER + 1):
-            # gram = 4 bytes, oldest first: the last is the coded byte, those before it the context.
-            tail = F.col("gram") if order == ORDER else F.pmod(F.col("gram"), F.lit(1 << (8 * (order + 1))))
-            by = counts.select("lang", tail.alias("tail"), "n").groupBy("lang", "tail").agg(F.sum("n").alias("n"))
-            if order:
-                by = by.withColumn("context", F.shiftright("tail", 8))
-                top = by.groupBy("context").agg(F.sum("n").alias("visits")).orderBy(F.desc("visits"), "context")
-                top = top.limit(min(CONTEXTS[order], room))  # what comes to the driver is bounded by the table
-                by = by.join(top, "context").select("lang", "tail", "n")
-            levels[order] = by.toArrow()
-            if order == 0:
-                langs = len(set(levels[0].column("lang").to_pylist()))
-                coded = len(set(levels[0].column("tail").to_pylist())) + 1
-                room = TABLE_BYTES // (4 * coded * max(langs, 1))
-            room -= len(set((np.asarray(levels[order].column("tail")) >> 8).tolist()))
-            room = max(room, 0)
-    finally:
-        counts.unpersist()
-    if levels[0].num_rows == 0:
+    found = counts.toArrow().combine_chunks()
+    if found.num_rows == 0:
         return None
-    return _build(levels)
+    coded = pc.dictionary_encode(found.column("lang")).combine_chunks()
+    coded = coded.chunk(0) if isinstance(coded, pa.ChunkedArray) else coded
+    names = coded.dictionary.to_pylist()
+    langs = sorted(names)
+    place = np.array([langs.index(x) for x in names], np.int64)
+    return _build(
+        langs, place[np.asarray(coded.indices)], np.asarray(found.column("gram")).astype(np.int64), np.asarray(found.column("n")).astype(np.int64)
+    )
 
 
-def _build(levels: dict) -> Ppm:
-    langs = sorted(set(levels[0].column("lang").to_pylist()))
-    lang_no = {x: i for i, x in enumerate(langs)}
-    seen = np.unique(np.asarray(levels[0].column("tail")).astype(np.int64))
+def _key(lang, order: int, bytes_):
+    """One number for a gram or context (up to 4 bytes) of an order of a language."""
+    return (lang << 34) | (order << 32) | bytes_
+
+
+def _levels(lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(lang, tail, n) per order, sorted: how often each language has each gram
+    of a coded byte (the last one) and ``order`` bytes before it."""
+    levels = []
+    for order in range(ORDER + 1):
+        key, back = np.unique((lang << 32) | (gram & ((1 << (8 * (order + 1))) - 1)), return_inverse=True)
+        levels.append((key >> 32, key & 0xFFFFFFFF, np.bincount(back, n, len(key)).astype(np.int64)))
+    return levels
+
+
+def _dense_contexts(levels: list, coded: int, langs: int) -> list[np.ndarray]:
+    """The contexts of the dense table per order, sorted. All suffixes of a dense context are dense."""
+    room = TABLE_BYTES // (4 * coded * langs) - 1
+    kept = [np.zeros(1, np.int64)]
+    for order in range(1, ORDER + 1):
+        _, tail, n = levels[order]
+        context, back = np.unique(tail >> 8, return_inverse=True)
+        visits = np.bincount(back, n, len(context))
+        suffix = np.isin(context & ((1 << (8 * (order - 1))) - 1), kept[-1])
+        context, visits = context[suffix], visits[suffix]
+        top = np.lexsort((context, -visits))[: max(0, min(CONTEXTS[order], room))]
+        kept.append(np.sort(context[top]))
+        room -= len(top)
+    return kept
+
+
+def _sparse(levels: list, dense: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(grams, gram_bits, escapes, escape_bits) of all contexts that aren't dense."""
+    grams, gram_bits, escapes, escape_bits = [], [], [], []
+    shorter_key = shorter_p = None
+    for order, (lang, tail, n) in enumerate(levels):
+        context = (lang << 32) | (tail >> 8)
+        first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+        distinct = np.diff(np.r_[first, len(context)])
+        total = np.add.reduceat(n, first) + distinct
+        p = n / np.repeat(total, distinct)
+        if order:
+            # A byte seen after a context is seen after its suffix too.
+            parent = shorter_p[np.searchsorted(shorter_key, (lang << 32) | (tail & ((1 << (8 * order)) - 1)))]
+            mass = np.maximum(1 - np.add.reduceat(parent, first), 1e-12)
+            rare = ~np.isin(tail >> 8, dense[order])
+            grams.append(_key(lang, order, tail)[rare])
+            gram_bits.append(-np.log2(p[rare]))
+            rare = rare[first]
+            escapes.append(_key(lang[first], order, tail[first] >> 8)[rare])
+            escape_bits.append(np.log2(total * mass / distinct)[rare])
+        shorter_key, shorter_p = (lang << 32) | tail, p
+
+    def ordered(keys, bits):
+        keys, bits = np.concatenate(keys), np.concatenate(bits).astype(np.float32)
+        order = np.argsort(keys)
+        return keys[order], bits[order]
+
+    return *ordered(grams, gram_bits), *ordered(escapes, escape_bits)
+
+
+def _build(langs: list, lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Ppm:
+    levels = _levels(lang, gram, n)
+    seen = np.unique(levels[0][1])
     symbol = np.full(256, len(seen), np.int64)  # bytes never seen share one more symbol ...
     symbol[seen] = np.arange(len(seen))
     pad = len(seen) + 1  # ... and the pad before a text is a symbol of contexts only
@@ -159,12 +215,11 @@ def _build(levels: dict) -> Ppm:
     contexts = np.zeros(size**ORDER, np.int32)
     row_of: dict[int, dict[int, int]] = {}
     rows = 0
-    for order in range(ORDER + 1):
-        level = levels[order]
-        tail = np.asarray(level.column("tail")).astype(np.int64)
-        n = np.asarray(level.column("n")).astype(np.float64)
-        lang = np.array([lang_no[x] for x in level.column("lang").to_pylist()], np.int64)
-        kept = np.unique(tail >> 8)
+    dense = _dense_contexts(levels, coded, len(langs))
+    for order, kept in enumerate(dense):
+        lang, tail, n = levels[order]
+        inside = np.isin(tail >> 8, kept)
+        lang, tail, n = lang[inside], tail[inside], n[inside].astype(np.float64)
         table = np.zeros((len(langs), len(kept), coded))
         np.add.at(table, (lang, np.searchsorted(kept, tail >> 8), symbol[tail & 0xFF]), n)
         if order == 0:
@@ -186,7 +241,9 @@ def _build(levels: dict) -> Ppm:
     unseen = max(1, 256 - len(seen))
     p[:, :, len(seen)] /= unseen
     bits = -np.log2(p).astype(np.float64)
-    return Ppm(langs, symbol, contexts, np.ascontiguousarray(bits.transpose(1, 2, 0).reshape(-1, len(langs)), dtype=np.float32), size)
+    bits = np.ascontiguousarray(bits.transpose(1, 2, 0).reshape(-1, len(langs)), dtype=np.float32)
+    orders = np.repeat(np.arange(ORDER + 1), [len(kept) for kept in dense])
+    return Ppm(langs, symbol, contexts, bits, size, orders, *_sparse(levels, dense))
 
 
 def _suffix_row(row_of: dict, context: int, order: int) -> int:
@@ -211,6 +268,34 @@ def _escape_c(counts: np.ndarray, parent: np.ndarray) -> np.ndarray:
     return np.where(visits > 0, np.maximum(out, 1e-12), parent)
 
 
+def _find(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which of ``asked`` are in the sorted ``keys``, the values of those)."""
+    if not len(keys):
+        return np.zeros(len(asked), bool), values[:0]
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    hit = keys[at] == asked
+    return hit, values[at[hit]]
+
+
+def _looked_up(model: Ppm, gram: np.ndarray, order: np.ndarray, dense: np.ndarray) -> np.ndarray:
+    """Code lengths of grams whose longest dense context has ``order`` bytes and
+    gives ``dense``: from the longest context seen, which may be longer."""
+    out = np.zeros(dense.shape, np.float32)
+    for lang in range(len(model.langs)):
+        cost, pending = np.zeros(len(gram), np.float32), np.ones(len(gram), bool)
+        for k in range(ORDER, 0, -1):
+            at = np.flatnonzero(pending & (order < k))
+            tail = gram[at] & ((1 << (8 * (k + 1))) - 1)
+            hit, bits = _find(model.grams, model.gram_bits, _key(lang, k, tail))
+            cost[at[hit]] += bits
+            pending[at[hit]] = False
+            at, tail = at[~hit], tail[~hit]
+            hit, bits = _find(model.escapes, model.escape_bits, _key(lang, k, tail >> 8))
+            cost[at[hit]] += bits
+        out[:, lang] = cost + np.where(pending, dense[:, lang], 0)
+    return out
+
+
 def code_lengths(model: Ppm, texts: list[bytes]) -> np.ndarray:
     """Bits of every text under every language (float64, one row per text)."""
     out = np.zeros((len(texts), len(model.langs)))
@@ -226,6 +311,13 @@ def code_lengths(model: Ppm, texts: list[bytes]) -> np.ndarray:
         code = (s[lo - 3 : hi - 3] * model.symbols + s[lo - 2 : hi - 2]) * model.symbols + s[lo - 1 : hi - 1]
         row = model.contexts[code]
         cost = model.bits[row.astype(np.int64) * coded + np.minimum(s[lo:hi], coded - 1)]
+        loose = np.flatnonzero((model.orders[row] < ORDER) & ~starts[lo:hi]) if len(model.grams) else []
+        if len(loose):
+            at = loose + lo
+            gram = (flat[at - 3].astype(np.int64) << 24) | (flat[at - 2].astype(np.int64) << 16) | (flat[at - 1].astype(np.int64) << 8) | flat[at]
+            gram, first, back = np.unique(gram, return_index=True, return_inverse=True)
+            first = loose[first]
+            cost[loose] = _looked_up(model, gram, model.orders[row[first]], cost[first])[back]
         cost[starts[lo:hi]] = 0
         text = np.searchsorted(bounds, [lo, hi - 1], side="right") - 1
         cuts = np.maximum(bounds[text[0] : text[1] + 1] - lo, 0)

@@ -108,3 +108,22 @@ def test_a_small_table_falls_back_on_shorter_contexts(spark, docs, monkeypatch):
     assert len(model.bits) <= 20 * 11
     got = langid.identify(docs([(1, "abca dbca"), (2, "efgh efgh")]), model).collect()
     assert [r["lang_pred"] for r in got] == ["x", "y"]
+
+
+@pytest.mark.parametrize("room", [1, 3, 12])
+def test_every_context_counts_whatever_is_dense(spark, docs, monkeypatch, room):
+    rng = random.Random(room)
+    training = {x: ["".join(rng.choices(a, k=rng.randrange(1, 80))) for _ in range(n)] for x, a, n in [("p", "abcdé ", 30), ("q", "abxyz ", 9), ("r", "dé汉字 ", 2)]}
+    rows = [(i, t, lang) for lang, texts in training.items() for i, t in enumerate(texts)]
+    whole = train(docs, rows)
+    assert not len(whole.grams)
+    coded = len(np.unique(whole.symbol)) - 1
+    monkeypatch.setattr(langid, "TABLE_BYTES", 4 * coded * 3 * room)
+    model = train(docs, rows)
+    assert len(model.bits) <= room * coded and len(model.grams)
+    texts = ["abcd abxy", "é汉 dé", "zz\x00q", "a", *["".join(rng.choices("abcdéxyz汉字 ?", k=60)) for _ in range(20)]]
+    bits = langid.code_lengths(model, [t.encode() for t in texts])
+    assert bits == pytest.approx(langid.code_lengths(whole, [t.encode() for t in texts]), rel=1e-4)
+    for t, row in zip(texts, bits):
+        want = direct_bits(training, t)
+        assert row == pytest.approx([want["p"], want["q"], want["r"]], rel=1e-4), t
