@@ -50,18 +50,38 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity
     of 0.8 or more): the one with the least id. Documents without words or id
-    stay; of rows that share an id one stays."""
-    found = neardup.near_duplicates(docs)
+    stay. Different texts that share an id are different documents; of rows that
+    share id and text one stays."""
+    with_id = docs.where("doc_id is not null").select("doc_id")
+    repeated = with_id.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    path = shared_path(spark, "pipeline", "near_dedup_repeated")
+    repeated.write.parquet(path)
+    repeated = spark.read.schema(repeated.schema).parquet(path)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if repeated.isEmpty():
+        return docs.join(_near_copies(spark, docs, "doc_id"), "doc_id", "left_anti").select(*columns)
+    # A number for each id and text, in the order of the ids.
+    digest = F.coalesce(F.sha2(F.col("text").cast("string"), 256), F.lit(""))
+    keyed = docs.select(F.struct(*columns).alias("document"), "doc_id", "text", digest.alias("digest"))
+    nodes = keyed.where("doc_id is not null").select("doc_id", "digest").distinct().orderBy("doc_id", "digest")
+    path = shared_path(spark, "pipeline", "near_dedup_nodes")
+    nodes.withColumn("node", F.monotonically_increasing_id()).write.parquet(path)
+    keyed = keyed.join(spark.read.parquet(path), ["doc_id", "digest"], "left")
+    left = keyed.join(_near_copies(spark, keyed.select("node", "text"), "node"), "node", "left_anti")
+    once = left.join(repeated, "doc_id", "left_anti").select("document")
+    # Any order will do that doesn't change on a retry (maps can't be hashed).
+    order = F.xxhash64(*[F.col("document").getField(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    first = left.join(repeated, "doc_id", "left_semi").groupBy("node").agg(F.min_by("document", order).alias("document"))
+    rows = once.unionByName(first.select("document"))
+    return rows.select(*[F.col("document").getField(c).alias(c) for c in docs.columns])
+
+
+def _near_copies(spark: SparkSession, docs: DataFrame, id_col: str) -> DataFrame:
+    """The ids near_dedup drops, written once."""
+    found = neardup.near_duplicates(docs, id_col)
     path = shared_path(spark, "pipeline", "near_dedup")
     found.write.parquet(path)
-    found = spark.read.parquet(path)
-    dropped = found.where("not kept").select("doc_id")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    if repeated.isEmpty():
-        return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    once = docs.join(dropped.union(repeated), "doc_id", "left_anti")
-    first = docs.join(repeated, "doc_id", "left_semi").join(dropped, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return once.unionByName(first).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return spark.read.parquet(path).where("not kept").select(id_col)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

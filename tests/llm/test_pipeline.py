@@ -93,6 +93,17 @@ def test_stages_on_odd_rows(spark, name, stage):
     assert stage(spark, docs.limit(0), SF).collect() == []
 
 
+def test_texts_that_share_an_id_are_judged_one_by_one(spark):
+    words = [f"w{i}" for i in range(200)]
+    a, b, c, d = (" ".join(words[k : k + 40]) for k in (0, 50, 100, 150))
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, c, "x"), (3, d, "y"), (3, d, "z"), (10, b, "x"), (None, a, "x"), (4, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string")
+    got = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
+    assert kept == sorted([(1, a), (2, b), (3, c), (3, d), (None, a), (4, None)], key=repr)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
