@@ -7,7 +7,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import ann, bpe, chat, decontam, html, langid, licenses, neardup, sql, tokencount, toxicity
+from sluice.llm import (
+    ann, bpe, centroids, chat, decontam, html, langid, licenses, neardup, simhash, spelling, sql, tokencount, toxicity,
+)
 from sluice.llm.batches import held_out
 from sluice.sources.catalog import read_parquet_table
 
@@ -89,6 +91,28 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontam.decontaminate(_table(spark, d, "documents"), _table(spark, d, "benchmark"))
 
 
+def op11_centroid_clustering(spark: SparkSession, d: str) -> DataFrame:
+    """Every vector's cluster after three exact Lloyd rounds over 16 centroids."""
+    assigned, found = centroids.lloyd(_table(spark, d, "embeddings"), dim=64, k=16, rounds=3, scale=64, seed="1")
+    return centroids.with_inertia(assigned, found)
+
+
+def op12_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    """Spelling variants among the words of all documents. An occurrence whose
+    crc32 with its document's id is a multiple of 97 has lost a letter (none has
+    where the id is null)."""
+    runs = spelling.runs(_table(spark, d, "documents"), min_length=5)
+    h = F.crc32(F.concat(F.col("id").cast("string"), F.lit(":"), F.col("run")))
+    lost = spelling.without_letter(F.col("run"), h % F.char_length("run"))
+    words = runs.select(F.when(h % 97 == 0, lost).otherwise(F.col("run")).alias("word"))
+    return spelling.group_variants(spelling.word_counts(words, min_length=5, min_count=3))
+
+
+def op13_simhash_neardup(spark: SparkSession, d: str) -> DataFrame:
+    """Components of documents whose 64-bit SimHash differs in two bits or fewer."""
+    return simhash.near_duplicates(_table(spark, d, "documents"), shingle=3)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_ann": op2_ann,
@@ -100,6 +124,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_simhash_neardup": op13_simhash_neardup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -107,4 +134,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_chat_perspectives": sql.CHAT_PERSPECTIVES,
     "op8_license_scan": sql.license_scan(),
     "op10_decontamination": sql.DECONTAMINATION,
+    "op11_centroid_clustering": sql.centroid_clustering(),
+    "op12_spelling_variants": sql.SPELLING_VARIANTS,
 }

@@ -111,3 +111,77 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, las
        WHEN n_base > 0 THEN 0.5::DOUBLE ELSE 0.0::DOUBLE END AS score
 FROM docs LEFT JOIN counted USING (doc_id) LEFT JOIN base_labels USING (doc_id) LEFT JOIN labels USING (doc_id)
 """
+
+
+def centroid_clustering(rounds: int = 3) -> str:
+    """Lloyd rounds as one step of common table expressions each."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""pairs_{r} AS (
+  SELECT row, c, sum((x - y) * (x - y)) AS distance FROM parts JOIN centroids_{r} USING (i) GROUP BY row, c
+), assigned_{r} AS (SELECT row, min(c) AS c, min(distance) AS distance FROM (
+    SELECT *, min(distance) OVER (PARTITION BY row) AS least FROM pairs_{r}) WHERE distance = least GROUP BY row
+)""")
+        if r < rounds:
+            steps.append(f"""moved_{r} AS (
+  SELECT c, i, sum(x) AS s, count(*) AS n FROM assigned_{r} JOIN parts USING (row) GROUP BY c, i
+), centroids_{r + 1} AS (
+  SELECT c, i, CASE WHEN n IS NULL THEN y ELSE CAST((s - ((s % n) + n) % n) // n AS BIGINT) END AS y
+  FROM centroids_{r} LEFT JOIN moved_{r} USING (c, i)
+)""")
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), parts AS (SELECT row, unnest(range(1, 65)) AS i, unnest(v) AS x FROM kept
+), first AS (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept WHERE vec_id IS NOT NULL) ORDER BY h, v LIMIT 16
+), centroids_0 AS (SELECT c, unnest(range(1, 65)) AS i, unnest(v) AS y FROM first
+), {", ".join(steps)}, digests AS (
+  SELECT c, sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY i)) AS centroid_sha256 FROM centroids_{rounds} GROUP BY c
+)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+  CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, centroid_sha256
+FROM assigned_{rounds} JOIN kept USING (row) JOIN digests USING (c)
+"""
+
+
+_CRC32 = """xor(4294967295, list_reduce([CAST(4294967295 AS BIGINT)] || flatten(list_transform(string_split(key, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+      ELSE [CAST(192 + (unicode(c) >> 6) AS BIGINT), CAST(128 + (unicode(c) & 63) AS BIGINT)] END)),
+    lambda h, b: list_reduce([xor(h, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[a-zÀ-ÿ]+')) AS run FROM documents
+), often AS (
+  SELECT doc_id || ':' || run AS key, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY doc_id, run
+), hashed AS (SELECT run, n, {_CRC32} AS h FROM often
+), vocabulary AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), places AS (SELECT word, unnest(range(0, length(word))) AS i FROM vocabulary
+), cut AS (SELECT DISTINCT word, i, word[1 : i] AS head, word[i + 2 :] AS tail FROM places
+), near AS (
+  SELECT x.word AS word, y.word AS near FROM cut x JOIN cut y ON x.i = y.i AND x.head = y.head AND x.tail = y.tail AND x.word <> y.word
+  UNION SELECT cut.word, head || tail FROM cut JOIN vocabulary v ON v.word = head || tail
+  UNION SELECT head || tail, cut.word FROM cut JOIN vocabulary v ON v.word = head || tail
+), best AS (
+  SELECT near.word, count(*) AS n_near, max(v.n) AS top, arg_min(near, (-v.n, near)) AS candidate
+  FROM near JOIN vocabulary v ON v.word = near.near GROUP BY near.word
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * n THEN candidate END AS form,
+    CASE WHEN top >= 2 * n THEN top END AS form_n
+  FROM vocabulary LEFT JOIN best USING (word)
+), followed AS (
+  SELECT word, word AS root, form AS next FROM formed
+  UNION ALL
+  SELECT followed.word, formed.word, formed.form FROM followed JOIN formed ON followed.next = formed.word
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM followed WHERE next IS NULL) USING (word)
+"""

@@ -1,0 +1,121 @@
+import random
+import re
+
+import pytest
+import xxhash
+
+from sluice.llm import queries, simhash
+from sluice.llm.stars import components
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute_fingerprint(text, width):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    grams = [" ".join(words[i : i + width]) for i in range(len(words) - width + 1)] or ([" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(g.encode(), seed=42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(prints):
+    """Least id reachable for (id, fingerprint) rows."""
+    group = list(range(len(prints)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, (_, a) in enumerate(prints):
+        for j, (_, b) in enumerate(prints[:i]):
+            if (a ^ b).bit_count() <= 2:
+                group[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(prints):
+        if doc is not None:
+            least[find(i)] = min(doc, least.get(find(i), doc))
+    return [least.get(find(i)) for i in range(len(prints))]
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+@pytest.mark.parametrize("width", [1, 3, 5])
+def test_fingerprints_equal_brute_force(width, sf):
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table(f"{sf}/documents.parquet").column("text").to_pylist()[:60]
+    texts += [None, "", " \n\t", "One", "one two", "ÀB c", "a a a a a a", " lead", "trail \x0b", "x" * 5000, "r " * 70_000]
+    got = simhash.fingerprints([None if t is None else t.encode() for t in texts], width)
+    assert got.tolist() == [brute_fingerprint(t, width) for t in texts]
+    assert len(simhash.fingerprints([], width)) == 0
+
+
+def test_spark_hash_is_the_same():
+    assert brute_fingerprint("only one gram", 3) == xxhash.xxh64_intdigest("only one gram", seed=42)
+
+
+@pytest.mark.parametrize("bucket", [128, 2])
+def test_links_lose_no_connection(spark, monkeypatch, tmp_path, bucket):
+    """Chains and clouds of near fingerprints; with ``bucket`` 2 nearly every variant is hot."""
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rng = random.Random(bucket)
+    prints = set()
+    for _ in range(12):
+        centre = rng.getrandbits(64)
+        prints.add(centre)
+        for _ in range(25):
+            x = rng.choice([centre, x if _ else centre])
+            for b in rng.sample(range(64), rng.choice([1, 2, 2, 3])):
+                x ^= 1 << b
+            prints.add(x)
+    same = rng.getrandbits(32) << 32  # one segment in common, the other random
+    prints |= {same | rng.getrandbits(32) for _ in range(40)} | {same | (1 << rng.randrange(32)) for _ in range(20)}
+    prints = sorted(prints)
+
+    def save(frame, name):
+        frame.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{tmp_path}/{name}")
+
+    nodes = spark.createDataFrame([(signed(p),) for p in prints], "fp long")
+    found = simhash.links(nodes, save).collect()
+    assert all(((r["u"] ^ r["v"]) & ((1 << 64) - 1)).bit_count() <= 2 for r in found)
+    linked = spark.createDataFrame(found, "u long, v long")
+    label = {r["u"]: r["v"] for r in components(linked, save).collect()}
+    got = [label.get(signed(p), signed(p)) for p in prints]
+    assert got == brute_components([(signed(p), p) for p in prints])
+
+
+def test_query_on_planted_copies(spark, docs, tmp_path):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        text = rng.choices(words, k=rng.choice([1, 2, 3, 200, 400]))
+        rows.append((i * 2 + 50, " ".join(text)))
+        if i % 3 == 0:
+            rows.append((i * 2 + 51, "  ".join(text).upper()))  # the same words
+            text[len(text) // 2] = "changed"
+            rows.append((i * 2 - 40, " ".join(text)))
+    rows += [(None, rows[0][1]), (None, "alone with no id"), (7000, None), (7001, ""), (6999, " \t"), (50, rows[0][1])]
+    docs(rows, extra=["fp", "id", "component_id", "fingerprint"]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op13_simhash_neardup(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "fingerprint", "component_id"]
+    prints = [(i, brute_fingerprint(t, 3)) for i, t in rows]
+    expected = [(i, f"{p:016x}", c) for (i, p), c in zip(prints, brute_components(prints))]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_whole_table_equals_brute_force(spark, sf):
+    import pyarrow.parquet as pq
+
+    t = pq.read_table(f"{sf}/documents.parquet")
+    prints = [(i, brute_fingerprint(x, 3)) for i, x in zip(t.column("doc_id").to_pylist(), t.column("text").to_pylist())]
+    got = queries.op13_simhash_neardup(spark, sf).collect()
+    expected = [(i, f"{p:016x}", c) for (i, p), c in zip(prints, brute_components(prints))]
+    assert sorted(map(tuple, got)) == sorted(expected)
+
+
+def test_empty_table(spark, docs):
+    assert simhash.near_duplicates(docs([])).collect() == []

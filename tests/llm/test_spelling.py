@@ -1,0 +1,116 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from sluice.llm import queries, spelling
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_pairs(words):
+    return {(x, y) for x in words for y in words if one_edit(x, y)}
+
+
+def brute_groups(counts):
+    near = {w: [v for v in counts if one_edit(w, v)] for w in counts}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-counts[v], v), default=None)
+        form[w] = best if best is not None and counts[best] >= 2 * counts[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {(w, form[w], root(w), n, len(near[w]), counts.get(form[w])) for w, n in counts.items()}
+
+
+def vocabulary(seed, n, letters, low, high):
+    rng = random.Random(seed)
+    return sorted({"".join(rng.choice(letters) for _ in range(rng.randint(low, high))) for _ in range(n)})
+
+
+@pytest.mark.parametrize("seed,letters,low,high", [(1, "ab", 1, 7), (2, "abc", 2, 5), (3, "aàÿ÷", 3, 6)])
+def test_pairs_equal_brute_force(spark, seed, letters, low, high):
+    words = vocabulary(seed, 160, letters, low, high)
+    df = spark.createDataFrame([(w, i + 1) for i, w in enumerate(words)], "word string, n long")
+    got = [(r["word"], r["near"]) for r in spelling.near_pairs(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(words)
+
+
+@pytest.mark.parametrize("partition,width", [(3, 256), (4096, 2)])
+def test_large_partitions_are_cut_until_small(spark, monkeypatch, partition, width):
+    monkeypatch.setattr(spelling, "PARTITION", partition)
+    monkeypatch.setattr(spelling, "WIDTH", width)
+    words = vocabulary(4, 120, "ab", 4, 8) + ["common" + w for w in vocabulary(5, 60, "ab", 3, 6)]
+    df = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
+    got = [(r["word"], r["near"]) for r in spelling.near_pairs(df).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(words)
+
+
+def test_minimised_acceptor_is_least_and_accepts_the_words():
+    words = vocabulary(6, 200, "abc", 1, 6)
+    edges, finals, root = spelling.minimised(words)
+    accepted, todo = [], [(root, "")]
+    while todo:
+        q, read = todo.pop()
+        if finals[q]:
+            accepted.append(read)
+        todo += [(to, read + c) for c, to in edges[q].items()]
+    assert sorted(accepted) == words
+    futures = {frozenset(w[i:] for w in words if w.startswith(p)) for v in words for i in range(len(v) + 1) for p in [v[:i]]}
+    assert len(edges) == len(futures)  # Myhill-Nerode: one state a future
+
+
+def test_groups_equal_brute_force(spark):
+    rng = random.Random(7)
+    counts = {w: rng.choice([3, 4, 6, 7, 13, 30, 31, 70, 500]) for w in vocabulary(8, 150, "abé", 3, 6)}
+    got = spelling.group_variants(spark.createDataFrame(list(counts.items()), "word string, n long"))
+    assert got.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    assert {tuple(r) for r in got.collect()} == brute_groups(counts)
+
+
+def test_chains_of_forms(spark):
+    words = ["aaaaa" + "b" * i for i in range(8)]  # each twice as frequent as the one before
+    counts = {w: 3 * 2**i for i, w in enumerate(words)}
+    got = spelling.group_variants(spark.createDataFrame(list(counts.items()), "word string, n long")).collect()
+    assert {r["root"] for r in got} == {words[-1]} and {tuple(r) for r in got} == brute_groups(counts)
+
+
+def brute_query(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{doc_id}:{run}".encode())
+            if doc_id is not None and h % 97 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return brute_groups({w: n for w, n in counts.items() if len(w) >= 5 and n >= 3})
+
+
+def test_query_on_a_small_table(spark, docs, tmp_path):
+    rng = random.Random(9)
+    words = ["kitten", "kittens", "Mitten", "smitten", "sitting", "ÀPRÈSmidi", "àprèsmidi", "four", "house", "mouse", "x" * 9]
+    rows = [(i, rng.choice([" ", "\n", "-"]).join(rng.choices(words, weights=[30, 9, 8, 3, 5, 4, 3, 9, 30, 8, 2], k=60))) for i in range(60)]
+    long = "verylong" * 30_000
+    rows += [(100, None), (101, ""), (102, " 12 ,. "), (103, long), (104, long), (105, long + "y"), (None, "kitten " * 50)]
+    rows += [(106, long + "y"), (107, long + "y " + long), (107, long + "y " + long), (0, rows[0][1])]
+    docs(rows, extra=["word", "n", "run", "id"]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op12_spelling_variants(spark, str(tmp_path))
+    assert {tuple(r) for r in got.collect()} == brute_query(rows)
+
+
+def test_empty_table(spark, docs, tmp_path):
+    docs([]).write.parquet(str(tmp_path / "documents.parquet"))
+    assert queries.op12_spelling_variants(spark, str(tmp_path)).collect() == []
