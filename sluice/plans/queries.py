@@ -21,11 +21,17 @@ from pyspark.sql import functions as F
 
 from sluice.functions.connection import first_present, jdbc_database, jdbc_host, redact_map, round2
 from sluice.operators import analytics as A
+from sluice.operators import bitmaps as B
 from sluice.operators import quality as Q
+from sluice.operators.fingerprint import compare_tables
 from sluice.operators.keys import assign_keys
 from sluice.operators.ranges import key_ranges
 from sluice.session import shared_path
+from sluice.sinks import graph as G
+from sluice.sinks import merge as M
+from sluice.sinks import resumable as R
 from sluice.sinks import tables as TB
+from sluice.sinks import versions as V
 from sluice.sinks.parquet import export_parquet
 from sluice.sources.catalog import read_parquet_table
 from sluice.streaming.incremental import bookmark_files, load_increment, read_loaded
@@ -64,7 +70,6 @@ def join3_count_distinct(spark: SparkSession, d: str) -> DataFrame:
         department_name="c_name",
         assignment_project="l_orderkey",
         assignment_member="l_suppkey",
-        hot_key_share=0.05,
     )
 
 
@@ -290,9 +295,156 @@ def stream_increment(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+class _Killed(Exception):
+    pass
+
+
+def resumable_extract(spark: SparkSession, d: str) -> DataFrame:
+    """orders by eight ranges: a first run is killed after three, a second one
+    reads the other five. Every row once, with what each run read."""
+    orders, path = table(spark, d, "orders"), shared_path(spark, "extract", "orders")
+    read = []
+
+    def kill(done: int) -> None:
+        read.append(done)
+        if done == 3:
+            raise _Killed
+
+    try:
+        R.extract_frame_resumable(orders, path, "o_orderkey", 8, source="orders", on_commit=kill)
+    except _Killed:
+        pass
+    second = R.extract_frame_resumable(orders, path, "o_orderkey", 8, source="orders")
+    return R.read_extract(spark, path).withColumns(
+        {"n_ranges": F.lit(second.ranges), "read_first": F.lit(read[-1]), "read_second": F.lit(second.ranges_read)}
+    )
+
+
+def keyed_merge(spark: SparkSession, d: str) -> DataFrame:
+    """orders as a keyed table after batches of updates, deletes, ties, late
+    versions and a replay."""
+    orders = table(spark, d, "orders")
+
+    def rows(where: str, seq: int, gone: bool = False, **values: str) -> DataFrame:
+        changed = {c: F.expr(values.get(c, c)).cast(orders.schema[c].dataType) for c in orders.columns}
+        found = orders.where(where).select(*[x.alias(c) for c, x in changed.items()])
+        return found.withColumns({"seq": F.lit(seq), "gone": F.lit(gone)})
+
+    def together(first: DataFrame, *more: DataFrame) -> DataFrame:
+        for other in more:
+            first = first.unionByName(other)
+        return first
+
+    start = rows("true", 1)
+    schema = start.drop("gone").schema
+    merged = M.create(spark, shared_path(spark, "merged", "orders"), schema, ["o_orderkey"], "seq", buckets=16)
+    first = together(
+        rows("o_orderkey % 5 = 0", 2, o_totalprice="o_totalprice + 1"),
+        rows("o_orderkey % 7 = 0", 2, gone=True),  # a tie where both apply: the delete wins
+        rows("o_orderkey % 11 = 0", 2, o_orderkey="-1 - o_orderkey", o_totalprice="0"),
+    )
+    second = together(
+        rows("o_orderkey % 7 = 0", 1),  # late: older than the delete
+        rows("o_orderkey % 35 = 0", 3, o_totalprice="5"),
+        rows("o_orderkey % 13 = 0 AND o_orderkey % 35 <> 0", 3, o_totalprice="10"),
+        rows("o_orderkey % 13 = 0 AND o_orderkey % 35 <> 0", 3, o_totalprice="20"),  # a tie: the greater row
+    )
+    for batch in (start, first, second, first):  # the last one is a replay
+        M.merge(spark, merged, batch, F.col("gone"))
+    return M.read_merged(spark, merged)
+
+
+def publish_versions(spark: SparkSession, d: str) -> DataFrame:
+    """customer published behind a view, partitioned; replaced by a filter of
+    itself, replaced again and rolled back."""
+    ns, base = _ns(spark), shared_path(spark, "versions", unique=False)
+    src = table(spark, d, "customer")
+    spec = TB.spec_from_frame(_uniq("customer"), src, ("c_mktsegment",))
+    V.publish(spark, spec, src, namespace=ns, base=base)
+    view = f"{ns}.{spec.name}"
+    V.publish(spark, spec, spark.table(view).where("c_acctbal >= 0"), namespace=ns, base=base)
+    V.publish(spark, spec, src.limit(0), namespace=ns, base=base)
+    V.rollback(spark, ns, spec.name)
+    return spark.table(view)
+
+
+def load_graph(spark: SparkSession, d: str) -> DataFrame:
+    """Four tables loaded together, then again with orders that lineitem needs
+    left out: rejected, all four stay. Rows of each before and after, and the
+    rows that broke a rule of it."""
+    ns, base = _ns(spark), shared_path(spark, "graph", unique=False)
+    sources = {n: table(spark, d, n) for n in ("nation", "customer", "orders", "lineitem")}
+    parts = {"customer": ("c_mktsegment",), "orders": ("o_orderstatus",)}
+    named = {n: _uniq(n) for n in sources}
+    specs = [TB.spec_from_frame(named[n], df, parts.get(n, ())) for n, df in sources.items()]
+    keys = [G.Key(named["orders"], ("o_orderkey",)), G.Key(named["customer"], ("c_custkey",))]
+    references = [
+        G.Reference(named["lineitem"], ("l_orderkey",), named["orders"], ("o_orderkey",)),
+        G.Reference(named["orders"], ("o_custkey",), named["customer"], ("c_custkey",)),
+        G.Reference(named["customer"], ("c_nationkey",), named["nation"], ("n_nationkey",)),
+    ]
+
+    def load(frames: dict[str, DataFrame]) -> None:
+        G.load_graph(
+            spark, specs, {named[n]: df for n, df in frames.items()}, namespace=ns, base=base, keys=keys, references=references
+        )
+
+    def counts(column: str) -> DataFrame:
+        shown = [A.row_count(spark.table(f"{ns}.{t}"), column).withColumn("table_name", F.lit(n)) for n, t in named.items()]
+        whole = shown[0]
+        for other in shown[1:]:
+            whole = whole.unionByName(other)
+        return whole
+
+    load(sources)
+    before = counts("rows_before").checkpoint()
+    broken: dict[str, int] = {}
+    try:
+        load(sources | {"orders": sources["orders"].where("o_orderkey % 11 <> 0"), "customer": sources["customer"].where("c_custkey >= 0")})
+    except G.GraphRejected as error:
+        broken = {v.rule.split("(")[0]: v.rows for v in error.violations}
+    rejected = F.create_map(*[F.lit(x) for n, t in named.items() for x in (n, broken.get(t, 0))])
+    return before.join(counts("rows_after"), "table_name").withColumn("rows_rejected", rejected[F.col("table_name")].cast("long"))
+
+
 # ----------------------------------------------------------------- checks
 
 
+def fingerprint_diff(spark: SparkSession, d: str) -> DataFrame:
+    """orders against a copy with rows left out, changed, repeated and added:
+    only the keys that differ."""
+    left = table(spark, d, "orders")
+    right = left.where("o_orderkey % 101 <> 3").withColumns(
+        {
+            "o_totalprice": F.expr("CASE WHEN o_orderkey % 97 = 5 THEN o_totalprice + 1 ELSE o_totalprice END"),
+            "o_custkey": F.expr("CASE WHEN o_orderkey % 89 = 7 THEN NULL ELSE o_custkey END"),
+        }
+    )
+    right = right.unionByName(right.where("o_orderkey % 83 = 11")).unionByName(
+        left.where("o_orderkey % 79 = 13").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    )
+    return compare_tables(left, right, ["o_orderkey"], join_rows=10_000)
+
+
+def bitmap_unique(spark: SparkSession, d: str) -> DataFrame:
+    """lineitem's key, with some lines repeated: the keys that occur again."""
+    lines = table(spark, d, "lineitem")
+    twice = lines.unionByName(lines.where("l_orderkey % 53 = 1 AND l_linenumber = 1"))
+    return B.unique_violations(twice, ["l_orderkey", "l_linenumber"])
+
+
+def bitmap_foreign_key(spark: SparkSession, d: str) -> DataFrame:
+    """lineitem against orders of which some are gone, keys shifted below zero."""
+    child = table(spark, d, "lineitem").select((F.col("l_orderkey") - 500).alias("l_orderkey"))
+    parent = table(spark, d, "orders").where("o_orderkey % 29 <> 4").select((F.col("o_orderkey") - 500).alias("o_orderkey"))
+    return B.foreign_key_violations(child, parent, ["l_orderkey"], ["o_orderkey"])
+
+
+def bitmap_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct customers per order priority and status."""
+    return B.distinct_counts(table(spark, d, "orders"), ["o_orderpriority", "o_orderstatus"], "o_custkey", "n_customers")
+
+
 def check_not_null(spark: SparkSession, d: str) -> DataFrame:
     return Q.check_not_null(table(spark, d, "orders"))
 
@@ -373,6 +525,14 @@ QUERIES: dict[str, QueryFn] = {
     "load_tables_multi": load_tables_multi,
     "load_increment": load_increment_q,
     "stream_increment": stream_increment,
+    "resumable_extract": resumable_extract,
+    "keyed_merge": keyed_merge,
+    "publish_versions": publish_versions,
+    "load_graph": load_graph,
+    "fingerprint_diff": fingerprint_diff,
+    "bitmap_unique": bitmap_unique,
+    "bitmap_foreign_key": bitmap_foreign_key,
+    "bitmap_distinct": bitmap_distinct,
     "check_not_null": check_not_null,
     "check_unique": check_unique,
     "check_foreign_key": check_foreign_key,
@@ -446,6 +606,55 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'nation', COUNT(*) FROM nation""",
     "load_increment": "SELECT * FROM orders",
     "stream_increment": "SELECT * FROM orders",
+    "resumable_extract": "SELECT *, 8 AS n_ranges, 3 AS read_first, 5 AS read_second FROM orders",
+    "keyed_merge": """
+        SELECT * REPLACE (CASE WHEN o_orderkey % 35 = 0 THEN 5.0 WHEN o_orderkey % 13 = 0 THEN 20.0
+                               WHEN o_orderkey % 5 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice),
+               CASE WHEN o_orderkey % 35 = 0 OR o_orderkey % 13 = 0 THEN 3 WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END AS seq
+        FROM orders WHERE o_orderkey % 7 <> 0 OR o_orderkey % 35 = 0 OR o_orderkey % 13 = 0
+        UNION ALL
+        SELECT * REPLACE (-1 - o_orderkey AS o_orderkey, 0.0 AS o_totalprice), 2 FROM orders WHERE o_orderkey % 11 = 0""",
+    "publish_versions": "SELECT * FROM customer WHERE c_acctbal >= 0",
+    "load_graph": """
+        WITH t AS (SELECT 'nation' AS table_name, COUNT(*) AS n FROM nation UNION ALL SELECT 'customer', COUNT(*) FROM customer
+          UNION ALL SELECT 'orders', COUNT(*) FROM orders UNION ALL SELECT 'lineitem', COUNT(*) FROM lineitem)
+        SELECT table_name, n AS rows_before, n AS rows_after,
+          CASE WHEN table_name = 'lineitem' THEN (SELECT COUNT(*) FROM lineitem WHERE l_orderkey % 11 = 0) ELSE 0 END AS rows_rejected
+        FROM t""",
+    "fingerprint_diff": """
+        WITH kept AS (
+          SELECT * REPLACE (CASE WHEN o_orderkey % 97 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+                            CASE WHEN o_orderkey % 89 = 7 THEN NULL ELSE o_custkey END AS o_custkey)
+          FROM orders WHERE o_orderkey % 101 <> 3
+        ), r AS (
+          SELECT *, CASE WHEN o_orderkey % 83 = 11 THEN 2 ELSE 1 END AS n FROM kept
+          UNION ALL SELECT * REPLACE (-1 - o_orderkey AS o_orderkey), 1 FROM orders WHERE o_orderkey % 79 = 13
+        ), j AS (
+          SELECT COALESCE(l.o_orderkey, r.o_orderkey) AS o_orderkey, l.o_orderkey IS NULL AS no_left, r.o_orderkey IS NULL AS no_right,
+            COALESCE(r.n, 0) AS n, concat_ws(',',
+              CASE WHEN l.o_custkey IS DISTINCT FROM r.o_custkey THEN 'o_custkey' END,
+              CASE WHEN l.o_totalprice IS DISTINCT FROM r.o_totalprice THEN 'o_totalprice' END) AS diff
+          FROM orders l FULL OUTER JOIN r ON l.o_orderkey = r.o_orderkey
+        ), s AS (
+          SELECT *, CASE WHEN no_left THEN 'missing_left' WHEN no_right THEN 'missing_right' WHEN n > 1 THEN 'duplicate'
+                         WHEN diff <> '' THEN 'changed' END AS status FROM j
+        )
+        SELECT o_orderkey, status, CASE WHEN status = 'changed' THEN diff ELSE '' END AS changed,
+          CASE WHEN no_left THEN 0 ELSE 1 END AS n_left, n AS n_right FROM s WHERE status IS NOT NULL""",
+    "bitmap_unique": """
+        SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows
+        FROM (SELECT l_orderkey, l_linenumber FROM lineitem
+              UNION ALL SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 53 = 1 AND l_linenumber = 1)
+        WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+        GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
+    "bitmap_foreign_key": """
+        SELECT l_orderkey - 500 AS l_orderkey, COUNT(*) AS n_rows FROM lineitem
+        WHERE l_orderkey IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderkey % 29 <> 4)
+        GROUP BY l_orderkey""",
+    "bitmap_distinct": """
+        SELECT o_orderpriority, o_orderstatus, COUNT(DISTINCT o_custkey) AS n_customers FROM orders
+        GROUP BY o_orderpriority, o_orderstatus""",
     "check_not_null": _not_null_sql(),
     "check_unique": """
         SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem

@@ -161,15 +161,7 @@ def create_or_replace(
     """
     table = f"{namespace}.{spec.name}"
     create_namespace(spark, namespace)
-    # Hive-style paths would turn '' into NULL; refuse instead of changing data.
-    blank_cols = [
-        p for p in spec.partition_by if reject_empty_partition_values and dict(spec.columns)[p].lower() == "string"
-    ]
-    blank = F.lit(False)
-    for p in blank_cols:
-        blank = blank | (F.col(f"`{p}`") == "")
-    seen = Observation()
-    data = spec.conform(source).observe(seen, F.count(F.lit(1)).alias("n"), F.count(F.when(blank, 1)).alias("blank"))
+    data, seen = _observed_source(spec, source, reject_empty_partition_values)
     if is_v2(spark, namespace):
         previous = table_location(spark, table)
         v2_replace(spark, table, spec, data)
@@ -178,23 +170,7 @@ def create_or_replace(
         if verify and written != n:
             raise RuntimeError(f"{table}: holds {written} rows, source had {n}")
         return LoadResult(table, table_location(spark, table) or "", written, previous)
-    base = (base or _default_base(spark)).rstrip("/")
-    stamp = f"v{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
-    location = f"{base}/{namespace}/{spec.name}/{stamp}"
-    writer = _clustered(data, spec).write.mode("errorifexists").format(spec.provider).options(**spec.options)
-    if spec.partition_by:
-        writer = writer.partitionBy(*spec.partition_by)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    writer.save(location)
-    counted = observed(seen, "n", "blank")
-    if counted["blank"]:
-        raise ValueError(f"{table}: empty-string partition value; map it to NULL explicitly; table left unchanged")
-    # Read back with the spec's schema: no inference from paths ('001' stays
-    # a string) and an empty version (no data files) counts as 0 rows.
-    written = spark.read.format(spec.provider).schema(_schema(spec)).load(location).count()
-    if verify and written != counted["n"]:
-        raise RuntimeError(f"{table}: wrote {written} rows, source had {counted['n']}; table left unchanged")
+    location, written = _write_version(spark, spec, data, seen, table, namespace, base, max_records_per_file, verify)
     previous = table_location(spark, table)
     if previous and _same_definition(spark, table, spec):
         spark.sql(f"ALTER TABLE {quote_name(table)} SET LOCATION '{location}'")
@@ -226,6 +202,55 @@ def create_or_replace(
     return LoadResult(table, location, written, previous)
 
 
+def _write_version(
+    spark: SparkSession, spec: TableSpec, data: DataFrame, seen: Observation, table: str, namespace: str,
+    base: str | None, max_records_per_file: int | None, verify: bool,
+) -> tuple[str, int]:
+    """Write ``data`` (observed by ``seen``) to a fresh folder, clustered by
+    partition value, and check it: (location, rows). No table is touched."""
+    base = (base or _default_base(spark)).rstrip("/")
+    stamp = f"v{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
+    location = f"{base}/{namespace}/{spec.name}/{stamp}"
+    writer = _clustered(data, spec).write.mode("errorifexists").format(spec.provider).options(**spec.options)
+    if spec.partition_by:
+        writer = writer.partitionBy(*spec.partition_by)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
+    writer.save(location)
+    counted = observed(seen, "n", "blank")
+    if counted["blank"]:
+        raise ValueError(f"{table}: empty-string partition value; map it to NULL explicitly; table left unchanged")
+    # Read back with the spec's schema: no inference from paths ('001' stays
+    # a string) and an empty version (no data files) counts as 0 rows.
+    written = spark.read.format(spec.provider).schema(_schema(spec)).load(location).count()
+    if verify and written != counted["n"]:
+        raise RuntimeError(f"{table}: wrote {written} rows, source had {counted['n']}; table left unchanged")
+    return location, written
+
+
+def _observed_source(spec: TableSpec, source: DataFrame, reject_empty: bool) -> tuple[DataFrame, Observation]:
+    """The source in the spec's columns; its rows and blank partition values are
+    counted by the write. Hive-style paths would turn '' into NULL: refused
+    instead of changing data."""
+    blank = F.lit(False)
+    for p in spec.partition_by:
+        if reject_empty and dict(spec.columns)[p].lower() == "string":
+            blank = blank | (F.col(f"`{p}`") == "")
+    seen = Observation()
+    data = spec.conform(source).observe(seen, F.count(F.lit(1)).alias("n"), F.count(F.when(blank, 1)).alias("blank"))
+    return data, seen
+
+
+def write_version(
+    spark: SparkSession, spec: TableSpec, source: DataFrame, *, namespace: str = "default", base: str | None = None,
+    max_records_per_file: int | None = None, verify: bool = True,
+) -> tuple[str, int]:
+    """The rows of ``source`` as a checked version folder of the spec that no
+    table points at yet: (location, rows)."""
+    data, seen = _observed_source(spec, source, True)
+    return _write_version(spark, spec, data, seen, f"{namespace}.{spec.name}", namespace, base, max_records_per_file, verify)
+
+
 def _partitioned(spec: TableSpec) -> str:
     return f" PARTITIONED BY ({', '.join(f'`{p}`' for p in spec.partition_by)})" if spec.partition_by else ""
 

@@ -353,6 +353,20 @@ def range_predicates(cfg: JdbcConfig, column: str, boundaries: Sequence[Any]) ->
     return out
 
 
+def predicate_counts(
+    spark: SparkSession, cfg: JdbcConfig, table: str, predicates: Sequence[str], *, per_query: int = 100
+) -> list[int]:
+    """Rows that the source counts for each predicate, ``per_query`` of them in
+    one pushed query."""
+    out: list[int] = []
+    for at in range(0, len(predicates), per_query):
+        part = predicates[at : at + per_query]
+        sums = ", ".join(f"SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS {cfg.quote(f'p{i}')}" for i, p in enumerate(part))
+        row = with_retry(lambda s=sums: read_subquery(spark, cfg, f"SELECT {s} FROM {table}", "sizes").first())
+        out += [int(row[f"p{i}"] or 0) for i in range(len(part))]
+    return out
+
+
 def split_heavy(
     spark: SparkSession,
     cfg: JdbcConfig,
@@ -368,14 +382,11 @@ def split_heavy(
     query counts all of them. Disjoint and covering predicates stay so."""
     if rows_per_partition < 1:
         raise ValueError("rows_per_partition must be positive")
-    sums = ", ".join(
-        f"SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS {cfg.quote(f'p{i}')}" for i, p in enumerate(predicates)
-    )
-    counts = read_subquery(spark, cfg, f"SELECT {sums} FROM {table}", "sizes").first()
+    counts = predicate_counts(spark, cfg, table, predicates)
     s = cfg.quote(spread_column)
     out = []
     for i, p in enumerate(predicates):
-        n = math.ceil(int(counts[f"p{i}"] or 0) / rows_per_partition)
+        n = math.ceil(counts[i] / rows_per_partition)
         if n <= 1:
             out.append(p)
             continue

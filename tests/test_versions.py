@@ -1,0 +1,191 @@
+"""Gapless publishing of versions, releases of several tables, load graphs."""
+
+import threading
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.sinks import graph as G
+from sluice.sinks import tables as TB
+from sluice.sinks import versions as V
+from tests.conftest import SF_SMALL
+
+
+@pytest.fixture()
+def ns(spark, tmp_path):
+    name = f"v_{uuid.uuid4().hex[:8]}"
+    TB.create_namespace(spark, name, str(tmp_path / "ns"))
+    return name, str(tmp_path / "base")
+
+
+def _table(spark, name):
+    return spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+
+
+def _customers(spark, stamp):
+    return _table(spark, "customer").withColumn("stamp", F.lit(stamp))
+
+
+def test_a_reader_never_fails_and_never_mixes(spark, ns):
+    name, base = ns
+    spec = TB.spec_from_frame("customer", _customers(spark, 0), ["c_mktsegment"])
+    V.publish(spark, spec, _customers(spark, 0), namespace=name, base=base)
+    stop, seen, errors = threading.Event(), [], []
+
+    def reader():
+        while not stop.is_set():
+            try:
+                rows = spark.table(f"{name}.customer").agg(F.min("stamp"), F.max("stamp"), F.count(F.lit(1))).first()
+                seen.append(tuple(rows))
+            except Exception as e:  # noqa: BLE001
+                errors.append(str(e)[:300])
+
+    thread = threading.Thread(target=reader)
+    thread.start()
+    try:
+        for stamp in range(1, 6):
+            V.publish(spark, spec, _customers(spark, stamp), namespace=name, base=base)
+    finally:
+        stop.set()
+        thread.join()
+    n = _table(spark, "customer").count()
+    assert not errors and seen and all(lo == hi and rows == n for lo, hi, rows in seen)
+
+
+def test_replace_reads_its_own_view_and_keeps_pruning(spark, ns):
+    name, base = ns
+    spec = TB.spec_from_frame("customer", _table(spark, "customer"), ["c_mktsegment"])
+    V.publish(spark, spec, _table(spark, "customer"), namespace=name, base=base)
+    view = spark.table(f"{name}.customer")
+    assert view.columns == _table(spark, "customer").columns
+    V.publish(spark, spec, view.where("c_acctbal >= 0"), namespace=name, base=base)
+    now = spark.table(f"{name}.customer")
+    expected = _table(spark, "customer").where("c_acctbal >= 0")
+    assert now.exceptAll(expected).isEmpty() and now.count() == expected.count()
+    from sluice.plans.inspect import partition_filters
+
+    assert any("c_mktsegment" in f for f in partition_filters(now.where("c_mktsegment = 'BUILDING'")))
+
+
+def test_rollback_and_retention(spark, ns):
+    name, base = ns
+    spec = TB.spec_from_frame("t", spark.createDataFrame([], "a INT, p STRING"), ["p"])
+    for i in range(4):
+        V.publish(spark, spec, spark.createDataFrame([(i, "001")], "a INT, p STRING"), namespace=name, base=base)
+    shown = lambda: [tuple(r) for r in spark.table(f"{name}.t").collect()]
+    assert shown() == [(3, "001")] and len(V.versions(spark, name, "t")) == 4
+    V.rollback(spark, name, "t")
+    V.rollback(spark, name, "t")
+    assert shown() == [(1, "001")]
+    gone = V.expire(spark, name, "t", keep=1)
+    assert len(gone) == 2 and shown() == [(1, "001")]  # the one shown stays
+    with pytest.raises(ValueError):
+        V.rollback(spark, name, "t")
+    assert V.expire(spark, name, "t", keep=1, min_age_s=3600) == []
+
+
+def test_a_table_of_that_name_is_not_overwritten(spark, ns):
+    name, base = ns
+    spec = TB.spec_from_frame("plain", spark.createDataFrame([], "a INT"))
+    TB.create_or_replace(spark, spec, spark.createDataFrame([(1,)], "a INT"), namespace=name, base=base)
+    with pytest.raises(ValueError, match="not a view"):
+        V.publish(spark, spec, spark.createDataFrame([(2,)], "a INT"), namespace=name, base=base)
+    assert spark.table(f"{name}.plain").collect()[0].a == 1
+
+
+def _graph(spark, **changed):
+    sources = {n: _table(spark, n) for n in ("lineitem", "orders", "customer", "nation")} | changed
+    parts = {"orders": ["o_orderstatus"], "customer": ["c_mktsegment"]}
+    specs = [TB.spec_from_frame(n, sources[n], parts.get(n, ())) for n in sources]
+    keys = [G.Key("orders", ("o_orderkey",)), G.Key("customer", ("c_custkey",)), G.Key("nation", ("n_nationkey",))]
+    references = [
+        G.Reference("lineitem", ("l_orderkey",), "orders", ("o_orderkey",)),
+        G.Reference("orders", ("o_custkey",), "customer", ("c_custkey",)),
+        G.Reference("customer", ("c_nationkey",), "nation", ("n_nationkey",)),
+    ]
+    return specs, sources, keys, references
+
+
+def _counts(spark, name):
+    return {n: spark.table(f"{name}.{n}").count() for n in ("lineitem", "orders", "customer", "nation")}
+
+
+def test_load_order():
+    refs = [G.Reference("c", ("x",), "b", ("x",)), G.Reference("b", ("x",), "a", ("x",)), G.Reference("a", ("y",), "a", ("x",))]
+    assert G.load_levels(["c", "b", "a", "z"], refs) == [["a", "z"], ["b"], ["c"]]
+    with pytest.raises(ValueError, match="cycle"):
+        G.load_levels(["a", "b"], [G.Reference("a", ("x",), "b", ("x",)), G.Reference("b", ("x",), "a", ("x",))])
+    with pytest.raises(ValueError, match="aren't loaded"):
+        G.load_levels(["a"], [G.Reference("a", ("x",), "b", ("x",))])
+
+
+def test_all_tables_or_none(spark, ns):
+    name, base = ns
+    specs, sources, keys, references = _graph(spark)
+    res = G.load_graph(spark, specs, sources, namespace=name, base=base, keys=keys, references=references)
+    assert [v.name for v in res.versions] == ["nation", "customer", "orders", "lineitem"]
+    before, shown = _counts(spark, name), {n: V.current(spark, name, n) for n in sources}
+
+    orphan = _table(spark, "orders").where("o_orderkey <> 7")  # lineitem rows of order 7 lose their parent
+    specs, sources, keys, references = _graph(spark, orders=orphan, nation=_table(spark, "nation").limit(25))
+    with pytest.raises(G.GraphRejected) as error:
+        G.load_graph(spark, specs, sources, namespace=name, base=base, keys=keys, references=references)
+    assert [v.rule for v in error.value.violations] == ["lineitem(l_orderkey) REFERENCES orders(o_orderkey)"]
+    assert error.value.violations[0].rows == _table(spark, "lineitem").where("l_orderkey = 7").count()
+    assert _counts(spark, name) == before and {n: V.current(spark, name, n) for n in sources} == shown
+    assert all(len(V.versions(spark, name, n)) == 1 for n in sources)  # what was staged is gone
+
+
+def test_primary_keys_and_text_keys(spark, ns):
+    frame = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k STRING, n INT")
+    found = G.check_keys({"t": frame}, [G.Key("t", ("k",))], [G.Reference("t", ("k",), "t", ("k",))])
+    assert [(v.rule, v.keys, v.rows) for v in found] == [("t(k) NOT NULL", 0, 1), ("t(k) UNIQUE", 1, 2)]
+
+
+def test_a_failed_switch_takes_the_release_back(spark, ns, monkeypatch):
+    name, base = ns
+    specs, sources, keys, references = _graph(spark)
+    G.load_graph(spark, specs, sources, namespace=name, base=base, references=references)
+    shown = {n: V.current(spark, name, n) for n in sources}
+    real = V.switch
+
+    def breaks(spark, namespace, table, version):
+        if table == "orders" and version != shown["orders"]:
+            raise RuntimeError("catalog is away")
+        real(spark, namespace, table, version)
+
+    monkeypatch.setattr(V, "switch", breaks)
+    with pytest.raises(RuntimeError, match="away"):
+        G.load_graph(spark, specs, sources, namespace=name, base=base, references=references)
+    assert {n: V.current(spark, name, n) for n in sources} == shown == V.release_versions(spark, name, base)
+
+
+def test_recovery_after_the_release_was_written(spark, ns):
+    name, base = ns
+    spec = TB.spec_from_frame("t", spark.createDataFrame([], "a INT"))
+    one = V.stage(spark, spec, spark.createDataFrame([(1,)], "a INT"), namespace=name, base=base)
+    V.release(spark, name, {"t": one.table}, base=base)
+    two = V.stage(spark, spec, spark.createDataFrame([(2,)], "a INT"), namespace=name, base=base)
+    V.append_rows(spark, V._ledger(spark, name, base), [(2, "t", two.table)], V._RELEASES)  # then the process died
+    assert spark.table(f"{name}.t").collect()[0].a == 1
+    assert V.read_release(spark, name, ["t"], base=base)["t"].collect()[0].a == 2
+    assert V.recover(spark, name, base=base) == ["t"] and V.recover(spark, name, base=base) == []
+    assert spark.table(f"{name}.t").collect()[0].a == 2
+    assert V.read_release(spark, name, ["t"], base=base, release=1)["t"].collect()[0].a == 1
+
+
+def test_a_child_is_checked_against_released_parents(spark, ns):
+    name, base = ns
+    specs, sources, keys, references = _graph(spark)
+    G.load_graph(spark, specs, sources, namespace=name, base=base, references=references)
+    line = [s for s in specs if s.name == "lineitem"]
+    to_orders = references[:1]
+    bad = {"lineitem": sources["lineitem"].withColumn("l_orderkey", F.col("l_orderkey") + 1_000_000)}
+    with pytest.raises(G.GraphRejected):
+        G.load_graph(spark, line, bad, namespace=name, base=base, references=to_orders)
+    with pytest.raises(G.GraphRejected):  # a parent can't be emptied under its children
+        G.truncate_graph(spark, [s for s in specs if s.name == "orders"], namespace=name, base=base, references=to_orders)
+    G.truncate_graph(spark, specs, namespace=name, base=base, references=references)
+    assert set(_counts(spark, name).values()) == {0}
+    assert V.current(spark, name, "orders") and spark.table(f"{name}.orders").columns == sources["orders"].columns
