@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.config import JdbcConfig
-from sluice.operators.ranges import key_ranges
+from sluice.operators.ranges import key_ranges, row_ranges
 from sluice.sinks.ledger import append_rows, now, read_rows
 from sluice.sinks.parquet import IncompleteWrite, _delete, _fs
 
@@ -193,7 +193,7 @@ def discard_leftovers(spark: SparkSession, path: str) -> list[str]:
 def extract_frame_resumable(
     df: DataFrame,
     path: str,
-    key: str,
+    key: str | Sequence[str],
     num_ranges: int,
     *,
     source: str,
@@ -201,11 +201,13 @@ def extract_frame_resumable(
     **options,
 ) -> ResumeResult:
     """``df`` by ranges of ``key`` of about equal depth (``key_ranges``: hot
-    values and NULL keys have ranges of their own). ``source`` names what is read
-    and must be the same when the extract is taken up again."""
+    values and NULL keys have ranges of their own), or of several key columns
+    (``row_ranges``). ``source`` names what is read and must be the same when the
+    extract is taken up again."""
 
     def plan() -> list[tuple[str, int]]:
-        predicates = key_ranges(df, key, num_ranges, spread=spread)
+        several = not isinstance(key, str)
+        predicates = row_ranges(df, key, num_ranges) if several else key_ranges(df, key, num_ranges, spread=spread)
         sums = [F.count(F.when(F.expr(p), 1)) for p in predicates]
         counts = df.agg(F.count(F.lit(1)), *sums).first()
         if sum(counts[1:]) != counts[0]:
@@ -224,7 +226,7 @@ def extract_table_resumable(
     cfg: JdbcConfig,
     table: str,
     path: str,
-    key: str,
+    key: str | Sequence[str],
     num_ranges: int,
     *,
     predicates: Sequence[str] | None = None,
@@ -232,23 +234,25 @@ def extract_table_resumable(
     **options,
 ) -> ResumeResult:
     """A JDBC table by ranges of ``key``: an integer key by the source's own
-    histogram, any other by balanced predicates; or by given ``predicates``. The
-    source counts the rows of every range, and their sum must be its COUNT(*), so
-    ranges that overlap or leave rows out are refused before a row is read. The
-    ranges of a job are read over as many connections."""
+    histogram, any other, or several columns, in the source's own order
+    (``row_predicates``); or by given ``predicates``. The source counts the rows
+    of every range, and those in none or in several: such ranges are refused
+    before a row is read. The ranges of a job are read over as many connections."""
     from sluice.sources import jdbc as JR
 
+    columns = [key] if isinstance(key, str) else list(key)
+
     def plan() -> list[tuple[str, int]]:
-        b = JR.with_retry(lambda: JR.bounds(spark, cfg, table, key))
+        b = JR.with_retry(lambda: JR.bounds(spark, cfg, table, columns[0]))
         found = list(predicates) if predicates else None
-        if found is None and isinstance(b.lower, int) and not isinstance(b.lower, bool):
-            cuts = JR.histogram_boundaries(spark, cfg, table, key, num_ranges, key_bounds=b)
-            found = JR.range_predicates(cfg, key, cuts)
+        if found is None and len(columns) == 1 and isinstance(b.lower, int) and not isinstance(b.lower, bool):
+            cuts = JR.histogram_boundaries(spark, cfg, table, columns[0], num_ranges, key_bounds=b)
+            found = JR.range_predicates(cfg, columns[0], cuts)
         if found is None:
-            found = JR.balanced_predicates(spark, cfg, table, key, num_ranges)
-        counts = JR.predicate_counts(spark, cfg, table, found)
-        if sum(counts) != b.rows:
-            raise IncompleteWrite(f"{table}: the ranges hold {sum(counts)} rows, the table {b.rows}")
+            found = JR.row_predicates(spark, cfg, table, columns, num_ranges)
+        counts, wrong = JR.predicate_counts(spark, cfg, table, found), JR.misplaced_rows(spark, cfg, table, found)
+        if wrong or sum(counts) != b.rows:
+            raise IncompleteWrite(f"{table}: {wrong} rows lie in no range or in several; the ranges hold {sum(counts)} of {b.rows}")
         return list(zip(found, counts))
 
     def read(ranges: Sequence[Range]) -> DataFrame:
@@ -257,4 +261,4 @@ def extract_table_resumable(
         ids = F.array(*[F.lit(r.range_id) for r in ranges])
         return rows.withColumn(RANGE, F.element_at(ids, F.spark_partition_id() + 1))
 
-    return extract_ranges(spark, path, f"{table} by {key}", plan, read, **options)
+    return extract_ranges(spark, path, f"{table} by {', '.join(columns)}", plan, read, **options)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.config import JdbcConfig
+from sluice.operators.ranges import lexicographic_ranges
 
 log = logging.getLogger(__name__)
 R = TypeVar("R")
@@ -306,6 +307,8 @@ def read_by_predicates(
 def _literal(value: Any, flavor: str = "") -> str:
     """A SQL literal; Derby spells typed literals as functions."""
     if isinstance(value, str):
+        if flavor in ("mysql", "mariadb"):  # there a backslash escapes
+            value = value.replace("\\", "\\\\")
         return "'" + value.replace("'", "''") + "'"
     if isinstance(value, dt.datetime):
         text = value.isoformat(sep=" ")
@@ -428,6 +431,8 @@ def balanced_predicates(
             f"FROM {table} WHERE {c} IS NOT NULL) {cfg.quote('k')} GROUP BY {t}",
             "tiles",
         ).collect()  # one row per partition
+        if any(isinstance(r["v"], str) for r in tiles):
+            return row_predicates(spark, cfg, table, [column], num_partitions)
         return range_predicates(cfg, column, sorted({r["v"] for r in tiles})[1:])
     hist = read_subquery(
         spark,
@@ -436,10 +441,79 @@ def balanced_predicates(
         f"WHERE {c} IS NOT NULL GROUP BY {c}",
         "hist",
     ).collect()  # bounded by max_values, checked above
+    if any(isinstance(r["v"], str) for r in hist):
+        return row_predicates(spark, cfg, table, [column], num_partitions)
     pairs = sorted((r["v"], int(r["n"])) for r in hist)
     return range_predicates(cfg, column, equal_depth_cuts(pairs, num_partitions))
 
 
+def row_bounds(
+    spark: SparkSession, cfg: JdbcConfig, table: str, columns: Sequence[str], num_partitions: int
+) -> list[tuple]:
+    """Equal-depth boundaries over one or several key columns, in the *source's*
+    lexicographic order: it numbers its rows by that order and sends every
+    (rows / num_partitions)-th key with its number. Rows with a NULL among the
+    columns have no place in it."""
+    quoted = [cfg.quote(c) for c in columns]
+    listed, there = ", ".join(quoted), " AND ".join(f"{c} IS NOT NULL" for c in quoted)
+    n = int(read_subquery(spark, cfg, f"SELECT COUNT(*) AS {cfg.quote('n')} FROM {table} WHERE {there}", "c").first()["n"])
+    step = -(-n // num_partitions)
+    if step < 1 or num_partitions < 2:
+        return []
+    place = cfg.quote("sluice_place")
+    if cfg.flavor == "derby":  # no ORDER BY inside OVER: number the rows of an ordered derived table
+        numbered = f"SELECT ROW_NUMBER() OVER () AS {place}, o.* FROM (SELECT {listed} FROM {table} WHERE {there} ORDER BY {listed}) o"
+    else:
+        numbered = f"SELECT ROW_NUMBER() OVER (ORDER BY {listed}) AS {place}, {listed} FROM {table} WHERE {there}"
+    found = read_subquery(
+        spark, cfg, f"SELECT {place}, {listed} FROM ({numbered}) k WHERE {place} > 1 AND MOD({place} - 1, {step}) = 0", "bounds"
+    ).collect()  # one row per partition
+    out: list[tuple] = []
+    for r in sorted(found, key=lambda r: r["sluice_place"]):
+        key = tuple(r[c] for c in columns)
+        if not out or out[-1] != key:
+            out.append(key)
+    return out
+
+
+def row_predicates(
+    spark: SparkSession, cfg: JdbcConfig, table: str, columns: Sequence[str], num_partitions: int
+) -> list[str]:
+    """Balanced, disjoint and covering predicates over one or several key columns
+    of any orderable types. Boundaries, their order and the comparisons are all
+    the source's, so they agree under every collation. The last predicate holds
+    the rows with a NULL key."""
+    bounds = row_bounds(spark, cfg, table, columns, num_partitions)
+    return lexicographic_ranges([cfg.quote(c) for c in columns], bounds, lambda v: _literal(v, cfg.flavor))
+
+
+def misplaced_rows(
+    spark: SparkSession, cfg: JdbcConfig, table: str, predicates: Sequence[str], *, per_query: int = 100
+) -> int:
+    """Rows that don't lie in exactly one of ``predicates``, counted by the source
+    over neighbouring groups of them: 0 means that a read by them is whole. Up to
+    ``per_query`` predicates are counted exactly; more are counted group by group
+    and by their sum, which finds rows in none and rows in several."""
+    total = int(read_subquery(spark, cfg, f"SELECT COUNT(*) AS {cfg.quote('n')} FROM {table}", "c").first()["n"])
+    if len(predicates) <= per_query:
+        hits = " + ".join(f"CASE WHEN {p} THEN 1 ELSE 0 END" for p in predicates)
+        sql = f"SELECT COUNT(*) AS {cfg.quote('n')} FROM {table} WHERE {hits} <> 1"
+        return int(with_retry(lambda: read_subquery(spark, cfg, sql, "m").first())["n"])
+    return abs(total - sum(predicate_counts(spark, cfg, table, predicates, per_query=per_query)))
+
+
+def read_by_rows(
+    spark: SparkSession, cfg: JdbcConfig, table: str, columns: Sequence[str], num_partitions: int = 10, **kw
+) -> DataFrame:
+    """Parallel read by ranges over one or several key columns, checked by the
+    source before a row is read."""
+    predicates = row_predicates(spark, cfg, table, columns, num_partitions)
+    wrong = misplaced_rows(spark, cfg, table, predicates)
+    if wrong:
+        raise RuntimeError(f"{table}: {wrong} rows lie in no range or in several")
+    return read_by_predicates(spark, cfg, table, predicates, **kw)
+
+
 def histogram_boundaries(
     spark: SparkSession,
     cfg: JdbcConfig,
