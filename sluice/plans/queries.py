@@ -25,7 +25,9 @@ from sluice.operators import bitmaps as B
 from sluice.operators import quality as Q
 from sluice.operators.fingerprint import compare_tables
 from sluice.operators.keys import assign_keys
-from sluice.operators.ranges import key_ranges
+from sluice.operators.lattice import field_types, merged_types, resolve
+from sluice.operators.profile import least_types, profile_columns
+from sluice.operators.ranges import key_ranges, row_ranges
 from sluice.session import shared_path
 from sluice.sinks import graph as G
 from sluice.sinks import merge as M
@@ -34,6 +36,7 @@ from sluice.sinks import tables as TB
 from sluice.sinks import versions as V
 from sluice.sinks.parquet import export_parquet
 from sluice.sources.catalog import read_parquet_table
+from sluice.streaming import statistics as S
 from sluice.streaming.incremental import bookmark_files, load_increment, read_loaded
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +153,18 @@ def key_range_plan(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def row_range_plan(spark: SparkSession, d: str) -> DataFrame:
+    """How often the rows of lineitem fall into twelve ranges over two columns,
+    the first of few values, some NULL; and whether the ranges are of a size."""
+    lines = table(spark, d, "lineitem").withColumn("line", F.expr("CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE l_linenumber END"))
+    ranges = row_ranges(lines, ["line", "l_orderkey"], 12)
+    which = F.array_compact(F.array(*[F.when(F.expr(r), F.lit(i)) for i, r in enumerate(ranges)]))
+    sizes = lines.groupBy(which.alias("in_ranges")).agg(F.count(F.lit(1)).alias("n"))  # one row per range
+    last = F.element_at("in_ranges", 1) == len(ranges) - 1
+    even = F.max(F.when(~last, F.col("n"))) <= 1.5 * F.sum(F.when(~last, F.col("n"))) / 12
+    return sizes.groupBy(F.size("in_ranges").alias("n_ranges")).agg(F.sum("n").alias("n_rows"), even.alias("even"))
+
+
 def derived_table(spark: SparkSession, d: str) -> DataFrame:
     view = _view(table(spark, d, "orders"), "orders")
     return spark.sql(
@@ -295,6 +310,45 @@ def stream_increment(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(target)
 
 
+def _mixed(spark: SparkSession, d: str) -> DataFrame:
+    """events whose field k is a number, a text, null, missing, nested or no JSON."""
+    made = """CASE event_id % 10 WHEN 0 THEN concat('{"k": "', event_id, '"}') WHEN 1 THEN concat('{"k": ', event_id, '.5}')
+        WHEN 2 THEN '{"k": null}' WHEN 3 THEN '{}' WHEN 4 THEN concat('{"k": {"v": ', event_id, ', "u": "x"}}')
+        WHEN 5 THEN concat('{"k": [', event_id, ', "x", true]}') WHEN 6 THEN '{"k": "many"}' WHEN 7 THEN '{broken' ELSE props END"""
+    return table(spark, d, "events").select("event_id", F.expr(made).alias("mixed"))
+
+
+def mixed_types(spark: SparkSession, d: str) -> DataFrame:
+    """The types at every path of mixed records, and what they merge to."""
+    types = field_types(_mixed(spark, d), "mixed")
+    return types.join(merged_types(types).select("path", "merged", "conflict", "n_other"), "path")
+
+
+def mixed_types_resolved(spark: SparkSession, d: str) -> DataFrame:
+    """Mixed records with k cast, split by type and kept."""
+    cast = resolve(_mixed(spark, d), "mixed", {"$.k": "cast:bigint"})
+    split = resolve(cast.withColumnsRenamed({"k": "k_cast"}), "mixed", {"$.k": "split:BIGINT,DECIMAL,STRING", "$.k.u": "keep"})
+    return split.drop("mixed")
+
+
+def maintained_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """Statistics of orders per priority after three batches, one given twice."""
+    orders = table(spark, d, "orders")
+    kept = S.Statistics(shared_path(spark, "statistics", "orders"), ("o_orderpriority",), "o_totalprice", 2, "o_custkey")
+    for part in (0, 1, 1, 2):
+        S.update(kept, orders.where(f"o_orderkey % 3 = {part}"), f"batch {part}")
+    return S.read_statistics(spark, kept).withColumn("total", F.col("total").cast("double"))
+
+
+def profile_types(spark: SparkSession, d: str) -> DataFrame:
+    """The least column types that hold customer and part."""
+    whole = None
+    for name in ("customer", "part"):
+        types = least_types(profile_columns(table(spark, d, name))).withColumn("table_name", F.lit(name))
+        whole = types if whole is None else whole.unionByName(types)
+    return whole.select("table_name", "column_name", "sql_type", "nullable")
+
+
 class _Killed(Exception):
     pass
 
@@ -511,6 +565,7 @@ QUERIES: dict[str, QueryFn] = {
     "preview_rows": preview_rows,
     "key_bounds": key_bounds,
     "key_range_plan": key_range_plan,
+    "row_range_plan": row_range_plan,
     "derived_table": derived_table,
     "create_if_not_exists": create_if_not_exists,
     "append_twice": append_twice,
@@ -525,6 +580,10 @@ QUERIES: dict[str, QueryFn] = {
     "load_tables_multi": load_tables_multi,
     "load_increment": load_increment_q,
     "stream_increment": stream_increment,
+    "mixed_types": mixed_types,
+    "mixed_types_resolved": mixed_types_resolved,
+    "maintained_statistics": maintained_statistics,
+    "profile_types": profile_types,
     "resumable_extract": resumable_extract,
     "keyed_merge": keyed_merge,
     "publish_versions": publish_versions,
@@ -561,6 +620,27 @@ _JOIN3_SQL = """
         GROUP BY o.o_orderkey, o.o_totalprice, c.c_name
         ORDER BY project_budget DESC, project_name, department_name"""
 
+def _profile_sql() -> str:
+    """Types by the rule, column by column."""
+    whole = "CASE WHEN min({c}) >= -32768 AND max({c}) < 32768 THEN 'SMALLINT' WHEN min({c}) >= -2147483648 AND max({c}) < 2147483648 THEN 'INT' ELSE 'BIGINT' END"
+    text = "CASE " + " ".join(f"WHEN max(length({{c}})) <= {n} THEN 'VARCHAR({n})'" for n in (16, 32, 64, 128, 255, 1000, 4000)) + " END"
+    scale = "max(CASE " + " ".join(f"WHEN {{c}} = round({{c}}, {n}) THEN {n}" for n in range(7)) + " ELSE 7 END)"
+    digits = "length(CAST(CAST(floor(max(abs({c}))) AS BIGINT) AS VARCHAR))"
+    money = f"CASE WHEN {scale} <= 6 AND {digits} + {scale} <= 15 THEN 'DECIMAL(' || ({digits} + {scale}) || ',' || {scale} || ')' ELSE 'DOUBLE' END"
+    columns = {
+        "customer": {"c_custkey": whole, "c_name": text, "c_nationkey": whole, "c_acctbal": money, "c_mktsegment": text},
+        "part": {"p_partkey": whole, "p_name": text, "p_brand": text, "p_type": text, "p_size": whole, "p_retailprice": money},
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, {rule.format(c=c)} AS sql_type, count(*) > count({c}) AS nullable FROM {t}"
+        for t, cs in columns.items() for c, rule in cs.items()
+    )
+
+
+_MIXED_K = """
+        WITH k AS (SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'STRING' WHEN 1 THEN 'DECIMAL' WHEN 2 THEN 'VOID' WHEN 3 THEN NULL
+            WHEN 4 THEN 'OBJECT' WHEN 5 THEN 'ARRAY' WHEN 6 THEN 'STRING' WHEN 7 THEN NULL ELSE 'BIGINT' END AS t FROM events)"""
+
 _GROUP_SQL = """
         SELECT c_mktsegment AS department, COUNT(*) AS employee_count,
                CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / COUNT(c_acctbal) AS avg_salary
@@ -606,6 +686,37 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT 'nation', COUNT(*) FROM nation""",
     "load_increment": "SELECT * FROM orders",
     "stream_increment": "SELECT * FROM orders",
+    "row_range_plan": "SELECT 1 AS n_ranges, COUNT(*) AS n_rows, true AS even FROM lineitem",
+    "mixed_types": _MIXED_K + """, found AS (
+          SELECT '$' AS path, CASE WHEN event_id % 10 = 7 THEN 'INVALID' ELSE 'OBJECT' END AS type FROM k
+          UNION ALL SELECT '$.k', t FROM k WHERE t IS NOT NULL
+          UNION ALL SELECT unnest(['$.k.v', '$.k.u']), unnest(['BIGINT', 'STRING']) FROM k WHERE t = 'OBJECT'
+          UNION ALL SELECT '$.k[]', unnest(['BIGINT', 'STRING', 'BOOLEAN']) FROM k WHERE t = 'ARRAY'
+        ), types AS (SELECT path, type, COUNT(*) AS n_rows FROM found GROUP BY ALL
+        ), merged AS (
+          SELECT path, count(*) FILTER (type <> 'VOID') AS n,
+            coalesce(sum(n_rows) FILTER (type <> 'VOID'), 0) - coalesce(max(n_rows) FILTER (type <> 'VOID'), 0) AS n_other,
+            min(type) FILTER (type <> 'VOID') AS one FROM types GROUP BY path
+        )
+        SELECT path, type, n_rows, CASE WHEN n = 0 THEN 'VOID' WHEN n = 1 THEN one ELSE 'STRING' END AS merged, n > 1 AS conflict,
+          CAST(n_other AS BIGINT) AS n_other
+        FROM types JOIN merged USING (path)""",
+    "mixed_types_resolved": """
+        SELECT event_id,
+          CASE WHEN event_id % 10 IN (0, 1) THEN event_id WHEN event_id % 10 IN (8, 9) THEN CAST(props->>'k' AS BIGINT) END AS k_cast,
+          event_id % 10 IN (4, 5, 6) AS k_failed,
+          CASE WHEN event_id % 10 IN (8, 9) THEN CAST(props->>'k' AS BIGINT) END AS k_bigint,
+          CASE WHEN event_id % 10 = 1 THEN event_id + 0.5::DOUBLE END AS k_decimal,
+          CASE event_id % 10 WHEN 0 THEN CAST(event_id AS VARCHAR) WHEN 6 THEN 'many' END AS k_string,
+          CASE WHEN event_id % 10 = 4 THEN '"x"' END AS u
+        FROM events""",
+    "maintained_statistics": """
+        SELECT o_orderpriority, COUNT(*) AS n_rows, COUNT(o_totalprice) AS n_values,
+          CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
+          CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / COUNT(o_totalprice) AS mean,
+          MIN(o_totalprice) AS least, MAX(o_totalprice) AS largest, COUNT(DISTINCT o_custkey) AS n_distinct
+        FROM orders GROUP BY o_orderpriority""",
+    "profile_types": _profile_sql(),
     "resumable_extract": "SELECT *, 8 AS n_ranges, 3 AS read_first, 5 AS read_second FROM orders",
     "keyed_merge": """
         SELECT * REPLACE (CASE WHEN o_orderkey % 35 = 0 THEN 5.0 WHEN o_orderkey % 13 = 0 THEN 20.0

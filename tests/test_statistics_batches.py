@@ -1,0 +1,160 @@
+"""Maintained statistics; appends to a database that happen once."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.sinks import batches as B
+from sluice.sinks import jdbc as JW
+from sluice.sources import jdbc as JR
+from sluice.streaming import statistics as S
+from tests.conftest import SF_SMALL
+
+SCHEMA = "g STRING, h INT, v DOUBLE, k LONG"
+
+
+def _rows(seed, n):
+    rng = random.Random(seed)
+    keys = [None, -(1 << 63), (1 << 63) - 1, *range(-40, 40)]
+    return [(rng.choice([None, "a", "b"]), rng.choice([None, 1, 2]), rng.choice([None, rng.randrange(-10_000, 10_000) / 100]), rng.choice(keys)) for _ in range(n)]
+
+
+def _whole(df):
+    return df.groupBy("g", "h").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("v").alias("n_values"), F.sum(F.col("v").cast("decimal(28,2)")).cast("decimal(38,2)").alias("total"),
+        F.min("v").alias("least"), F.max("v").alias("largest"), F.countDistinct("k").alias("n_distinct"),
+    )
+
+
+def test_state_equals_the_full_recomputation(spark, tmp_path):
+    stats, rows = S.Statistics(str(tmp_path / "s"), ("g", "h"), "v", 2, "k"), []
+    for step in range(3):
+        batch = _rows(step, 80)
+        rows += batch
+        df = spark.createDataFrame(batch, SCHEMA).repartition(3)
+        assert S.update(stats, df, f"b{step}") and not S.update(stats, df, f"b{step}")
+        expected = sorted(map(tuple, _whole(spark.createDataFrame(rows, SCHEMA)).collect()), key=str)
+        got = S.read_statistics(spark, stats)
+        assert sorted(map(tuple, got.drop("mean").collect()), key=str) == expected
+        assert all(r.mean is None or abs(r.mean - float(r.total) / r.n_values) < 1e-12 for r in got.collect())
+
+
+def test_an_update_reads_its_batch_and_the_state_alone(spark, tmp_path):
+    path = str(tmp_path / "data")
+    stats = S.Statistics(str(tmp_path / "s"), ("g",), "v")
+    for step in range(3):
+        spark.createDataFrame(_rows(step, 50), SCHEMA).write.parquet(f"{path}/b{step}")
+    for step in range(2):
+        S.update(stats, spark.read.parquet(f"{path}/b{step}"), f"b{step}")
+    import shutil
+
+    shutil.move(f"{path}/b0", f"{path}/away0")  # earlier batches needn't be there any more
+    shutil.move(f"{path}/b1", f"{path}/away1")
+    S.update(stats, spark.read.parquet(f"{path}/b2"), "b2")
+    assert S.read_statistics(spark, stats).agg(F.sum("n_rows")).first()[0] == 150
+
+
+def test_a_killed_update_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    stats = S.Statistics(str(tmp_path / "s"), (), "v", 2, "k")
+    df = spark.createDataFrame(_rows(5, 40), SCHEMA)
+    S.update(stats, df, "one")
+    before = S.read_statistics(spark, stats).collect()
+
+    def dies(*a):
+        raise OSError("killed")
+
+    with monkeypatch.context() as m:
+        m.setattr(S, "append_rows", dies)
+        with pytest.raises(OSError):
+            S.update(stats, df, "two")
+    assert S.read_statistics(spark, stats).collect() == before
+    assert S.update(stats, df, "two") and S.read_statistics(spark, stats).collect()[0].n_rows == 80
+
+
+def test_no_state_and_empty_batches(spark, tmp_path):
+    stats = S.Statistics(str(tmp_path / "s"), ("g",), "v", 2, "k")
+    with pytest.raises(ValueError):
+        S.read_statistics(spark, stats)
+    S.update(stats, spark.createDataFrame([], SCHEMA), "none")
+    assert S.read_statistics(spark, stats).isEmpty()
+
+
+def _orders(spark):
+    return spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+
+
+def _target(spark, derby, name):
+    orders = _orders(spark)
+    JW.create_if_not_exists(spark, derby, name, orders.schema, create_column_types=JW.column_types(orders.schema, string_length=30))
+    return {"create_column_types": JW.column_types(orders.schema, string_length=30) + f", `{B.ROW}` BIGINT"}
+
+
+def _same(a, b):
+    assert a.count() == b.count() and a.exceptAll(b).isEmpty()
+
+
+def test_a_batch_is_added_once(spark, derby):
+    orders, options = _orders(spark).repartition(4), _target(spark, derby, "ONCE")
+    assert B.append_batch(orders, derby, "ONCE", "day 1", **options) == B.BatchResult(True, orders.count())
+    assert B.append_batch(orders, derby, "ONCE", "day 1", **options) == B.BatchResult(False, orders.count())
+    _same(JR.read_table(spark, derby, "ONCE"), orders)
+    B.append_batch(orders.limit(10), derby, "ONCE", "day 2's", **options)
+    assert JW.row_count(spark, derby, "ONCE") == orders.count() + 10
+    assert not JW.table_exists(spark, derby, "ONCE_stage")
+
+
+def test_a_task_lost_after_its_commit(spark, derby):
+    """Its rows are staged twice, with equal numbers."""
+    orders, options = _orders(spark).repartition(4), _target(spark, derby, "LOST")
+
+    def again():
+        staged = JR.read_table(spark, derby, "LOST_stage")
+        JW.write_jdbc(staged.where(f"{B.ROW} < 8589934592").checkpoint(), derby, "LOST_stage", mode="append")
+
+    spark.sparkContext.setCheckpointDir(spark.sparkContext.getCheckpointDir() or __import__("tempfile").mkdtemp())
+    B.append_batch(orders, derby, "LOST", "b", after_staging=again, **options)
+    _same(JR.read_table(spark, derby, "LOST"), orders)
+
+
+def test_a_lost_staged_row_is_refused(spark, derby):
+    orders, options = _orders(spark), _target(spark, derby, "SHORT")
+
+    def lose():
+        with B.transaction(spark, derby) as run:
+            assert run(f"DELETE FROM SHORT_stage WHERE {derby.quote('o_orderkey')} < 5") == 5
+
+    with pytest.raises(B.BatchRefused):
+        B.append_batch(orders, derby, "SHORT", "b", after_staging=lose, **options)
+    assert JW.row_count(spark, derby, "SHORT") == 0 and B.moved_rows(spark, derby, "b") is None
+
+
+def test_two_jobs_with_one_batch(spark, derby):
+    orders, options = _orders(spark), _target(spark, derby, "TWO")
+
+    def other():
+        B.append_batch(orders, derby, "TWO", "b", staging_table="TWO_other", **options)
+
+    assert not B.append_batch(orders, derby, "TWO", "b", after_staging=other, **options).moved
+    _same(JR.read_table(spark, derby, "TWO"), orders)
+
+
+def test_replacing_in_one_transaction(spark, derby):
+    orders, options = _orders(spark), _target(spark, derby, "REPL")
+    B.append_batch(orders, derby, "REPL", "old", **options)
+    new = orders.where("o_orderkey % 2 = 0")
+
+    def lose():
+        with B.transaction(spark, derby) as run:
+            run(f"DELETE FROM REPL_stage WHERE {derby.quote('o_orderkey')} = 2")
+
+    with pytest.raises(B.BatchRefused):
+        B.append_batch(new, derby, "REPL", "new", replace=True, after_staging=lose, **options)
+    _same(JR.read_table(spark, derby, "REPL"), orders)  # the old rows are still there
+    B.append_batch(new, derby, "REPL", "new", replace=True, **options)
+    _same(JR.read_table(spark, derby, "REPL"), new)
+
+
+def test_a_missing_target(spark, derby):
+    with pytest.raises(ValueError):
+        B.append_batch(_orders(spark), derby, "NOWHERE", "b")
