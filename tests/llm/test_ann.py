@@ -77,6 +77,37 @@ def test_unusable_vectors_and_few_candidates(spark):
     assert [i for i, _ in got[1]] == [9, 9, 7] and [i for i, _ in got[7]] == [9, 9, 1]
 
 
+def test_each_length_is_searched_among_its_own(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in rng.normal(size=(2, 3, 5)[i % 3])], 0) for i in range(120)] + [(999, [1.0] * 40, 0)]
+    got = found(ann.nearest(frame(spark, rows), frame(spark, rows[::4] + rows[-1:]), k=6))
+    want = {}
+    for n in (2, 3, 5):
+        own = [r for r in rows if len(r[1]) == n]
+        want |= brute(own, [r for r in rows[::4] if len(r[1]) == n], 6)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
+
+
+def test_no_pair_within_its_bound_is_abandoned_by_rounding():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(500, 65)).astype(np.float32)
+    q = (x[:40] + 0.05 * rng.normal(size=(40, 65))).astype(np.float32)
+    exact = ((q[:, None, :].astype(float) - x[None].astype(float)) ** 2).sum(axis=2)
+    bound = np.sort(exact, axis=1)[:, 0]
+    i, j = ann.survivors(q, x, bound)
+    assert set(range(40)) <= set(i[exact[i, j] <= bound[i] * (1 + 1e-6)].tolist())
+
+
+@pytest.mark.parametrize("n", [2000, 8000])
+def test_recall_at_two_sizes(spark, n):
+    rng = np.random.default_rng(n)
+    centers = rng.normal(size=(40, 32))
+    x = centers[rng.integers(0, 40, n)] + 0.8 * rng.normal(size=(n, 32))
+    rows = [(i, [float(c) for c in v], 0) for i, v in enumerate(x)]
+    got, want = found(ann.nearest(frame(spark, rows), frame(spark, rows[::50]), k=20)), brute(rows, rows[::50], 20)
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.95 * sum(map(len, want.values()))
+
+
 def test_empty_and_single(spark):
     none = frame(spark, [])
     one = frame(spark, [(1, [1.0, 2.0], 0)])
