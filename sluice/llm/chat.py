@@ -48,7 +48,7 @@ def perspectives(
     words of that speaker and their closing mark.
 
     Messages are ordered by turn (nulls first), speaker and text; a message
-    given twice is rendered once. A null or empty speaker is called "unknown";
+    given twice is rendered twice. A null or empty speaker is called "unknown";
     a null text is empty. System messages are nobody's side: a dialogue without
     other speakers has no rows. Rows with a null conversation form one
     dialogue. Other columns play no part.
@@ -65,7 +65,7 @@ def perspectives(
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
     )
     group = ["key", "no_key", "block"]
-    m = m.repartition(*[F.col(c) for c in group]).distinct()
+    m = m.repartition(*[F.col(c) for c in group])
 
     # Sizes of the blocks as each side sees them: a row per block and speaker.
     sizes = m.groupBy(*group, "speaker").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))

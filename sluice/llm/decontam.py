@@ -210,8 +210,8 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[DataFram
             )
 
     source = benchmark.select(F.col(f"`{item_col}`").cast("string").alias("i"), F.col(f"`{text_col}`").cast("string").alias("t"))
-    windows = source.where("i is not null and t is not null").mapInArrow(cut, "item string, window binary").distinct()
-    n = windows.count()
+    windows = source.where("t is not null").mapInArrow(cut, "item string, window binary").distinct()
+    n = windows.select("window").distinct().count()
     blocks = max(1, -(-n // BLOCK_WINDOWS))
     part = F.pmod(F.xxhash64("window"), F.lit(blocks))
     return [windows.where(part == b) for b in range(blocks)] if n else []
@@ -233,9 +233,11 @@ def decontaminate(
     Words are runs of [a-z0-9] and non-ASCII characters, A-Z lower-cased. A
     word inside any occurrence of a window is hit; ``contaminated`` means
     n_hit > 0 and 20 * n_hit >= n_words. Null and empty texts have no words and
-    are never hit. Items without words or with a null id are left out; items
-    sharing an id are one item. With an empty benchmark nothing is hit.
-    Columns of ``docs`` with the result's names are replaced.
+    are never hit. Items without words are left out; items sharing an id are one
+    item. Windows of items with a null id hit like any other; such items have no
+    id to list or count. With an empty benchmark nothing is hit.
+    Columns of ``docs`` with the result's names are replaced; so are columns
+    whose names begin with two underscores.
     """
     spark = docs.sparkSession
     kept = [id_col] if keep is None else keep

@@ -303,6 +303,7 @@ def near_duplicates(
     buckets = save(banded.join(shared, "key", "left_semi"), "buckets")
 
     labels = _link(df, id_col, text_col, sigs, buckets, shingle, percent, save)
+    labels = _same_id(has_set, classes, labels, save)
 
     node = classes.join(labels.select(F.col("u").alias("rep"), F.col("v").alias("label")), "rep", "left").select(
         "set_key", F.coalesce("label", "rep").alias("component_id")
@@ -319,6 +320,18 @@ def near_duplicates(
     )
 
 
+def _same_id(has_set: DataFrame, classes: DataFrame, labels: DataFrame, save: Save) -> DataFrame:
+    """``labels`` with the classes of rows that share an id joined: one id is one
+    node, whatever texts it has."""
+    several = has_set.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
+    rows = has_set.select("id", "set_key").join(several, "id", "left_semi").distinct().join(classes, "set_key")
+    least = rows.groupBy("id").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v < most")
+    shared = save(rows.join(least.select("id", "v"), "id").where("rep <> v").select(F.col("rep").alias("u"), "v").distinct(), "same_id")
+    if shared.isEmpty():
+        return labels
+    return components(labels.select("u", "v").unionByName(shared), save, "stars_same_id")
+
+
 def _link(df, id_col, text_col, sigs, buckets, shingle, percent, save: Save) -> DataFrame:
     """Star forest (u, v) of the verified links among the bucketed ids."""
     none = buckets.select(F.col("id").alias("u"), F.col("id").alias("v")).where("false")

@@ -51,7 +51,7 @@ WITH items AS (
 ), hit AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found) GROUP BY 1
 ), matched AS (
-  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
+  SELECT doc_id, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS joined
   FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY 1
 )
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
@@ -63,7 +63,7 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN matched USING (doc_id)
 
 CHAT_PERSPECTIVES = """
 WITH m AS (
-  SELECT DISTINCT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations
+  SELECT conv_id, turn, coalesce(nullif(role, ''), 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations
 ), sides AS (SELECT DISTINCT conv_id, speaker AS perspective FROM m WHERE speaker <> 'system'
 ), rendered AS (
   SELECT m.conv_id, perspective, turn, speaker, text,

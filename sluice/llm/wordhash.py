@@ -19,9 +19,7 @@ _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=n
 _HASH_BLOCK = 1 << 21
 
 _powers = np.ones(1, np.uint64)
-_inverse_HASH_BLOCK = 1 << 21
-
-_powers = np.ones(1, np.uint64)
+_inverse_powers = np.ones(1, np.uint64)
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:

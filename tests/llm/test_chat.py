@@ -11,7 +11,7 @@ SCHEMA = "conv_id long, turn long, role string, text string"
 
 def brute(rows):
     """{(conv, side): (whole text, [mask spans])}"""
-    seen = {(c, t, r or "unknown", x or "") for c, t, r, x in rows}
+    seen = [(c, t, r or "unknown", x or "") for c, t, r, x in rows]
     out = {}
     for conv in {c for c, *_ in seen}:
         turns = sorted((m for m in seen if m[0] == conv), key=lambda m: (m[1] is not None, m[1] or 0, m[2], m[3]))
@@ -57,7 +57,7 @@ def test_edge_cases(spark, monkeypatch):
     rows = [
         (1, 0, None, "a"), (1, 1, "", None), (1, 1, "user", ""), (1, None, "user", "early"), (1, -5, "user", "before"),
         (2, 0, "system", "alone"), (None, 0, "user", "no id"), (None, 1, "bob", "neither"), (3, 0, "user", "same"), (3, 0, "user", "same"),
-        (3, 0, "user", "tie"), (4, 0, "user", "long " * 50_000), (4, 1, "assistant", "ok"),
+        (3, 0, "user", "tie"), (3, None, "bob", "ok"), (3, None, "bob", "ok"), (None, 0, "user", "no id"), (4, 0, "user", "long " * 50_000), (4, 1, "assistant", "ok"),
     ]
     check(spark, rows)
 

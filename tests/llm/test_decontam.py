@@ -20,11 +20,13 @@ def brute(docs, items):
     windows = {}
     for item, text in items:
         w = words(text)
-        if item is None or not w:
+        if not w:
             continue
         n = min(13, len(w))
         for i in range(len(w) - n + 1):
-            windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+            names = windows.setdefault(tuple(w[i : i + n]), set())
+            if item is not None:
+                names.add(str(item))
     sizes = {len(w) for w in windows}
     out = []
     for doc, text in docs:
@@ -32,7 +34,7 @@ def brute(docs, items):
         hit, found = set(), set()
         for n in sizes:
             for i in range(len(w) - n + 1):
-                if names := windows.get(tuple(w[i : i + n])):
+                if (names := windows.get(tuple(w[i : i + n]))) is not None:
                     hit.update(range(i, i + n))
                     found |= names
         digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
@@ -73,7 +75,7 @@ def test_blocks_of_windows_change_nothing(spark, docs, monkeypatch, size):
 
 
 def test_edge_cases(spark, docs):
-    items = [(1, None), (2, ""), (3, "... !!"), (None, "alpha beta gamma"), (4, "naïve café"), (4, "delta"), (5, "delta"), (6, "a a a a")]
+    items = [(1, None), (2, ""), (3, "... !!"), (None, "alpha beta gamma"), (4, "naïve café"), (4, "delta"), (5, "delta"), (6, "a a a a"), (None, "delta")]
     rows = [
         (1, None), (2, ""), (3, "-- --"), (4, "Naïve, CAFÉ"), (5, "delta " * 3), (5, "delta " * 3), (None, "delta x"),
         (7, "a " * 50_000), (8, "alpha beta gamma"),

@@ -89,6 +89,18 @@ def test_edge_cases(spark, docs):
     assert by[None]["component_id"] is None and by[None]["kept"]
 
 
+def test_texts_that_share_an_id(spark, docs):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(5, a), (5, b), (2, a), (3, b), (9, c), (9, c + " tail"), (10, c), (7, "one"), (7, "two"), (7, None), (6, "two")]
+    got = neardup.near_duplicates(docs(rows), shingle=3, percent=85).collect()
+    assert len(got) == len(rows)
+    component = {}
+    for r in got:
+        if r["n_shingles"]:
+            component.setdefault(r["doc_id"], set()).add(r["component_id"])
+    assert component == {5: {2}, 2: {2}, 3: {2}, 9: {9}, 10: {9}, 7: {6}, 6: {6}}
+
+
 def test_empty_table(spark, docs):
     assert neardup.near_duplicates(docs([])).collect() == []
 
