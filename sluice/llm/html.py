@@ -10,6 +10,10 @@ where it stands and from its length, link density and stop-word density:
   marked article that isn't mostly links;
 * undecided: short blocks and those between the limits.
 
+A class or id is a hint only: it never counts against the element that is the
+page's article, nor against what encloses it, and a form that holds the whole
+page is no form to fill in.
+
 Pass two gives an undecided block the label of its nearest decided neighbours:
 of both when they agree, else of the nearer one (of the article's side on a
 tie). The text of the good blocks, in page order, is the result.
@@ -67,6 +71,11 @@ _HINT = re.compile(
     r"overlay|pagination|popup|promos?|promoted|recommended|related|replies|share|sharing|sidebars?|signup|social|"
     r"sponsor(?:ed|s)?|subscribe|subscription|tags|toolbar|topbar|widgets?|site-?header|page-?header)(?![a-z])"
 )
+# Of these, what an article element itself may be: a reader's comment, an advert, a teaser.
+_NO_ARTICLE = re.compile(
+    r"(?<![a-z])(?:ads?|adverts?|advertisements?|comments?|comment-?list|replies|promos?|promoted|recommended|related|"
+    r"sponsor(?:ed|s)?)(?![a-z])"
+)
 _ARTICLE_HINT = re.compile(r"articleBody|(?<![a-z])(?:article|post|entry|story)-?_?(?:body|content|text)(?![a-z])", re.I)
 
 _TOKEN = re.compile(
@@ -84,118 +93,204 @@ class Block:
     linked: int  # characters inside links
     furniture: bool
     in_article: bool
-    heading: bool
 
 
-def _marks(attributes: str) -> tuple[bool, bool]:
-    """(marks furniture, marks the article body) by attributes."""
-    furniture = article = False
+@dataclass
+class Element:
+    tag: str
+    parent: int  # its number, -1 for none
+    hard: bool  # furniture by what it is: a menu, hidden, ...
+    hint: bool  # furniture by a hint that may be wrong
+    article: bool  # marks the article
+
+
+def _marks(tag: str, attributes: str) -> tuple[bool, bool, bool]:
+    """(furniture for certain, by a hint, marks the article) by attributes."""
+    hard = hint = article = no_article = False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name in ("class", "id"):
             spread = re.sub(r"([a-z])([A-Z])", r"\1-\2", value).lower().replace("_", "-")
-            furniture |= bool(_HINT.search(spread))
+            hint |= bool(_HINT.search(spread))
+            no_article |= bool(_NO_ARTICLE.search(spread))
             article |= bool(_ARTICLE_HINT.search(value))
         elif name == "role":
-            furniture |= value.lower() in FURNITURE_ROLES
+            hard |= value.lower() in FURNITURE_ROLES
             article |= value.lower() in ("main", "article")
         elif name == "itemprop":
             article |= value == "articleBody"
         elif name == "hidden":
-            furniture = True
+            hard = True
         else:
-            furniture |= value.lower() == "true"
-    return furniture, article and not furniture
+            hard |= value.lower() == "true"
+    if tag == "main" or tag == "article" and not no_article:
+        return hard, False, not hard
+    return hard, hint, article and not hard and not hint
+
+
+class _Page:
+    """One pass over a page: its elements, and its blocks as (text, characters
+    inside links, number of the element they stand in)."""
+
+    def __init__(self, page: str):
+        self.elements: list[Element] = []
+        self.blocks: list[tuple[str, int, int]] = []
+        self._stack: list[int] = []
+        # Places in the stack of the open elements of each tag, and of those an end tag can't reach out of.
+        self._open: dict[str, list[int]] = {}
+        self._scopes: list[int] = []
+        self._parts: list[str] = []
+        self._linked = 0
+        self._read(page)
+
+    def _end_block(self) -> None:
+        text = " ".join(html.unescape("".join(self._parts)).split())
+        self._parts.clear()
+        if text:
+            self.blocks.append((text, min(self._linked, len(text)), self._stack[-1] if self._stack else -1))
+        self._linked = 0
+
+    def _add(self, text: str) -> None:
+        self._parts.append(text)
+        if self._open.get("a"):
+            self._linked += len(" ".join(html.unescape(text).split())) + 1
+
+    def _close(self, tag: str) -> None:
+        places = self._open.get(tag)
+        if not places or (tag not in _SCOPES and self._scopes and self._scopes[-1] > places[-1]):
+            return  # nothing open, or an end tag would reach out of its table or section
+        gone = self._stack[places[-1] :]
+        if any(self.elements[e].tag in BLOCK for e in gone):
+            self._end_block()
+        del self._stack[places[-1] :]
+        for e in gone:
+            t = self.elements[e].tag
+            self._open[t].pop()
+            if t in _SCOPES:
+                self._scopes.pop()
+
+    def _enter(self, tag: str, attributes: str) -> None:
+        hard, hint, article = _marks(tag, attributes) if attributes else (False, False, tag in ("article", "main"))
+        hint |= tag == "form"
+        hard |= tag in FURNITURE and tag != "form"
+        parent = self._stack[-1] if self._stack else -1
+        if tag in ("html", "body"):
+            hard = hint = False
+        self.elements.append(Element(tag, parent, hard, hint, article))
+        place = len(self._stack)
+        self._stack.append(len(self.elements) - 1)
+        self._open.setdefault(tag, []).append(place)
+        if tag in _SCOPES:
+            self._scopes.append(place)
+
+    def _read(self, page: str) -> None:
+        at = 0
+        while True:
+            m = _TOKEN.search(page, at)
+            if m is None:
+                self._add(page[at:])
+                break
+            if m.start() > at:
+                self._add(page[at : m.start()])
+            at = m.end()
+            tag = (m[2] or m[5] or "").lower()
+            if not tag:
+                continue
+            ending, attributes = m[1] or m[4], m[3] or m[6] or ""
+            if ending:
+                self._close(tag)
+                if tag in BLOCK:
+                    self._end_block()
+                continue
+            if tag in RAW:
+                if not attributes.endswith("/") or tag in ("script", "style", "textarea", "title"):
+                    found = _raw_end(tag).search(page, at)
+                    at = found.end() if found else len(page)
+                continue
+            if tag in SPACED:
+                self._parts.append(" ")
+            if tag in VOID:
+                if tag == "hr":
+                    self._end_block()
+                continue
+            if tag in BLOCK:
+                self._end_block()
+                if tag in _OPENS_NO_PARAGRAPH and self._open.get("p"):
+                    self._close("p")
+                if tag == "li" and self._last("li") > max(map(self._last, ("ul", "ol", "menu"))):
+                    self._close("li")
+            if tag == "a" and self._open.get("a"):
+                self._close("a")
+            self._enter(tag, attributes)
+        self._end_block()
+
+    def _last(self, tag: str) -> int:
+        return (self._open.get(tag) or [-1])[-1]
+
+
+def _inside(elements: list[Element], excused: set[int]) -> tuple[list[bool], list[bool]]:
+    """(furniture, article) of each element with all that encloses it. Headers of
+    the page are furniture, those of an article aren't."""
+    furniture, article = [], []
+    for i, e in enumerate(elements):
+        f, a = (furniture[e.parent], article[e.parent]) if e.parent >= 0 else (False, False)
+        a |= e.article
+        article.append(a)
+        furniture.append(f or e.hard or (e.hint and i not in excused) or (e.tag == "header" and not a))
+    return furniture, article
+
+
+def _held(elements: list[Element], found: list[tuple[str, int, int]]) -> list[int]:
+    """Characters of text in each element."""
+    held = [0] * len(elements)
+    for text, _, e in found:
+        if e >= 0:
+            held[e] += len(text)
+    for i in range(len(elements) - 1, -1, -1):  # children come after their parents
+        if elements[i].parent >= 0:
+            held[elements[i].parent] += held[i]
+    return held
 
 
 def blocks(page: str) -> list[Block]:
     """The non-empty blocks of a page in order. Unclosed elements end with the
-    element around them; a tag cut off at the end of the page is markup."""
-    out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # (tag, furniture so far, article so far)
-    parts: list[str] = []
-    linked = 0
-    links = 0
-
-    def end_block():
-        nonlocal linked
-        text = " ".join(html.unescape("".join(parts)).split())
-        parts.clear()
-        if text:
-            furniture, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            heading = any(t in _HEADINGS for t, _, _ in stack)
-            out.append(Block(text, min(linked, len(text)), furniture, article, heading))
-        linked = 0
-
-    def add(text: str):
-        nonlocal linked
-        parts.append(text)
-        if links:
-            linked += len(" ".join(html.unescape(text).split())) + 1
-
-    def close(tag: str) -> None:
-        nonlocal links
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                if any(t in BLOCK for t, _, _ in stack[i:]):
-                    end_block()
-                links -= sum(t == "a" for t, _, _ in stack[i:])
-                del stack[i:]
-                return
-            if stack[i][0] in _SCOPES and tag not in _SCOPES:
-                return  # an end tag doesn't reach out of its table or section
-
-    at = 0
-    while True:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            add(page[at:])
-            break
-        if m.start() > at:
-            add(page[at : m.start()])
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
-            continue
-        ending, attributes = m[1] or m[4], m[3] or m[6] or ""
-        if ending:
-            close(tag)
-            if tag in BLOCK:
-                end_block()
-            continue
-        if tag in RAW:
-            if not attributes.endswith("/") or tag in ("script", "style", "textarea", "title"):
-                found = _raw_end(tag).search(page, at)
-                at = found.end() if found else len(page)
-            continue
-        if tag in SPACED:
-            parts.append(" ")
-        if tag in VOID:
-            if tag == "hr":
-                end_block()
-            continue
-        if tag in BLOCK:
-            end_block()
-            if tag in _OPENS_NO_PARAGRAPH and any(t == "p" for t, _, _ in stack):
-                close("p")
-            if tag == "li" and any(t == "li" for t, _, _ in stack):
-                _close_sibling(stack, close, "li", ("ul", "ol", "menu"))
-        if tag == "a" and links:
-            close("a")
-        furniture, article = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        marked, body = _marks(attributes) if attributes else (False, False)
-        if tag in ("article", "main") or body:
-            article = True
-        # Headers of the page are furniture, those of the article aren't.
-        furniture |= marked and tag not in ("html", "body") or tag in FURNITURE or (tag == "header" and not article)
-        stack.append((tag, furniture, article))
-        links += tag == "a"
-    end_block()
-    return out
-
-
-_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+    element around them; a tag cut off at the end of the page is markup. Time is
+    in proportion to the page, however many elements are open.
+
+    Where every article stands inside hinted elements, the hints around the one
+    with the most text don't count; where hints leave no text at all on a page
+    without a marked article, those don't count that hold most of it."""
+    read = _Page(page)
+    elements, found = read.elements, read.blocks
+    furniture, article = _inside(elements, set())
+    marked = [i for i, e in enumerate(elements) if e.article]
+    held = _held(elements, found)
+    excused: set[int] = set()
+    if marked and all(furniture[i] or not held[i] for i in marked):
+        free = [i for i in marked if held[i] and not _hard_around(elements, i)]
+        i = max(free, key=lambda m: held[m], default=-1)
+        while i >= 0:
+            excused.add(i)
+            i = elements[i].parent
+    elif not marked and found and all(e >= 0 and furniture[e] for _, _, e in found):
+        whole = sum(len(text) for text, _, _ in found)
+        excused = {i for i, e in enumerate(elements) if e.hint and 2 * held[i] > whole}
+    if excused:
+        furniture, article = _inside(elements, excused)
+    return [Block(t, n, e >= 0 and furniture[e], e >= 0 and article[e]) for t, n, e in found]
+
+
+def _hard_around(elements: list[Element], i: int) -> bool:
+    while i >= 0:
+        if elements[i].hard:
+            return True
+        i = elements[i].parent
+    return False
+
+
 _SCOPES = frozenset("article aside body div footer form header html main nav section table td th".split())
+#: A sentence that ends and another one, or the end of the block, after it; with a comma or more words before.
+_SENTENCES = re.compile(r"\w[\w,;:\s'’-]{20,}[.!?…](?:\s+[^\W\d_]|[\"'»”]?$)")
 _raw_ends: dict[str, re.Pattern] = {}
 
 
@@ -205,15 +300,6 @@ def _raw_end(tag: str) -> re.Pattern:
     return _raw_ends[tag]
 
 
-def _close_sibling(stack, close, tag: str, lists: tuple) -> None:
-    for t, _, _ in reversed(stack):
-        if t in lists:
-            return
-        if t == tag:
-            close(tag)
-            return
-
-
 def labels(found: list[Block]) -> list[bool]:
     """True for the blocks of the main text."""
     marked = any(b.in_article and not b.furniture for b in found)
@@ -246,6 +332,8 @@ def _decide(b: Block, marked: bool) -> bool | None:
     share = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words) / len(words)
     if share >= STOP_HIGH or (share >= STOP_LOW and len(b.text) >= 2 * SHORT):
         return True
+    if share < STOP_LOW and len(b.text) >= 2 * SHORT and density <= STOP_LOW and _SENTENCES.search(b.text):
+        return True  # sentences in a language without a list here
     return False if share < STOP_LOW / 2 and len(b.text) >= 2 * SHORT and density > 0 else None
 
 

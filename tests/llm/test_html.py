@@ -32,6 +32,50 @@ def test_furniture_inside_the_article_goes():
         assert html.main_text(page) == WANT
 
 
+WRAPPERS = [
+    "<main class='has-sidebar'>{}</main>", "<div id='page' class='right-sidebar'>{}</div>", "<form id=aspnetForm>{}</form>",
+    "<div class='site-header-fixed widgets'>{}</div>", "<section class='related newsletter'>{}</section>",
+    "<div id='comments-open' class='post'><div class='social'>{}</div></div>", "<body class='modal-open'><div class='nav-menu'>{}</div></body>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_wrappers_do_not_swallow_the_article(wrapper):
+    assert html.main_text(wrapper.format(ARTICLE)) == WANT
+    assert html.main_text(wrapper.format(FURNITURE[0] + ARTICLE + FURNITURE[4])) == WANT
+    inside = ARTICLE.replace("<article>", "<article class='post has-sidebar social-history tags'>")
+    assert html.main_text(wrapper.format(inside)) == WANT
+    plain = wrapper.format(f"<p>{LONG}</p><p>{LONG}</p>")
+    if "main" not in wrapper:  # without a marked article: what holds the text is no furniture
+        assert html.main_text(f"<html>{plain}</html>") == f"{LONG}\n{LONG}"
+
+
+def test_hints_count_beside_an_article_that_stands_free():
+    comments = f"<div class='comments'><article><p>{LONG * 5}</p></article><article class='comment'>{LONG}</article></div>"
+    assert html.main_text(f"<body>{ARTICLE}{comments}</body>") == WANT
+    teaser = f"<article class='related-post'><p>{LONG}</p></article>"
+    assert html.main_text(f"<body>{teaser}{ARTICLE}</body>") == WANT
+    page = f"<body><div><p>{LONG}</p><p>{LONG}</p></div><section class='comments'><article class='comment'>{LONG}</article></section></body>"
+    assert html.main_text(page) == f"{LONG}\n{LONG}"
+
+
+def test_many_open_elements_take_linear_time():
+    import time
+
+    for unit in ("<div>", "<b>", "<p><i>", "<a><b></i>", "<li>", "<td></p>", "<form class=nav>"):
+        began = time.perf_counter()
+        html.main_text(unit * 100_000 + "text")
+        assert time.perf_counter() - began < 6, unit
+
+
+@pytest.mark.parametrize("text", [
+    "Het kabinet heeft vrijdag besloten dat gemeenten volgend jaar meer geld krijgen, al blijft onduidelijk hoeveel precies. Burgemeesters reageerden verheugd, maar waarschuwden voor tekorten.",
+    "Правительство объявило, что строительство моста начнётся весной, если позволит погода. Жители города давно ждали этого решения, сообщила мэрия вчера вечером на встрече.",
+])
+def test_sentences_of_other_languages(text):
+    assert html.main_text(f"<body><div><p>{text}</p><p>{text}</p></div></body>") == f"{text}\n{text}"
+
+
 def test_random_pages():
     rng = random.Random(1)
     for _ in range(60):
