@@ -594,6 +594,10 @@ def list_tables(spark: SparkSession, cfg: JdbcConfig, namespace: str | None = No
     return df
 
 
+#: Tables that one pushed query of an inventory counts.
+_TABLES_A_QUERY = 100
+
+
 def source_inventory(
     spark: SparkSession,
     cfg: JdbcConfig,
@@ -603,10 +607,12 @@ def source_inventory(
     max_tables: int | None = None,
 ) -> DataFrame:
     """(namespace, table_name, row_count[, min_key, max_key]) computed by the
-    source: one pushed ``COUNT(*)`` -- with ``MIN`` / ``MAX`` of the key when
-    ``key_columns`` names one for the table -- per table. Key bounds come
-    back as text so tables with different key types share one frame. Only the
-    list of names comes to the driver; ``max_tables`` refuses a longer one."""
+    source. Tables are counted ``_TABLES_A_QUERY`` at a time in one pushed
+    ``UNION ALL``, so the plan stays small however many there are; a table that
+    ``key_columns`` names is read on its own, with ``MIN`` / ``MAX`` of the key.
+    Key bounds come back as text so tables with different key types share one
+    frame. Only the list of names comes to the driver; ``max_tables`` refuses a
+    longer one."""
     tables = list_tables(spark, cfg, namespace)
     n = tables.count()
     if max_tables is not None and n > max_tables:
@@ -619,24 +625,34 @@ def source_inventory(
     ]
     if key_columns is not None:
         fields += [T.StructField("min_key", T.StringType()), T.StructField("max_key", T.StringType())]
-    parts = []
+    parts, counted_only = [], []
     for row in tables.orderBy("namespace", "table_name").collect():
         qualified = f"{cfg.quote(row['namespace'])}.{cfg.quote(row['table_name'])}"
         key = keys.get(row["table_name"].upper())
-        select = f"COUNT(*) AS {cfg.quote('row_count')}"
-        if key:
-            k = cfg.quote(key)
-            select += f", MIN({k}) AS {cfg.quote('min_key')}, MAX({k}) AS {cfg.quote('max_key')}"
+        if not key:
+            counted_only.append((row["namespace"], row["table_name"], qualified))
+            continue
+        k = cfg.quote(key)
+        select = f"COUNT(*) AS {cfg.quote('row_count')}, MIN({k}) AS {cfg.quote('min_key')}, MAX({k}) AS {cfg.quote('max_key')}"
         counted = read_subquery(spark, cfg, f"SELECT {select} FROM {qualified}", "cnt")
-        cols = [
-            F.lit(row["namespace"]).alias("namespace"),
-            F.lit(row["table_name"]).alias("table_name"),
-            F.col("row_count").cast("bigint").alias("row_count"),
-        ]
+        parts.append(
+            counted.select(
+                F.lit(row["namespace"]).alias("namespace"), F.lit(row["table_name"]).alias("table_name"),
+                F.col("row_count").cast("bigint").alias("row_count"), F.col("min_key").cast("string"), F.col("max_key").cast("string"),
+            )
+        )
+    place, n_rows = cfg.quote("place"), cfg.quote("row_count")
+    for at in range(0, len(counted_only), _TABLES_A_QUERY):
+        some = counted_only[at : at + _TABLES_A_QUERY]
+        union = " UNION ALL ".join(f"SELECT {i} AS {place}, COUNT(*) AS {n_rows} FROM {q}" for i, (_, _, q) in enumerate(some))
+        names = F.array(*[F.struct(F.lit(ns).alias("namespace"), F.lit(t).alias("table_name")) for ns, t, _ in some])
+        counted = read_subquery(spark, cfg, union, "cnt").select(
+            F.element_at(names, F.col("place").cast("int") + 1).alias("name"), F.col("row_count").cast("bigint").alias("row_count")
+        ).select("name.namespace", "name.table_name", "row_count")
         if key_columns is not None:
-            for c in ("min_key", "max_key"):
-                cols.append((F.col(c) if key else F.lit(None)).cast("string").alias(c))
-        parts.append(counted.select(*cols))
+            none = F.lit(None).cast("string")
+            counted = counted.select("*", none.alias("min_key"), none.alias("max_key"))
+        parts.append(counted)
     if not parts:
         return spark.createDataFrame([], T.StructType(fields))
     out = parts[0]

@@ -24,10 +24,13 @@ import decimal
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.sinks.counting import observed
+from sluice.sinks.parquet import IncompleteWrite
+
 STATE_SCHEMA = T.StructType(
     [
         T.StructField("source", T.StringType(), False),
@@ -70,7 +73,8 @@ def read_mark(spark: SparkSession, state_path: str, source: str, table: str) ->
     return None if row is None else row["high_mark"]
 
 
-def _typed(mark: str | None, dtype: T.DataType) -> Any:
+def typed_mark(mark: str | None, dtype: T.DataType) -> Any:
+    """A stored mark as a value of the column's type."""
     if mark is None:
         return None
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType)):
@@ -103,12 +107,14 @@ def load_increment(
     ``high_mark`` -- the upper mark, when the caller already has it from the
     source (e.g. ``sources.jdbc.bounds``, a pushed MAX); otherwise it is
     computed from the pending rows before they are read for the write. The
-    result counts the rows the target has gained.
+    result counts the rows the target has gained: the rows written, as the write
+    counts them, less those of the partitions it replaces. Only the partitions
+    of this run are counted, so the cost does not grow with the history.
     """
     spark = source_df.sparkSession
     dtype = source_df.schema[column].dataType
     last = _last_run(spark, state_path, source, table)
-    low = None if last is None else _typed(last["high_mark"], dtype)
+    low = None if last is None else typed_mark(last["high_mark"], dtype)
     mark = F.col(f"`{column}`")
     pending = source_df if low is None else source_df.filter((mark >= F.lit(low)) | mark.isNull())
     high = high_mark if high_mark is not None else pending.agg(F.max(mark).alias("m")).first()["m"]
@@ -125,15 +131,26 @@ def load_increment(
     run = "first" if low is None else f"from_{low}"
     if high is not None and high != low:
         name = name.when(mark == F.lit(high), F.lit(f"top_{run}"))
-    before = _rows_under(spark, target_path)
+    names = ["no_mark", f"below_{run}"]
+    names += [f"top_{tied}"] if low is not None else []
+    names += [f"top_{run}"] if high is not None and high != low else []
+    before = _partition_rows(spark, target_path, batch_column, names)
+    seen = Observation()
+    named = batch.withColumn(batch_column, name.otherwise(F.lit(f"below_{run}")))
+    counts = [F.count(F.when(F.col(f"`{batch_column}`") == n, 1)).alias(f"n{i}") for i, n in enumerate(names)]
     (
-        batch.withColumn(batch_column, name.otherwise(F.lit(f"below_{run}")))
+        named.observe(seen, *counts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(batch_column)
         .parquet(target_path)
     )
-    rows = _rows_under(spark, target_path) - before
+    counted = observed(seen, *[f"n{i}" for i in range(len(names))])
+    replaced = {n: counted[f"n{i}"] for i, n in enumerate(names) if counted[f"n{i}"]}  # without new rows none is replaced
+    written = _partition_rows(spark, target_path, batch_column, list(replaced)) if replaced else {}
+    if written != replaced:
+        raise IncompleteWrite(f"{target_path}: partitions hold {written}, written were {replaced}; the mark is unchanged")
+    rows = sum(written.values()) - sum(before.get(n, 0) for n in replaced)
     if high != low:
         loaded_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         state_row = (source, table, column, None if low is None else str(low), str(high), rows, loaded_at)
@@ -141,6 +158,19 @@ def load_increment(
     return IncrementResult(low, high, rows)
 
 
+def _partition_rows(spark: SparkSession, path: str, column: str, names: list[str]) -> dict[str, int]:
+    """Rows of some partitions by their footers; those that aren't there are left out."""
+    try:
+        rows = spark.read.parquet(path)
+    except Exception as error:  # noqa: BLE001 - only "nothing there" is expected
+        if any(x in str(error) for x in ("PATH_NOT_FOUND", "does not exist", "UNABLE_TO_INFER_SCHEMA")):
+            return {}
+        raise
+    name = F.col(f"`{column}`").cast("string")
+    found = rows.where(name.isin(names)).groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return {r["name"]: r["n"] for r in found.collect()}  # four at most
+
+
 def _rows_under(spark: SparkSession, path: str) -> int:
     """Rows of a Parquet folder by its footers; 0 where there is none yet."""
     try:
