@@ -37,18 +37,44 @@ _ASCII_PATTERN = re.compile(_CONTRACTIONS + r"|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-def _char_class(major: str) -> str:
+def _char_class(major: str, newer: frozenset[int]) -> str:
     """Ranges, as in a regular expression, of the characters of one major
-    general category, by Python's Unicode tables (letters that Unicode has
-    assigned since those tables count as symbols)."""
-    codes = np.array([unicodedata.category(chr(i))[0] == major for i in range(sys.maxunicode + 1)])
+    general category: by Python's Unicode tables, and the ``newer`` ones."""
+    codes = np.array([unicodedata.category(chr(i))[0] == major or i in newer for i in range(sys.maxunicode + 1)])
     edges = np.flatnonzero(np.diff(np.r_[False, codes, False].astype(np.int8)))
     return "".join(rf"\U{a:08x}-\U{b - 1:08x}" for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
+#: Code points from here on are in planes without letters, or private.
+_LAST_LETTER = 0x33480
+
+
+def newer_characters(path: str) -> tuple[frozenset[int], frozenset[int], dict[int, str]]:
+    """(letters, numbers, lower-case forms) that the tokenizers library knows and
+    Python's Unicode tables don't: the library is asked, once, on the driver, about
+    the code points that Python takes as unassigned."""
+    import tokenizers  # on the driver alone
+
+    tokenizer = tokenizers.Tokenizer.from_file(path)
+    letters, numbers, lowered = set(), set(), {}
+    for i in range(0x80, _LAST_LETTER):
+        c = chr(i)
+        if unicodedata.category(c) != "Cn":
+            continue
+        # Between two letters, twice: one run of letters, or four pieces with a digit each, or three.
+        pieces = len(tokenizer.pre_tokenizer.pre_tokenize_str(f"a{c}{c}b"))
+        if pieces == 1:
+            letters.add(i)
+        elif pieces == 4:
+            numbers.add(i)
+        if (form := tokenizer.normalizer.normalize_str(c)) != c:
+            lowered[i] = form
+    return frozenset(letters), frozenset(numbers), lowered
+
+
 @functools.cache
-def _pattern() -> re.Pattern:
-    letters, numbers = _char_class("L"), _char_class("N")
+def _pattern(newer_letters: frozenset[int], newer_numbers: frozenset[int]) -> re.Pattern:
+    letters, numbers = _char_class("L", newer_letters), _char_class("N", newer_numbers)
     return re.compile(f"{_CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{_WHITE}{letters}{numbers}]+")
 
 
@@ -79,6 +105,9 @@ class Bpe:
     merged: np.ndarray  # aligned with keys: id of the merged symbol
     lone: np.ndarray  # aligned with keys: merge one place at a time
     added: dict  # special token text -> id
+    letters: frozenset  # code points that Python's Unicode tables don't have
+    numbers: frozenset
+    lowered: dict
 
 
 def load(path: str) -> Bpe:
@@ -110,7 +139,7 @@ def load(path: str) -> Bpe:
         tokens,
         np.array([vocab[s] for s in symbols], np.int32),
         np.array([vocab[s + suffix] for s in symbols], np.int32),
-        keys[order], ranks[order], merged[order], lone[order], added,
+        keys[order], ranks[order], merged[order], lone[order], added, *newer_characters(path),
     )
 
 
@@ -174,18 +203,19 @@ def encode_words(bpe: Bpe, words: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def pre_tokens(text: str, specials: re.Pattern | None) -> list[str]:
+def pre_tokens(text: str, specials: re.Pattern | None, bpe: Bpe) -> list[str]:
     """Words of a text: special tokens as they stand, the rest normalised
     (NFC, lower case character by character) and split by the pattern."""
     if specials is not None and "<" in text:
         found = []
         for i, piece in enumerate(specials.split(text)):
-            found += [piece] if i % 2 else pre_tokens(piece, None)
+            found += [piece] if i % 2 else pre_tokens(piece, None, bpe)
         return found
     if text.isascii():
         return _ASCII_PATTERN.findall(text.lower())
     # U+03A3 has a second lower-case form at the end of a word, which isn't used here.
-    return _pattern().findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+    plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower().translate(bpe.lowered)
+    return _pattern(bpe.letters, bpe.numbers).findall(plain)
 
 
 class Codec:
@@ -198,7 +228,7 @@ class Codec:
         self.decoded: dict[str, str] = {}
 
     def words(self, texts: list) -> list[list[str]]:
-        lists = [pre_tokens(t.decode("utf-8"), self.specials) if t else [] for t in texts]
+        lists = [pre_tokens(t.decode("utf-8", "replace"), self.specials, self.bpe) if t else [] for t in texts]
         new = set().union(*lists) - self.ids.keys() if lists else set()
         if len(self.ids) + len(new) > REMEMBERED_WORDS:
             self.ids.clear(), self.decoded.clear()
@@ -235,7 +265,8 @@ def encode_decode(
     """``df`` (or ``keep`` columns of it) plus n_tokens, ids_sha256 and
     decoded_sha256 of each text, and with ``ids`` the token ids themselves.
 
-    A null text counts as empty: no tokens, digests of nothing. Columns of
+    A null text counts as empty: no tokens, digests of nothing. Bytes that are no
+    UTF-8 count as U+FFFD. Columns of
     ``df`` with these names are replaced. No shuffle; a task holds one slice of
     texts and a bounded memory of words.
     """

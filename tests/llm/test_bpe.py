@@ -40,6 +40,18 @@ def test_random_texts(model, library):
     same(model, library, ["".join(rng.choices(a, k=rng.randrange(80))) for a in alphabets for _ in range(300)])
 
 
+def test_every_code_point(model, library):
+    points = [chr(i) for i in range(1, 0x110000) if not 0xD800 <= i < 0xE000]
+    same(model, library, ["a?b ".replace("?", c) + f"X{c}{c}Y" for c in points[:0x33480]])
+    same(model, library, ["a?b".replace("?", c) for c in points[0x33480::997]])
+
+
+def test_bytes_that_are_no_utf8(model):
+    codec = bpe.Codec(model)
+    (got, want) = codec.words([b"ab\xff\xfecd \xc3", "ab\ufffd\ufffdcd \ufffd".encode()])
+    assert got == want and codec.encode(got)
+
+
 def test_long_words_specials_and_edges(model, library):
     same(
         model, library,
