@@ -27,37 +27,81 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# Notice and license wordings as words, by label.
+_MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+    "documentation files the software to deal in the software without restriction including without limitation "
+    "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
+    "permit persons to whom the software is furnished to do so subject to the following conditions the above "
+    "copyright notice and this permission notice [including the next paragraph] shall be included in all copies "
+    "or substantial portions of the software"
+)
+_BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that "
+    "the following conditions are met [1] redistributions of source code must retain the above copyright notice "
+    "this list of conditions and the following disclaimer [2] redistributions in binary form must reproduce the "
+    "above copyright notice this list of conditions and the following disclaimer in the documentation and or "
+    "other materials provided with the distribution"
+)
+_PUBLISHED = "[as published by the free software foundation] [either]"
+
+# Notice and license wordings as words (fixed values of the licenses), by label. What a
+# license lets its user fill in (holders, years, names, addresses) is replaceable.
 TEMPLATES = {
+    "agpl-3.0": f"gnu affero general public license {_PUBLISHED} version 3",
     "apache-2.0": "apache license [,] version 2 0",
-    "bsd-redistribution": (
-        "redistribution and use in source and binary forms with or without modification are permitted provided that "
-        "the following conditions are met [1] redistributions of source code must retain the above copyright notice "
-        "this list of conditions and the following disclaimer [2] redistributions in binary form must reproduce the "
-        "above copyright notice this list of conditions and the following disclaimer in the documentation and or "
-        "other materials provided with the distribution"
+    "apache-2.0-notice": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance "
+        "with the license you may obtain a copy of the license at {4-10} unless required by applicable law or agreed "
+        "to in writing software distributed under the license is distributed on an as is basis without warranties or "
+        "conditions of any kind either express or implied see the license for the specific language governing "
+        "permissions and limitations under the license"
     ),
+    "boost-1.0": "boost software license version 1 0",
+    "bsd-3-clause": (
+        f"{_BSD} [3] neither the name of {{1-10}} nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission"
+    ),
+    "bsd-redistribution": _BSD,
     "cc-by-4.0": "cc by 4 0 [international]",
     "cc-by-nc-4.0": "cc by nc 4 0 [international]",
+    "cc-by-nc-nd-4.0": "cc by nc nd 4 0 [international]",
     "cc-by-nc-sa-4.0": "cc by nc sa 4 0 [international]",
+    "cc-by-nd-4.0": "cc by nd 4 0 [international]",
     "cc-by-sa-4.0": "cc by sa 4 0 [international]",
-    "gpl-2.0": "gnu general public license [as published by the free software foundation] [either] version 2",
-    "gpl-3.0": "gnu general public license [as published by the free software foundation] [either] version 3",
+    "cc0-1.0": "cc0 1 0 [universal]",
+    "gpl-2.0": f"gnu general public license {_PUBLISHED} version 2",
+    "gpl-3.0": f"gnu general public license {_PUBLISHED} version 3",
     "isc": (
         "permission to use copy modify and [or] distribute this software for any purpose with or without fee is hereby "
         "granted provided that the above copyright notice and this permission notice appear in all copies"
     ),
-    "mit-permission": (
-        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
-        "documentation files the software to deal in the software without restriction including without limitation "
-        "the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to "
-        "permit persons to whom the software is furnished to do so subject to the following conditions the above "
-        "copyright notice and this permission notice [including the next paragraph] shall be included in all copies "
-        "or substantial portions of the software"
-    ),
+    "lgpl-2.1": f"gnu lesser general public license {_PUBLISHED} version 2 1",
+    "lgpl-3.0": f"gnu lesser general public license {_PUBLISHED} version 3",
+    "mit-permission": _MIT,
     "mit-release": "released under the [terms of the] mit license",
+    "mit-text": (
+        f"copyright [c] {{1-12}} [all rights reserved] {_MIT} the software is provided as is without warranty of any kind "
+        "express or implied including but not limited to the warranties of merchantability fitness for a particular "
+        "purpose and noninfringement in no event shall {2-8} be liable for any claim damages or other liability "
+        "whether in an action of contract tort or otherwise arising from out of or in connection with the software "
+        "or the use or other dealings in the software"
+    ),
+    "mpl-2.0": (
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was "
+        "not distributed with this file you can obtain one at {3-8}"
+    ),
+    "or-later": f"general public license {_PUBLISHED} version {{1-2}} [of the license] or at your option any later version",
     "public-domain": "released into the public domain [by {1-8}]",
     "spdx-tag": "spdx license identifier {1-4}",
+    "unlicense": (
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish "
+        "use compile sell or distribute this software either in source code form or as a compiled binary for any "
+        "purpose commercial or non commercial and by any means"
+    ),
+    "zlib": (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held "
+        "liable for any damages arising from the use of this software"
+    ),
 }
 
 

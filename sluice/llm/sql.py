@@ -86,11 +86,15 @@ FROM placed
 def license_scan() -> str:
     """Phrases by word position; templates as the regular expressions they equal."""
     phrases = ", ".join(f"('{p}', '{label}', {len(p.split())})" for p, label in licenses.PHRASES.items())
-    templates = ", ".join(f"('{licenses.template_regex(t)}', '{label}')" for label, t in licenses.TEMPLATES.items())
+    matched = " UNION ALL ".join(
+        f"SELECT doc_id, '{label}' AS label FROM spaced WHERE contains(joined, ' {licenses.compile_template(t).anchor.decode()}') "
+        f"AND regexp_matches(joined, '{licenses.template_regex(t)}')"
+        for label, t in licenses.TEMPLATES.items()
+    )
     return rf"""
-WITH docs AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents
+WITH docs AS MATERIALIZED (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents
 ), phrases(phrase, label, n) AS (VALUES {phrases}
-), templates(pattern, label) AS (VALUES {templates}
+), spaced AS MATERIALIZED (SELECT doc_id, ' ' || array_to_string(w, ' ') AS joined FROM docs
 ), places AS (
   SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM docs WHERE len(w) > 1
 ), base AS (
@@ -98,7 +102,7 @@ WITH docs AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents
 ), counted AS (
   SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word FROM base GROUP BY 1
 ), matched AS (
-  SELECT doc_id, label FROM docs JOIN templates ON regexp_matches(' ' || array_to_string(w, ' '), pattern)
+  {matched}
 ), labels AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM matched) GROUP BY 1

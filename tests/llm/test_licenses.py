@@ -46,6 +46,56 @@ def test_automata_equal_regular_expressions():
         assert set(filter(None, got.split(","))) == want, text
 
 
+MIT_TEXT = """MIT License
+
+Copyright (c) {holder}
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
+is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL {who} BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def labels_of(text):
+    return licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES).scan(text.encode())[5].split(",")
+
+
+def test_whole_license_texts_with_replaceable_holders():
+    for holder in ("2024 Jane Doe", "1999-2024 Some Company, Inc. and contributors"):
+        text = MIT_TEXT.format(holder=holder, who="THE AUTHORS OR COPYRIGHT HOLDERS")
+        assert labels_of("head " + text + " tail") == ["mit", "mit-permission", "mit-text"]
+    assert "mit-text" not in labels_of(MIT_TEXT.format(holder="2024 Jane", who="THE AUTHORS").replace("MERCHANTABILITY", "SALE"))
+    assert "mit-text" not in labels_of(MIT_TEXT.format(holder="x " * 13, who="THE AUTHORS"))
+
+
+@pytest.mark.parametrize("notice,label", [
+    ("GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1", "lgpl-2.1"),
+    ("the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or "
+     "(at your option) any later version.", "agpl-3.0,or-later"),
+    ("GNU General Public License version 2 or (at your option) any later version", "gpl,gpl-2.0,or-later"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+     "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "mpl-2.0"),
+    ("This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+     "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+     "commercial or non-commercial, and by any means.", "public-domain,unlicense"),
+    ("CC0 1.0 Universal", "cc0-1.0"), ("CC BY-NC-ND 4.0", "cc-by,cc-by-nc-nd-4.0"),
+    ("Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+     "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
+     "law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+     "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+     "permissions and limitations under the License.", "apache,apache-2.0,apache-2.0-notice"),
+])
+def test_notices(notice, label):
+    assert labels_of(notice) == label.split(",")
+
+
 def test_phrases_and_edges(spark, docs):
     long = "word " * 40_000 + "MIT License"
     rows = [
