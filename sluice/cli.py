@@ -98,7 +98,7 @@ def cmd_extract(args: argparse.Namespace) -> int:
 
         if not args.partition_column:
             raise SystemExit("--ranges needs --partition-column (several columns: comma-separated)")
-        unused = [n for n in ("rows_per_partition", "max_records_per_file", "partition_by", "rebalance") if getattr(args, n)]
+        unused = [n for n in ("rows_per_partition", "max_records_per_file", "partition_by", "rebalance", "versioned") if getattr(args, n)]
         if unused:
             raise SystemExit(f"--ranges goes without {', '.join('--' + n.replace('_', '-') for n in unused)}")
         key = args.partition_column.split(",")
@@ -114,7 +114,7 @@ def cmd_extract(args: argparse.Namespace) -> int:
         rows_per_partition=args.rows_per_partition, compression=args.compression,
         max_records_per_file=args.max_records_per_file,
         partition_by=[c for c in (args.partition_by or "").split(",") if c],
-        rebalance=args.rebalance,
+        rebalance=args.rebalance, versioned=args.versioned,
     )
     print(json.dumps({"path": res.path, "rows_expected": res.rows_expected, "rows_written": res.rows_written}))
     return 0
@@ -303,6 +303,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--max-records-per-file", type=int)
     p.add_argument("--partition-by", help="comma-separated output partition columns")
     p.add_argument("--rebalance", action="store_true", help="cluster rows by the partition columns first")
+    p.add_argument("--versioned", action="store_true", help="write a version behind a pointer; readers never find the output missing")
     p.add_argument("--preflight", action="store_true", help="run the connection test first; stop if it fails")
     p.set_defaults(func=cmd_extract)
 

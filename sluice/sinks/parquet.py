@@ -140,6 +140,7 @@ def extract_to_parquet(
     max_records_per_file: int | None = None,
     partition_by: Sequence[str] = (),
     rebalance: bool = False,
+    versioned: bool = False,
 ) -> ExportResult:
     """JDBC table -> Parquet, read in parallel, verified against the source.
 
@@ -148,8 +149,10 @@ def extract_to_parquet(
     written output with that COUNT(*), so the table is read exactly once
     (no preview, no separate count). A source that changes during the read
     fails the check instead of passing silently. No shuffle: one output file
-    per read partition.
+    per read partition. ``versioned`` writes a version behind a pointer
+    (``exports.export_version``) instead of taking the place of ``path``.
     """
+    from sluice.sinks.exports import export_version
     from sluice.sources import jdbc as JR
 
     if partition_column:
@@ -163,7 +166,8 @@ def extract_to_parquet(
         expected = int(
             JR.read_subquery(spark, cfg, f"SELECT COUNT(*) AS {cfg.quote('n')} FROM {table}", "c").first()["n"]
         )
-    return export_parquet(
+    export = export_version if versioned else export_parquet
+    return export(
         df, path, compression=compression, max_records_per_file=max_records_per_file,
         expected_rows=expected, partition_by=partition_by, rebalance=rebalance,
     )

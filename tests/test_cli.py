@@ -190,3 +190,15 @@ def test_an_increment_reads_what_is_pending(spark, derby, tmp_path, capsys, monk
 
     loaded = read_loaded(spark, str(tmp_path / "t"))
     assert loaded.count() == orders.count() and loaded.exceptAll(orders).isEmpty()
+
+
+def test_versioned_extract(spark, derby, tmp_path, capsys):
+    from sluice.sinks.exports import read_export
+
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    out_dir = str(tmp_path / "orders")
+    for rows in (orders.where("o_orderkey < 100"), orders):
+        JW.write_jdbc(rows, derby, "VERS", mode="overwrite")
+        assert cli.main(["extract", *_args(derby), "--table", "VERS", "--output", out_dir, "--partition-column", "o_orderkey", "--versioned"]) == 0
+    assert read_export(spark, out_dir).exceptAll(orders).isEmpty() and read_export(spark, out_dir).count() == 1500
+    assert read_export(spark, out_dir, version=1).count() == 100
