@@ -37,10 +37,10 @@ _ASCII_PATTERN = re.compile(_CONTRACTIONS + r"|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-def _char_class(major: str, newer: frozenset[int]) -> str:
-    """Ranges, as in a regular expression, of the characters of one major
-    general category: by Python's Unicode tables, and the ``newer`` ones."""
-    codes = np.array([unicodedata.category(chr(i))[0] == major or i in newer for i in range(sys.maxunicode + 1)])
+def _char_class(major: str, newer: frozenset[int], last: int) -> str:
+    """Ranges, as in a regular expression, of the characters up to ``last`` of one
+    major general category: by Python's Unicode tables, and the ``newer`` ones."""
+    codes = np.array([unicodedata.category(chr(i))[0] == major or i in newer for i in range(last + 1)])
     edges = np.flatnonzero(np.diff(np.r_[False, codes, False].astype(np.int8)))
     return "".join(rf"\U{a:08x}-\U{b - 1:08x}" for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()))
 
@@ -73,8 +73,8 @@ def newer_characters(path: str) -> tuple[frozenset[int], frozenset[int], dict[in
 
 
 @functools.cache
-def _pattern(newer_letters: frozenset[int], newer_numbers: frozenset[int]) -> re.Pattern:
-    letters, numbers = _char_class("L", newer_letters), _char_class("N", newer_numbers)
+def _pattern(newer_letters: frozenset[int], newer_numbers: frozenset[int], last: int = sys.maxunicode) -> re.Pattern:
+    letters, numbers = _char_class("L", newer_letters, last), _char_class("N", newer_numbers, last)
     return re.compile(f"{_CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{_WHITE}{letters}{numbers}]+")
 
 
@@ -203,19 +203,37 @@ def encode_words(bpe: Bpe, words: list[bytes]) -> list[np.ndarray]:
     return out
 
 
-def pre_tokens(text: str, specials: re.Pattern | None, bpe: Bpe) -> list[str]:
-    """Words of a text: special tokens as they stand, the rest normalised
+class Splitter:
+    """Splits texts into words: special tokens as they stand, the rest normalised
     (NFC, lower case character by character) and split by the pattern."""
-    if specials is not None and "<" in text:
-        found = []
-        for i, piece in enumerate(specials.split(text)):
-            found += [piece] if i % 2 else pre_tokens(piece, None, bpe)
-        return found
-    if text.isascii():
-        return _ASCII_PATTERN.findall(text.lower())
-    # U+03A3 has a second lower-case form at the end of a word, which isn't used here.
-    plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower().translate(bpe.lowered)
-    return _pattern(bpe.letters, bpe.numbers).findall(plain)
+
+    def __init__(self, bpe: Bpe):
+        self.specials = re.compile("(" + "|".join(map(re.escape, bpe.added)) + ")") if bpe.added else None
+        # Character classes within U+FFFF are tables, those beyond it are long lists of
+        # ranges: texts without such characters are split by the former.
+        self.pattern = _pattern(bpe.letters, bpe.numbers, 0xFFFF)
+        self.wide_pattern = _pattern(bpe.letters, bpe.numbers)
+        self.wide = re.compile("[\U00010000-\U0010ffff]")
+        self.lowered = bpe.lowered
+        # Most texts hold none of these: a search is far cheaper than a translation.
+        self.rare = re.compile(f"[{chr(min(bpe.lowered))}-\U0010ffff]") if bpe.lowered else None
+
+    def words(self, text: str) -> list[str]:
+        if self.specials is not None and "<" in text:
+            found = []
+            for i, piece in enumerate(self.specials.split(text)):
+                found += [piece] if i % 2 else self._plain(piece)
+            return found
+        return self._plain(text)
+
+    def _plain(self, text: str) -> list[str]:
+        if text.isascii():
+            return _ASCII_PATTERN.findall(text.lower())
+        # U+03A3 has a second lower-case form at the end of a word, which isn't used here.
+        plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if self.rare is not None and self.rare.search(plain):
+            plain = plain.translate(self.lowered)
+        return (self.wide_pattern if self.wide.search(plain) else self.pattern).findall(plain)
 
 
 class Codec:
@@ -223,12 +241,12 @@ class Codec:
 
     def __init__(self, bpe: Bpe):
         self.bpe = bpe
-        self.specials = re.compile("(" + "|".join(map(re.escape, bpe.added)) + ")") if bpe.added else None
+        self.split = Splitter(bpe).words
         self.ids: dict[str, bytes] = {}
         self.decoded: dict[str, str] = {}
 
     def words(self, texts: list) -> list[list[str]]:
-        lists = [pre_tokens(t.decode("utf-8", "replace"), self.specials, self.bpe) if t else [] for t in texts]
+        lists = [self.split(t.decode("utf-8", "replace")) if t else [] for t in texts]
         new = set().union(*lists) - self.ids.keys() if lists else set()
         if len(self.ids) + len(new) > REMEMBERED_WORDS:
             self.ids.clear(), self.decoded.clear()

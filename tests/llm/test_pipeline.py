@@ -107,7 +107,7 @@ def test_texts_that_share_an_id_are_judged_one_by_one(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'").fetchall()
     df = queries.QUERIES[name](spark, SF)
     rel = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLE_SQL[name]})")
