@@ -7,7 +7,10 @@ Viterbi decoding finds the cheapest path under the channel's costs and a
 character trigram model counted over the whole corpus. Words whose lattice has
 one path only (no letter twice in a row, no lookalike, no gap but at an end)
 are their own decoding and skip the search; so do those without any letter
-(numbers, punctuation).
+(numbers, punctuation). Words are decoded together where they are single
+characters ("i - d - i - o - t"), or where the model alone holds their joined
+reading for cheaper than the break between them by more than a join costs
+("stu pid"); gap characters that stand alone between two words are part of the break.
 
 Scoring. Features are letter n-grams of 4 to 6 bytes (a leading space marks the
 start of a word) and whole words of the restored text. Those much more frequent
@@ -48,12 +51,10 @@ LOOKALIKES = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 # Costs in bits of reading a character otherwise than as itself.
-COST = {"letter": 1.0, "nothing": 4.0, "repeat": 1.0, "gap": 0.5, "break": 2.0}
+COST = {"letter": 1.0, "nothing": 4.0, "repeat": 1.0, "gap": 0.5, "break": 2.0, "join": 12.0}
 GAPS = " ._-*~'\u200b\u00ad"
 #: Steps of the search after which the part shared by all paths is written out.
 TRACE_STEPS = 1024
-#: Single characters in a row that count as a word set apart.
-MIN_SPACED = 2
 #: Decoded spans a task remembers and the most bytes of one; emptied when full, which changes no result.
 REMEMBERED_SPANS, REMEMBERED_BYTES = 200_000, 64
 
@@ -68,6 +69,12 @@ _LEET[[ord(c) for c in LOOKALIKES if ord(c) < 128]] = True
 _GAP = np.zeros(256, bool)
 _GAP[[ord(c) for c in GAPS if ord(c) < 128]] = True
 _GAP[0x20] = False
+# Symbols at the two ends of a break; marks that close a sentence are no letters there,
+# and other letters than a-z, which the model knows as one symbol, are never joined.
+_END = _CLASS.copy()
+for _c, _letters in LOOKALIKES.items():
+    if ord(_c) < 128 and (_c.isdigit() or _c in "@$"):
+        _END[ord(_c)] = ord(_letters[0]) - 96
 
 # Lower case, and a space for every ASCII byte that is no letter.
 _TO_LETTERS = bytes((b + 32 if 65 <= b < 91 else b if 97 <= b < 123 or b >= 128 else 32) for b in range(256))
@@ -111,13 +118,34 @@ def character_model(df: DataFrame, text_col: str = "text") -> np.ndarray:
 # ---------------------------------------------------------------- restoration
 
 
+_LATIN = {chr(96 + s): s for s in range(1, 27)}
+
+
 def _symbol(c: str) -> int:
-    return ord(c) - 96 if "a" <= c <= "z" else 27
+    return _LATIN.get(c, 27)
+
+
+def _wide_spaces(span: str) -> dict[int, list[tuple[str, float]]]:
+    """Readings of the spaces between two words that aren't both single
+    characters: the first one breaks, or joins at a cost; the others are nothing."""
+    found: dict[int, list[tuple[str, float]]] = {}
+    words = [w.span() for w in re.finditer(r"\S+", span) if not all(c in GAPS for c in w.group())]
+    for (s, e), (s2, e2) in zip(words, words[1:]):
+        if e - s > 1 or e2 - s2 > 1:
+            spaces = [i for i in range(e, s2) if span[i] == " "]
+            found.update((i, [("", 0.0)]) for i in spaces[1:])
+            found.update((i, [(" ", 0.0), ("", COST["join"])]) for i in spaces[:1])
+    return found
 
 
 def _readings(span: str):
     before = ""
-    for c in span:
+    wide = _wide_spaces(span) if " " in span else {}
+    for i, c in enumerate(span):
+        if i in wide:
+            before = ""
+            yield wide[i]
+            continue
         if c.isalpha():
             edges = [(c, 0.0)]
             if c == before:
@@ -153,6 +181,13 @@ def restore(span: str, bits) -> str:
     done: list[str] = []
     full = TRACE_STEPS
     for edges in _readings(span):
+        if len(costs) == 1 and len(edges) == 1 and not steps and edges[0][0].isalpha():
+            # One path so far, one reading: nothing to choose.
+            ((a, b), cost), (reading, extra) = next(iter(costs.items())), edges[0]
+            s = _symbol(reading)
+            costs = {(b, s): cost + extra + bits[a][b][s]}
+            done.append(reading)
+            continue
         after: dict[tuple[int, int], float] = {}
         back: dict[tuple[int, int], tuple[int, str]] = {}
         for place, ((a, b), cost) in enumerate(costs.items()):
@@ -173,7 +208,10 @@ def restore(span: str, bits) -> str:
                     after[state], back[state] = total, (place, now)
         costs = after
         steps.append((array("H", [back[state][0] for state in after]), [back[state][1] for state in after]))
-        if len(steps) >= full:
+        if len(after) == 1:
+            done.append(_read_back(steps, 0))
+            steps.clear()
+        elif len(steps) >= full:
             done.append(_shared_prefix(steps))
             full = 2 * len(steps) + TRACE_STEPS
     ends = [cost + (bits[a][b][0] if b else 0.0) for (a, b), cost in costs.items()]
@@ -212,6 +250,10 @@ _AMBIGUOUS = re.compile(rf"[{re.escape(''.join(LOOKALIKES) + GAPS)}]|([^\W\d_])\
 class Restorer:
     def __init__(self, bits: np.ndarray):
         self.bits = bits.tolist()
+        # Bits that joining two words saves: by the last two symbols of one and
+        # the first of the other, and by the last of one and the first two of the other.
+        self._before = (bits[:, :, :1] + bits[None, :, 0, :] - bits).astype(np.float32).ravel()
+        self._after = (bits[0][None] - bits).astype(np.float32).ravel()
         self.memory: dict[bytes, bytes] = {}
 
     def _decode(self, span: bytes) -> bytes:
@@ -235,7 +277,7 @@ class Restorer:
         words = Words(texts, SPACES)
         if not len(words.start):
             return [t or b"" for t in texts]
-        spans = self._spans(words)
+        spans = self._spans(words, joins=True)
         if not spans:
             return [t or b"" for t in texts]
         out: list = [None] * len(texts)
@@ -253,10 +295,10 @@ class Restorer:
             out[t] = b"".join(parts)
         return [o if o is not None else (t or b"") for o, t in zip(out, texts)]
 
-    def _spans(self, words: Words) -> list[tuple[int, int]]:
-        """Byte ranges of tokens and of rows of single characters that may have
-        a lattice of more than one path: all that do, and words with a character
-        outside ASCII."""
+    def _spans(self, words: Words, joins: bool = False) -> list[tuple[int, int]]:
+        """Byte ranges of tokens and of rows of words that may have a lattice of
+        more than one path: all tokens that do, those with a character outside
+        ASCII, rows of single characters and, with ``joins``, of words with a dear break."""
         buf = words.buf
         letter, leet = _LETTER[buf], _LEET[buf]
         marked = leet | (buf >= 128)
@@ -271,20 +313,36 @@ class Restorer:
         has_letter = np.add.reduceat(letter, words.start, dtype=np.int64)[tokens] > 0
         tokens = tokens[has_letter]
         spans = list(zip(words.start[tokens].tolist(), words.end[tokens].tolist()))
-        # Rows of single characters.
-        alone = (sizes == _char_size(buf[words.start])) & (letter[words.start] | leet[words.start])
-        text = np.searchsorted(words.first, np.arange(len(sizes)), side="right")
-        row = np.cumsum(np.r_[True, ~(alone[1:] & alone[:-1] & (text[1:] == text[:-1]))])
-        first = np.flatnonzero(np.r_[True, np.diff(row) > 0])
-        count = np.diff(np.r_[first, len(row)])
-        rows = [
-            (int(words.start[f]), int(words.end[f + n - 1]))
-            for f, n in zip(first[count >= MIN_SPACED].tolist(), count[count >= MIN_SPACED].tolist())
-        ]
-        if rows:
-            taken = [(s, e) for s, e in spans if not any(a <= s < b for a, b in rows)] if len(rows) < 64 else _outside(spans, rows)
-            spans = taken + rows
-        return spans
+        rows = self._rows(words, np.bincount(token[token >= 0], minlength=len(sizes)) == sizes, joins)
+        return _outside(spans, rows) + rows if rows else spans
+
+    def _rows(self, words: Words, gap: np.ndarray, joins: bool) -> list[tuple[int, int]]:
+        """Byte ranges of two or more words to be read together; ``gap`` marks
+        words of gap characters only, which are passed over."""
+        real = np.flatnonzero(~gap)
+        if len(real) < 2:
+            return []
+        buf, start, end = words.buf, words.start[real], words.end[real]
+        text = np.searchsorted(words.first, real, side="right")
+        lead = buf[start]
+        alone = (end - start == _char_size(lead)) & (_LETTER[lead] | _LEET[lead])
+        linked = alone[1:] & alone[:-1]
+        if joins:
+            linked |= self._dear(buf, start, end)
+        linked &= text[1:] == text[:-1]
+        first = np.flatnonzero(linked & ~np.r_[False, linked[:-1]])
+        last = np.flatnonzero(linked & ~np.r_[linked[1:], False]) + 1
+        return list(zip(start[first].tolist(), end[last].tolist()))
+
+    def _dear(self, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Breaks between neighbouring words that cost more than to join them."""
+        # Symbols a, b before the break and c, d after it (0: no further letter).
+        a = np.where(end - start > 1, _END[buf[np.maximum(end - 2, 0)]], 0)[:-1].astype(np.int64)
+        b, c = _END[buf[end - 1]][:-1], _END[buf[start]][1:]
+        d = np.where(end - start > 1, _END[buf[np.minimum(start + 1, len(buf) - 1)]], 0)[1:]
+        code = (a * _SYMBOLS + b) * _SYMBOLS + c
+        saved = self._before[code] + self._after[code % _SYMBOLS**2 * _SYMBOLS + d]
+        return (b % 27 > 0) & (c % 27 > 0) & (saved > COST["join"])
 
 
 def _outside(spans, rows):

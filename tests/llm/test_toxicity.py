@@ -103,7 +103,7 @@ def test_spans_of_any_length_are_decoded(spark, model):
     spaced = " ".join("".join(words))[:10_000]
     noisy = "".join(rng.choices("idot10!.-_ e", k=5_000))
     r = toxicity.Restorer(model.bits)
-    for text in (spaced, noisy, "1" * 3_000, "o" * 3_000, "i.d-i_o.t+" * 500):
+    for text in (spaced, noisy, "1" * 3_000, "o" * 3_000, "i.d-i_o.t+" * 500, "stu pid - lo ser  mo ron " * 90):
         assert toxicity.restore(text, r.bits) == unsplit(text, r.bits)
     assert r.texts([spaced.encode()])[0].decode() == unsplit(spaced, r.bits) != spaced
     assert r.texts([b"id" + b"i" + b"o" * 90 + b"t"])[0] == b"idiot"
@@ -140,6 +140,41 @@ def test_every_declared_disguise_is_restored(model):
     assert r.texts([b"the letter and the weather"]) == [b"the letter and the weather"]
 
 
+def test_words_set_apart_by_pieces_and_marks(model):
+    r = toxicity.Restorer(model.bits)
+    for disguised, word in [
+        ("i - d - i - o - t", "idiot"), ("i _ d _ 1 _ o _ t", "idiot"), ("stu pid", "stupid"), ("stu p1d", "stupid"),
+        ("mo ron", "moron"), ("idi - ot", "idiot"), ("1di ot", "idiot"), ("lo  ser", "loser"), ("I . D . I . O . T", "idiot"),
+    ]:
+        got = r.texts([f"we know {disguised} there".encode()])[0].decode()
+        assert got == f"we know {word} there", disguised
+    for plain in ["weather - time train", "river. Modern music - garden", "close window - paper", "friend, water idiom"]:  # words the model knows
+        assert r.texts([plain.encode()])[0].decode() == plain
+
+
+def test_every_dear_break_is_admitted(model):
+    """Breaks that the model would rather join are found where a plain reading finds them."""
+    rng = random.Random(21)
+    r = toxicity.Restorer(model.bits)
+    bits = model.bits
+    found = 0
+    for _ in range(300):
+        words = ["".join(rng.choices("idotmrnlse", k=rng.randrange(1, 5))) for _ in range(rng.randrange(2, 6))]
+        text = " ".join(words)
+        rows = [(s, e) for s, e in r._spans(toxicity.Words([text.encode()], toxicity.SPACES), joins=True) if b" " in text.encode()[s:e]]
+        at = 0
+        for left, right in zip(words, words[1:]):
+            at += len(left) + 1
+            a, b = ([0, *map(toxicity._symbol, left)])[-2:]
+            c, d = ([*map(toxicity._symbol, right), 0])[:2]
+            apart = bits[a][b][0] + bits[b][0][c] + bits[0][c][d]
+            dear = apart - bits[a][b][c] - bits[b][c][d] > toxicity.COST["join"]
+            both = len(left) == len(right) == 1
+            assert any(s < at < e for s, e in rows) == (dear or both), text
+            found += dear
+    assert found > 20
+
+
 def test_scores(spark, model):
     assert scores(spark, model, CLEAN) == [0, 0]
     assert scores(spark, model, BAD) == [1, 1]
