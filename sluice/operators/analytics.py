@@ -12,7 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import hot_keys, salt_replicate, salt_spread
+from sluice.operators.joins import hot_keys, partitions_for, salt_replicate, salt_spread
+
+#: Keys with at least this share of the assignments are looked for where tasks are sized by rows.
+LEAST_HOT_SHARE = 0.001
 
 
 def exact_mean(value: str, scale: int | None = None) -> Column:
@@ -84,6 +87,7 @@ def project_participation(
     assignment_member: str,
     hot_key_share: float | None = None,
     hot_key_splits: int = 32,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Projects joined to their department and their assignments, with the
     number of distinct members per (project name, budget, department name),
@@ -104,7 +108,16 @@ def project_participation(
     and only those projects' rows are repeated per salt on the other side.
     Each (project, member) pair still meets each matching project row once,
     so the counts are unchanged; the aggregate then needs its own exchange.
+
+    ``rows_per_task`` bounds a task's memory whatever the input's size: tables
+    with more assignments than that on every core are dealt over as many
+    partitions as that takes (AQE coalesces to a number of shuffled bytes, see
+    ``partitions_for``). AQE doesn't split those, so keys with more rows than a
+    task's are salted.
     """
+    partitions = partitions_for(assignments, rows_per_task) if rows_per_task else None
+    if partitions and hot_key_share is None:
+        hot_key_share = max(LEAST_HOT_SHARE, 1 / partitions)
     p = projects.alias("p")
     d = departments.alias("d")
     a = assignments.alias("ep")
@@ -113,10 +126,12 @@ def project_participation(
     hot = hot_keys(assignments, assignment_project, min_share=hot_key_share) if hot_key_share else []
     if hot:
         head = head.withColumn("_hs", salt_replicate(F.col(f"p.{project_id}"), hot, hot_key_splits))
-        a = a.withColumn(
-            "_as", salt_spread(F.col(assignment_project), hot, F.col(assignment_member), hot_key_splits)
-        )
+        # An int as on the other side: a cast in the join would undo the partitioning below.
+        salt = salt_spread(F.col(assignment_project), hot, F.col(assignment_member), hot_key_splits).cast("int")
+        a = a.withColumn("_as", salt)
         on = on & (F.col("_hs") == F.col("_as"))
+    if partitions:
+        head = head.repartition(partitions, F.col(f"p.{project_id}"), *([F.col("_hs")] if hot else []))
     joined = head.join(a, on)
     return (
         joined.groupBy(

@@ -29,6 +29,32 @@ def hot_keys(df: DataFrame, key: str, *, min_share: float = 0.01) -> list[Any]:
     return [r["item"] for r in top if r["item"] is not None and r["count"] >= max(2, min_share * total)]
 
 
+def partitions_for(df: DataFrame, rows_per_task: int) -> int | None:
+    """Partitions that leave a task of a join or an aggregate at most about
+    ``rows_per_task`` rows of ``df``, by a count of them; None where the rows
+    don't fill that much on every core, which AQE spreads as it is.
+
+    AQE alone sizes tasks by shuffled bytes, and narrow rows that compress well
+    take more than twenty times as much memory when they are sorted and grouped.
+    """
+    if rows_per_task < 1:
+        raise ValueError("rows_per_task must be at least 1")
+    rows, session = df.count(), df.sparkSession
+    if rows <= rows_per_task * session.sparkContext.defaultParallelism:
+        return None
+    return max(int(session.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / rows_per_task))
+
+
+def dealt_distinct(df: DataFrame, key: str, others: Sequence[str], rows_per_task: int) -> DataFrame:
+    """``df`` itself, or, where ``partitions_for`` gives a number, its distinct
+    rows of ``key`` and ``others`` dealt by the key over so many partitions: for
+    queries that count distinct rows per key, which then need no other shuffle."""
+    partitions = partitions_for(df, rows_per_task)
+    if partitions is None:
+        return df
+    return df.select(key, *others).distinct().repartition(partitions, key)
+
+
 def salt_spread(key: Column, hot: Sequence[Any], spread: Column, splits: int) -> Column:
     """Salt for the large side: rows of a hot key get ``hash(spread) % splits``,
     all other rows 0. The salt is a pure function of the row."""

@@ -114,3 +114,37 @@ def test_join3_salted_hot_keys_exact_without_session_settings(spark):
     salted = project_participation(o, c, li, hot_key_share=0.05, hot_key_splits=8, **kw)
     assert sorted(tuple(r) for r in salted.collect()) == sorted(tuple(r) for r in plain.collect())
     assert "xxhash64" in plan_text(salted)
+
+
+def test_join3_tasks_are_sized_by_rows(spark):
+    """Narrow rows that compress well: AQE would put all of them into a task or two."""
+    from sluice.operators.joins import dealt_distinct
+
+    o = spark.range(4_000).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "CAST(id % 11 AS DOUBLE) AS o_totalprice")
+    c = spark.range(7).selectExpr("id AS c_custkey", "concat('c', id) AS c_name")
+    li = spark.range(40_000).selectExpr("IF(id < 4000, 5, id % 4000) AS l_orderkey", "id % 13 AS l_suppkey")
+    kw = dict(project_id="o_orderkey", project_name="o_orderkey", project_budget="o_totalprice",
+              project_department="o_custkey", department_id="c_custkey", department_name="c_name",
+              assignment_project="l_orderkey", assignment_member="l_suppkey")
+    names = ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in zip(names, ("4", "-1", "-1")):
+            spark.conf.set(k, v)
+        plain = project_participation(o, c, li, **kw)
+        rows = 40_000 // (20 * spark.sparkContext.defaultParallelism)
+        sized = project_participation(o, c, li, rows_per_task=rows, **kw)
+        want = sorted(tuple(r) for r in plain.collect())
+        assert sorted(tuple(r) for r in sized.collect()) == want and len(want) == 4_000
+        text, n = plan_text(sized), -(-40_000 // rows)
+        shuffles = [x for x in text.splitlines() if "hashpartitioning" in x]
+        assert any(f" {n}), REPARTITION_BY_NUM" in x for x in shuffles), shuffles
+        assert any("l_orderkey" in x and f" {n}), ENSURE_REQUIREMENTS" in x for x in shuffles), shuffles
+        assert "xxhash64" in text  # project 5 holds a tenth of the rows
+        dealt = dealt_distinct(li, "l_orderkey", ["l_suppkey"], rows)
+        assert dealt.rdd.getNumPartitions() == n
+        assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, li.distinct().collect()))
+        assert dealt_distinct(li, "l_orderkey", ["l_suppkey"], 40_000) is li
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
