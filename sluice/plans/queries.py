@@ -60,7 +60,7 @@ def _uniq(name: str) -> str:
 
 # ---------------------------------------------------------------- analytics
 
-#: Assignments in a task of the three-way join: some 300 MB when sorted and grouped.
+#: Assignments in a task of the three-way join, whatever the size of the input.
 JOIN3_ROWS = 500_000
 
 
